@@ -57,16 +57,26 @@ def is_py_float(c) -> Column:
     )
 
 
+def let(value, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` (a lambda binding), so a large
+    sub-expression used several times is not recomputed per use."""
+    return F.element_at(F.transform(F.array(col_of(value)), fn), 1)
+
+
 def ngrams(tokens, n: int) -> Column:
     """Contiguous n-grams of a token array as space-joined strings.
 
     Guarded: arrays shorter than ``n`` give ``[]`` (``sequence(1, 0)`` would
     count down)."""
-    t = col_of(tokens)
-    return F.when(
-        F.size(t) >= n,
-        F.transform(F.sequence(F.lit(1), F.size(t) - n + 1), lambda i: F.array_join(F.slice(t, i, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
+
+    def build(t):
+        return F.when(
+            F.size(t) >= n,
+            F.transform(F.sequence(F.lit(1), F.greatest(F.size(t) - n + 1, F.lit(1))),
+                        lambda i: F.array_join(F.slice(t, i, n), " ")),
+        ).otherwise(F.array().cast("array<string>"))
+
+    return let(tokens, build)
 
 
 def first_regex_removed(c, pattern: str) -> Column:

@@ -1,17 +1,25 @@
-"""Metric name -> implementation. Each implementation returns either
-``("aggs", [(metric, sub_metric, aggregate Column), ...])`` (fusable into one
-``agg``) or ``("frame", metrics_long DataFrame)``."""
+"""Metric name -> implementation.
+
+Each implementation returns ``("aggs", [(metric, sub_metric, aggregate Column)])``
+(fusable into one ``agg``), ``("prf", (which, average, zero_division))`` (shares
+one confusion table per option set) or ``("frame", metrics_long DataFrame)``.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from . import classification as C
+from . import corpus as K
+from . import scored as S
 
 METRICS: dict = {}
 
 
-def register(name: str):
+def register(*names: str):
     def deco(fn):
-        METRICS[name.lower()] = fn
+        for n in names:
+            METRICS[n.lower()] = fn
         return fn
     return deco
 
@@ -34,5 +42,78 @@ def _prf(which):
 
 register("precision")(_prf("precision"))
 register("recall")(_prf("recall"))
-register("f1_score")(_prf("f1"))
-register("f1")(_prf("f1"))
+register("f1_score", "f1")(_prf("f1"))
+
+
+@register("perplexity")
+def _ppl(df, keys, pred, label, **o):
+    return "aggs", [("perplexity", "", S.perplexity_expr(pred))]
+
+
+@register("jaccard", "jaccard_similarity")
+def _jac(df, keys, pred, label, ngram=1, normalize=False, **o):
+    return "aggs", [("jaccard", "", S._avg0(S.jaccard_score(pred, label, ngram, normalize)))]
+
+
+@register("semantic_similarity")
+def _sem(df, keys, pred, label, metric_type="cosine", **o):
+    return "aggs", [("semantic_similarity", "", S._avg0(S.vector_similarity(pred, label, metric_type)))]
+
+
+@register("factual_consistency")
+def _fact(df, keys, pred, label, score_col="qa_score", consistency_threshold=None, **o):
+    return "aggs", [("factual_consistency", "", S._avg0(S.factual_score(score_col, consistency_threshold)))]
+
+
+@register("toxicity")
+def _tox(df, keys, pred, label, classes_col="toxicity_classes", target_label="TOXICITY", **o):
+    t = str(target_label).upper()
+    return "aggs", [("toxicity", t.lower(), S._avg0(S.toxicity_score(classes_col, t)))]
+
+
+@register("score_average")
+def _savg(df, keys, pred, label, score_col="score", name="score_average", **o):
+    return "aggs", [(name, "", S._avg0(F.col(score_col).cast("double")))]
+
+
+@register("novelty")
+def _nov(df, keys, pred, label, novelty_ngram_size=2, **o):
+    return "aggs", [("novelty", "novelty_score_avg", S._avg0(S.novelty_score(pred, label, novelty_ngram_size)))]
+
+
+@register("avg_prediction_length", "average_prediction_length")
+def _avglen(df, keys, pred, label, result_key_name="avg_prediction_length", **o):
+    st = S.is_struct_col(df, pred)
+    wc = S.word_count(pred, st)
+    cond = F.col(pred).isNotNull()
+    # the result key is configurable, but with no rows the fixed key is reported
+    val = F.coalesce(F.avg(F.when(cond, wc)), F.lit(0.0))
+    return "aggs", [("avg_prediction_length", result_key_name, val)]
+
+
+@register("keyword_match")
+def _kw(df, keys, pred, label, keywords_to_match=None, **o):
+    st = S.is_struct_col(df, pred)
+    hit = S.keyword_hit(pred, keywords_to_match, st)
+    return "aggs", [("keyword_match", "keyword_match_count", F.coalesce(F.sum(hit), F.lit(0.0))),
+                    ("keyword_match", "keyword_match_ratio", F.coalesce(F.avg(hit), F.lit(0.0)))]
+
+
+@register("distinct_ngram")
+def _dn(df, keys, pred, label, ngrams=(1, 2), **o):
+    return "frame", K.metric_distinct_ngram(df, keys, pred, label, ngrams)
+
+
+@register("word_entropy")
+def _we(df, keys, pred, label, **o):
+    return "frame", K.metric_word_entropy(df, keys, pred, label)
+
+
+@register("pearson", "pearson_correlation")
+def _pe(df, keys, pred, label, **o):
+    return "frame", K.metric_pearson(df, keys, pred, label)
+
+
+@register("spearman", "spearman_correlation")
+def _sp(df, keys, pred, label, **o):
+    return "frame", K.metric_spearman(df, keys, pred, label)

@@ -115,3 +115,7 @@ UNION ALL SELECT model, task, 'precision', '', round(precision, 6) FROM prf
 UNION ALL SELECT model, task, 'recall', '', round(recall, 6) FROM prf
 UNION ALL SELECT model, task, 'f1_score', '', round(f1_score, 6) FROM prf
 """)(flagship)
+
+
+# Query modules register themselves on import.
+from . import q_metrics  # noqa: E402,F401

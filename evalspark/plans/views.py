@@ -32,3 +32,88 @@ def mcq_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("The answer is ("), F.char(F.lit(65) + F.col("l_linenumber") % 5), F.lit(")")).alias("prediction"),
         (F.col("l_partkey") % 4).alias("label"),
     )
+
+
+def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dialogue pairs: each user turn with the assistant turn that follows it.
+
+    item_id = conv_id * 1000 + turn, prompt = label = user text, prediction =
+    assistant text, model = ``m{conv_id % 3}``, task = ``dialog``."""
+    c = table(spark, sf_dir, "conversations")
+    u = c.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("u_text"))
+    a = c.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("a_text"))
+    j = u.join(a, ["conv_id", "turn"])
+    return j.select(
+        F.concat(F.lit("m"), (F.col("conv_id") % 3).cast("string")).alias("model"),
+        F.lit("dialog").alias("task"),
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("item_id"),
+        F.col("u_text").alias("prompt"),
+        F.col("a_text").alias("prediction"),
+        F.col("u_text").alias("label"),
+    )
+
+
+SQL_PAIRS = """
+  SELECT 'm' || CAST(u.conv_id % 3 AS VARCHAR) AS model, 'dialog' AS task, u.conv_id * 1000 + u.turn AS item_id,
+         u.text AS prompt, a.text AS prediction, u.text AS label
+  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+  WHERE u.role = 'user' AND a.role = 'assistant'
+"""
+
+
+def clf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document quality classification: label = quality, prediction = n_chars > 1000,
+    model = source, task = lang."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
+    lab = table(spark, sf_dir, "labels")
+    return lab.join(d, "doc_id").select(
+        F.col("source").alias("model"), F.col("lang").alias("task"), F.col("doc_id").alias("item_id"),
+        (F.col("n_chars") > 1000).cast("int").alias("prediction"), F.col("quality").alias("label"),
+        F.col("toxic"), F.col("n_chars"))
+
+
+SQL_CLF = """
+  SELECT d.source AS model, d.lang AS task, d.doc_id AS item_id, CAST(d.n_chars > 1000 AS INTEGER) AS prediction,
+         l.quality AS label, l.toxic, d.n_chars
+  FROM labels l JOIN documents d ON d.doc_id = l.doc_id
+"""
+
+
+def lp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities: ``logp = -value / 100`` per event, model = ``lm``, task = event type."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.lit("lm").alias("model"), F.col("event_type").alias("task"), F.col("event_id").alias("item_id"),
+                    "ts", (-F.col("value") / 100.0).alias("prediction"), F.lit(None).cast("string").alias("label"))
+
+
+SQL_LP = """
+  SELECT 'lm' AS model, event_type AS task, event_id AS item_id, ts, -value / 100.0 AS prediction, NULL AS label FROM events
+"""
+
+
+def num(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_returnflag").alias("model"), F.col("l_linestatus").alias("task"),
+                     F.col("l_quantity").alias("prediction"), F.col("l_extendedprice").alias("label"))
+
+
+SQL_NUM = """
+  SELECT l_returnflag AS model, l_linestatus AS task, l_quantity AS prediction, l_extendedprice AS label FROM lineitem
+"""
+
+
+def vecs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embedding pairs: each vector with the next id; model = ``emb``, task = label of the first."""
+    e = table(spark, sf_dir, "embeddings")
+    a = e.select("vec_id", F.col("embedding").alias("prediction"), "label")
+    b = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("label_vec"))
+    return a.join(b, "vec_id").select(
+        F.lit("emb").alias("model"), F.concat(F.lit("t"), F.col("label").cast("string")).alias("task"),
+        F.col("vec_id").alias("item_id"), "prediction", F.col("label_vec").alias("label"))
+
+
+SQL_VECS = """
+  SELECT 'emb' AS model, 't' || CAST(a.label AS VARCHAR) AS task, a.vec_id AS item_id,
+         a.embedding AS prediction, b.embedding AS label
+  FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1
+"""
