@@ -81,10 +81,13 @@ def ngrams(tokens, n: int) -> Column:
 
 def first_regex_removed(c, pattern: str) -> Column:
     """``re.sub(pattern, '', s, 1)``: remove only the first match."""
+    import re
+
     s = col_of(c)
     rx = r"(?s)^(.*?)(?:" + pattern + r")(.*)$"
+    tail = 2 + re.compile(pattern).groups  # the pattern's own groups come before the tail
     hit = s.rlike(r"(?s)" + pattern)
-    return F.when(hit, F.concat(F.regexp_extract(s, rx, 1), F.regexp_extract(s, rx, 2))).otherwise(s)
+    return F.when(hit, F.concat(F.regexp_extract(s, rx, 1), F.regexp_extract(s, rx, tail))).otherwise(s)
 
 
 def round6(c) -> Column:

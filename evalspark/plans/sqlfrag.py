@@ -59,3 +59,32 @@ def prf(src: str, average: str, zd: float = 0.0, keys: str = "model, task", nume
   {per},
   prf AS (SELECT {keys}, {body} FROM cls_s GROUP BY ALL)
 """
+
+
+PY_FLOAT_RX = "'^\\s*[+-]?(([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))\\s*$'"
+ANSWER_PHRASES = ("the final answer is", "the answer is", "so the result is", "which gives us", "is equal to")
+
+
+def is_float(x: str) -> str:
+    return f"COALESCE(regexp_matches({x}, {PY_FLOAT_RX}), FALSE)"
+
+
+def drop_dot(x: str) -> str:
+    return (f"(CASE WHEN ends_with({x}, '.') AND strpos(left({x}, length({x}) - 1), '.') = 0 "
+            f"THEN left({x}, length({x}) - 1) ELSE {x} END)")
+
+
+def final_number(t: str) -> str:
+    s = strip(t)
+    hashes = f"regexp_extract_all({s}, '####\\s*([\\d,.-]+)', 1)"
+    h = drop_dot(f"replace({hashes}[-1], ',', '')")
+    phr = []
+    for ph in ANSWER_PHRASES:
+        found = f"regexp_extract_all({s}, '(?i){ph}\\s*:?\\s*([-+]?\\s*[\\d,.]+\\d)', 1)"
+        c = f"replace(replace({found}[-1], ',', ''), ' ', '')"
+        phr.append(f"CASE WHEN {is_float(c)} THEN {c} END")
+    last = drop_dot(f"replace(regexp_extract_all({s}, '[-+]?\\b\\d[\\d,.]*\\b', 0)[-1], ',', '')")
+    lastv = f"CASE WHEN {is_float(last)} THEN {last} END"
+    return (f"(CASE WHEN {t} IS NULL OR {t} = '' THEN 'ANSWER_NOT_FOUND' "
+            f"WHEN len({hashes}) > 0 THEN (CASE WHEN {is_float(h)} THEN {h} ELSE 'INVALID_NUM_FORMAT_IN_HASH_PATTERN' END) "
+            f"ELSE COALESCE({', '.join(phr)}, {lastv}, 'ANSWER_NOT_FOUND') END)")

@@ -117,3 +117,51 @@ SQL_VECS = """
          a.embedding AS prediction, b.embedding AS label
   FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1
 """
+
+
+def resp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free-text responses over ``lineitem``: template chosen by ``l_orderkey % 6``, all
+    numbers integers; label = the quantity as text."""
+    li = table(spark, sf_dir, "lineitem")
+    q = F.col("l_quantity").cast("int").cast("string")
+    t = F.col("l_orderkey") % 6
+    text = (
+        F.when(t == 0, F.concat(F.lit("The answer is "), q))
+        .when(t == 1, F.concat(F.lit("Answer: ("), F.char(F.lit(65) + F.col("l_linenumber") % 4), F.lit(")")))
+        .when(t == 2, F.when(F.col("l_partkey") % 2 == 0, F.lit("I think it is positive")).otherwise(F.lit("Clearly negative.")))
+        .when(t == 3, F.when(F.col("l_suppkey") % 2 == 0, F.lit("yes, equivalent")).otherwise(F.lit("not equivalent")))
+        .when(t == 4, F.concat(F.lit("Similarity Score: "), (F.col("l_linenumber") % 7).cast("string")))
+        .otherwise(F.concat(F.lit("  Final: #### "), q, F.lit(".")))
+    )
+    return li.select(
+        F.col("l_returnflag").alias("model"), F.col("l_linestatus").alias("task"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"),
+        text.alias("prediction"), q.alias("label"), (F.col("l_partkey") % 5).alias("label_index"))
+
+
+SQL_RESP = """
+  SELECT l_returnflag AS model, l_linestatus AS task, l_orderkey * 10 + l_linenumber AS item_id,
+    CASE l_orderkey % 6
+      WHEN 0 THEN 'The answer is ' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)
+      WHEN 1 THEN 'Answer: (' || chr(CAST(65 + l_linenumber % 4 AS INTEGER)) || ')'
+      WHEN 2 THEN CASE WHEN l_partkey % 2 = 0 THEN 'I think it is positive' ELSE 'Clearly negative.' END
+      WHEN 3 THEN CASE WHEN l_suppkey % 2 = 0 THEN 'yes, equivalent' ELSE 'not equivalent' END
+      WHEN 4 THEN 'Similarity Score: ' || CAST(l_linenumber % 7 AS VARCHAR)
+      ELSE '  Final: #### ' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '.' END AS prediction,
+    CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS label, l_partkey % 5 AS label_index
+  FROM lineitem
+"""
+
+
+def part_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transposed multiple-choice options: four consecutive parts form one item."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.floor((F.col("p_partkey") - 1) / 4).cast("long").alias("item_id"),
+                    ((F.col("p_partkey") - 1) % 4).cast("int").alias("option_idx"),
+                    F.col("p_name").alias("text"), "p_brand")
+
+
+SQL_PART_OPTIONS = """
+  SELECT CAST(floor((p_partkey - 1) / 4) AS BIGINT) AS item_id, CAST((p_partkey - 1) % 4 AS INTEGER) AS option_idx,
+         p_name AS text, p_brand FROM part
+"""
