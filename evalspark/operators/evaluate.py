@@ -89,11 +89,14 @@ def evaluate_suite(
 
 
 def batch_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], batch_size: int) -> DataFrame:
-    """Batch number per row, ``floor((row_number - 1) / batch_size) + 1`` within each key
-    in a total order. The window is partitioned by the keys, so each (model, task) is
-    numbered by one task; use it for plans, not on an unbounded single key."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("batch", F.floor((F.row_number().over(w) - 1) / F.lit(batch_size)).cast("long") + 1)
+    """Batch number per row, ``floor(position / batch_size) + 1`` within each key in a
+    total order (first order column numeric or timestamp). Positions come from the
+    range-bucketed prefix sums of ``ranking.prefix_before``, so a hot key is numbered
+    by many tasks, not one."""
+    from .ranking import prefix_before
+
+    pos = prefix_before(df, keys, order, out="_pos")
+    return pos.withColumn("batch", F.floor(F.col("_pos") / F.lit(batch_size)).cast("long") + 1).drop("_pos")
 
 
 def batch_plan(df: DataFrame, keys: Sequence[str], batch_size: int) -> DataFrame:
@@ -129,4 +132,4 @@ def running_metrics(
     w = Window.partitionBy(*keys).orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = per_batch.select(*keys, "batch", *[F.sum(n).over(w).alias(n) for n in sums])
     out = run.where(F.col("batch") % log_interval == 0)
-    return out.select(*keys, "batch", *[(F.col(a) / F.col(b)).alias(name) for name, (a, b) in ratios.items()])
+    return out.select(*keys, "batch", *sums.keys(), *[(F.col(a) / F.col(b)).alias(name) for name, (a, b) in ratios.items()])

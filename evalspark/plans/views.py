@@ -165,3 +165,36 @@ SQL_PART_OPTIONS = """
   SELECT CAST(floor((p_partkey - 1) / 4) AS BIGINT) AS item_id, CAST((p_partkey - 1) % 4 AS INTEGER) AS option_idx,
          p_name AS text, p_brand FROM part
 """
+
+
+def mlong(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long results computed from ``clf`` per (source, lang): accuracy, positive rate,
+    length mean / max (a two-part metric) and toxic share (only where a toxic
+    document exists, so some cells are missing by nature)."""
+    d = clf(spark, sf_dir)
+    g = d.groupBy("model", "task").agg(
+        F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc"),
+        F.avg("prediction").alias("pos"), (F.avg("n_chars") / 1000.0).alias("lm"), (F.max("n_chars") / 1000.0).alias("lx"),
+        F.avg("toxic").alias("tox"), F.max("toxic").alias("mt"))
+    def row(m, s, v):
+        return F.struct(F.lit(m).alias("metric"), F.lit(s).alias("sub_metric"), v.cast("double").alias("score"))
+
+    rows = F.array(row("accuracy", "", F.col("acc")), row("positive_rate", "", F.col("pos")),
+                   row("length", "mean", F.col("lm")), row("length", "max", F.col("lx")),
+                   row("toxic_share", "", F.when(F.col("mt") == 1, F.col("tox"))))
+    out = g.select("model", "task", F.inline(rows)).where(F.col("score").isNotNull())
+    return out.withColumn("full_metric_name", F.when(F.col("sub_metric") != "", F.concat("metric", F.lit("_"), "sub_metric"))
+                          .otherwise(F.col("metric")))
+
+
+SQL_MLONG = f"""
+  SELECT *, CASE WHEN sub_metric <> '' THEN metric || '_' || sub_metric ELSE metric END AS full_metric_name FROM (
+  WITH g AS (SELECT model, task, avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END) AS acc, avg(prediction) AS pos,
+                    avg(n_chars) / 1000.0 AS lm, max(n_chars) / 1000.0 AS lx, avg(toxic) AS tox, max(toxic) AS mt
+             FROM ({SQL_CLF}) GROUP BY ALL)
+  SELECT model, task, 'accuracy' AS metric, '' AS sub_metric, acc AS score FROM g
+  UNION ALL SELECT model, task, 'positive_rate', '', pos FROM g
+  UNION ALL SELECT model, task, 'length', 'mean', lm FROM g
+  UNION ALL SELECT model, task, 'length', 'max', lx FROM g
+  UNION ALL SELECT model, task, 'toxic_share', '', tox FROM g WHERE mt = 1)
+"""

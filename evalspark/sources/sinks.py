@@ -25,7 +25,7 @@ def nested_json(long_df: DataFrame) -> DataFrame:
     """One JSON document per model: ``{model: {task: {metric: score | {sub: score}}}}``.
     Grouped per (model, task) then per model, so a group holds one model's metric rows."""
     scalar = long_df.where(F.col("sub_metric") == "").select(
-        "model", "task", "metric", F.parse_json(F.to_json(F.array("score")).substr(2, 1 << 20).rtrim("]")).alias("v"))
+        "model", "task", "metric", F.col("score").cast("variant").alias("v"))
     nested = long_df.where(F.col("sub_metric") != "").groupBy("model", "task", "metric").agg(
         F.parse_json(F.to_json(F.map_from_entries(F.collect_list(F.struct("sub_metric", "score"))))).alias("v"))
     per_task = scalar.unionByName(nested).groupBy("model", "task").agg(
