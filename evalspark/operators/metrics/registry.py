@@ -117,3 +117,16 @@ def _pe(df, keys, pred, label, **o):
 @register("spearman", "spearman_correlation")
 def _sp(df, keys, pred, label, **o):
     return "frame", K.metric_spearman(df, keys, pred, label)
+
+
+from . import overlap as O  # noqa: E402
+
+
+@register("bleu")
+def _bleu(df, keys, pred, label, weights=(0.25, 0.25, 0.25, 0.25), smoothing="method1", **o):
+    return "frame", O.metric_bleu(df, keys, pred, label, weights, smoothing)
+
+
+@register("rouge")
+def _rouge(df, keys, pred, label, metrics=("rouge-l",), stats=("f",), **o):
+    return "frame", O.metric_rouge(df, keys, pred, label, metrics, stats)
