@@ -156,7 +156,7 @@ def test_novelty_and_custom(spark):
     df = spark.createDataFrame([("m", "t", "the cat sat on the mat", "the cat was on the mat"),
                                 ("m", "t", "a new sentence with new words", None)],
                                "model string, task string, prediction string, label string")
-    c = X.apply_post(df, "creative").withColumn("label", df["label"])
+    c = X.apply_post(df, "creative")
     out = evaluate_suite(c, ["novelty"], persist=False).collect()[0]
     assert out["score"] == pytest.approx(0.7)
     kw = spark.createDataFrame([("m", "t", "Hello World", None), ("m", "t", "nothing", None)],
