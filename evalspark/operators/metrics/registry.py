@@ -130,3 +130,35 @@ def _bleu(df, keys, pred, label, weights=(0.25, 0.25, 0.25, 0.25), smoothing="me
 @register("rouge")
 def _rouge(df, keys, pred, label, metrics=("rouge-l",), stats=("f",), **o):
     return "frame", O.metric_rouge(df, keys, pred, label, metrics, stats)
+
+
+from . import sequence as Sq  # noqa: E402
+
+
+@register("sequence_labeling", "seqeval")
+def _seq(df, keys, pred, label, item="item_id", pos="pos", average_type="micro avg", arrays=False, **o):
+    rows = Sq.from_arrays(df, keys, item, label, pred) if arrays else df
+    p, l = ("prediction", "label") if arrays else (pred, label)
+    return "frame", Sq.metric_sequence_labeling(rows, keys, item, pos, l, p, average_type)
+
+
+from . import custom as Cu  # noqa: E402
+from . import meteor as Me  # noqa: E402
+from . import vectors as Ve  # noqa: E402
+
+
+@register("bertscore", "token_match")
+def _tm(df, keys, pred, label, **o):
+    return "aggs", Ve.token_match_aggs(pred, label)
+
+
+@register("meteor")
+def _met(df, keys, pred, label, alpha=0.9, beta=3.0, gamma=0.5, stem=None, synonyms=None, **o):
+    return "aggs", [("meteor", "", F.coalesce(F.avg(Me.meteor_scores(pred, label, alpha, beta, gamma, stem, synonyms)),
+                                                F.lit(0.0)))]
+
+
+@register("custom_script", "custom")
+def _cust(df, keys, pred, label, init=None, update=None, result=None, merge=None, name="custom", options=None, **o):
+    out = Cu.metric_custom(df, init, update, result, merge, keys, pred, label, options or o, name)
+    return "frame", out.drop("error")

@@ -72,3 +72,108 @@ def metric_rouge_l(spark, sf):
     """ROUGE-L needs an LCS reconstruction per sentence pair; checked against the
     pure-Python pair function on fixtures (tests/test_overlap.py)."""
     return finish(O.metric_rouge(V.pairs(spark, sf), metrics=("rougeL", "rougeLsum", "rouge-3"), stats=("f", "r")))
+
+
+def _ents_sql(col):
+    """Spans of one tag column with lag / lead (the oracle side may use windows)."""
+    return f"""
+  (SELECT model, task, item_id, ty AS type, begin, pos AS "end" FROM (
+    SELECT *, COALESCE(max(CASE WHEN st THEN pos END) OVER (PARTITION BY item_id ORDER BY pos ROWS UNBOUNDED PRECEDING), 0) AS begin
+    FROM (SELECT *,
+      (p0 = 'B' OR p0 = 'S' OR (pp = 'E' AND p0 IN ('E', 'I')) OR (pp = 'S' AND p0 IN ('E', 'I')) OR (pp = 'O' AND p0 IN ('E', 'I'))
+        OR (p0 <> 'O' AND p0 <> '.' AND pty <> ty)) AS st,
+      (p0 IN ('E', 'S') OR (p0 = 'B' AND np IN ('B', 'S', 'O')) OR (p0 = 'I' AND np IN ('B', 'S', 'O'))
+        OR (p0 <> 'O' AND p0 <> '.' AND ty <> nty)) AS en
+    FROM (SELECT model, task, item_id, pos, left({col}, 1) AS p0,
+       COALESCE(nullif(split_part(substr({col}, 2), '-', 2), ''), '_') AS ty,
+       left(COALESCE(lag({col}) OVER w, 'O'), 1) AS pp,
+       CASE WHEN lag({col}) OVER w IS NULL THEN '' ELSE COALESCE(nullif(split_part(substr(lag({col}) OVER w, 2), '-', 2), ''), '_') END AS pty,
+       left(COALESCE(lead({col}) OVER w, 'O'), 1) AS np,
+       COALESCE(nullif(split_part(substr(COALESCE(lead({col}) OVER w, 'O'), 2), '-', 2), ''), '_') AS nty
+     FROM ({V.SQL_TAGS}) WINDOW w AS (PARTITION BY item_id ORDER BY pos))))
+  WHERE en)"""
+
+
+@query("metric_sequence_labeling", f"""
+WITH te AS {_ents_sql('label')}, pe AS {_ents_sql('prediction')},
+tp AS (SELECT count(*) AS tp FROM te JOIN pe USING (model, task, item_id, type, begin, "end")),
+c AS (SELECT (SELECT tp FROM tp) AS tp, (SELECT count(*) FROM pe) AS np, (SELECT count(*) FROM te) AS nt),
+s AS (SELECT CASE WHEN np > 0 THEN tp / np ELSE 0.0 END AS p, CASE WHEN nt > 0 THEN tp / nt ELSE 0.0 END AS r FROM c)
+SELECT 'tagger' AS model, 'events' AS task, 'sequence_labeling' AS metric, 'overall_precision' AS sub_metric, round(p, 6) AS score FROM s
+UNION ALL SELECT 'tagger', 'events', 'sequence_labeling', 'overall_recall', round(r, 6) FROM s
+UNION ALL SELECT 'tagger', 'events', 'sequence_labeling', 'overall_f1', round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 6) FROM s""")
+def metric_sequence_labeling(spark, sf):
+    from ..operators.metrics import sequence as Sq
+
+    return finish(Sq.metric_sequence_labeling(V.tags(spark, sf)))
+
+
+# M18 -------------------------------------------------------------------------------------
+def _token_vecs(spark, sf):
+    from pyspark.sql import functions as F
+
+    e = V.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"), "label")
+    e1 = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("v").alias("v1"))
+    e2 = e.select((F.col("vec_id") - 2).alias("vec_id"), F.col("v").alias("v2"))
+    j = e.join(e1, "vec_id").join(e2, "vec_id")
+    return j.select(F.lit("emb").alias("model"), F.concat(F.lit("t"), F.col("label").cast("string")).alias("task"),
+                    F.array("v", "v1").alias("prediction"), F.array("v1", "v2").alias("label"))
+
+
+_TV = """
+  SELECT 'emb' AS model, 't' || CAST(a.label AS VARCHAR) AS task,
+         [CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])] AS p, [CAST(b.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])] AS l
+  FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 JOIN embeddings c ON c.vec_id = a.vec_id + 2"""
+_COS = "list_dot_product(x, y) / (sqrt(list_dot_product(x, x)) * sqrt(list_dot_product(y, y)))"
+_GP = f"list_avg(list_transform(p, lambda x: list_max(list_transform(l, lambda y: {_COS}))))"
+_GR = f"list_avg(list_transform(l, lambda y: list_max(list_transform(p, lambda x: {_COS}))))"
+
+
+@query("metric_token_match", f"""
+WITH s AS (SELECT model, task, {_GP} AS P, {_GR} AS R FROM ({_TV}))
+SELECT model, task, 'bertscore' AS metric, 'bertscore_precision' AS sub_metric, round(avg(P), 6) AS score FROM s GROUP BY ALL
+UNION ALL SELECT model, task, 'bertscore', 'bertscore_recall', round(avg(R), 6) FROM s GROUP BY ALL
+UNION ALL SELECT model, task, 'bertscore', 'bertscore_f1', round(avg(CASE WHEN P + R > 0 THEN 2 * P * R / (P + R) ELSE 0.0 END), 6)
+FROM s GROUP BY ALL""")
+def metric_token_match(spark, sf):
+    from ..operators.evaluate import evaluate_suite
+
+    return finish(evaluate_suite(_token_vecs(spark, sf), ["bertscore"], persist=False))
+
+
+# M10 ---------------------------------------------------------------------------------------
+@query("metric_meteor")
+def metric_meteor(spark, sf):
+    from ..operators.evaluate import evaluate_suite
+
+    return finish(evaluate_suite(V.pairs(spark, sf), ["meteor"], persist=False))
+
+
+# M24 ---------------------------------------------------------------------------------------
+def _len_init(options):
+    return {"total_word_count": 0, "num_predictions": 0}
+
+
+def _len_update(state, preds, labels, options):
+    for p in preds:
+        if isinstance(p, str):
+            state["total_word_count"] += len(p.split())
+            state["num_predictions"] += 1
+    return state
+
+
+def _len_result(state, options):
+    if state["num_predictions"] == 0:
+        return {"avg_prediction_length": 0.0}
+    return {"avg_prediction_length": state["total_word_count"] / state["num_predictions"]}
+
+
+@query("metric_custom", f"""
+SELECT model, task, 'custom_length' AS metric, 'avg_prediction_length' AS sub_metric,
+       round(avg(len({Q.ws_split('prediction')})), 6) AS score FROM ({V.SQL_PAIRS}) GROUP BY ALL""")
+def metric_custom(spark, sf):
+    from ..operators.evaluate import evaluate_suite
+
+    spec = {"name": "custom_script", "options": {"init": _len_init, "update": _len_update, "result": _len_result,
+                                                 "name": "custom_length"}}
+    return finish(evaluate_suite(V.pairs(spark, sf), [spec], persist=False))

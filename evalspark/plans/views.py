@@ -198,3 +198,27 @@ SQL_MLONG = f"""
   UNION ALL SELECT model, task, 'length', 'max', lx FROM g
   UNION ALL SELECT model, task, 'toxic_share', '', tox FROM g WHERE mt = 1)
 """
+
+
+def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tag sequences from ``events``: one sequence per user ordered by (ts, event_id);
+    purchase -> B-P, click -> I-P, else O; the prediction also maps error -> I-P.
+    Positions come from the distributed ``prefix_before`` (no per-user window)."""
+    from ..operators.ranking import prefix_before
+
+    e = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    e = prefix_before(e, ["user_id"], ["ts", "event_id"], out="pos")
+    et = F.col("event_type")
+    true = F.when(et == "purchase", "B-P").when(et == "click", "I-P").otherwise("O")
+    pred = F.when(et == "purchase", "B-P").when(et.isin("click", "error"), "I-P").otherwise("O")
+    return e.select(F.lit("tagger").alias("model"), F.lit("events").alias("task"), F.col("user_id").alias("item_id"),
+                    F.col("pos").cast("long").alias("pos"), true.alias("label"), pred.alias("prediction"))
+
+
+SQL_TAGS = """
+  SELECT 'tagger' AS model, 'events' AS task, user_id AS item_id,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos,
+         CASE event_type WHEN 'purchase' THEN 'B-P' WHEN 'click' THEN 'I-P' ELSE 'O' END AS label,
+         CASE WHEN event_type = 'purchase' THEN 'B-P' WHEN event_type IN ('click', 'error') THEN 'I-P' ELSE 'O' END AS prediction
+  FROM events
+"""
