@@ -118,4 +118,4 @@ UNION ALL SELECT model, task, 'f1_score', '', round(f1_score, 6) FROM prf
 
 
 # Query modules register themselves on import.
-from . import q_data, q_metrics, q_overlap, q_results, q_stream  # noqa: E402,F401
+from . import q_data, q_metrics, q_overlap, q_results, q_runner, q_stream  # noqa: E402,F401
