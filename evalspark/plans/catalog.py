@@ -117,5 +117,8 @@ UNION ALL SELECT model, task, 'f1_score', '', round(f1_score, 6) FROM prf
 """)(flagship)
 
 
-# Query modules register themselves on import.
-from . import q_data, q_metrics, q_overlap, q_results, q_runner, q_stream  # noqa: E402,F401
+def load_all() -> None:
+    """Import every query module (each registers its queries on import). Kept out of
+    module import time so that executors unpickling a query's UDF import only the
+    module they need."""
+    from . import q_data, q_metrics, q_overlap, q_results, q_runner, q_stream  # noqa: F401

@@ -341,7 +341,7 @@ def pairing_audit(spark, sf):
 @query("status_rows", f"""
 WITH spec AS (SELECT m.model, t.task FROM (SELECT DISTINCT model FROM ({V.SQL_CLF})) m CROSS JOIN (SELECT unnest({TASKS!r}) AS task) t),
 have AS (SELECT model, task, 1 AS n_metrics FROM ({V.SQL_CLF}) GROUP BY ALL)
-SELECT spec.model, spec.task, CASE WHEN n_metrics IS NULL THEN 'error' ELSE 'ok' END AS status, COALESCE(n_metrics, 0) AS n_metrics,
+SELECT spec.model, spec.task, CASE WHEN n_metrics IS NULL THEN 'error' ELSE 'ok' END AS status, CAST(COALESCE(n_metrics, 0) AS BIGINT) AS n_metrics,
        CASE WHEN n_metrics IS NULL THEN 'No results obtained for this task' END AS error
 FROM spec LEFT JOIN have USING (model, task)""")
 def status_rows(spark, sf):
@@ -415,7 +415,7 @@ def post_creative(spark, sf):
     p = V.pairs(spark, sf).select("model", "task", "item_id", "prediction", "label")
     c = X.apply_post(p, "creative")
     return c.select("model", "task", "item_id", F.col("prediction.cleaned_text").alias("cleaned_text"),
-                    F.col("prediction.word_count").alias("word_count"), "label")
+                    F.col("prediction.word_count").cast("long").alias("word_count"), "label")
 
 
 @query("post_prefix", f"""

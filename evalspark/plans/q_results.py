@@ -169,7 +169,7 @@ WITH b AS (SELECT model, task, prediction,
 pb AS (SELECT model, task, batch, sum(prediction) AS s, count(*) AS n FROM b GROUP BY ALL),
 r AS (SELECT model, task, batch, sum(s) OVER w AS s, sum(n) OVER w AS n FROM pb
       WINDOW w AS (PARTITION BY model, task ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT model, task, batch, round(exp(-(s / n)), 6) AS perplexity_so_far, n AS rows_so_far FROM r WHERE batch % 5 = 0""")
+SELECT model, task, batch, round(exp(-(s / n)), 6) AS perplexity_so_far, CAST(n AS BIGINT) AS rows_so_far FROM r WHERE batch % 5 = 0""")
 def running_metrics_q(spark, sf):
     d = V.lp(spark, sf)
     out = running_metrics(d, ["model", "task"], ["ts", "item_id"], BATCH, 5,
