@@ -49,8 +49,6 @@ def evaluate_suite(
     """
     keys = list(keys)
     specs = _as_specs(metrics)
-    if persist:
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     fused, frames, prf = [], [], {}
     for spec in specs:
         impl = registry.METRICS.get(spec.name.lower())
@@ -71,6 +69,11 @@ def evaluate_suite(
             frames.append(value)
     for (p, l, average, zd), which in prf.items():
         frames.append(prf_scores(scored, keys, p, l, tuple(which), average, zd))
+    if persist and len(frames) + (1 if fused else 0) > 1:
+        # several passes read the scored rows: keep them (spilling to disk) for the
+        # duration of the job instead of recomputing post-processing per pass
+        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+        return evaluate_suite(scored, metrics, keys, pred, label, text_pred, text_label, persist=False)
     parts = []
     if fused:
         cols, entries = [], []

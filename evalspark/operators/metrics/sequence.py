@@ -41,23 +41,32 @@ def _start_of_chunk(pt, t, ptype, ty) -> Column:
             | ((t != "O") & (t != ".") & (ptype != ty)))
 
 
-def entities(rows: DataFrame, keys: Sequence[str], item: str, pos: str, tag: str) -> DataFrame:
-    """Spans ``(keys, item, type, begin, end)`` of one tag column (default mode)."""
+def entities(rows: DataFrame, keys: Sequence[str], item: str, pos: str, tags: Sequence[str]) -> dict:
+    """Spans ``(keys, item, type, begin, end)`` of each tag column (default mode),
+    computed in one pass: one pair of neighbour joins and one running max for all."""
     keys = list(keys)
     ids = keys + [item]
-    base = rows.select(*ids, F.col(pos).alias("pos"), F.col(tag).alias("t"))
-    prev = base.select(*ids, (F.col("pos") + 1).alias("pos"), F.col("t").alias("pt"))
-    nxt = base.select(*ids, (F.col("pos") - 1).alias("pos"), F.col("t").alias("nt"))
+    cols = {f"t{i}": F.col(c) for i, c in enumerate(tags)}
+    base = rows.select(*ids, F.col(pos).alias("pos"), *[v.alias(k) for k, v in cols.items()])
+    prev = base.select(*ids, (F.col("pos") + 1).alias("pos"), *[F.col(k).alias(f"p{k}") for k in cols])
+    nxt = base.select(*ids, (F.col("pos") - 1).alias("pos"), *[F.col(k).alias(f"n{k}") for k in cols])
     j = base.join(prev, ids + ["pos"], "left").join(nxt, ids + ["pos"], "left")
-    t, pt, nt = F.col("t"), F.coalesce(F.col("pt"), F.lit("O")), F.coalesce(F.col("nt"), F.lit("O"))
-    p0, pp, np_ = _prefix(t), _prefix(pt), _prefix(nt)
-    ty, pty, nty = _type(t), F.when(F.col("pt").isNull(), F.lit("")).otherwise(_type(pt)), _type(nt)
-    flags = j.select(*ids, "pos", ty.alias("ty"),
-                     _start_of_chunk(pp, p0, pty, ty).alias("start"),
-                     _end_of_chunk(p0, np_, ty, nty).alias("ends_here"))
-    with_begin = prefix_max(flags, ids, "pos", F.when(F.col("start"), F.col("pos")), "begin")
-    return with_begin.where(F.col("ends_here")).select(
-        *ids, F.col("ty").alias("type"), F.coalesce(F.col("begin"), F.lit(0)).alias("begin"), F.col("pos").alias("end"))
+    sel = []
+    for k in cols:
+        t, pt, nt = F.col(k), F.coalesce(F.col(f"p{k}"), F.lit("O")), F.coalesce(F.col(f"n{k}"), F.lit("O"))
+        p0, pp, np_ = _prefix(t), _prefix(pt), _prefix(nt)
+        ty, nty = _type(t), _type(nt)
+        pty = F.when(F.col(f"p{k}").isNull(), F.lit("")).otherwise(_type(pt))
+        sel += [ty.alias(f"ty{k}"), _start_of_chunk(pp, p0, pty, ty).alias(f"st{k}"),
+                _end_of_chunk(p0, np_, ty, nty).alias(f"en{k}")]
+    flags = j.select(*ids, "pos", *sel)
+    with_begin = prefix_max(flags, ids, "pos", {f"b{k}": F.when(F.col(f"st{k}"), F.col("pos")) for k in cols})
+    out = {}
+    for k, name in zip(cols, tags):
+        out[name] = with_begin.where(F.col(f"en{k}")).select(
+            *ids, F.col(f"ty{k}").alias("type"), F.coalesce(F.col(f"b{k}"), F.lit(0)).alias("begin"),
+            F.col("pos").alias("end"))
+    return out
 
 
 def metric_sequence_labeling(rows: DataFrame, keys=("model", "task"), item="item_id", pos="pos",
@@ -66,8 +75,8 @@ def metric_sequence_labeling(rows: DataFrame, keys=("model", "task"), item="item
     an unknown average type gives zeros, as in the reference."""
     keys = list(keys)
     ids = keys + [item]
-    te = entities(rows, keys, item, pos, true_tag)
-    pe = entities(rows, keys, item, pos, pred_tag)
+    spans = entities(rows, keys, item, pos, [true_tag, pred_tag])
+    te, pe = spans[true_tag], spans[pred_tag]
     tp = te.join(pe, ids + ["type", "begin", "end"]).groupBy(*keys, "type").agg(F.count(F.lit(1)).alias("tp"))
     nt = te.groupBy(*keys, "type").agg(F.count(F.lit(1)).alias("n_true"))
     npred = pe.groupBy(*keys, "type").agg(F.count(F.lit(1)).alias("n_pred"))

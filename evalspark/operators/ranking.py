@@ -22,17 +22,27 @@ ROWS_PER_BUCKET = 2_000_000
 
 
 def _bucketed(df: DataFrame, bucket_on: str, rows_per_bucket: int) -> DataFrame:
-    """Adds ``_bkt``: range bucket of ``bucket_on`` (numeric / timestamp)."""
+    """Adds ``_bkt``: range bucket of ``bucket_on`` (numeric / timestamp).
+
+    One aggregation pass returns the row count and 1023 approximate quantiles;
+    the bucket count follows from the row count and every k-th quantile is used.
+    Only above 1024 buckets (two billion rows at the default width) a second
+    pass asks for exactly the needed quantiles."""
     num = F.col(bucket_on)
     if dict(df.dtypes)[bucket_on] in ("timestamp", "timestamp_ntz", "date"):
         num = F.unix_micros(F.col(bucket_on).cast("timestamp"))
     df = df.withColumn("_bnum", num.cast("double"))
-    n = df.count()
+    probe = [i / 1024 for i in range(1, 1024)]
+    n, qs = df.agg(F.count(F.lit(1)), F.percentile_approx("_bnum", probe, 10000)).first()
     nb = max(1, math.ceil(n / rows_per_bucket))
     if nb == 1:
         return df.withColumn("_bkt", F.lit(0.0)).drop("_bnum")
-    probs = [i / nb for i in range(1, nb)]
-    cuts = sorted(set(x for x in df.approxQuantile("_bnum", probs, 1.0 / (4 * nb)) if x is not None))
+    if nb <= 1024:
+        step = 1024 / nb
+        cuts = [qs[int(round(i * step)) - 1] for i in range(1, nb)]
+    else:
+        cuts = df.approxQuantile("_bnum", [i / nb for i in range(1, nb)], 1.0 / (4 * nb))
+    cuts = sorted(set(x for x in cuts if x is not None))
     splits = [-float("inf")] + cuts + [float("inf")]
     out = Bucketizer(splits=splits, inputCol="_bnum", outputCol="_bkt", handleInvalid="keep").transform(
         df.withColumn("_bnum", F.coalesce(F.col("_bnum"), F.lit(-float("inf")))))
@@ -67,21 +77,23 @@ def prefix_max(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
-    value: Column,
-    out: str,
+    values: dict,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Adds ``out`` = max of ``value`` over rows of the same key up to and including
-    this one in ``order`` (numeric, unique per key)."""
+    """Adds, for every ``out -> value`` in ``values``, the max of ``value`` over rows of
+    the same key up to and including this one in ``order`` (numeric, unique per key).
+    All values share one bucketing pass."""
     keys = list(keys)
-    b = _bucketed(df.withColumn("_v", value), order, rows_per_bucket)
-    totals = b.groupBy(*keys, "_bkt").agg(F.max("_v").alias("_bm"))
+    tmp = {f"_v{i}": v for i, v in enumerate(values.values())}
+    b = _bucketed(df.withColumns(tmp), order, rows_per_bucket)
+    totals = b.groupBy(*keys, "_bkt").agg(*[F.max(t).alias(f"_bm{t}") for t in tmp])
     pre = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_bkt", F.max("_bm").over(pre).alias("_pm"))
+    offsets = totals.select(*keys, "_bkt", *[F.max(f"_bm{t}").over(pre).alias(f"_pm{t}") for t in tmp])
     inner = Window.partitionBy(*keys, "_bkt").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    local = b.withColumn("_lm", F.max("_v").over(inner))
-    return local.join(offsets, keys + ["_bkt"]).withColumn(out, F.greatest("_pm", "_lm")) \
-        .drop("_pm", "_lm", "_bkt", "_v")
+    local = b.withColumns({f"_lm{t}": F.max(t).over(inner) for t in tmp})
+    j = local.join(offsets, keys + ["_bkt"])
+    j = j.withColumns({o: F.greatest(f"_pm{t}", f"_lm{t}") for o, t in zip(values, tmp)})
+    return j.drop(*tmp, *[f"_pm{t}" for t in tmp], *[f"_lm{t}" for t in tmp], "_bkt")
 
 
 def average_rank(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:

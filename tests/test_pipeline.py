@@ -66,3 +66,16 @@ def test_custom_metric_error_value(spark):
 
     out = metric_custom(df, lambda o: {"n": 0}, lambda s, p, l, o: {"n": s["n"] + len(p)}, bad_result).collect()[0]
     assert out["sub_metric"] == "error" and "boom" in out["error"]
+
+
+def test_prefix_max_matches_window(spark):
+    from pyspark.sql import Window
+
+    from evalspark.operators.ranking import prefix_max
+
+    df = spark.range(0, 4000).select((F.col("id") % 2).alias("k"), ((F.col("id") * 131) % 4000).alias("pos"),
+                                     F.when(F.col("id") % 7 == 0, F.col("id")).alias("v"))
+    got = prefix_max(df, ["k"], "pos", {"m": F.col("v")}, rows_per_bucket=250)
+    w = Window.partitionBy("k").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("m", F.max("v").over(w))
+    assert sorted(got.select("k", "pos", "v", "m").collect()) == sorted(want.collect())
