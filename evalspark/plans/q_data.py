@@ -84,7 +84,8 @@ def empty_task_status(spark, sf):
 
 
 SAMPLE_SQL = """
-  SELECT split, split || '_' || lpad(CAST(o_orderkey AS VARCHAR), 4, '0') AS id,
+  SELECT split, split || '_' || CASE WHEN length(CAST(o_orderkey AS VARCHAR)) >= 4 THEN CAST(o_orderkey AS VARCHAR)
+                                    ELSE lpad(CAST(o_orderkey AS VARCHAR), 4, '0') END AS id,
     'Sample ' || split || ' text ' || CAST(o_orderkey + 1 AS VARCHAR) || ': ' ||
       {ph}[(o_orderkey * 7 + 3) % 10 + 1] || ' ' || {ph}[(o_orderkey * 13 + 5) % 10 + 1] AS text_content,
     CAST((o_orderkey * 31 + 1) % 3 AS INTEGER) AS category_label

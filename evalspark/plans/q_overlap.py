@@ -44,10 +44,11 @@ def _rw(t):
     return f"flatten(list_transform({sents}, lambda s: string_split(regexp_replace({Q.strip('s')}, '\\s+', ' ', 'g'), ' ')))"
 
 
-def _rouge_n_sql():
-    base = f"SELECT model, task, {Q.strip('prediction')} AS h, {Q.strip('label')} AS r FROM ({V.SQL_PAIRS})"
+def _rouge_n_sql(src=None, ns=(1, 2), stats=("f", "p", "r")):
+    src = src or V.SQL_PAIRS
+    base = f"SELECT model, task, {Q.strip('prediction')} AS h, {Q.strip('label')} AS r FROM ({src})"
     parts = []
-    for n in (1, 2):
+    for n in ns:
         e = f"list_distinct({Q.ngrams(_rw('h'), n)})"
         g = f"list_distinct({Q.ngrams(_rw('r'), n)})"
         inter = f"len(list_filter({e}, lambda x: list_contains({g}, x)))"
@@ -56,8 +57,10 @@ def _rouge_n_sql():
         parts.append(f"{p} AS p{n}, {r} AS r{n}")
     sel = ", ".join(parts)
     rows = []
-    for n in (1, 2):
+    for n in ns:
         for s, expr in (("f", f"avg(2.0 * (p{n} * r{n}) / (p{n} + r{n} + 1e-8))"), ("p", f"avg(p{n})"), ("r", f"avg(r{n})")):
+            if s not in stats:
+                continue
             rows.append(f"SELECT model, task, 'rouge' AS metric, 'rouge{n}_{s}' AS sub_metric, round({expr}, 6) AS score FROM x GROUP BY ALL")
     return f"WITH b AS ({base}), x AS (SELECT model, task, {sel} FROM b WHERE h <> '' AND r <> '')\n" + "\nUNION ALL ".join(rows)
 

@@ -63,3 +63,63 @@ UNION ALL SELECT 'm2', 'dialog', NULL, NULL, NULL, 'error', 'No results obtained
 UNION ALL SELECT unnest({MODELS!r}), 'broken', NULL, NULL, NULL, 'error', '{BROKEN_MSG}'""")
 def evaluate_tasks(spark, sf):
     return finish(run_tasks(_tasks(), _items(spark, sf), _responses(spark, sf), MODELS))
+
+
+# A user batch processor (creative elaboration) as a custom_script recipe ----------------
+ELAB_KEYWORDS = ["team", "weather", "language"]
+
+
+def _theme_processor(items):
+    from ..functions import prompts as P
+
+    return P.theme_prompts(items).select(F.col("id").alias("item_id"), "prompt", "label")
+
+
+def _theme_responses(spark, sf):
+    from .q_data import _sample
+
+    th = _theme_processor(_sample(spark, sf))
+    a = th.select(F.lit("theme").alias("task"), "item_id", F.lit("m0").alias("model"),
+                  F.concat(F.lit("  Elaboration:  "), F.col("label"), F.lit(" And more.")).alias("response"))
+    b = th.select(F.lit("theme").alias("task"), "item_id", F.lit("m1").alias("model"),
+                  F.concat(F.lit("A story: "), F.lower("label")).alias("response"))
+    return a.unionByName(b)
+
+
+def custom_task(spark, sf):
+    from .q_data import _sample
+
+    t = TaskSpec("theme", "custom_script", custom=_theme_processor, postprocessor="elaboration",
+                 metrics=[{"name": "rouge", "options": {"metrics": ["rouge1"], "stats": ["f"]}},
+                          {"name": "keyword_match", "options": {"keywords_to_match": ELAB_KEYWORDS}},
+                          "avg_prediction_length"])
+    return finish(run_tasks([t], {"theme": _sample(spark, sf)}, _theme_responses(spark, sf), ["m0", "m1"]))
+
+
+def _custom_task_sql():
+    from .q_data import SAMPLE_SQL
+    from .q_overlap import _rouge_n_sql
+
+    theme = Q.strip("regexp_replace(text_content, 'Sample (train|validation|test) text \\d+:\\s*', '')")
+    src = f"""
+  SELECT model, 'theme' AS task, {Q.strip(
+      "regexp_replace(CASE WHEN starts_with(lower(" + Q.strip('response') + "), 'elaboration:') THEN "
+      + Q.strip("substr(" + Q.strip('response') + ", 13)") + " ELSE " + Q.strip('response') + " END, '\\s+', ' ', 'g')")} AS prediction,
+      theme AS label
+  FROM (SELECT {theme} AS theme FROM ({SAMPLE_SQL})) s
+  CROSS JOIN (SELECT unnest(['m0', 'm1']) AS model) m
+  CROSS JOIN LATERAL (SELECT CASE WHEN model = 'm0' THEN '  Elaboration:  ' || theme || ' And more.'
+                                  ELSE 'A story: ' || lower(theme) END AS response)"""
+    kw = " OR ".join(f"contains(lower(prediction), '{k}')" for k in ELAB_KEYWORDS)
+    return f"""
+SELECT *, 'ok' AS status, NULL::VARCHAR AS error FROM (
+{_rouge_n_sql(src, ns=(1,), stats=("f",))}
+UNION ALL SELECT model, task, 'keyword_match', 'keyword_match_count', round(sum(CASE WHEN prediction <> '' AND ({kw}) THEN 1.0 ELSE 0.0 END), 6)
+  FROM ({src}) GROUP BY ALL
+UNION ALL SELECT model, task, 'keyword_match', 'keyword_match_ratio', round(avg(CASE WHEN prediction <> '' AND ({kw}) THEN 1.0 ELSE 0.0 END), 6)
+  FROM ({src}) GROUP BY ALL
+UNION ALL SELECT model, task, 'avg_prediction_length', 'avg_prediction_length', round(avg(len({Q.ws_split('prediction')})), 6)
+  FROM ({src}) GROUP BY ALL)"""
+
+
+query("custom_task", _custom_task_sql())(custom_task)

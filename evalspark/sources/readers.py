@@ -122,7 +122,9 @@ def sample_items(keys: DataFrame, key: str, split_col: str, index_col: str) -> D
     i = F.col(index_col)
     return keys.select(
         F.col(split_col).alias("split"),
-        F.concat(F.col(split_col), F.lit("_"), F.lpad(i.cast("string"), 4, "0")).alias("id"),
+        # f"{i:04d}": pad to four digits, never cut longer numbers (lpad would)
+        F.concat(F.col(split_col), F.lit("_"), F.when(F.length(i.cast("string")) >= 4, i.cast("string"))
+                 .otherwise(F.lpad(i.cast("string"), 4, "0"))).alias("id"),
         F.concat(F.lit("Sample "), F.col(split_col), F.lit(" text "), (i + 1).cast("string"), F.lit(": "), p1, F.lit(" "), p2)
         .alias("text_content"),
         F.pmod(k * 31 + 1, F.lit(3)).cast("int").alias("category_label"),
