@@ -180,3 +180,15 @@ def metric_custom(spark, sf):
     spec = {"name": "custom_script", "options": {"init": _len_init, "update": _len_update, "result": _len_result,
                                                  "name": "custom_length"}}
     return finish(evaluate_suite(V.pairs(spark, sf), [spec], persist=False))
+
+
+# A5 + A6 on real composite names: wide ROUGE results melted back, "rouge_*" split -----------
+@query("results_melt_rouge", f"""
+WITH r AS ({_rouge_n_sql(None, ns=(1, 2), stats=("f",))})
+SELECT model, task, 'rouge_' || sub_metric AS full_metric_name, score, 'rouge' AS metric, sub_metric FROM r""")
+def results_melt_rouge(spark, sf):
+    from ..operators import analyze as A
+
+    long = O.metric_rouge(V.pairs(spark, sf), metrics=("rouge1", "rouge2"), stats=("f",))
+    long = long.withColumn("full_metric_name", A.full_metric_name())
+    return finish(A.results_melt(A.report_wide(long, ["rouge_rouge1_f", "rouge_rouge2_f"])))
