@@ -70,6 +70,11 @@ def confusion_counts(df: DataFrame, keys: Sequence[str], pred: str, label: str)
     so the heavy stage combines map-side and the rest is tiny (classes x keys)."""
     lk, pk = _class_key(df, label), _class_key(df, pred)
     pairs = df.groupBy(*keys, lk.alias("_l"), pk.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    return confusion_from_pairs(pairs, keys)
+
+
+def confusion_from_pairs(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per-class tp / fp / fn from (keys, _l, _p, _n) pair counts (class keys as text)."""
     same = F.col("_l").eqNullSafe(F.col("_p"))
     z = F.lit(0).cast("long")
     rows = pairs.select(
@@ -106,6 +111,16 @@ def prf_scores(
             F.struct(F.lit(names[w]).alias("metric"), F.lit("").alias("sub_metric"), F.lit(0.0).alias("score"))
             for w in which])))
     cc = confusion_counts(df, keys, pred, label)
+    numeric = label_kind(df, label) in ("int", "float", "bool") and label_kind(df, pred) in ("int", "float", "bool")
+    return prf_from_confusion(cc, keys, which, average, zero_division, numeric)
+
+
+def prf_from_confusion(cc: DataFrame, keys: Sequence[str], which=("precision", "recall", "f1"), average: str = "weighted",
+                       zero_division: float = 0.0, numeric: bool = True) -> DataFrame:
+    """Averaged precision / recall / F1 from a per-class (tp, fp, fn) table."""
+    keys = list(keys)
+    zd = F.lit(float(zero_division))
+    names = {"precision": "precision", "recall": "recall", "f1": "f1_score"}
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     per = cc.select(
         *keys, "cls", tp, fp, fn,
@@ -114,7 +129,6 @@ def prf_scores(
         safe_ratio(2 * tp, 2 * tp + fp + fn, zero_division).alias("f1"),
         (tp + fn).alias("support"),
     )
-    numeric = label_kind(df, label) in ("int", "float", "bool") and label_kind(df, pred) in ("int", "float", "bool")
     aggs = []
     for w in which:
         x = F.col(w)

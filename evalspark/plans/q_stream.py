@@ -8,6 +8,7 @@ from ..functions import postprocess as X
 from ..operators.metrics import scored as S
 from ..operators.metrics.base import long_from_wide
 from ..streaming import stream as T
+from . import sqlfrag as Q
 from . import views as V
 from .catalog import SQL_MCQ, finish, query, sql_choice_label, sql_choice_letter
 
@@ -68,3 +69,20 @@ SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey, l
 def stream_take(spark, sf):
     li = T.stream_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     return T.stream_take(li, 100, ["l_orderkey", "l_linenumber"], "stream-take")
+
+
+@query("stream_confusion", f"""
+WITH src AS (SELECT model, task, {sql_choice_letter('prediction')} AS prediction, {sql_choice_label('label')} AS label FROM ({SQL_MCQ})),
+{Q.prf('src', 'macro')}
+SELECT model, task, 'precision' AS metric, '' AS sub_metric, round(precision, 6) AS score FROM prf
+UNION ALL SELECT model, task, 'recall', '', round(recall, 6) FROM prf
+UNION ALL SELECT model, task, 'f1_score', '', round(f1_score, 6) FROM prf""")
+def stream_confusion(spark, sf):
+    """T2 for M2-M4: the stream keeps (key, label, prediction) counts as Spark state;
+    macro precision / recall / F1 follow from the final counts table."""
+    from ..operators.metrics.classification import confusion_from_pairs, prf_from_confusion
+
+    s = _mcq_stream(spark, sf).select("model", "task", F.col("label").alias("_l"), F.col("prediction").alias("_p"))
+    pairs = T.running_aggregate(s, ["model", "task", "_l", "_p"], [F.count(F.lit(1)).alias("_n")], "stream-confusion")
+    cc = confusion_from_pairs(pairs, ["model", "task"])
+    return finish(prf_from_confusion(cc, ["model", "task"], ("precision", "recall", "f1"), "macro", 0.0, numeric=False))
