@@ -465,3 +465,18 @@ def post_custom(spark, sf):
     a = X.apply_custom_post(r, _upper_post).withColumn("used", F.lit("user"))
     b = X.apply_custom_post(r, _broken_post).withColumn("used", F.lit("fallback"))
     return a.unionByName(b)
+
+
+def strip_prefix_lists(predictions, labels, batch=None, script_args=None):
+    """A list-style user post-processor (cut a prefix, labels to text)."""
+    prefix = (script_args or {}).get("prefix_to_remove")
+    preds = [p[len(prefix):].strip() if isinstance(p, str) and prefix and p.startswith(prefix) else p for p in predictions]
+    return preds, [None if x is None else str(x) for x in labels]
+
+
+@query("post_custom_batch", f"""
+SELECT {RESP_COLS}, CASE WHEN starts_with(prediction, 'The answer is') THEN {Q.strip('substr(prediction, 14)')} ELSE prediction END AS prediction,
+       label FROM ({V.SQL_RESP})""")
+def post_custom_batch(spark, sf):
+    r = _resp(spark, sf).drop("label_index")
+    return X.apply_batch_post(r, strip_prefix_lists, script_args={"prefix_to_remove": "The answer is"})
