@@ -136,10 +136,11 @@ from . import sequence as Sq  # noqa: E402
 
 
 @register("sequence_labeling", "seqeval")
-def _seq(df, keys, pred, label, item="item_id", pos="pos", average_type="micro avg", arrays=False, **o):
+def _seq(df, keys, pred, label, item="item_id", pos="pos", average_type="micro avg", arrays=False,
+         mode="default", scheme=None, **o):
     rows = Sq.from_arrays(df, keys, item, label, pred) if arrays else df
     p, l = ("prediction", "label") if arrays else (pred, label)
-    return "frame", Sq.metric_sequence_labeling(rows, keys, item, pos, l, p, average_type)
+    return "frame", Sq.metric_sequence_labeling(rows, keys, item, pos, l, p, average_type, mode, scheme)
 
 
 from . import custom as Cu  # noqa: E402

@@ -59,24 +59,36 @@ def entities(rows: DataFrame, keys: Sequence[str], item: str, pos: str, tags: Se
         pty = F.when(F.col(f"p{k}").isNull(), F.lit("")).otherwise(_type(pt))
         sel += [ty.alias(f"ty{k}"), _start_of_chunk(pp, p0, pty, ty).alias(f"st{k}"),
                 _end_of_chunk(p0, np_, ty, nty).alias(f"en{k}")]
+        sel.append((_prefix(t) == "B").alias(f"isb{k}"))
     flags = j.select(*ids, "pos", *sel)
-    with_begin = prefix_max(flags, ids, "pos", {f"b{k}": F.when(F.col(f"st{k}"), F.col("pos")) for k in cols})
+    # one running max carries the latest start and whether its tag was a B- (2 * pos + isB)
+    with_begin = prefix_max(flags, ids, "pos", {
+        f"b{k}": F.when(F.col(f"st{k}"), F.col("pos") * 2 + F.col(f"isb{k}").cast("long")) for k in cols})
     out = {}
     for k, name in zip(cols, tags):
+        b = F.col(f"b{k}")
         out[name] = with_begin.where(F.col(f"en{k}")).select(
-            *ids, F.col(f"ty{k}").alias("type"), F.coalesce(F.col(f"b{k}"), F.lit(0)).alias("begin"),
-            F.col("pos").alias("end"))
+            *ids, F.col(f"ty{k}").alias("type"), F.coalesce(F.floor(b / 2).cast("long"), F.lit(0).cast("long")).alias("begin"),
+            F.col("pos").alias("end"), F.coalesce(b % 2 == 1, F.lit(False)).alias("begins_with_b"))
     return out
 
 
 def metric_sequence_labeling(rows: DataFrame, keys=("model", "task"), item="item_id", pos="pos",
-                             true_tag="label", pred_tag="prediction", average_type="micro avg") -> DataFrame:
+                             true_tag="label", pred_tag="prediction", average_type="micro avg",
+                             mode: str = "default", scheme: str | None = None) -> DataFrame:
     """Overall precision / recall / F1 (``micro avg``, ``macro avg`` or ``weighted avg``);
-    an unknown average type gives zeros, as in the reference."""
+    an unknown average type gives zeros plus an ``error`` entry, as in the reference.
+    ``mode='strict'`` with ``scheme='IOB2'`` keeps only well-formed spans: those that
+    open with a ``B-`` tag (the lenient span boundaries already end them correctly)."""
     keys = list(keys)
     ids = keys + [item]
+    if mode == "strict" and (scheme or "").upper() != "IOB2":
+        raise ValueError("strict mode is implemented for the IOB2 scheme")
     spans = entities(rows, keys, item, pos, [true_tag, pred_tag])
     te, pe = spans[true_tag], spans[pred_tag]
+    if mode == "strict":
+        te, pe = te.where("begins_with_b"), pe.where("begins_with_b")
+    te, pe = te.drop("begins_with_b"), pe.drop("begins_with_b")
     tp = te.join(pe, ids + ["type", "begin", "end"]).groupBy(*keys, "type").agg(F.count(F.lit(1)).alias("tp"))
     nt = te.groupBy(*keys, "type").agg(F.count(F.lit(1)).alias("n_true"))
     npred = pe.groupBy(*keys, "type").agg(F.count(F.lit(1)).alias("n_pred"))
@@ -99,9 +111,13 @@ def metric_sequence_labeling(rows: DataFrame, keys=("model", "task"), item="item
         g = g.withColumn("f", safe_ratio(2 * F.col("p") * F.col("r"), F.col("p") + F.col("r")))
     allk = rows.select(*keys).distinct()
     g = allk.join(g, keys, "left").na.fill(0.0, ["p", "r", "f"])
-    return long_from_wide(g, keys, [("p", "sequence_labeling", "overall_precision"),
-                                    ("r", "sequence_labeling", "overall_recall"),
-                                    ("f", "sequence_labeling", "overall_f1")])
+    out = long_from_wide(g, keys, [("p", "sequence_labeling", "overall_precision"),
+                                   ("r", "sequence_labeling", "overall_recall"),
+                                   ("f", "sequence_labeling", "overall_f1")])
+    if average_type not in ("micro avg", "macro avg", "weighted avg"):
+        out = out.unionByName(allk.select(*keys, F.lit("sequence_labeling").alias("metric"),
+                                          F.lit("error").alias("sub_metric"), F.lit(None).cast("double").alias("score")))
+    return out
 
 
 def from_arrays(df: DataFrame, keys: Sequence[str], item: str, true_col: str, pred_col: str) -> DataFrame:

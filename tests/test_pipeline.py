@@ -79,3 +79,22 @@ def test_prefix_max_matches_window(spark):
     w = Window.partitionBy("k").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("m", F.max("v").over(w))
     assert sorted(got.select("k", "pos", "v", "m").collect()) == sorted(want.collect())
+
+
+def test_sequence_strict_iob2(spark):
+    from evalspark.operators.metrics import sequence as Sq
+
+    df = spark.createDataFrame([("m", "t", 0, ["I-PER", "I-PER", "O", "B-LOC", "I-LOC"], ["I-PER", "I-PER", "O", "B-LOC", "I-LOC"])],
+                               "model string, task string, item_id int, label array<string>, prediction array<string>")
+    rows = Sq.from_arrays(df, ["model", "task"], "item_id", "label", "prediction")
+    lenient = {r["sub_metric"]: r["score"] for r in Sq.metric_sequence_labeling(rows).collect()}
+    strict = {r["sub_metric"]: r["score"] for r in Sq.metric_sequence_labeling(rows, mode="strict", scheme="IOB2").collect()}
+    assert lenient["overall_f1"] == 1.0 and strict["overall_f1"] == 1.0
+    df2 = spark.createDataFrame([("m", "t", 0, ["B-PER", "I-PER", "O"], ["I-PER", "I-PER", "O"])],
+                                "model string, task string, item_id int, label array<string>, prediction array<string>")
+    rows2 = Sq.from_arrays(df2, ["model", "task"], "item_id", "label", "prediction")
+    assert {r["sub_metric"]: r["score"] for r in Sq.metric_sequence_labeling(rows2).collect()}["overall_f1"] == 1.0
+    s2 = {r["sub_metric"]: r["score"] for r in Sq.metric_sequence_labeling(rows2, mode="strict", scheme="IOB2").collect()}
+    assert s2["overall_precision"] == 0.0 and s2["overall_recall"] == 0.0
+    bad = {r["sub_metric"] for r in Sq.metric_sequence_labeling(rows2, average_type="nope").collect()}
+    assert "error" in bad
