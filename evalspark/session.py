@@ -28,6 +28,7 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
     active = SparkSession.getActiveSession()
     if active is not None:
         ensure_checkpoint_dir(active)
+        ship_package(active)
         return active
     b = SparkSession.builder.master(master).appName(app)
     for k, v in _DEFAULTS.items():
@@ -37,6 +38,7 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -55,6 +57,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``evalspark`` importable on executors (Python UDFs and ``mapInPandas``
+    functions are unpickled there by module path): zip the package once per
+    SparkContext and add it with ``addPyFile``, the runtime form of ``--py-files``."""
+    sc = spark.sparkContext
+    key = "spark.evalspark.shipped"
+    if sc.getConf().get(key, None) == "1" or getattr(sc, "_evalspark_shipped", False):
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="evalspark-pkg-"), "evalspark.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    sc._evalspark_shipped = True
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
