@@ -31,7 +31,9 @@ def _bucketed(df: DataFrame, bucket_on: str, rows_per_bucket: int) -> DataFrame:
     num = F.col(bucket_on)
     if dict(df.dtypes)[bucket_on] in ("timestamp", "timestamp_ntz", "date"):
         num = F.unix_micros(F.col(bucket_on).cast("timestamp"))
-    df = df.withColumn("_bnum", num.cast("double"))
+    # the input is read twice (statistics, then the windows): write it once to the
+    # shared checkpoint folder instead of recomputing its lineage
+    df = df.withColumn("_bnum", num.cast("double")).checkpoint(eager=True)
     probe = [i / 1024 for i in range(1, 1024)]
     n, qs = df.agg(F.count(F.lit(1)), F.percentile_approx("_bnum", probe, 10000)).first()
     nb = max(1, math.ceil(n / rows_per_bucket))
