@@ -98,3 +98,15 @@ def test_sequence_strict_iob2(spark):
     assert s2["overall_precision"] == 0.0 and s2["overall_recall"] == 0.0
     bad = {r["sub_metric"] for r in Sq.metric_sequence_labeling(rows2, average_type="nope").collect()}
     assert "error" in bad
+
+
+def test_stream_equals_batch(spark, sf_dir):
+    """The running streaming aggregate ends equal to the batch aggregate."""
+    import __spark_entry__ as E
+
+    q = E.queries()
+    stream = {(r["model"], r["task"]): r["score"] for r in q["stream_metrics"](spark, sf_dir).collect()
+              if r["metric"] == "accuracy"}
+    batch = {(r["model"], r["task"]): r["score"] for r in q["evaluate_suite"](spark, sf_dir).collect()
+             if r["metric"] == "accuracy"}
+    assert stream == batch and stream
