@@ -50,5 +50,5 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     C.prepare(spark)
     found = secret_scan.find_secrets(C.read(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
-    count = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret_scan.BASE_KINDS]
+    count = [F.size(F.expr(f"filter(spans, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in secret_scan.BASE_KINDS]
     return found.select("doc_id", *count, F.sha2(_span_text(base), 256).alias("base_sha256"), _span_text(F.col("spans")).alias("spans"))
