@@ -188,3 +188,14 @@ def window_starts(first: np.ndarray, width: int) -> np.ndarray:
 
 def safe_id(df: DataFrame, column: str = "doc_id") -> DataFrame:
     return df.withColumn(column, F.col(column).cast("long"))
+
+
+#: Rows up to which a small side is broadcast; callers join by shuffle beyond it.
+BROADCAST_ROWS = 100_000
+
+
+def join_small(df: DataFrame, small: DataFrame, on, how: str = "left", rows: int | None = None) -> DataFrame:
+    """Join with a side that is usually small: broadcast only when its counted rows are at
+    most BROADCAST_ROWS, else a shuffle join (whose skewed partitions AQE splits)."""
+    n = small.count() if rows is None else rows
+    return df.join(F.broadcast(small) if n <= BROADCAST_ROWS else small, on, how)

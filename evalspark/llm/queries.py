@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import language_id, quality_rules, secret_scan
+from . import language_id, mixing, packing, quality_rules, secret_scan, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,12 +34,40 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_language(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"])
 
 
+@query("op2_exact_topk", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth vector."""
+    return topk.top_k(C.read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 @query("op3_quality_rules")
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts, base verdict and weakly supervised verdict of every document."""
     return quality_rules.quality_rules(C.read(spark, sf_dir, "documents"))
 
 
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed pieces of every document, with a digest of their ids."""
+    pieces = packing.tokenize_pieces(C.read(spark, sf_dir, "documents"), tokenizer_path())
+    pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.assign_windows(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
@@ -52,3 +80,9 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
     count = [F.size(F.expr(f"filter(spans, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in secret_scan.BASE_KINDS]
     return found.select("doc_id", *count, F.sha2(_span_text(base), 256).alias("base_sha256"), _span_text(F.col("spans")).alias("spans"))
+
+
+@query("op8_source_mixing")
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    return mixing.taken_words(mixing.mix_pieces(C.read(spark, sf_dir, "documents")))
