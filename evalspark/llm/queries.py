@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import language_id, mixing, packing, quality_rules, secret_scan, topk
+from . import language_id, mixing, packing, quality_rules, secret_scan, substring_dedup, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,6 +82,25 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *count, F.sha2(_span_text(base), 256).alias("base_sha256"), _span_text(F.col("spans")).alias("spans"))
 
 
+@query("op7_substring_dedup", """
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS i, w FROM w WHERE len(w) >= 50),
+h AS (SELECT doc_id, i, md5_number(array_to_string(w[i:i + 49], ' ')) AS h FROM s),
+o AS (SELECT h, min(doc_id) AS owner FROM h GROUP BY h),
+g AS (SELECT DISTINCT h.doc_id, i + j AS i FROM h JOIN o USING (h), range(0, 50) r(j) WHERE owner < h.doc_id),
+k AS (
+  SELECT p.doc_id, count(g.i) AS n_removed, string_agg(CASE WHEN g.i IS NULL THEN p.x END, ' ' ORDER BY p.i) AS kept
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM w) p LEFT JOIN g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+""")
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words removed from every document as repeats of 50 words, and a digest of the rest."""
+    out = substring_dedup.dedup_substrings(C.read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("op8_source_mixing")
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
