@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import language_id, mixing, packing, quality_rules, secret_scan, substring_dedup, topk
+from . import language_id, minhash_dedup, mixing, packing, quality_rules, secret_scan, substring_dedup, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +105,25 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
     return mixing.taken_words(mixing.mix_pieces(C.read(spark, sf_dir, "documents")))
+
+
+@query("op9_near_duplicates", """
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: hash(array_to_string(w[i:i + 4], ' ')))
+                               WHEN len(w) > 0 THEN [hash(array_to_string(w, ' ') || ' .')] ELSE [] END) AS g FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 85 * (x.n + y.n - both)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+c AS (
+  WITH RECURSIVE r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+  SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
+""")
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of 85 % or more, and the one that is kept."""
+    return minhash_dedup.near_duplicates(C.read(spark, sf_dir, "documents"), percent=85)
