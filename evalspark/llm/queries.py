@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import language_id, minhash_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, topk
+from . import html_extract, language_id, minhash_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -133,3 +133,12 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of 85 % or more, and the one that is kept."""
     return minhash_dedup.near_duplicates(C.read(spark, sf_dir, "documents"), percent=85)
+
+
+@query("op10_html_extraction")
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page; the model is trained on the pages that mark their article."""
+    C.prepare(spark)
+    pages = C.read(spark, sf_dir, "pages")
+    out = html_extract.extract_text(pages, html_extract.train_page_model(pages), ["page_id", "url"])
+    return out.withColumn("n_chars", F.length("text").cast("long"))
