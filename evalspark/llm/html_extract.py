@@ -60,7 +60,7 @@ GOOD_TAGS = frozenset("article main".split())
 BAD_WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs footer foot header masthead topbar sidebar side aside ad ads advert adverts advertisement advertising "
     "sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert comment comments disqus reply replies respond share sharing social "
-    "related recommended recommendations widget widgets subscribe subscription newsletter signup login form search popup modal overlay toolbar pagination pager "
+    "related recommended recommendations widget widgets subscribe subscription newsletter signup login search popup modal overlay toolbar pagination pager "
     "tags copyright legal disclaimer skip toc".split())
 GOOD_WORDS = frozenset("article articlebody content main post entry story body text prose page".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())

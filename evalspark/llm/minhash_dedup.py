@@ -289,3 +289,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataF
     labelled = C.join_small(signed.select("doc_id", "n_shingles", "d1", "d2"), reps, ["d1", "d2"])
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
     return labelled.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id").isNull() | (component == F.col("doc_id"))).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
+    """The documents without near copies, same columns: of each component the one with the
+    smallest doc_id stays (one row of it, if it is repeated), as does every null doc_id."""
+    ids = C.checkpointed(near_duplicates(docs, percent, words).filter("doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("kept").alias("kept")))
+    gone = ids.filter("not kept").select(F.col("doc_id").alias("__gone"))
+    names = docs.columns
+    rest = C.join_small(docs.withColumn("__id", F.col("doc_id").cast("long")), gone, F.col("__id") == F.col("__gone"), "left_anti")
+    twice = ids.filter("kept and rows > 1").select(F.col("doc_id").alias("__gone"))
+    n = twice.count()
+    if n:
+        again = C.join_small(rest, twice, F.col("__id") == F.col("__gone"), "left_semi", n).dropDuplicates(["__id"])
+        rest = C.join_small(rest, twice, F.col("__id") == F.col("__gone"), "left_anti", n).union(again)
+    return rest.select(*[F.col(f"`{c}`") for c in names])
