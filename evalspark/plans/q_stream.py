@@ -47,21 +47,21 @@ def stream_metrics(spark, sf):
     return finish(a.unionByName(b))
 
 
-def _distinct_sql(n):
-    from . import sqlfrag as Q
+SQL_CORPUS_COUNTS = f"""
+WITH t AS MATERIALIZED (SELECT lang AS task, {Q.ws_split(Q.pystr("text"))} AS t FROM documents),
+g AS (SELECT task, 1 AS n, unnest(t) AS g FROM t UNION ALL SELECT task, 2, unnest({Q.ngrams("t", 2)}) FROM t),
+c AS (SELECT task, n, g, count(*) AS c FROM g GROUP BY ALL)"""
 
-    g = Q.ngrams(Q.ws_split(Q.pystr("text")), n)
-    return f"""
-SELECT 'docs' AS model, lang AS task, 'distinct_ngram' AS metric, 'distinct_{n}' AS sub_metric,
-       round(CASE WHEN count(g) > 0 THEN count(DISTINCT g) / count(g) ELSE 0.0 END, 6) AS score
-FROM (SELECT lang, unnest({g}) AS g FROM documents) GROUP BY ALL"""
 
-
-@query("stream_corpus_metrics", _distinct_sql(1) + " UNION ALL " + _distinct_sql(2))
+@query("stream_corpus_metrics", SQL_CORPUS_COUNTS + """
+SELECT 'docs' AS model, task, 'distinct_ngram' AS metric, 'distinct_' || n AS sub_metric, round(count(*) / sum(c), 6) AS score FROM c GROUP BY task, n
+UNION ALL
+SELECT 'docs', task, 'word_entropy', '', round(log2(sum(c)) - sum(c * log2(c)) / sum(c), 6) FROM c WHERE n = 1 GROUP BY task""")
 def stream_corpus_metrics(spark, sf):
     docs = T.stream_table(spark, sf, "documents").select(F.lit("docs").alias("model"), F.col("lang").alias("task"), "text")
     counts = T.corpus_counts(docs, ["model", "task"], "text", [1, 2], "stream-corpus")
-    return finish(T.distinct_from_counts(counts, ["model", "task"]))
+    keys = ["model", "task"]
+    return finish(T.distinct_from_counts(counts, keys).unionByName(T.entropy_from_counts(counts, keys)))
 
 
 @query("stream_take", """
@@ -71,6 +71,17 @@ def stream_take(spark, sf):
     return T.stream_take(li, 100, ["l_orderkey", "l_linenumber"], "stream-take")
 
 
+@query("stream_pearson", """
+SELECT 'lm' AS model, event_type AS task, round(corr(value, user_id), 6) AS score FROM events GROUP BY ALL""")
+def stream_pearson(spark, sf):
+    """T2 for M15: population moments as streaming state, the coefficient from the final ones."""
+    ev = T.stream_table(spark, sf, "events").select(F.lit("lm").alias("model"), F.col("event_type").alias("task"), "value", "user_id")
+    y = F.col("user_id").cast("double")
+    aggs = [F.covar_pop("value", y).alias("cxy"), F.stddev_pop("value").alias("sx"), F.stddev_pop(y).alias("sy")]
+    m = T.running_aggregate(ev, ["model", "task"], aggs, "stream-pearson")
+    return finish(m.select("model", "task", (F.col("cxy") / (F.col("sx") * F.col("sy"))).alias("score")))
+
+
 @query("stream_confusion", f"""
 WITH src AS (SELECT model, task, {sql_choice_letter('prediction')} AS prediction, {sql_choice_label('label')} AS label FROM ({SQL_MCQ})),
 {Q.prf('src', 'macro')}

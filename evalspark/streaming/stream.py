@@ -13,8 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import ngrams, py_str, ws_split
+from ..operators.ranking import prefix_before
 from ..session import shared_path
 
+#: The largest row count of ``limit``.
+MAX_LIMIT = 2**31 - 1
+
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1) -> DataFrame:
     """A driver table as a stream (schema taken from the batch reader, not inferred per batch)."""
@@ -33,47 +37,50 @@ def run_to_files(df: DataFrame, name: str, mode: str = "append") -> str:
     return out
 
 
-def run_foreach_batch(df: DataFrame, name: str, fn: Callable[[DataFrame, int, str], None], mode: str = "append") -> str:
-    """Drive ``fn(batch_df, batch_id, out_path)`` over the stream until drained."""
-    spark = df.sparkSession
-    out, ckpt = shared_path(spark, f"{name}-out"), shared_path(spark, f"{name}-ckpt")
-    q = (df.writeStream.foreachBatch(lambda b, i: fn(b, i, out)).option("checkpointLocation", ckpt)
+def run_foreach_batch(df: DataFrame, name: str, fn: Callable[[DataFrame, int, str], None], mode: str = "append",
+                      location: str | None = None) -> str:
+    """Drive ``fn(batch_df, batch_id, out_path)`` over the stream until drained.
+
+    ``location`` is the folder of the output and the checkpoint; a job started again with the
+    same one resumes. Without it a fresh folder under the shared one is used."""
+    base = location or shared_path(df.sparkSession, name)
+    out = f"{base}/out"
+    q = (df.writeStream.foreachBatch(lambda b, i: fn(b, i, out)).option("checkpointLocation", f"{base}/checkpoint")
          .outputMode(mode).trigger(availableNow=True).start())
     q.awaitTermination()
     return out
 
 
-def running_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence, name: str) -> DataFrame:
-    """Additive metrics as a streaming ``groupBy().agg`` (state kept by Spark);
-    every micro-batch replaces the result table with the complete current values,
-    so the final table equals the batch aggregate over the same rows."""
-    agg = df.groupBy(*keys).agg(*aggs)
+def save_batch(rows: DataFrame, out: str, batch_id: int) -> None:
+    """Write one micro-batch to its own partition folder; a replayed batch replaces only that."""
+    rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    def save(b: DataFrame, i: int, out: str) -> None:
-        b.write.mode("overwrite").parquet(out)
 
-    out = run_foreach_batch(agg, name, save, mode="complete")
-    return df.sparkSession.read.parquet(out)
+def running_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence, name: str, location: str | None = None) -> DataFrame:
+    """Additive metrics as a streaming ``groupBy().agg`` (state kept by Spark). Every
+    micro-batch writes the complete current values to its own folder and the newest one is
+    read, so a crash while writing leaves the values before it; the final table equals the
+    batch aggregate over the same rows."""
+    agg = df.groupBy(*keys).agg(*aggs)
+    out = run_foreach_batch(agg, name, lambda b, i, path: save_batch(b, path, i), mode="complete", location=location)
+    versions = df.sparkSession.read.parquet(out)
+    newest = versions.agg(F.max("batch_id")).first()[0]
+    return versions.where(F.col("batch_id") == newest).drop("batch_id")
 
 
-def corpus_counts(df: DataFrame, keys: Sequence[str], text: str, ns: Sequence[int], name: str) -> DataFrame:
-    """Per micro-batch, n-gram counts merged into a counts table partitioned by
-    batch id (re-running a batch overwrites only its own partition)."""
+def corpus_counts(df: DataFrame, keys: Sequence[str], text: str, ns: Sequence[int], name: str,
+                  location: str | None = None) -> DataFrame:
+    """Per micro-batch, n-gram counts in a table partitioned by batch id."""
     keys = list(keys)
-    spark = df.sparkSession
 
     def save(b: DataFrame, i: int, out: str) -> None:
         toks = b.select(*keys, ws_split(py_str(text)).alias("_t"))
-        parts = [toks.select(*keys, F.lit(n).alias("n"), F.explode(ngrams("_t", n)).alias("g")) for n in ns]
-        u = parts[0]
-        for p in parts[1:]:
-            u = u.unionByName(p)
-        counts = u.groupBy(*keys, "n", "g").agg(F.count(F.lit(1)).alias("c")).withColumn("batch_id", F.lit(i))
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        counts.write.mode("overwrite").partitionBy("batch_id").parquet(out)
+        grams = F.array(*[F.struct(F.lit(n).alias("n"), ngrams("_t", n).alias("gs")) for n in ns])
+        per_n = toks.select(*keys, F.explode(grams).alias("x")).select(*keys, "x.n", F.explode("x.gs").alias("g"))
+        save_batch(per_n.groupBy(*keys, "n", "g").agg(F.count(F.lit(1)).alias("c")), out, i)
 
-    out = run_foreach_batch(df, name, save)
-    return spark.read.parquet(out)
+    out = run_foreach_batch(df, name, save, location=location)
+    return df.sparkSession.read.parquet(out)
 
 
 def distinct_from_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -86,19 +93,29 @@ def distinct_from_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
                     F.when(F.col("total") > 0, F.col("uniq") / F.col("total")).otherwise(F.lit(0.0)).alias("score"))
 
 
-def stream_take(df: DataFrame, n: int, order: Sequence[str], name: str) -> DataFrame:
-    """T4: the first ``n`` rows of a stream in source order (per micro-batch in the
-    order key), then nothing more is kept. The running count is a driver-side number."""
-    spark = df.sparkSession
-    taken = {"n": 0}
+def entropy_from_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """T3 finish: word entropy (bits) from the 1-gram rows of the merged counts table."""
+    keys = list(keys)
+    words = counts.where(F.col("n") == 1).groupBy(*keys, "g").agg(F.sum("c").alias("c"))
+    per = words.groupBy(*keys).agg(F.sum("c").alias("N"), F.sum(F.col("c") * F.log2("c")).alias("S"))
+    return per.select(*keys, F.lit("word_entropy").alias("metric"), F.lit("").alias("sub_metric"),
+                      (F.log2("N") - F.col("S") / F.col("N")).alias("score"))
+
+
+def stream_take(df: DataFrame, n: int, order: Sequence[str], name: str, location: str | None = None) -> DataFrame:
+    """T4: the first ``n`` rows of a stream in source order (per micro-batch in the order
+    key). What is already taken is counted in the folders of the earlier batches, so any ``n``,
+    a replayed batch and a restarted job give exactly ``n`` rows."""
 
     def save(b: DataFrame, i: int, out: str) -> None:
-        left = n - taken["n"]
-        if left <= 0:
-            return
-        part = b.orderBy(*order).limit(left)
-        part.write.mode("append").parquet(out)
-        taken["n"] += part.count() if left < 10_000_000 else left
-
-    out = run_foreach_batch(df, name, save)
-    return spark.read.parquet(out)
+        taken = b.sparkSession.read.parquet(out).where(F.col("batch_id") < i).count() if i else 0
+        left = max(0, n - taken)
+        if left <= MAX_LIMIT:
+            save_batch(b.orderBy(*order).limit(left), out, i)
+        elif b.count() <= left:
+            save_batch(b, out, i)
+        else:  # more rows than limit() can say: by position
+            save_batch(prefix_before(b, [], order, out="_pos").where(F.col("_pos") < left).drop("_pos"), out, i)
+
+    out = run_foreach_batch(df, name, save, location=location)
+    return df.sparkSession.read.parquet(out).drop("batch_id")
