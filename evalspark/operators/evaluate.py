@@ -14,6 +14,9 @@ from .metrics.base import long_from_wide
 from .metrics.classification import prf_scores
 
 
+PRF = {"precision", "recall", "f1_score", "f1"}
+
+
 @dataclass
 class MetricSpec:
     name: str
@@ -42,38 +45,47 @@ def evaluate_suite(
     """Every requested metric over ``scored`` -> ``metrics_long``.
 
     All one-pass metrics are fused into a single ``groupBy(keys).agg``; the
-    others (confusion, corpus, per-row UDF) are computed on the same cached
-    input and unioned. Unknown metric names are skipped, as in the reference.
+    others (confusion, corpus, per-row UDF) are computed on the same input and
+    unioned. Unknown metric names are skipped, as in the reference. A metric
+    whose columns or options do not fit is reported as a row with a null score
+    and the sub-metric ``error: <text>``; the other metrics are not affected.
     With ``text_pred`` / ``text_label`` (the dual view of math tasks),
     ``exact_match`` reads the extracted pair and every other metric the full text.
+
+    With ``persist`` an input that several passes read is cached (spilling to
+    disk); the caller releases it with ``release(result)``.
     """
     keys = list(keys)
-    specs = _as_specs(metrics)
+    specs = [s for s in _as_specs(metrics) if s.name.lower() in registry.METRICS]
+    names = {s.name.lower() for s in specs}
+    passes = len(names & registry.FRAMES) + len({(s.options.get("average"), s.options.get("zero_division")) for s in specs if s.name.lower() in PRF})
+    passes += bool(names - registry.FRAMES - PRF)
+    cached = None
+    if persist and passes > 1:
+        cached = scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     fused, frames, prf = [], [], {}
     for spec in specs:
-        impl = registry.METRICS.get(spec.name.lower())
-        if impl is None:
-            continue
         if text_pred and text_label and spec.name.lower() != "exact_match":
             p, l = text_pred, text_label
         else:
             p, l = pred, label
-        kind, value = impl(scored, keys, p, l, **spec.options)
-        if kind == "aggs":
-            fused.extend(value)
-        elif kind == "prf":
-            # precision / recall / F1 with the same options share one confusion table
-            which, average, zd = value
-            prf.setdefault((p, l, average, zd), []).append(which)
-        else:
-            frames.append(value)
+        try:
+            kind, value = registry.METRICS[spec.name.lower()](scored, keys, p, l, **spec.options)
+            if kind == "aggs":
+                scored.groupBy(*keys).agg(*[e for _, _, e in value]).schema  # analysed here, alone
+                fused.extend(value)
+            elif kind == "prf":
+                # precision / recall / F1 with the same options share one confusion table
+                which, average, zd = value
+                prf_scores(scored, keys, p, l, (which,), average, zd).schema
+                prf.setdefault((p, l, average, zd), []).append(which)
+            else:
+                value.schema
+                frames.append(value)
+        except Exception as e:  # noqa: BLE001 - one metric must not stop the suite
+            fused.append((spec.name.lower(), f"error: {e}", F.lit(None).cast("double")))
     for (p, l, average, zd), which in prf.items():
         frames.append(prf_scores(scored, keys, p, l, tuple(which), average, zd))
-    if persist and len(frames) + (1 if fused else 0) > 1:
-        # several passes read the scored rows: keep them (spilling to disk) for the
-        # duration of the job instead of recomputing post-processing per pass
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-        return evaluate_suite(scored, metrics, keys, pred, label, text_pred, text_label, persist=False)
     parts = []
     if fused:
         cols, entries = [], []
@@ -88,9 +100,17 @@ def evaluate_suite(
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    out._cached_input = cached
     return out
 
 
+def release(result: DataFrame) -> None:
+    """Drop the input that ``evaluate_suite`` cached for this result."""
+    cached = getattr(result, "_cached_input", None)
+    if cached is not None:
+        cached.unpersist()
+
+
 def batch_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], batch_size: int) -> DataFrame:
     """Batch number per row, ``floor(position / batch_size) + 1`` within each key in a
     total order (first order column numeric or timestamp). Positions come from the

@@ -1,11 +1,11 @@
 """User-defined metrics ``init / update / merge / result``.
 
-Each partition folds its rows into one state per key (``mapInPandas``), the
-states are shuffled by key (at most one per partition and key) and merged in
-``applyInPandas``; ``result`` turns the merged state into a number or a dict.
-The reference's contract has no merge; states that are dicts of numbers (as in
-its examples) merge by adding numbers and keeping other fields, so those
-metrics run unchanged.
+Each partition folds its rows into one state per key (``mapInPandas``); the states are merged in
+two levels (``applyInPandas`` per key and group of partitions, then per key), so no task sees the
+states of all partitions, and ``result`` turns the merged state into a number or a dict. The
+reference's contract has no merge: numbers add up, lists are concatenated, dicts merge field by
+field, equal values stay. Any other state needs ``merge=`` and otherwise ends in an error row, as
+do errors of ``init``, ``update`` and ``result``: a failing metric never fails the job.
 """
 
 from __future__ import annotations
@@ -14,21 +14,30 @@ import pickle
 from collections.abc import Callable, Sequence
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Partitions whose states one task merges before the final merge.
+MERGE_WIDTH = 256
+
+
+def _number(x) -> bool:
+    return isinstance(x, (int, float)) and not isinstance(x, bool)
 
 
 def default_merge(a, b):
     if isinstance(a, dict) and isinstance(b, dict):
-        out = dict(a)
-        for k, v in b.items():
-            if k in out and isinstance(v, (int, float)) and not isinstance(v, bool) and isinstance(out[k], (int, float)):
-                out[k] = out[k] + v
-            elif k not in out:
-                out[k] = v
-        return out
-    if isinstance(a, (int, float)) and isinstance(b, (int, float)):
+        return {**a, **{k: default_merge(a[k], v) if k in a else v for k, v in b.items()}}
+    if _number(a) and _number(b):
         return a + b
-    raise TypeError("state has no merge; pass merge=")
+    if isinstance(a, list) and isinstance(b, list):
+        return a + b
+    if a is None or b is None:
+        return b if a is None else a
+    if type(a) is type(b) and isinstance(a, (bool, str, bytes)) and a == b:
+        return a
+    raise TypeError(f"states of {type(a).__name__} have no default merge; pass merge=")
 
 
 def metric_custom(
@@ -49,32 +58,56 @@ def metric_custom(
     schema = ", ".join(f"{k} string" for k in keys)
 
     def partials(it):
-        states: dict = {}
+        states, errors = {}, {}
         for pdf in it:
             for key, g in pdf.groupby(keys, dropna=False, sort=False):
                 k = key if isinstance(key, tuple) else (key,)
-                st = states.get(k)
-                if st is None:
-                    st = init(opts)
-                states[k] = update(st, g[pred].tolist(), g[label].tolist(), opts)
-        rows = [dict(zip(keys, k), state=pickle.dumps(v)) for k, v in states.items()]
-        yield pd.DataFrame(rows, columns=keys + ["state"])
+                if k in errors:
+                    continue
+                try:
+                    st = states[k] if k in states else init(opts)
+                    states[k] = update(st, g[pred].tolist(), g[label].tolist(), opts)
+                except Exception as e:  # noqa: BLE001 - errors become an error row, not a failed job
+                    errors[k] = str(e)
+        part = TaskContext.get().partitionId()
+        rows = [dict(zip(keys, k), part=part, state=None if k in errors else pickle.dumps(v), error=errors.get(k))
+                for k, v in {**dict.fromkeys(errors), **states}.items()]
+        yield pd.DataFrame(rows, columns=[*keys, "part", "state", "error"]).astype({"part": "int64"})
 
-    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fold(pdf: pd.DataFrame):
+        """(merged state, first error) of some states."""
+        bad = pdf["error"].dropna()
+        if len(bad):
+            return None, bad.min()
         st = None
-        for blob in pdf["state"]:
-            s = pickle.loads(blob)
-            st = s if st is None else merge(st, s)
         try:
-            res = result(st, opts)
-            items = res.items() if isinstance(res, dict) else [("", res)]
-            rows = [(name, str(k), float(v) if v is not None else None, None) for k, v in items]
-        except Exception as e:  # noqa: BLE001 - errors become an error value, not a failed job
-            rows = [(name, "error", None, str(e))]
+            for i, blob in enumerate(pdf.sort_values("part")["state"]):
+                s = pickle.loads(blob)
+                st = s if i == 0 else merge(st, s)
+        except Exception as e:  # noqa: BLE001
+            return None, str(e)
+        return st, None
+
+    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
+        st, error = fold(pdf)
+        base = {k: pdf[k].iloc[0] for k in keys}
+        return pd.DataFrame([{**base, "part": pdf["part"].iloc[0], "state": None if error is not None else pickle.dumps(st), "error": error}])
+
+    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        st, error = fold(pdf)
+        rows = [(name, "error", None, error)]
+        if error is None:
+            try:
+                res = result(st, opts)
+                items = res.items() if isinstance(res, dict) else [("", res)]
+                rows = [(name, str(k), float(v) if v is not None else None, None) for k, v in items]
+            except Exception as e:  # noqa: BLE001
+                rows = [(name, "error", None, str(e))]
         base = {k: pdf[k].iloc[0] for k in keys}
         return pd.DataFrame([{**base, "metric": m, "sub_metric": s, "score": v, "error": err} for m, s, v, err in rows])
 
-    parts = df.select(*[df[k].cast("string").alias(k) for k in keys], pred, label) \
-        .mapInPandas(partials, f"{schema}, state binary")
-    return parts.groupBy(*keys).applyInPandas(
-        finish, f"{schema}, metric string, sub_metric string, score double, error string")
+    partial_schema = f"{schema}, part long, state binary, error string"
+    source = df.select(*[df[k].cast("string").alias(k) for k in keys], pred, label)
+    parts = source.mapInPandas(partials, partial_schema)
+    merged = parts.withColumn("part", F.floor(F.col("part") / MERGE_WIDTH)).groupBy(*keys, "part").applyInPandas(combine, partial_schema)
+    return merged.groupBy(*keys).applyInPandas(finish, f"{schema}, metric string, sub_metric string, score double, error string")

@@ -15,6 +15,10 @@ from . import scored as S
 
 METRICS: dict = {}
 
+#: Metrics that read the rows in a pass of their own.
+FRAMES = {"distinct_ngram", "word_entropy", "pearson", "pearson_correlation", "spearman", "spearman_correlation", "bleu", "rouge",
+          "sequence_labeling", "seqeval", "custom_script", "custom"}
+
 
 def register(*names: str):
     def deco(fn):
@@ -162,4 +166,6 @@ def _met(df, keys, pred, label, alpha=0.9, beta=3.0, gamma=0.5, stem=None, synon
 @register("custom_script", "custom")
 def _cust(df, keys, pred, label, init=None, update=None, result=None, merge=None, name="custom", options=None, **o):
     out = Cu.metric_custom(df, init, update, result, merge, keys, pred, label, options or o, name)
-    return "frame", out.drop("error")
+    # the error text stays with its row, in the place of the sub-metric
+    text = F.when(F.col("error").isNotNull(), F.concat(F.lit("error: "), F.col("error"))).otherwise(F.col("sub_metric"))
+    return "frame", out.withColumn("sub_metric", text).drop("error")

@@ -88,7 +88,7 @@ def run_tasks(tasks: Sequence[TaskSpec], items: dict, responses: DataFrame, mode
             res = score_task(t, prompts_for(t, items[t.name]), responses)
             res.schema
         except Exception as e:  # noqa: BLE001 - one failing task must not stop the others
-            parts.append(spark.createDataFrame([(m, t.name, str(e)[:200]) for m in models],
+            parts.append(spark.createDataFrame([(m, t.name, str(e)) for m in models],
                                                "model string, task string, error string")
                          .select("model", "task", F.lit(None).cast("string").alias("metric"),
                                  F.lit(None).cast("string").alias("sub_metric"), F.lit(None).cast("double").alias("score"),
@@ -98,9 +98,10 @@ def run_tasks(tasks: Sequence[TaskSpec], items: dict, responses: DataFrame, mode
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    # one left join finds the model-task pairs without results, so every task is computed once
     grid = spark.createDataFrame([(m, t.name) for m in models for t in tasks], "model string, task string")
-    missing = grid.join(out.select("model", "task").distinct(), ["model", "task"], "left_anti").select(
-        "model", "task", F.lit(None).cast("string").alias("metric"), F.lit(None).cast("string").alias("sub_metric"),
-        F.lit(None).cast("double").alias("score"), F.lit("error").alias("status"),
-        F.lit("No results obtained for this task").alias("error"))
-    return out.unionByName(missing)
+    none = F.col("status").isNull()
+    known = F.broadcast(grid).withColumn("wanted", F.lit(True))  # models x tasks of the spec
+    return known.join(out, ["model", "task"], "full_outer").select(
+        "model", "task", "metric", "sub_metric", "score", F.when(none, F.lit("error")).otherwise(F.col("status")).alias("status"),
+        F.when(none, F.lit("No results obtained for this task")).otherwise(F.col("error")).alias("error"))
