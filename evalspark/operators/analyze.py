@@ -24,17 +24,20 @@ def to_float(raw: Column) -> Column:
     return F.when(is_py_float(raw), py_strip(raw).try_cast("double"))
 
 
-def results_long(json_docs: DataFrame, col: str = "json") -> DataFrame:
+def results_long(json_docs: DataFrame, col: str = "json", error_chars: int | None = None, keep_failed: bool = False) -> DataFrame:
     """A1: nested ``{model: {task: {metric: score | {sub: score}}}}`` documents -> long rows.
-    Non-object levels are skipped; a task holding ``error`` becomes one
-    ``processing_error`` row (message cut to 100 characters) and nothing else."""
+    Non-object levels are skipped; a task holding ``error`` becomes one ``processing_error`` row
+    with the message (cut to ``error_chars`` for display, if given) and, unless ``keep_failed``,
+    nothing else."""
     models = json_docs.select(F.explode(F.from_json(F.col(col), "map<string, string>")).alias("model", "mraw"))
     tasks = models.select("model", F.explode(F.from_json("mraw", "map<string, string>")).alias("task", "traw"))
     metrics = tasks.withColumn("m", F.from_json("traw", "map<string, string>")).where(F.col("m").isNotNull())
     err = metrics.where(F.col("m").getItem("error").isNotNull()).select(
         "model", "task", F.lit("processing_error").alias("metric"),
-        F.substring(F.col("m").getItem("error"), 1, 100).alias("sub_metric"), F.lit(None).cast("double").alias("score"))
-    ok = metrics.where(F.col("m").getItem("error").isNull()).select("model", "task", F.explode("m").alias("metric", "vraw"))
+        (F.col("m").getItem("error") if error_chars is None else F.substring(F.col("m").getItem("error"), 1, error_chars)).alias("sub_metric"),
+        F.lit(None).cast("double").alias("score"))
+    ok = metrics if keep_failed else metrics.where(F.col("m").getItem("error").isNull())
+    ok = ok.select("model", "task", F.explode("m").alias("metric", "vraw")).where(F.col("metric") != "error")
     sub = ok.withColumn("sm", F.from_json("vraw", "map<string, string>"))
     nested = sub.where(F.col("sm").isNotNull()).select(
         "model", "task", "metric", F.explode("sm").alias("sub_metric", "sraw")).select(
@@ -62,7 +65,7 @@ def results_melt(wide: DataFrame, ids: Sequence[str] = ("model", "task")) -> Dat
         ids, vals, "full_metric_name", "raw")
     head = F.split_part(F.col("full_metric_name"), F.lit("_"), F.lit(1))
     split = head.isin("rouge", "bert_score") & F.col("full_metric_name").contains("_")
-    rest = F.substring(F.col("full_metric_name"), F.length(head) + 2, 1 << 20)
+    rest = F.substr(F.col("full_metric_name"), F.length(head) + 2)
     return long.select(*ids, "full_metric_name", to_float(F.col("raw")).alias("score"),
                        F.when(split, head).otherwise(F.col("full_metric_name")).alias("metric"),
                        F.when(split, rest).alias("sub_metric"))

@@ -24,7 +24,7 @@ def _prefix(tag: Column) -> Column:
 
 
 def _type(tag: Column) -> Column:
-    rest = F.substring(tag, 2, 1 << 20)
+    rest = F.substr(tag, F.lit(2))
     t = F.element_at(F.split(rest, "-", 2), -1)
     return F.when((t.isNull()) | (t == ""), F.lit("_")).otherwise(t)
 

@@ -99,12 +99,10 @@ def normalize_translation(df: DataFrame, config: str | None, col: str = "transla
                      & F.col("target_text").isNotNull() & (F.col("target_text") != ""))
 
 
-def choices_from_wide(df: DataFrame, prefix: str = "choice_", n: int | None = None, out: str = "choices") -> DataFrame:
+def choices_from_wide(df: DataFrame, prefix: str = "choice_", out: str = "choices") -> DataFrame:
     """N5, item-wise layout: ``choice_0..choice_k`` columns -> one array column."""
     cols = sorted([c for c in df.columns if c.startswith(prefix) and c[len(prefix):].isdigit()],
                   key=lambda c: int(c[len(prefix):]))
-    if n is not None:
-        cols = cols[:n]
     return df.withColumn(out, F.array(*[F.coalesce(F.col(c).cast("string"), F.lit(CHOICE_READ_ERROR)) for c in cols])) \
         .drop(*cols)
 

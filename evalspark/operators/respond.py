@@ -34,21 +34,22 @@ def expand_models(items: DataFrame, models: Sequence[str], col: str = "model") -
 def infer_batches(prompts: DataFrame, fn: Callable[[list[str]], list[str]], prompt_col: str = "prompt",
                   out: str = "response", batch_size: int | None = None) -> DataFrame:
     """R2: ``fn(list_of_prompts) -> list_of_texts`` on executor-side Arrow batches.
-    The batch size is ``spark.sql.execution.arrow.maxRecordsPerBatch`` unless given.
+    ``fn`` sees at most ``batch_size`` prompts at once (unless given, an Arrow batch).
     A batch whose output length differs from its input yields null responses."""
     schema = StructType(list(prompts.schema.fields) + [StructField(out, StringType())])
-    if batch_size:
-        prompts.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_size))
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            texts = pdf[prompt_col].astype(object).where(pdf[prompt_col].notna(), None).tolist()
-            try:
-                res = list(fn(texts))
-            except Exception:  # noqa: BLE001 - a failing batch must not fail the job
-                res = []
-            pdf[out] = res if len(res) == len(texts) else [None] * len(texts)
-            yield pdf
+        for whole in it:
+            step = batch_size or max(1, len(whole))
+            for at in range(0, len(whole), step):
+                pdf = whole.iloc[at:at + step].copy()
+                texts = pdf[prompt_col].astype(object).where(pdf[prompt_col].notna(), None).tolist()
+                try:
+                    res = list(fn(texts))
+                except Exception:  # noqa: BLE001 - a failing batch must not fail the job
+                    res = []
+                pdf[out] = res if len(res) == len(texts) else [None] * len(texts)
+                yield pdf
 
     return prompts.mapInPandas(run, schema)
 

@@ -348,8 +348,7 @@ FROM spec LEFT JOIN have USING (model, task)""")
 def status_rows(spark, sf):
     d = V.clf(spark, sf)
     res = C.metric_accuracy(d)
-    spec = R.expand_models(spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in TASKS])).alias("task")), []) \
-        if False else d.select("model").distinct().withColumn("task", F.explode(F.array(*[F.lit(t) for t in TASKS])))
+    spec = d.select("model").distinct().withColumn("task", F.explode(F.array(*[F.lit(t) for t in TASKS])))
     return R.status_rows(res, spec)
 
 
@@ -411,7 +410,7 @@ def post_similarity(spark, sf):
 
 @query("post_creative", f"""
 SELECT {RESP_COLS}, {Q.creative_clean('prediction')} AS cleaned_text, len({Q.ws_split(Q.creative_clean('prediction'))}) AS word_count,
-       label FROM ({V.SQL_PAIRS.replace("'dialog' AS task,", "'dialog' AS task,")})""")
+       label FROM ({V.SQL_PAIRS})""")
 def post_creative(spark, sf):
     p = V.pairs(spark, sf).select("model", "task", "item_id", "prediction", "label")
     c = X.apply_post(p, "creative")

@@ -45,24 +45,23 @@ def _rw(t):
 
 
 def _rouge_n_sql(src=None, ns=(1, 2), stats=("f", "p", "r")):
+    """Words once per row, n-gram sets by unnest and distinct, overlaps by a join."""
     src = src or V.SQL_PAIRS
-    base = f"SELECT model, task, {Q.strip('prediction')} AS h, {Q.strip('label')} AS r FROM ({src})"
-    parts = []
-    for n in ns:
-        e = f"list_distinct({Q.ngrams(_rw('h'), n)})"
-        g = f"list_distinct({Q.ngrams(_rw('r'), n)})"
-        inter = f"len(list_filter({e}, lambda x: list_contains({g}, x)))"
-        p = f"(CASE WHEN len({e}) > 0 THEN {inter} / len({e}) ELSE 0.0 END)"
-        r = f"(CASE WHEN len({g}) > 0 THEN {inter} / len({g}) ELSE 0.0 END)"
-        parts.append(f"{p} AS p{n}, {r} AS r{n}")
-    sel = ", ".join(parts)
-    rows = []
-    for n in ns:
-        for s, expr in (("f", f"avg(2.0 * (p{n} * r{n}) / (p{n} + r{n} + 1e-8))"), ("p", f"avg(p{n})"), ("r", f"avg(r{n})")):
-            if s not in stats:
-                continue
-            rows.append(f"SELECT model, task, 'rouge' AS metric, 'rouge{n}_{s}' AS sub_metric, round({expr}, 6) AS score FROM x GROUP BY ALL")
-    return f"WITH b AS ({base}), x AS (SELECT model, task, {sel} FROM b WHERE h <> '' AND r <> '')\n" + "\nUNION ALL ".join(rows)
+    stripped = f"SELECT model, task, {Q.strip('prediction')} AS h, {Q.strip('label')} AS r FROM ({src})"
+    grams = {c: " UNION ALL ".join(f"SELECT id, {n} AS n, unnest({Q.ngrams(c, n)}) AS g FROM b" for n in ns) for c in "hr"}
+    value = {"f": "avg(2.0 * (p * r) / (p + r + 1e-8))", "p": "avg(p)", "r": "avg(r)"}
+    rows = [f"SELECT model, task, 'rouge' AS metric, 'rouge' || n || '_{s}' AS sub_metric, round({value[s]}, 6) AS score FROM x GROUP BY model, task, n"
+            for s in ("f", "p", "r") if s in stats]
+    return f"""WITH b AS MATERIALIZED (SELECT row_number() OVER () AS id, model, task, {_rw('h')} AS h, {_rw('r')} AS r FROM ({stripped}) WHERE h <> '' AND r <> ''),
+e AS (SELECT DISTINCT id, n, g FROM ({grams['h']})),
+f AS (SELECT DISTINCT id, n, g FROM ({grams['r']})),
+i AS (SELECT id, n, count(*) AS c FROM e JOIN f USING (id, n, g) GROUP BY ALL),
+en AS (SELECT id, n, count(*) AS c FROM e GROUP BY ALL),
+fn AS (SELECT id, n, count(*) AS c FROM f GROUP BY ALL),
+x AS (SELECT b.model, b.task, k.n, coalesce(i.c / en.c, 0.0) AS p, coalesce(i.c / fn.c, 0.0) AS r
+      FROM b CROSS JOIN (SELECT unnest({list(ns)!r}) AS n) k LEFT JOIN i ON i.id = b.id AND i.n = k.n
+      LEFT JOIN en ON en.id = b.id AND en.n = k.n LEFT JOIN fn ON fn.id = b.id AND fn.n = k.n)
+""" + "\nUNION ALL ".join(rows)
 
 
 @query("metric_rouge_n", _rouge_n_sql())

@@ -40,10 +40,7 @@ def _items(spark, sf):
     return {"mcq": mcq, "dialog": p, "broken": p.withColumn("label_index", F.lit(0))}
 
 
-_JG = f"list_distinct({Q.ngrams(Q.ws_split('lower(prediction)'), 1)})"
-_JL = f"list_distinct({Q.ngrams(Q.ws_split('lower(label)'), 1)})"
-_JAC = (f"avg(CASE WHEN len(list_distinct(list_concat({_JG}, {_JL}))) > 0 THEN "
-        f"len(list_filter({_JG}, lambda g: list_contains({_JL}, g))) / len(list_distinct(list_concat({_JG}, {_JL}))) ELSE 0.0 END)")
+_JAC = ("avg(CASE WHEN len(list_distinct(list_concat(a, b))) > 0 THEN len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) ELSE 0.0 END)")
 
 
 @query("evaluate_tasks", f"""
@@ -53,11 +50,13 @@ mr AS (SELECT i.item_id, 'm' || CAST(k AS VARCHAR) AS model,
        FROM items i CROSS JOIN (SELECT unnest([0, 1, 2]) AS k)),
 ms AS (SELECT model, {sql_choice_letter('response')} AS prediction, {sql_choice_label('li')} AS label FROM mr),
 p AS ({V.SQL_PAIRS}),
-dr AS (SELECT 'm0' AS model, prediction, prediction AS label FROM p UNION ALL SELECT 'm1', prompt, prediction FROM p)
+dr AS (SELECT 'm0' AS model, prediction, prediction AS label FROM p UNION ALL SELECT 'm1', prompt, prediction FROM p),
+dw AS MATERIALIZED (SELECT model, {Q.ws_split('lower(prediction)')} AS a, {Q.ws_split('lower(label)')} AS b FROM dr),
+dj AS MATERIALIZED (SELECT model, list_distinct(a) AS a, list_distinct(b) AS b FROM dw)
 SELECT model, 'mcq' AS task, 'accuracy' AS metric, '' AS sub_metric, round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) AS score,
        'ok' AS status, NULL::VARCHAR AS error FROM ms GROUP BY ALL
 UNION ALL SELECT model, 'mcq', 'exact_match', '', round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6), 'ok', NULL FROM ms GROUP BY ALL
-UNION ALL SELECT model, 'dialog', 'jaccard', '', round({_JAC}, 6), 'ok', NULL FROM dr GROUP BY ALL
+UNION ALL SELECT model, 'dialog', 'jaccard', '', round({_JAC}, 6), 'ok', NULL FROM dj GROUP BY ALL
 UNION ALL SELECT model, 'dialog', 'exact_match', '', round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6), 'ok', NULL FROM dr GROUP BY ALL
 UNION ALL SELECT 'm2', 'dialog', NULL, NULL, NULL, 'error', 'No results obtained for this task'
 UNION ALL SELECT unnest({MODELS!r}), 'broken', NULL, NULL, NULL, 'error', '{BROKEN_MSG}'""")

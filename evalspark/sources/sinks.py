@@ -16,8 +16,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     only the partitions present in ``df``, so a model's results can be re-saved alone)."""
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-        df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by)).option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
 
 
