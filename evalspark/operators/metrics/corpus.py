@@ -1,8 +1,8 @@
 """Corpus-level metrics: M13 distinct-n, M14 word entropy, M15 / M16 correlation.
 
-Distinct-n and entropy need a global distinct / count per n-gram: one
-shuffle keyed by (keys, n, gram) after a map-side partial count, then a tiny
-per-key aggregation. Totals come from token counts per row (no explode).
+Distinct-n and entropy need a global distinct / count per n-gram: one read,
+one shuffle keyed by (keys, n, gram) after a map-side partial count, then a
+tiny per-key aggregation that also gives the totals.
 """
 
 from __future__ import annotations
@@ -21,32 +21,25 @@ def metric_distinct_ngram(df: DataFrame, keys=("model", "task"), pred="predictio
                           ngrams_list: Sequence[int] = (1, 2)) -> DataFrame:
     keys = list(keys)
     toks = df.select(*keys, ws_split(py_str(pred)).alias("_t"))
-    per_n = []
-    for n in ngrams_list:
-        g = toks.select(*keys, F.lit(n).alias("n"), F.explode(ngrams("_t", n)).alias("g"))
-        uniq = g.distinct().groupBy(*keys, "n").agg(F.count(F.lit(1)).alias("uniq"))
-        total = toks.groupBy(*keys).agg(F.sum(F.greatest(F.size("_t") - n + 1, F.lit(0))).alias("total")) \
-            .withColumn("n", F.lit(n))
-        per_n.append(total.join(uniq, keys + ["n"], "left"))
-    out = per_n[0]
-    for p in per_n[1:]:
-        out = out.unionByName(p)
+    per_n = F.array(*[F.struct(F.lit(n).alias("n"), ngrams("_t", n).alias("gs")) for n in ngrams_list])
+    # one read: all sizes of n-grams in one explode; a row without any leaves a null, which counts nothing
+    grams = toks.select(*keys, F.explode(per_n).alias("x")).select(*keys, "x.n", F.explode_outer("x.gs").alias("g"))
+    counts = grams.groupBy(*keys, "n", "g").agg(F.count("g").alias("c"))
+    out = counts.groupBy(*keys, "n").agg(F.count("g").alias("uniq"), F.sum("c").alias("total"))
     return out.select(
         *keys, F.lit("distinct_ngram").alias("metric"), F.concat(F.lit("distinct_"), F.col("n").cast("string")).alias("sub_metric"),
-        F.when(F.col("total") > 0, F.coalesce(F.col("uniq"), F.lit(0)) / F.col("total")).otherwise(F.lit(0.0)).alias("score"))
+        F.when(F.col("total") > 0, F.col("uniq") / F.col("total")).otherwise(F.lit(0.0)).alias("score"))
 
 
 def metric_word_entropy(df: DataFrame, keys=("model", "task"), pred="prediction", label="label") -> DataFrame:
     """Shannon entropy (bits) of the corpus word distribution per key."""
     keys = list(keys)
-    words = df.select(*keys, F.explode(ws_split(py_str(pred))).alias("w"))
-    counts = words.groupBy(*keys, "w").agg(F.count(F.lit(1)).alias("c"))
-    per = counts.groupBy(*keys).agg(F.sum("c").alias("N"), F.sum(F.col("c") * F.log2("c")).alias("S"))
-    # every key with rows must appear, even when it has no words at all
-    base = df.select(*keys).distinct()
+    # keys without a word keep one null row, so that they appear with 0
+    words = df.select(*keys, F.explode_outer(ws_split(py_str(pred))).alias("w"))
+    counts = words.groupBy(*keys, "w").agg(F.count("w").alias("c"))
+    per = counts.groupBy(*keys).agg(F.sum("c").alias("N"), F.sum(F.when(F.col("c") > 0, F.col("c") * F.log2("c"))).alias("S"))
     h = F.when(F.col("N") > 0, F.log2("N") - F.col("S") / F.col("N")).otherwise(F.lit(0.0))
-    return base.join(per, keys, "left").select(
-        *keys, F.lit("word_entropy").alias("metric"), F.lit("").alias("sub_metric"), F.coalesce(h, F.lit(0.0)).alias("score"))
+    return per.select(*keys, F.lit("word_entropy").alias("metric"), F.lit("").alias("sub_metric"), F.coalesce(h, F.lit(0.0)).alias("score"))
 
 
 def pearson_from(df: DataFrame, keys, x, y, bad) -> DataFrame:
@@ -76,16 +69,30 @@ def metric_pearson(df: DataFrame, keys=("model", "task"), pred="prediction", lab
 
 
 def metric_spearman(df: DataFrame, keys=("model", "task"), pred="prediction", label="label") -> DataFrame:
-    """Pearson on average ranks. Ranks come from the distributed ``average_rank``."""
-    from ..ranking import average_rank
+    """Pearson on average ranks. The rows are reduced to distinct (key, x, y) with their count;
+    ranks are taken on the distinct x and the distinct y and weighted moments give r, so no
+    rank is joined back to the rows."""
+    from ..ranking import prefix_before
 
     keys = list(keys)
     x, y, bad = numeric_pair(df, pred, label)
-    base = df.select(*keys, x.alias("x"), y.alias("y"), bad.alias("bad"))
-    flags = base.groupBy(*keys).agg(F.max(F.col("bad").cast("int")).alias("anybad"))
-    good = base.where(~F.col("bad"))
-    ranked = average_rank(average_rank(good, keys, "x", "rx"), keys, "y", "ry")
-    r = pearson_from(ranked.withColumn("bad", F.lit(False)), keys, F.col("rx"), F.col("ry"), F.col("bad"))
-    res = flags.join(r, keys, "left").select(
-        *keys, F.when(F.col("anybad") == 1, F.lit(0.0)).otherwise(F.coalesce(F.col("r"), F.lit(0.0))).alias("r"))
-    return long_from_wide(res, keys, [("r", "spearman", "")])
+    pairs = df.select(*keys, x.alias("x"), y.alias("y"), bad.cast("int").alias("bad")).groupBy(*keys, "x", "y").agg(
+        F.count(F.lit(1)).alias("c"), F.max("bad").alias("bad"))
+    good = pairs.where("bad = 0")
+
+    def ranks(v: str):
+        d = good.groupBy(*keys, v).agg(F.sum("c").alias("n"))
+        d = prefix_before(d, keys, [v], F.col("n"), "lt")
+        return d.select(*keys, v, (F.col("lt") + (F.col("n") + 1) / 2.0).alias(f"r{v}"))
+
+    j = pairs.join(ranks("x"), [*keys, "x"], "left").join(ranks("y"), [*keys, "y"], "left")
+    j = j.groupBy(*keys).agg(
+        F.max("bad").alias("anybad"), F.sum("c").alias("n"), *[
+            F.sum(F.col("c") * e).alias(a) for a, e in (
+                ("sx", F.col("rx")), ("sy", F.col("ry")), ("sxx", F.col("rx") * F.col("rx")), ("syy", F.col("ry") * F.col("ry")), ("sxy", F.col("rx") * F.col("ry")))])
+    n = F.col("n")
+    # ranks are halves of whole numbers, so the sums lose nothing that matters
+    den = F.sqrt((F.col("sxx") - F.col("sx") * F.col("sx") / n) * (F.col("syy") - F.col("sy") * F.col("sy") / n))
+    r = (F.col("sxy") - F.col("sx") * F.col("sy") / n) / den
+    r = F.when((F.col("anybad") == 1) | (n < 2) | den.isNull() | F.isnan(den) | (den == 0), F.lit(0.0)).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    return long_from_wide(j.select(*keys, r.alias("r")), keys, [("r", "spearman", "")])

@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 from collections import Counter
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,7 +62,9 @@ def _smoothing_key(smoothing) -> str:
     if smoothing is False or smoothing is None:
         return "method0"
     s = str(smoothing)
-    return s if s in {f"method{i}" for i in range(8)} else "method1"
+    if s in ("method5", "method6", "method7"):
+        raise ValueError(f"BLEU smoothing {s} depends on the order of the sentence pairs and has no distributed form")
+    return s if s in {f"method{i}" for i in range(5)} else "method1"
 
 
 def bleu_score(stats: DataFrame, keys, weights, smoothing) -> DataFrame:
@@ -88,7 +89,7 @@ def bleu_score(stats: DataFrame, keys, weights, smoothing) -> DataFrame:
             else:
                 p = F.when(zero & (c > 1), (1.0 / (F.pow(F.lit(2.0), k) * 5.0 / F.log(c))) / b) \
                     .when(zero, F.lit(2.2250738585072014e-308)).otherwise(a / b)
-        else:  # method1 (also stands in for 5-7, which need the last sentence pair)
+        else:  # method1
             p = F.when(zero, (a + 0.1) / b).otherwise(a / b)
         ps.append(p)
     logs = sum((F.lit(float(wi)) * F.log(p) for wi, p in zip(w, ps)), F.lit(0.0))
@@ -137,26 +138,32 @@ def _rouge_n(h: Column, r: Column, n: int) -> Column:
 
 def _lcs_words(x: list[str], y: list[str]) -> set[str]:
     """Words of one LCS of ``x`` (reference) and ``y`` (hypothesis), reconstructed
-    from the end: take a match, else move up when that keeps a longer LCS, else left."""
-    if not x or not y or not (set(x) & set(y)):
+    from the end: take a match, else move up when that keeps a longer LCS, else left.
+
+    Bit-parallel: row i of the table is one integer whose bit j is zero where the length grows
+    from column j to j + 1. Without a match at (i, j) the length grows either there or one row
+    up, so that bit alone says where to go, and the rows take m * n / 8 bytes."""
+    where: dict[str, int] = {}
+    for j, w in enumerate(y):
+        where[w] = where.get(w, 0) | 1 << j
+    if not any(w in where for w in x):
         return set()
-    m, n = len(x), len(y)
-    t = np.zeros((m + 1, n + 1), dtype=np.int32)
-    for i in range(1, m + 1):
-        xi = x[i - 1]
-        row, prev = t[i], t[i - 1]
-        for j in range(1, n + 1):
-            row[j] = prev[j - 1] + 1 if xi == y[j - 1] else max(prev[j], row[j - 1])
+    full = (1 << len(y)) - 1
+    rows, v = [], full
+    for w in x:
+        u = v & where.get(w, 0)
+        v = ((v + u) | (v - u)) & full
+        rows.append(v)
     out: set[str] = set()
-    i, j = m, n
-    while i > 0 and j > 0:
-        if x[i - 1] == y[j - 1]:
-            out.add(x[i - 1])
+    i, j = len(x) - 1, len(y) - 1
+    while i >= 0 and j >= 0:
+        if x[i] == y[j]:
+            out.add(x[i])
             i, j = i - 1, j - 1
-        elif t[i - 1, j] > t[i, j - 1]:
-            i -= 1
-        else:
+        elif rows[i] >> j & 1:
             j -= 1
+        else:
+            i -= 1
     return out
 
 
@@ -218,21 +225,22 @@ def metric_rouge(df: DataFrame, keys=("model", "task"), pred="prediction", label
     ``rouge_exception = 1.0`` instead, as the library raises."""
     keys = list(keys)
     h, r = py_strip(py_str(F.col(pred))), py_strip(py_str(F.col(label)))
-    base = df.select(*keys, h.alias("_h"), r.alias("_r")).where((F.col("_h") != "") & (F.col("_r") != ""))
+    base = df.select(*keys, h.alias("_h"), r.alias("_r"))
+    valid = (F.col("_h") != "") & (F.col("_r") != "")
     lib = {m: _lib_key(m) for m in metrics}
     need_l = any(v in ("rouge-l", "rouge-lsum") for v in lib.values())
     ns = sorted({int(v.split("-")[1]) for v in lib.values() if v in ("rouge-1", "rouge-2")})
     hw, rw = rouge_words(F.col("_h")), rouge_words(F.col("_r"))
-    cols = [F.when((F.size(F.filter(F.split("_h", r"\."), lambda s: F.length(s) > 0)) == 0)
+    cols = [valid.alias("_ok"), F.when(~valid, 0).when((F.size(F.filter(F.split("_h", r"\."), lambda s: F.length(s) > 0)) == 0)
                    | (F.size(F.filter(F.split("_r", r"\."), lambda s: F.length(s) > 0)) == 0), 1).otherwise(0).alias("_exc")]
     def rn(n):
-        return let(hw, lambda a: let(rw, lambda b: _rouge_n(a, b, n)))
+        return F.when(valid, let(hw, lambda a: let(rw, lambda b: _rouge_n(a, b, n))))
 
     cols += [rn(n).alias(f"_r{n}") for n in ns]
     if need_l:
         cols.append(_rouge_l_udf(F.col("_h"), F.col("_r")).alias("_rl"))
     scored = base.select(*keys, *cols)
-    aggs, entries = [F.max("_exc").alias("_exc"), F.count(F.lit(1)).alias("_n")], []
+    aggs, entries = [F.max("_exc").alias("_exc")], []
     for k in metrics:
         v = lib[k]
         src = {"rouge-1": "_r1", "rouge-2": "_r2", "rouge-l": "_rl", "rouge-lsum": "_rl"}.get(v)
@@ -240,14 +248,11 @@ def metric_rouge(df: DataFrame, keys=("model", "task"), pred="prediction", label
         for s in stats:
             col = f"_a{len(entries)}"
             if src is not None and s in ("f", "p", "r"):
-                aggs.append(F.avg(F.col(f"{src}.{s}")).alias(col))
+                aggs.append(F.avg(F.when(F.col("_ok"), F.col(f"{src}.{s}"))).alias(col))
             else:
                 aggs.append(F.lit(0.0).alias(col))
             entries.append((col, "rouge", f"{name}_{s}"))
-    wide = scored.groupBy(*keys).agg(*aggs)
-    # keys with rows but no valid pair report zeros
-    allk = df.select(*keys).distinct()
-    wide = allk.join(wide, keys, "left")
+    wide = scored.groupBy(*keys).agg(*aggs)  # keys without a valid pair report zeros
     long = long_from_wide(wide.withColumn("_exc", F.coalesce("_exc", F.lit(0))), keys + ["_exc"], entries)
     long = long.withColumn("score", F.coalesce("score", F.lit(0.0)))
     exc = wide.where(F.col("_exc") == 1).select(*keys, F.lit("rouge").alias("metric"),

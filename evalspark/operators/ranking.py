@@ -31,9 +31,12 @@ def _bucketed(df: DataFrame, bucket_on: str, rows_per_bucket: int) -> DataFrame:
     num = F.col(bucket_on)
     if dict(df.dtypes)[bucket_on] in ("timestamp", "timestamp_ntz", "date"):
         num = F.unix_micros(F.col(bucket_on).cast("timestamp"))
-    # the input is read twice (statistics, then the windows): write it once to the
+    df = df.withColumn("_bnum", num.cast("double"))
+    if df.select("_bnum").limit(rows_per_bucket + 1).count() <= rows_per_bucket:
+        return df.withColumn("_bkt", F.lit(0.0)).drop("_bnum")  # one bucket holds everything
+    # the input is read twice more (statistics, then the windows): write it once to the
     # shared checkpoint folder instead of recomputing its lineage
-    df = df.withColumn("_bnum", num.cast("double")).checkpoint(eager=True)
+    df = df.checkpoint(eager=True)
     probe = [i / 1024 for i in range(1, 1024)]
     n, qs = df.agg(F.count(F.lit(1)), F.percentile_approx("_bnum", probe, 10000)).first()
     nb = max(1, math.ceil(n / rows_per_bucket))
@@ -96,13 +99,3 @@ def prefix_max(
     j = local.join(offsets, keys + ["_bkt"])
     j = j.withColumns({o: F.greatest(f"_pm{t}", f"_lm{t}") for o, t in zip(values, tmp)})
     return j.drop(*tmp, *[f"_pm{t}" for t in tmp], *[f"_lm{t}" for t in tmp], "_bkt")
-
-
-def average_rank(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Average (tie-aware) rank of ``value`` within each key, 1-based: computed on the
-    table of distinct values with their counts, then joined back on (key, value)."""
-    keys = list(keys)
-    d = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    d = prefix_before(d, keys, [value], F.col("_c"), "_lt")
-    d = d.select(*keys, value, (F.col("_lt") + (F.col("_c") + 1) / 2.0).alias(out))
-    return df.join(d, keys + [value])

@@ -78,36 +78,74 @@ def test_rouge(spark):
     assert out == {"rougeLsum_f", "rougeLsum_r"}
 
 
+def _table_lcs_words(x, y):
+    """The words of the LCS that the full table gives: from the end, a match first, else up when
+    that is longer, else left."""
+    t = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i in range(len(x)):
+        for j in range(len(y)):
+            t[i + 1][j + 1] = t[i][j] + 1 if x[i] == y[j] else max(t[i][j + 1], t[i + 1][j])
+    out, i, j = [], len(x), len(y)
+    while i and j:
+        if x[i - 1] == y[j - 1]:
+            out.append(x[i - 1])
+            i, j = i - 1, j - 1
+        elif t[i - 1][j] > t[i][j - 1]:
+            i -= 1
+        else:
+            j -= 1
+    return out
+
+
 def test_rouge_l_against_bruteforce(spark):
-    """The UDF path equals the plain pair function (LCS found by exhaustive search)."""
+    """Exact LCS word sets against the full table, whose length an exhaustive search confirms."""
     import itertools
     import random
+    import time
 
     def lcs_len(a, b):
-        best = 0
         for k in range(len(a), 0, -1):
             for idx in itertools.combinations(range(len(a)), k):
-                sub = [a[i] for i in idx]
                 it = iter(b)
-                if all(w in it for w in sub):
+                if all(w in it for w in [a[i] for i in idx]):
                     return k
-        return best
+        return 0
 
     rnd = random.Random(3)
     vocab = "a b c d e".split()
-    for _ in range(200):
-        x = [rnd.choice(vocab) for _ in range(rnd.randint(1, 6))]
-        y = [rnd.choice(vocab) for _ in range(rnd.randint(1, 6))]
-        assert len(O._lcs_words(x, y)) <= lcs_len(x, y)
-        assert O._lcs_words(x, y) <= set(x) & set(y)
+    for _ in range(300):
+        x = [rnd.choice(vocab) for _ in range(rnd.randint(0, 7))]
+        y = [rnd.choice(vocab) for _ in range(rnd.randint(0, 7))]
+        words = _table_lcs_words(x, y)
+        assert len(words) == lcs_len(x, y)
+        assert O._lcs_words(x, y) == set(words)
+    for _ in range(20):
+        x, y = ([rnd.choice(range(rnd.choice((3, 60)))) for _ in range(rnd.randint(60, 200))] for _ in range(2))
+        assert O._lcs_words(x, y) == set(_table_lcs_words(x, y))
+    x, y = ([str(rnd.randint(0, 500)) for _ in range(3000)] for _ in range(2))
+    start = time.time()
+    assert O._lcs_words(x, y)
+    assert time.time() - start < 2  # a table of nine million cells took seven
     rows = [("m", "t", " ".join(rnd.choice(vocab) for _ in range(8)) + ". " + " ".join(rnd.choice(vocab) for _ in range(5)),
              " ".join(rnd.choice(vocab) for _ in range(7))) for _ in range(30)]
     df = spark.createDataFrame(rows, "model string, task string, prediction string, label string")
     got = O.metric_rouge(df, metrics=["rougeL"], stats=["f"]).collect()[0]["score"]
-    want = sum(O.rouge_l_pair(h.strip(), r.strip())[2] for _, _, h, r in rows) / len(rows)
+    want = 0.0
+    for _, _, h, r in rows:
+        union = set()
+        for s in h.split("."):
+            union |= set(_table_lcs_words(r.split(), s.split()))
+        rec, prec = len(union) / len(set(r.split())), len(union) / len({w for s in h.split(".") for w in s.split()})
+        want += 2 * rec * prec / (rec + prec + 1e-8) / len(rows)
     assert got == pytest.approx(want)
 
 
+def test_bleu_smoothing_without_distributed_form_is_refused(spark):
+    df = spark.createDataFrame([("m", "t", "a b", "a b")], "model string, task string, prediction string, label string")
+    with pytest.raises(ValueError):
+        O.metric_bleu(df, smoothing="method5")
+
+
 def test_perplexity(spark):
     s = "prediction double, label string"
     assert score(spark, [(-1.0, None), (-2.0, None), (-3.0, None)], s, "perplexity") == pytest.approx(math.exp(2))
