@@ -281,7 +281,9 @@ def _echo_model(prompts):
     return [" ".join(reversed(p.split())) if p else "" for p in prompts]
 
 
-@query("infer_batches")
+@query("infer_batches", f"""
+SELECT conv_id * 1000 + turn AS item_id, CASE WHEN COALESCE(text, '') = '' THEN '' ELSE array_to_string(list_reverse({Q.ws_split('text')}), ' ') END AS response
+FROM conversations WHERE role = 'user'""")
 def infer_batches(spark, sf):
     return R.infer_batches(_prompts(spark, sf), _echo_model).select("item_id", "response")
 

@@ -38,11 +38,15 @@ def sink_parquet(spark, sf):
     return finish(spark.read.parquet(path))
 
 
-@query("sink_json")
+SQL_LONG_AGAIN = f"SELECT model, task, metric, NULLIF(sub_metric, '') AS sub_metric, round(score, 6) AS score, full_metric_name FROM {ML}"
+
+
+@query("sink_json", SQL_LONG_AGAIN)
 def sink_json(spark, sf):
+    """O4 written, then read back to long rows (A1)."""
     path = shared_path(spark, "results-json")
     K.write_json(V.mlong(spark, sf), path)
-    return spark.read.text(path).withColumnRenamed("value", "json")
+    return finish(A.results_long(spark.read.text(path), "value"))
 
 
 @query("save_partitioned", f"SELECT model, task, metric, sub_metric, round(score, 6) AS score, full_metric_name FROM {ML}")
@@ -63,7 +67,9 @@ def _json_docs(spark, sf):
     return docs.unionByName(extra)
 
 
-@query("results_long")
+@query("results_long", SQL_LONG_AGAIN + """
+UNION ALL SELECT 'src_err', 'en', 'processing_error', repeat('x', 150), NULL, 'processing_error_' || repeat('x', 150)
+UNION ALL SELECT 'src_err', 'fr', 'accuracy', NULL, 0.25, 'accuracy'""")
 def results_long(spark, sf):
     return finish(A.results_long(_json_docs(spark, sf)))
 
