@@ -1,10 +1,9 @@
-"""METEOR per pair (exact, then optional stem and synonym stages), averaged.
+"""METEOR per pair (exact, stem, then optional synonym stage), averaged.
 
 The alignment is greedy from the end of both token lists, stage by stage; the
 per-pair work runs in an Arrow batch UDF and the mean is a Spark aggregate.
-No stemmer or lexical database is bundled: pass ``stem`` (a str -> str
-function) and / or a ``synonyms`` mapping word -> set of words to enable
-those stages.
+Stems are Porter's unless another ``stem`` function (or None) is given. No lexical
+database is bundled: a ``synonyms`` mapping word -> set of words enables that stage.
 """
 
 from __future__ import annotations
@@ -16,19 +15,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ...functions.porter import stem as porter_stem
 from .base import agg_to_long
 
 
 def _align(hyp, ref, key):
-    """Greedy matching of (index, word) lists by ``key`` from the end; removes matches."""
+    """Greedy matching of (index, word) lists by ``key`` from the end; removes matches.
+    Linear: the places of each key wait on a stack."""
+    places: dict = {}
+    for j, w in ref:
+        places.setdefault(key(w), []).append(j)
     out = []
-    for i in range(len(hyp))[::-1]:
-        for j in range(len(ref))[::-1]:
-            if key(hyp[i][1]) == key(ref[j][1]):
-                out.append((hyp[i][0], ref[j][0]))
-                hyp.pop(i)
-                ref.pop(j)
-                break
+    for i, w in reversed(hyp):
+        stack = places.get(key(w))
+        if stack:
+            out.append((i, stack.pop()))
+    used_h, used_r = {i for i, _ in out}, {j for _, j in out}
+    hyp[:] = [x for x in hyp if x[0] not in used_h]
+    ref[:] = [x for x in ref if x[0] not in used_r]
     return out
 
 
@@ -42,7 +46,7 @@ def _chunks(matches) -> int:
 
 
 def meteor_pair(hyp_tokens, ref_tokens, alpha=0.9, beta=3.0, gamma=0.5,
-                stem: Callable[[str], str] | None = None, synonyms: dict | None = None) -> float:
+                stem: Callable[[str], str] | None = porter_stem, synonyms: dict | None = None) -> float:
     h = list(enumerate(t.lower() for t in hyp_tokens))
     r = list(enumerate(t.lower() for t in ref_tokens))
     hl, rl = len(h), len(r)
@@ -69,7 +73,7 @@ def meteor_pair(hyp_tokens, ref_tokens, alpha=0.9, beta=3.0, gamma=0.5,
     return (1 - gamma * frag ** beta) * fmean
 
 
-def meteor_scores(pred, label, alpha=0.9, beta=3.0, gamma=0.5, stem=None, synonyms=None):
+def meteor_scores(pred, label, alpha=0.9, beta=3.0, gamma=0.5, stem=porter_stem, synonyms=None):
     @F.pandas_udf(T.DoubleType())
     def score(h: pd.Series, r: pd.Series) -> pd.Series:
         out = []

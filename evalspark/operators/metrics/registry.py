@@ -160,7 +160,7 @@ def _tm(df, keys, pred, label, **o):
 
 
 @register("meteor")
-def _met(df, keys, pred, label, alpha=0.9, beta=3.0, gamma=0.5, stem=None, synonyms=None, **o):
+def _met(df, keys, pred, label, alpha=0.9, beta=3.0, gamma=0.5, stem=Me.porter_stem, synonyms=None, **o):
     return "aggs", [("meteor", "", F.coalesce(F.avg(Me.meteor_scores(pred, label, alpha, beta, gamma, stem, synonyms)),
                                                 F.lit(0.0)))]
 

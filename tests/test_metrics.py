@@ -213,3 +213,20 @@ def test_invariance_under_repartition(spark):
     b = sorted(q(spark, "/root/testdata/sf0.001").collect())
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert a == b
+
+
+def test_meteor_stems_and_published_value(spark):
+    from evalspark.functions.porter import stem
+    from evalspark.operators.metrics.meteor import meteor_pair
+
+    for word, want in {"caresses": "caress", "ponies": "poni", "dies": "die", "agreed": "agre", "hopping": "hop", "filing": "file", "relational": "relat",
+                       "vietnamization": "vietnam", "sensibiliti": "sensibl", "electriciti": "electr", "adoption": "adopt", "bowdlerize": "bowdler",
+                       "controll": "control", "rate": "rate", "cease": "ceas", "sky": "sky"}.items():
+        assert stem(word) == want
+    hyp = "It is a guide to action which ensures that the military always obeys the commands of the party".split()
+    ref = "It is a guide to action that ensures that the military will forever heed Party commands".split()
+    assert meteor_pair(hyp, ref) == pytest.approx(0.6944, abs=1e-4)
+    assert meteor_pair(["cats", "running"], ["cat", "runs"]) == pytest.approx(1 - 0.5 * 0.5**3)
+    assert meteor_pair(["cats"], ["cat"], stem=None) == 0.0
+    s = "prediction string, label string"
+    assert score(spark, [("the cats were running", "the cat was running")], s, "meteor") > 0.5
