@@ -13,9 +13,11 @@ word shingles. The steps:
    deviations below ``percent``, and are then confirmed on their full sets.
 4. Components of the confirmed links by alternating large-star and small-star.
 5. Buckets that still hold several components may hide links between members that are no
-   hubs. Their members meet in tiles of at most ``TILE`` by ``TILE``; pairs in different
-   components that pass the same tests are confirmed, and the components are completed. So
-   links do not depend on the hubs, and big groups of copies never meet pairwise.
+   hubs. Their members meet in tiles of about ``TILE`` by ``TILE``, each pair in one bucket only.
+   First the signatures pick the members with a likely partner in another component; these
+   bring their full sets to the same tiles, and a tile returns the confirmed links that join
+   components, at most one a member. So links do not depend on the hubs, rows stay in
+   proportion to the members, and copies that are linked already never meet pairwise.
 
 Defined cases: a text without words (or null) has an empty set and is linked with nothing; fewer
 words than ``words`` give one shingle, the whole sequence; rows with the same doc_id count as one
@@ -39,6 +41,8 @@ from .components import connected_components
 ROWS = 5
 MISS = 1e-7
 TILE = 256
+#: Shingles of one side of a tile.
+TILE_SHINGLES = 1 << 21
 
 
 def n_bands(percent: int) -> int:
@@ -106,8 +110,8 @@ def band_keys(low: np.ndarray) -> np.ndarray:
 
 
 def document_signatures(docs: DataFrame, percent: int, words: int = 5) -> DataFrame:
-    """doc_id, n_shingles, d1, d2 (digests), sig (one byte per minimum), bands; the last four
-    null for an empty set."""
+    """doc_id, n_shingles, d1, d2 (digests), sig (one byte per minimum), bands (a key each); the
+    last four null for an empty set."""
     k = n_bands(percent) * ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,75 +179,146 @@ def _set_test(percent: int):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                a, b = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
+                keep.append(_linked(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), percent))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _tile_pairs(percent: int):
-    """Pairs in different components that pass the size bound and the signature test, from rows
-    (bucket, lo, hi, side, id, d1, n, component, sig) sorted by tile."""
+def _tiles(batches: Iterator[pa.RecordBatch], key: tuple[str, ...] = ("bucket", "lo", "hi")) -> Iterator[pa.Table]:
+    """The tiles of rows sorted by tile; a tile may span batches."""
+    rest = None
+    for batch in _and_end(batches):
+        if batch is not None:
+            part = pa.Table.from_batches([batch])
+            rest = part if rest is None else pa.concat_tables([rest, part])
+        if rest is None or rest.num_rows == 0:
+            continue
+        keys = np.stack([rest.column(c).to_numpy() for c in key], axis=1)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        bounds = [0, *cuts.tolist(), *([rest.num_rows] if batch is None else [])]
+        for i, j in zip(bounds[:-1], bounds[1:]):
+            yield rest.slice(i, j - i)
+        rest = rest.slice(bounds[-1])
+
+
+def _likely_pairs(tile: pa.Table, percent: int, need: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row the later rows of the tile that are in another component, fit in size, have
+    matching signatures and share no earlier band (there they meet in that band's tile)."""
+    n_rows = tile.num_rows
+    if n_rows < 2:
+        return
+    side, n, comp = (tile.column(c).to_numpy() for c in ("side", "n", "component"))
+    band, one = tile.column("band").to_numpy(), tile.column("lo")[0].as_py() == tile.column("hi")[0].as_py()
+    if (comp == comp[0]).all():
+        return
+    sig = np.frombuffer(b"".join(tile.column("sig").to_pylist()), dtype=np.uint8).reshape(n_rows, -1)
+    keys = tile.column("bands").combine_chunks().flatten().to_numpy().reshape(n_rows, -1)[:, :int(band[0])]
+    left = np.arange(n_rows) if one else np.flatnonzero(side == 0)
+    right = np.flatnonzero(side == 1)
+    for k, i in enumerate(left):
+        others = left[k + 1:] if one else right
+        others = others[(comp[others] != comp[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
+        if len(others):
+            others = others[(sig[others] == sig[i]).sum(axis=1) >= need]
+        if len(others):
+            others = others[~(keys[others] == keys[i]).any(axis=1)]
+        if len(others):
+            yield i, others
+
+
+def _members_with_partners(percent: int):
     need = least_matches(percent)
 
-    def solve(t: dict) -> list[tuple]:
-        left = np.flatnonzero(t["side"] == 0)
-        right = np.flatnonzero(t["side"] == 1) if t["lo"] != t["hi"] else left
-        n, comp, sig = t["n"], t["component"], t["sig"]
-        out = []
-        for k, i in enumerate(left):
-            others = right[k + 1:] if right is left else right
-            if len(others) == 0:
-                continue
-            ok = others[(comp[others] != comp[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
-            ok = ok[(sig[ok] == sig[i]).sum(axis=1) >= need] if len(ok) else ok
-            out += [(t["id"][i], t["d1"][i], t["id"][j], t["d1"][j]) for j in ok]
-        return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in _tiles(batches):
+            keep = np.zeros(tile.num_rows, dtype=bool)
+            for i, others in _likely_pairs(tile, percent, need):
+                keep[i] = True
+                keep[others] = True
+            if keep.any():
+                yield from tile.filter(pa.array(keep)).combine_chunks().to_batches()
+
+    return run
+
+
+def _joining_links(percent: int):
+    """Confirmed links (u, v) of each tile that join components, tested on the full sets."""
+    need = least_matches(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in _and_end(batches):
-            if batch is not None:
-                rest = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            if rest is None or rest.num_rows == 0:
-                continue
-            key = np.stack([rest.column(c).to_numpy() for c in ("bucket", "lo", "hi")], axis=1)
-            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            bounds = [0, *cuts.tolist(), *([rest.num_rows] if batch is None else [])]
-            cols = {c: rest.column(c).to_numpy() for c in ("side", "id", "d1", "n", "component")}
-            sig = np.frombuffer(b"".join(rest.column("sig").to_pylist()), dtype=np.uint8).reshape(rest.num_rows, -1)
-            found = []
-            for i, j in zip(bounds[:-1], bounds[1:]):
-                found += solve({c: v[i:j] for c, v in cols.items()} | {"sig": sig[i:j], "lo": key[i, 1], "hi": key[i, 2]})
-            rest = rest.slice(bounds[-1])  # the last tile may go on in the next batch
-            if found:
-                a = np.array(found, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(a[:, c]) for c in range(4)], names=["a", "a1", "b", "b1"])
+        for tile in _tiles(batches):
+            ids, comp = tile.column("id").to_numpy(), tile.column("component").to_pylist()
+            sets = [np.frombuffer(x, dtype=np.uint64) for x in tile.column("members").to_pylist()]
+            parent = {c: c for c in comp}
+
+            def find(x, parent=parent):
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            links = []
+            for i, others in _likely_pairs(tile, percent, need):
+                for j in others:
+                    u, v = find(comp[i]), find(comp[j])
+                    if u != v and _linked(sets[i], sets[j], percent):
+                        parent[v] = u
+                        links.append((ids[i], ids[j]))
+            if links:
+                found = np.array(links, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["u", "v"])
 
     return run
 
 
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _and_end(batches: Iterator) -> Iterator:
     yield from batches
     yield None
 
 
+def _sets_of(nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """Full sets (doc_id, d1, members) of the classes named by ``nodes`` (doc_id): only the
+    texts of these documents are read into sets."""
+    wanted = C.join_small(_texts(docs), C.checkpointed(nodes.distinct()), "doc_id", "left_semi")
+    return C.checkpointed(_full_sets(wanted, words).dropDuplicates(["doc_id", "d1"]))
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
     """Links (u, v) among pairs (a, a1, b, b1), tested on the full sets."""
     pairs = C.checkpointed(pairs)
-    nodes = C.checkpointed(pairs.select(F.col("a").alias("doc_id"), F.col("a1").alias("want")).union(pairs.select("b", "b1")).distinct())
-    ids = nodes.select("doc_id").distinct()
-    # texts of the documents in pairs only; a document stands for its class
-    wanted = C.join_small(_texts(docs), ids, "doc_id", "left_semi")
-    sets = _full_sets(wanted, words).dropDuplicates(["doc_id", "d1"])
-    sets = C.checkpointed(sets)
+    sets = _sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), docs, words)
     left = sets.select(F.col("doc_id").alias("a"), F.col("d1").alias("a1"), F.col("members").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("d1").alias("b1"), F.col("members").alias("y"))
     return pairs.join(left, ["a", "a1"]).join(right, ["b", "b1"]).select("a", "b", "x", "y").mapInArrow(_set_test(percent), "u long, v long")
 
 
+def _hidden_links(labelled: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """Links (u, v) that join components, among the members (bucket, band, id, d1, n, component)
+    of buckets with several components."""
+    spark = docs.sparkSession
+    several = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("shingles"))
+    tiles = F.greatest(F.ceil(F.col("m") / TILE), F.ceil(F.col("shingles") / TILE_SHINGLES))
+    several = C.checkpointed(several.filter("lo < hi").select("bucket", tiles.alias("tiles")))
+    rest = labelled.join(several, "bucket").withColumn("own", F.pmod(F.xxhash64("id", "d1"), F.col("tiles")))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    rest = rest.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+                       F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "band", "id", "d1", "n", "component")
+    rest = rest.join(classes.select("id", "d1", "sig", "bands"), ["id", "d1"])
+    tile, columns = ["bucket", "lo", "hi"], ["bucket", "lo", "hi", "side", "band", "id", "d1", "n", "component", "sig", "bands"]
+    parts = C.shuffle_partitions(spark)
+    rest = rest.select(*columns).repartition(parts, *tile).sortWithinPartitions(*tile)
+    likely = C.checkpointed(rest.mapInArrow(_members_with_partners(percent), rest.schema))
+    sets = _sets_of(likely.select(F.col("id").alias("doc_id")), docs, words)
+    full = likely.join(sets.withColumnRenamed("doc_id", "id"), ["id", "d1"]).select(*columns, "members")
+    return full.repartition(parts, *tile).sortWithinPartitions(*tile).mapInArrow(_joining_links(percent), "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     spark = docs.sparkSession
@@ -252,7 +327,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataF
     graph = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = C.checkpointed(graph.groupBy("d1", "d2").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")))
-    members = classes.select(F.explode("bands").alias("bucket"), "id", "d1", "n")
+    members = classes.select(F.posexplode("bands").alias("band", "bucket"), "id", "d1", "n")
     hubs = C.checkpointed(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("id", "d1", "n")).alias("hub")).filter("m > 1"))
     shared = C.checkpointed(members.join(hubs, "bucket"))
     sizes_fit = 100 * F.least("n", F.col("hub.n")) >= percent * F.greatest("n", F.col("hub.n"))
@@ -266,19 +341,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataF
     links = C.checkpointed(_confirmed(likely, docs, percent, words))
     comp = C.checkpointed(connected_components(links))
 
-    # buckets with several components: all their members meet, in tiles
-    labelled = shared.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    labelled = C.checkpointed(labelled.select("bucket", "m", "id", "d1", "n", "component"))
-    open_buckets = C.checkpointed(labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("bucket"))
-    rest = labelled.join(open_buckets, "bucket").withColumn("tiles", F.ceil(F.col("m") / TILE)).withColumn("own", F.pmod(F.xxhash64("id", "d1"), F.col("tiles")))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    tiles = rest.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-                        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "id", "d1", "n", "component")
-    tiles = tiles.join(classes.select("id", "d1", "sig"), ["id", "d1"])
-    tile_key = ["bucket", "lo", "hi"]
-    met = tiles.repartition(C.shuffle_partitions(spark), *tile_key).sortWithinPartitions(*tile_key).select(
-        "bucket", "lo", "hi", "side", "id", "d1", "n", "component", "sig").mapInArrow(_tile_pairs(percent), "a long, a1 long, b long, b1 long").distinct()
-    more = C.checkpointed(_confirmed(met, docs, percent, words))
+    labelled = shared.join(comp.withColumnRenamed("node", "id"), "id", "left").select(
+        "bucket", "band", "id", "d1", "n", F.coalesce("component", "id").alias("component"))
+    more = C.checkpointed(_hidden_links(C.checkpointed(labelled), classes, docs, percent, words))
     if more.limit(1).count():
         comp = connected_components(comp.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
         comp = C.checkpointed(comp)
