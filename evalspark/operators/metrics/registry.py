@@ -17,7 +17,7 @@ METRICS: dict = {}
 
 #: Metrics that read the rows in a pass of their own.
 FRAMES = {"distinct_ngram", "word_entropy", "pearson", "pearson_correlation", "spearman", "spearman_correlation", "bleu", "rouge",
-          "sequence_labeling", "seqeval", "custom_script", "custom"}
+          "sequence_labeling", "seqeval", "custom_script", "custom", "bertscore", "token_match"}
 
 
 def register(*names: str):
@@ -156,7 +156,7 @@ from . import vectors as Ve  # noqa: E402
 
 @register("bertscore", "token_match")
 def _tm(df, keys, pred, label, **o):
-    return "aggs", Ve.token_match_aggs(pred, label)
+    return "frame", Ve.metric_token_match(df, keys, pred, label)
 
 
 @register("meteor")

@@ -14,36 +14,45 @@ from ...functions.text import let
 from .base import agg_to_long
 
 
-def _cos(a: Column, b: Column) -> Column:
-    def dot(x, y):
-        return F.aggregate(F.zip_with(x, y, lambda u, v: u * v), F.lit(0.0), lambda s, v: s + v)
+def _unit(v: Column) -> Column:
+    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+    return let(norm, lambda n: F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0))))
 
-    den = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return F.when(den > 0, dot(a, b) / den).otherwise(F.lit(0.0))
 
-
-def _greedy(src: Column, dst: Column) -> Column:
-    best = F.transform(src, lambda s: F.array_max(F.transform(dst, lambda d: _cos(s, d))))
-    return F.when(F.size(src) > 0, F.aggregate(best, F.lit(0.0), lambda acc, v: acc + v) / F.size(src))
+def _mean(values: Column) -> Column:
+    return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0), lambda s, v: s + v) / F.size(values))
 
 
 def token_match(pred, label) -> Column:
-    """struct(p, r, f) per pair."""
+    """struct(p, r, f) per pair: vectors are normalised once, the similarity matrix is built
+    once, its row maxima give the precision and its column maxima the recall."""
     p = F.col(pred).cast("array<array<double>>") if isinstance(pred, str) else pred
     l = F.col(label).cast("array<array<double>>") if isinstance(label, str) else label
 
     def build(pv, lv):
-        P, R = _greedy(pv, lv), _greedy(lv, pv)
+        matrix = F.transform(pv, lambda a: F.transform(lv, lambda b: F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda s, v: s + v)))
+        return let(matrix, measures(lv))
+
+    def measures(lv):
+        def of(m):
+            low = F.transform(lv, lambda b: F.lit(-2.0))
+            P = _mean(F.transform(m, lambda row: F.array_max(row)))
+            R = _mean(F.aggregate(m, low, lambda acc, row: F.zip_with(acc, row, lambda x, y: F.greatest(x, y))))
+            return F.struct(P.alias("p"), R.alias("r"))
+        return of
+
+    unit = lambda c: F.transform(c, _unit)
+    pr = let(unit(p), lambda pv: let(unit(l), lambda lv: build(pv, lv)))
+
+    def with_f(s):
+        P, R = s["p"], s["r"]
         return F.struct(P.alias("p"), R.alias("r"), F.when(P + R > 0, 2 * P * R / (P + R)).otherwise(F.lit(0.0)).alias("f"))
 
-    return let(p, lambda pv: let(l, lambda lv: build(pv, lv)))
-
-
-def token_match_aggs(pred, label):
-    s = token_match(pred, label)
-    return [("bertscore", f"bertscore_{k}", F.coalesce(F.avg(s[c]), F.lit(0.0)))
-            for k, c in (("precision", "p"), ("recall", "r"), ("f1", "f"))]
+    return let(pr, with_f)
 
 
 def metric_token_match(df: DataFrame, keys=("model", "task"), pred="prediction", label="label") -> DataFrame:
-    return agg_to_long(df, keys, token_match_aggs(pred, label))
+    """The match is projected once per pair, then averaged."""
+    pairs = df.select(*keys, token_match(pred, label).alias("s"))
+    entries = [("bertscore", f"bertscore_{k}", F.coalesce(F.avg(f"s.{c}"), F.lit(0.0))) for k, c in (("precision", "p"), ("recall", "r"), ("f1", "f"))]
+    return agg_to_long(pairs, keys, entries)

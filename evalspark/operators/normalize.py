@@ -108,11 +108,14 @@ def choices_from_wide(df: DataFrame, prefix: str = "choice_", out: str = "choice
 
 
 def choices_from_long(options: DataFrame, item: str = "item_id", idx: str = "option_idx", text: str = "text",
-                      out: str = "choices") -> DataFrame:
+                      out: str = "choices", extra: dict | None = None) -> DataFrame:
     """N5, transposed layout: one row per (option, item) -> item-wise arrays in option order.
-    Groups hold one item's options (a handful), so the collect is bounded."""
-    g = options.groupBy(item).agg(F.array_sort(F.collect_list(F.struct(F.col(idx).alias("i"), F.col(text).alias("t")))).alias("_o"))
-    return g.select(item, F.transform("_o", lambda x: F.coalesce(x["t"].cast("string"), F.lit(CHOICE_READ_ERROR))).alias(out))
+    Groups hold one item's options (a handful), so the collect is bounded. ``extra`` names
+    further aggregates of an item (its subject, say) that the same pass computes."""
+    extra = extra or {}
+    g = options.groupBy(item).agg(F.array_sort(F.collect_list(F.struct(F.col(idx).alias("i"), F.col(text).alias("t")))).alias("_o"),
+                                  *[c.alias(n) for n, c in extra.items()])
+    return g.select(item, *extra, F.transform("_o", lambda x: F.coalesce(x["t"].cast("string"), F.lit(CHOICE_READ_ERROR))).alias(out))
 
 
 def drop_missing_choices(df: DataFrame, custom_template: bool = False, col: str = "choices") -> DataFrame:

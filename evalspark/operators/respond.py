@@ -78,18 +78,16 @@ def math_dual_view(df: DataFrame, response: str = "response", target: str = "tar
 
 def pairing_audit(prompts: DataFrame, responses: DataFrame, keys: Sequence[str] = ("task", "item_id"),
                   model_col: str = "model") -> DataFrame:
-    """Q1: per (model, task), items paired (inner join), unanswered prompts (anti join)
-    and responses without a prompt. Scored rows come from the inner join only."""
+    """Q1: per (model, task), items paired, unanswered prompts and responses without a
+    prompt, from one join. Scored rows come from the inner join only."""
     keys = list(keys)
-    paired = prompts.join(responses, keys).groupBy(model_col, "task").agg(F.count(F.lit(1)).alias("paired"))
+    asked = prompts.select(*keys, F.lit(1).alias("_asked"))
+    found = responses.select(model_col, *keys).join(asked, keys, "left").groupBy(model_col, "task").agg(
+        F.count("_asked").alias("paired"), F.count_if(F.col("_asked").isNull()).alias("orphan_responses"))
     expected = prompts.groupBy("task").agg(F.count(F.lit(1)).alias("n_prompts"))
-    orphan = responses.join(prompts.select(*keys), keys, "left_anti").groupBy(model_col, "task") \
-        .agg(F.count(F.lit(1)).alias("orphan_responses"))
-    grid = paired.join(expected, "task", "left").join(orphan, [model_col, "task"], "full")
-    return grid.select(
-        model_col, "task", F.coalesce("paired", F.lit(0)).alias("paired"),
-        (F.coalesce("n_prompts", F.lit(0)) - F.coalesce("paired", F.lit(0))).alias("unanswered"),
-        F.coalesce("orphan_responses", F.lit(0)).alias("orphan_responses"))
+    # prompts of a model-task pair with no pair at all are reported by the status rows, not here
+    return found.join(expected, "task", "left").select(
+        model_col, "task", "paired", F.when(F.col("paired") > 0, F.col("n_prompts") - F.col("paired")).otherwise(F.lit(0)).alias("unanswered"), "orphan_responses")
 
 
 def status_rows(results_long: DataFrame, spec: DataFrame, keys: Sequence[str] = ("model", "task")) -> DataFrame:

@@ -144,10 +144,8 @@ MCQ_SQL = f"""
 
 
 def _mcq_items(spark, sf):
-    o = V.part_options(spark, sf)
-    items = N.choices_from_long(o)
-    subj = o.where((F.col("option_idx") == 0) & (F.col("item_id") % 2 == 0)).select("item_id", F.col("p_brand").alias("subject"))
-    items = items.join(subj, "item_id", "left")
+    brand = F.max(F.when((F.col("option_idx") == 0) & (F.col("item_id") % 2 == 0), F.col("p_brand")))
+    items = N.choices_from_long(V.part_options(spark, sf), extra={"subject": brand})
     items = items.withColumn("question", F.concat(F.lit("Which part was listed first for item "),
                                                    F.col("item_id").cast("string"), F.lit("?")))
     return N.with_subject(N.drop_missing_choices(items))
@@ -168,8 +166,8 @@ FROM ({MCQ_SQL})""")
 def mcqa_prompts(spark, sf):
     it = _mcq_items(spark, sf)
     a = P.mcq_prompts(it)
-    b = P.mcq_prompts(it, "Sub: {subject}\nQ: {question}\n{choices_formatted_str}\nA: ", out="custom_prompt")
-    return a.join(b.select("item_id", "custom_prompt"), "item_id").select("item_id", "subject", "prompt", "custom_prompt")
+    b = P.mcq_prompts(a, "Sub: {subject}\nQ: {question}\n{choices_formatted_str}\nA: ", out="custom_prompt")
+    return b.select("item_id", "subject", "prompt", "custom_prompt")
 
 
 @query("translation_prompts", f"""
