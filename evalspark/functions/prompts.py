@@ -1,8 +1,8 @@
 """Prompt construction (P1-P10) as column expressions.
 
 A template is parsed once on the driver with ``string.Formatter`` and
-compiled into a ``concat`` of literals and columns, so prompt building is a
-projection inside whole-stage codegen. Python ``str.format`` semantics: a
+compiled into a ``concat`` of literals and columns, so prompt building is one
+projection (choice lists are formatted by a higher-order function). Python ``str.format`` semantics: a
 missing field (or any field form other than a plain name) makes every row
 use the fallback text; a null value prints as ``None``.
 """

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.postprocess import final_number, py_str
+from ..functions.postprocess import py_str, with_final_number
 
 
 def attach_responses(prompts: DataFrame, responses: DataFrame, keys: Sequence[str] = ("task", "item_id"),
@@ -68,12 +68,8 @@ def regression_head(logits) -> Column:
 
 def math_dual_view(df: DataFrame, response: str = "response", target: str = "target_text") -> DataFrame:
     """Full texts and extracted final numbers side by side, each with its label."""
-    return df.withColumns({
-        "text_prediction": F.col(response),
-        "text_label": py_str(F.col(target)),
-        "prediction": final_number(F.col(response)),
-        "label": final_number(py_str(F.col(target))),
-    })
+    df = df.withColumns({"text_prediction": F.col(response), "text_label": py_str(F.col(target))})
+    return with_final_number(with_final_number(df, "text_prediction", "prediction"), "text_label", "label")
 
 
 def pairing_audit(prompts: DataFrame, responses: DataFrame, keys: Sequence[str] = ("task", "item_id"),
