@@ -162,6 +162,7 @@ def test_substrings_with_many_ranges(spark, sf_dir, monkeypatch):
     docs = C.read(spark, sf_dir, "documents")
     want = sorted(map(tuple, D.dedup_substrings(docs).collect()))
     monkeypatch.setattr(D, "RANGE_BYTES", 1 << 12)
+    monkeypatch.setattr(D, "BUCKET_BYTES", 1 << 13)
     assert sorted(map(tuple, D.dedup_substrings(docs.repartition(7)).collect())) == want
 
 
