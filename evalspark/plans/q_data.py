@@ -15,7 +15,7 @@ from ..session import shared_path
 from ..sources import readers as S
 from . import sqlfrag as Q
 from . import views as V
-from .catalog import finish, query, sql_choice_letter
+from .catalog import finish, query, sql_choice_label, sql_choice_letter
 
 # =====================================================================================
 # Sources
@@ -383,6 +383,47 @@ def post_final_number(spark, sf):
     return X.apply_post(_resp(spark, sf).drop("label_index"), "gsm8k")
 
 
+# The same extractors over whole real texts (documents and dialogue turns)
+SQL_TEXTS = """
+  SELECT 'documents' AS task, doc_id AS item_id, text AS prediction, doc_id % 6 AS label FROM documents
+  UNION ALL SELECT 'conversations', conv_id * 1000 + turn, text, turn % 6 FROM conversations
+"""
+_EDGE = r"[^\p{L}\p{M}\p{N}_]"
+# a letter on its own by Unicode word rules, which this dialect's \b does not follow
+SQL_TEXT_CHOICE = rf"""
+  CASE WHEN prediction IS NULL OR prediction = '' THEN 'INVALID_PRED' ELSE COALESCE(
+    NULLIF(regexp_extract(u, '(?:THE\s+CORRECT\s+ANSWER\s+IS|THE\s+ANSWER\s+IS|ANSWER:|CORRECT\s+OPTION:|OPTION:)\s*\(?([ABCD])\)?', 1), ''),
+    NULLIF(regexp_extract(u, 'CORRECT\s+IS\s+([ABCD])', 1), ''), NULLIF(regexp_extract(u, 'IS:\s*([ABCD])', 1), ''),
+    NULLIF(regexp_extract(u, '(?:^|{_EDGE})([ABCD])(?:{_EDGE}|$)', 1), ''), 'INVALID_PRED') END"""
+
+
+def _texts(spark, sf):
+    d = V.table(spark, sf, "documents").select(F.lit("documents").alias("task"), F.col("doc_id").alias("item_id"), F.col("text").alias("prediction"),
+                                               (F.col("doc_id") % 6).alias("label"))
+    c = V.table(spark, sf, "conversations").select(F.lit("conversations").alias("task"), (F.col("conv_id") * 1000 + F.col("turn")).alias("item_id"),
+                                                   F.col("text").alias("prediction"), (F.col("turn") % 6).cast("long").alias("label"))
+    return d.unionByName(c)
+
+
+@query("post_choice_letter_text", f"""
+SELECT task, item_id, {SQL_TEXT_CHOICE} AS prediction, {sql_choice_label('label')} AS label FROM (SELECT *, upper({Q.strip('prediction')}) AS u FROM ({SQL_TEXTS}))""")
+def post_choice_letter_text(spark, sf):
+    return X.apply_post(_texts(spark, sf), "mmlu")
+
+
+@query("post_final_number_text", f"""
+SELECT task, item_id, {Q.final_number('prediction')} AS prediction, CAST(label AS VARCHAR) AS label FROM ({SQL_TEXTS})""")
+def post_final_number_text(spark, sf):
+    return X.apply_post(_texts(spark, sf), "gsm8k")
+
+
+@query("post_sentiment_text", f"""
+SELECT task, item_id, CASE WHEN contains(lower({Q.strip('prediction')}), 'positive') OR regexp_matches(lower({Q.strip('prediction')}), '(?:^|{_EDGE})pos(?:{_EDGE}|$)')
+       THEN 1 ELSE 0 END AS prediction, CAST(label AS INTEGER) AS label FROM ({SQL_TEXTS})""")
+def post_sentiment_text(spark, sf):
+    return X.apply_post(_texts(spark, sf), "sst2")
+
+
 @query("post_sentiment", f"""
 SELECT {RESP_COLS}, CASE WHEN contains(lower({Q.strip('prediction')}), 'positive') OR regexp_matches(lower({Q.strip('prediction')}), '\\bpos\\b')
        THEN 1 ELSE 0 END AS prediction,
