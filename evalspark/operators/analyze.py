@@ -56,6 +56,20 @@ def report_wide(long_df: DataFrame, metrics: Sequence[str] | None = None) -> Dat
     return long_df.groupBy("model", "task").pivot("full_metric_name", list(metrics)).agg(F.first("score"))
 
 
+def report_json(json_docs: DataFrame, metrics: Sequence[str] | None = None, col: str = "json") -> DataFrame:
+    """O1 from nested documents: one row per (model, task) with a text column per metric (a
+    nested metric stays JSON); a task or model that is no object (an error text, a number) has
+    its text in ``result``. Metric names are given or read from the documents (few)."""
+    models = json_docs.select(F.explode(F.from_json(F.col(col), "map<string, string>")).alias("model", "mraw"))
+    models = models.withColumn("t", F.from_json("mraw", "map<string, string>"))
+    tasks = models.select("model", "mraw", F.col("t").isNull().alias("leaf"), F.explode_outer("t").alias("task", "traw"))
+    rows = tasks.where(F.col("leaf") | F.col("task").isNotNull()).withColumn("m", F.from_json("traw", "map<string, string>"))
+    rows = rows.withColumn("result", F.when(F.col("leaf"), F.col("mraw")).when(F.col("m").isNull(), F.col("traw")))
+    if metrics is None:
+        metrics = [r[0] for r in rows.select(F.explode(F.map_keys("m")).alias("k")).distinct().orderBy("k").collect()]
+    return rows.select("model", "task", "result", *[F.col("m").getItem(n).alias(n) for n in metrics])
+
+
 def results_melt(wide: DataFrame, ids: Sequence[str] = ("model", "task")) -> DataFrame:
     """A5 + A6: wide -> long with numeric coercion; ``rouge_x`` / ``bert_score_x`` names
     split on the first ``_`` (the latter can never match: its head is ``bert``)."""

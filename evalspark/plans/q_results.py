@@ -74,6 +74,20 @@ def results_long(spark, sf):
     return finish(A.results_long(_json_docs(spark, sf)))
 
 
+@query("report_json", f"""
+SELECT model, task, NULL::VARCHAR AS result, round(max(CASE WHEN metric = 'accuracy' THEN score END), 6) AS accuracy,
+       round(max(CASE WHEN metric = 'positive_rate' THEN score END), 6) AS positive_rate, NULL::VARCHAR AS error FROM {ML} GROUP BY ALL
+UNION ALL SELECT 'broken_model', 'error', 'Model failed entirely', NULL, NULL, NULL
+UNION ALL SELECT 'src_err', 'en', NULL, 0.5, NULL, repeat('x', 150)
+UNION ALL SELECT 'src_err', 'fr', NULL, 0.25, NULL, NULL
+UNION ALL SELECT 'no_tasks', NULL, 'skipped', NULL, NULL, NULL""")
+def report_json(spark, sf):
+    """O1 with error and scalar leaves."""
+    docs = _json_docs(spark, sf).unionByName(spark.createDataFrame([('{"no_tasks": "skipped"}',)], "json string"))
+    r = A.report_json(docs, ["accuracy", "positive_rate", "error"])
+    return finish(r.withColumns({c: A.to_float(F.col(c)) for c in ("accuracy", "positive_rate")}))
+
+
 @query("results_melt", f"""
 WITH w AS ({WIDE_SQL})
 {' UNION ALL '.join(f"SELECT model, task, '{m}' AS full_metric_name, round({m}, 6) AS score, '{m}' AS metric, NULL::VARCHAR AS sub_metric FROM w" for m in WIDE_METRICS)}""")
