@@ -10,7 +10,7 @@ follow-the-regularised-leader rule (elastic-net penalties), then temperature cal
 * Document frequencies come from all training documents (one aggregation of at most
   ``2**bits`` counts).
 * Weights are fitted on a bounded sample: at most ``per_language`` training documents of
-  each language, the ones with the smallest id hash; the next ``calibration`` ones set
+  each language, picked by a hash; the next ``calibration`` ones set
   the temperature.
 * The model (``languages * 2**bits`` floats, fixed size per language) goes to the tasks
   with the function that applies it.
@@ -40,12 +40,12 @@ TEXT_CHUNK = 1 << 19
 class LanguageConfig:
     """Fixed parameters; ``per_language`` and ``calibration`` bound the training sample."""
 
-    bits: int = 15
-    max_n: int = 3
+    bits: int = 16
+    max_n: int = 4
     per_language: int = 800
     calibration: int = 200
-    epochs: int = 2
-    alpha: float = 2.0
+    epochs: int = 3
+    alpha: float = 0.2
     beta: float = 1.0
     l1: float = 0.002
     l2: float = 0.01
@@ -219,7 +219,8 @@ def fit_ftrl(samples, n_languages: int, cfg: LanguageConfig) -> tuple[np.ndarray
 
 
 def fit_temperature(z: np.ndarray, y: np.ndarray) -> float:
-    """Temperature with the least negative log-likelihood (golden-section search)."""
+    """Temperature with the least negative log-likelihood (golden-section search). Not below
+    1/4: on a set without errors ever smaller ones would look better."""
     if len(y) == 0:
         return 1.0
 
@@ -227,7 +228,7 @@ def fit_temperature(z: np.ndarray, y: np.ndarray) -> float:
         p = softmax(z / np.exp(log_t))
         return float(-np.log(np.maximum(p[np.arange(len(y)), y], 1e-300)).mean())
 
-    a, b, r = np.log(0.05), np.log(20.0), (np.sqrt(5) - 1) / 2
+    a, b, r = np.log(0.25), np.log(20.0), (np.sqrt(5) - 1) / 2
     for _ in range(60):
         c, d = b - r * (b - a), a + r * (b - a)
         a, b = (a, d) if loss(c) < loss(d) else (c, b)
@@ -238,11 +239,17 @@ def fit_language_model(training: DataFrame, cfg: LanguageConfig = LanguageConfig
     """Model from rows (key, text, lang), lang not null. ``key`` orders the sample."""
     df, n = document_frequencies(training, cfg)
     idf = np.log((1.0 + n) / (1.0 + df)) + 1.0
+    wanted = cfg.per_language + cfg.calibration
+    # a first cut by hash leaves some four times the wanted rows of each language, so that
+    # the window below never gathers a language
+    rows = {r["lang"]: r["count"] for r in training.groupBy("lang").count().collect()}  # one row a language
+    rate = F.create_map(*[F.lit(x) for k, c in rows.items() for x in (k, min(1.0, 4.0 * wanted / c))])[F.col("lang")] if rows else F.lit(1.0)
     w = Window.partitionBy("lang").orderBy("h", "text")
-    sample = (training.filter(F.col("text").rlike(r"\p{L}"))
-              .withColumn("h", F.xxhash64("key", "text"))
+    sample = (training.withColumn("h", F.xxhash64("key", "text"))
+              .filter((F.pmod("h", F.lit(1 << 20)) / (1 << 20)) < rate)
+              .filter(F.col("text").rlike(r"\p{L}"))
               .withColumn("rank", F.row_number().over(w))
-              .filter(F.col("rank") <= cfg.per_language + cfg.calibration)
+              .filter(F.col("rank") <= wanted)
               .select("lang", "text", "rank", "h").orderBy("h", "lang", "rank"))
     sample = C.checkpointed(sample)  # bounded rows
     languages = sorted(r[0] for r in sample.select("lang").distinct().collect())
