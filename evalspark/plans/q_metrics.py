@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import postprocess as X
 from ..operators.evaluate import evaluate_suite
 from ..operators.metrics import classification as C
-from ..operators.metrics import corpus as K
 from ..operators.metrics import scored as S
 from ..operators.metrics.base import agg_to_long
 from . import sqlfrag as Q

@@ -9,7 +9,6 @@ from ..operators.metrics import scored as S
 from ..operators.metrics.base import long_from_wide
 from ..streaming import stream as T
 from . import sqlfrag as Q
-from . import views as V
 from .catalog import SQL_MCQ, finish, query, sql_choice_label, sql_choice_letter
 
 
