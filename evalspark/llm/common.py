@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, ship_package
 
 #: Text bytes handled at once inside a task; bounds the Numpy work arrays.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -61,9 +61,10 @@ def fmix(h: np.ndarray) -> np.ndarray:
 
 
 class ByteHash:
-    """Hashes of byte ranges from prefix sums; ``seed`` picks the random table."""
+    """Hashes of byte ranges from prefix sums; ``seed`` picks the random table. Ranges are
+    hashed in stretches of ``size`` bytes, which bounds the tables of powers."""
 
-    def __init__(self, seed: int = 1, lower: bool = False, size: int = CHUNK_BYTES):
+    def __init__(self, seed: int = 1, lower: bool = False, size: int = 1 << 18):
         rng = np.random.default_rng(seed)
         self.table = rng.integers(1, 2**63, 256, dtype=np.uint64) * _U64(2) + _U64(1)
         if lower:

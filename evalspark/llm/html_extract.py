@@ -398,6 +398,7 @@ def train_page_model(pages: DataFrame, sample: int = 400, id_col: str = "page_id
 
 def extract_text(pages: DataFrame, model: PageModel, carry: list[str], html_col: str = "html") -> DataFrame:
     """``carry`` columns of every page plus ``text``."""
+    C.prepare(pages.sparkSession)
     fields = pages.select(*carry).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

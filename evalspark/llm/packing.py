@@ -39,6 +39,9 @@ from . import common as C
 CAPACITY = 4096
 END_ID = 2
 
+#: Window numbers of one group lie below this (a group has some hundreds).
+MAX_WINDOWS = 1 << 24
+
 #: Byte classes: 0 other (not ASCII), 1 letter, 2 digit, 3 punctuation.
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[*range(33, 127)]] = 3
@@ -53,7 +56,8 @@ class UnitEncoder:
     place, so memory stays fixed whatever the vocabulary of the corpus."""
 
     SLOTS = 1 << 20
-    MAX_IDS = 1 << 23
+    MAX_IDS = 1 << 22
+    AT_ONCE = 4096
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
@@ -67,8 +71,8 @@ class UnitEncoder:
 
     def _clear(self) -> None:
         self.keys = np.zeros(self.SLOTS, dtype=np.uint64)
-        self.begin = np.zeros(self.SLOTS, dtype=np.int64)
-        self.size = np.zeros(self.SLOTS, dtype=np.int64)  # 0: empty slot
+        self.begin = np.zeros(self.SLOTS, dtype=np.int32)
+        self.size = np.zeros(self.SLOTS, dtype=np.int32)  # 0: empty slot
         self.store, self.used = np.empty(1 << 16, dtype=np.uint32), 0
 
     def _encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -125,13 +129,15 @@ class UnitEncoder:
         if self.used > self.MAX_IDS:
             self._clear()
         slot = (h >> np.uint64(44)).astype(np.int64)
-        begin, size = self.begin[slot], self.size[slot]
+        begin, size = self.begin[slot].astype(np.int64), self.size[slot].astype(np.int64)
         miss = np.flatnonzero((self.keys[slot] != h) | (size == 0))
         if len(miss):
             fresh, pick, inverse = np.unique(h[miss], return_index=True, return_inverse=True)
             raw = data.tobytes()
             lo, hi = at[miss[pick]].tolist(), stop[miss[pick]].tolist()
-            ids, sizes = self._encode([raw[a:b].decode() for a, b in zip(lo, hi)])
+            names = [raw[a:b].decode() for a, b in zip(lo, hi)]
+            done = [self._encode(names[i:i + self.AT_ONCE]) for i in range(0, len(names), self.AT_ONCE)]
+            ids, sizes = (np.concatenate(x) for x in zip(*done))
             while self.used + len(ids) > len(self.store):
                 self.store = np.concatenate([self.store, np.empty_like(self.store)])
             self.store[self.used:self.used + len(ids)] = ids
@@ -297,7 +303,7 @@ def assign_windows(pieces: DataFrame, capacity: int = CAPACITY, windows: int = 1
         w = window[order]
         first = np.concatenate([[True], w[1:] != w[:-1]])
         base = (ends - sizes[order])[first][np.cumsum(first) - 1]
-        return pd.DataFrame({"piece_id": group["piece_id"].to_numpy()[order], "window": group["grp"].to_numpy()[order] * (16 * windows + 1) + w, "offset": ends - sizes[order] - base})
+        return pd.DataFrame({"piece_id": group["piece_id"].to_numpy()[order], "window": group["grp"].to_numpy()[order] * MAX_WINDOWS + w, "offset": ends - sizes[order] - base})
 
     per_task = max(1, min(groups, C.shuffle_partitions(spark)))
     solved = (small.select("piece_id", "length", F.pmod(F.xxhash64("piece_id"), F.lit(groups)).alias("grp"))

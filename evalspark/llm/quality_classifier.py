@@ -97,18 +97,21 @@ def _with_text_last(docs: DataFrame, carry: list[str], text_col: str) -> DataFra
 
 
 def score_evidence(docs: DataFrame, model: EvidenceModel, carry: list[str], text_col: str = "text") -> DataFrame:
-    """``carry`` columns of every document plus ``evidence`` (double)."""
+    """``carry`` columns of every document plus ``evidence`` (double). A carried text crosses to
+    the tasks once."""
     fields = docs.select(*carry).schema
+    carried = text_col in carry
+    width, source = len(carry), text_col if carried else "__text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = C.ByteHash(3)
         for batch in batches:
-            for rows, buf, off in C.slices(batch, "__text"):
+            for rows, buf, off in C.slices(batch, source):
                 e = model.evidence(feature_matrix(buf, off, hasher))
-                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(e)], names=[*rows.schema.names[:-1], "evidence"])
+                yield pa.RecordBatch.from_arrays([*rows.columns[:width], pa.array(e)], names=[*rows.schema.names[:width], "evidence"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", evidence double"
-    return _with_text_last(docs, carry, text_col).mapInArrow(run, schema)
+    return (docs.select(*carry) if carried else _with_text_last(docs, carry, text_col)).mapInArrow(run, schema)
 
 
 def fit_evidence(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> EvidenceModel:
@@ -164,7 +167,7 @@ def site_posteriors(scored: DataFrame, base_logit: float) -> tuple[DataFrame, fl
     return sites.select("host", "path", "host_n", "host_good", "path_n", "path_good"), share, host_strength, path_strength
 
 
-def classify(docs: DataFrame, labels: DataFrame, carry: list[str], sample: int = 20_000, keep_at: float = 0.5) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, carry: list[str], sample: int = 20_000, keep_at: float = 0.5, text_col: str = "text") -> DataFrame:
     """``carry`` columns of every document plus host, path, evidence, host_posterior,
     path_posterior, quality (posterior probability) and kept."""
     C.prepare(docs.sparkSession)
@@ -173,7 +176,7 @@ def classify(docs: DataFrame, labels: DataFrame, carry: list[str], sample: int =
     sited = docs.withColumns({"__host": host, "__path": path})
     slim = C.checkpointed(score_evidence(sited, model, ["__host", "__path"]).withColumnsRenamed({"__host": "host", "__path": "path"}))
     sites, share, host_strength, path_strength = site_posteriors(slim, model.base_logit)
-    scored = score_evidence(sited, model, [*carry, "__host", "__path"])
+    scored = score_evidence(sited, model, [*carry, "__host", "__path"], text_col)
     known = C.join_small(scored.withColumn("__null", F.concat(F.col("__host").isNull().cast("string"), F.col("__path").isNull().cast("string")))
                          .withColumns({"__h": F.coalesce("__host", F.lit("")), "__p": F.coalesce("__path", F.lit(""))}),
                          sites.select(F.concat(F.col("host").isNull().cast("string"), F.col("path").isNull().cast("string")).alias("__null"),
@@ -196,5 +199,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     fresh = [f"__c{i}" for i in range(len(names))]
     # own names, so that columns of the input cannot clash with those of the classifier
     wide = docs.withColumns({f: F.col(f"`{n}`") for f, n in zip(fresh, names)})
-    out = classify(wide, labels, fresh, **options).filter("kept")
+    out = classify(wide, labels, fresh, text_col=fresh[names.index("text")], **options).filter("kept")
     return out.select(*[F.col(f).alias(n) for f, n in zip(fresh, names)])
