@@ -40,7 +40,7 @@ from .components import connected_components
 
 ROWS = 5
 MISS = 1e-7
-TILE = 256
+TILE = 1024
 #: Shingles of one side of a tile.
 TILE_SHINGLES = 1 << 21
 
