@@ -7,7 +7,10 @@
 * Schedule: slot n of the mix goes to the source in whose interval of the cumulative target
   weights the point frac(n * golden ratio) falls. The r-th slot of a source takes its r-th
   block, until the target is reached. So every stretch of the schedule mixes the sources close
-  to their weights, and reruns agree.
+  to their weights, and reruns agree. A source that the points hit too seldom (its target may be
+  far below a block) gets further slots for the blocks left, spread over the schedule after its
+  last point; these share the number of another slot, and (slot, sid) orders the mix. So every
+  source reaches its target to the word.
 
 Only DataFrame operations. No window spans a source: positions in a source's stream and ranks
 of its slots come from totals per (source, bucket), a running sum of these, and a window inside
@@ -94,7 +97,15 @@ def slot_schedule(targets: DataFrame, block: int) -> DataFrame:
         "sid", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("sid", "chunk").orderBy("slot")
     ranked = dealt.withColumn("r", F.row_number().over(inside)).join(totals, ["sid", "chunk"])
-    return ranked.withColumn("block", F.col("base") + F.col("r") - 1).filter("block < quota").select("slot", "sid", "block")
+    hit = ranked.withColumn("block", F.col("base") + F.col("r") - 1).filter("block < quota").select("slot", "sid", "block")
+    # the blocks without a slot, some few a source: both numbers below rise from block to block
+    got = dealt.groupBy("sid").agg(F.count(F.lit(1)).alias("got"), F.max("slot").alias("last"))
+    short = t.select("sid", "quota").join(got, "sid", "left").withColumn("got", F.coalesce("got", F.lit(0))).filter("got < quota")
+    missed = short.withColumn("block", F.explode(F.sequence(F.col("got"), F.col("quota") - 1)))
+    phase = (F.col("sid") + 1) * F.lit(GOLDEN)
+    even = F.floor((F.col("block") + phase - F.floor(phase)) * F.lit(float(need["n"] or 0)) / F.col("quota"))
+    after = F.coalesce("last", F.lit(-1)) + 1 + F.col("block") - F.col("got")
+    return hit.union(missed.select(F.greatest(even, after).alias("slot"), "sid", "block"))
 
 
 def mix_pieces(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, cap: int = 2, slots: int = 1 << 21, seed: int = 17) -> DataFrame:

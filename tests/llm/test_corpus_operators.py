@@ -208,6 +208,33 @@ def test_mixing_meets_targets(spark, sf_dir, edge_docs, no_docs):
     assert X.taken_words(X.mix_pieces(no_docs)).count() == 0
 
 
+def test_mixing_meets_targets_far_below_a_block(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40)), "big") for i in range(500)]
+    rows += [(1000 + i, " ".join(f"s{j}" for j in range(1 + i % 7)), f"small{i:02d}") for i in range(40)] + [(2000, "one two three", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    target, source = brute_targets(sizes), {i: s for i, _, s in rows}
+    for slots in (1 << 21, 40, 3):  # blocks of 32, some 760 and some 10,000 words
+        taken = defaultdict(int)
+        for r in X.taken_words(X.mix_pieces(docs, slots=slots)).collect():
+            taken[source[r.doc_id]] += r.taken
+        assert dict(taken) == {s: int(t) for s, t in target.items()}
+    mixed = X.mixed_documents(docs, slots=3)
+    assert {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(X.word_count(F.col("text"))).alias("n")).collect()} == taken
+
+
+def test_schedule_deals_every_block_once(spark):
+    sizes = [10**6, 5, 70, 3, 33, 1, 4000] + [1] * 30
+    targets = spark.createDataFrame([(str(i), i, n, float(n)) for i, n in enumerate(sizes)], "source string, sid long, source_size long, target double")
+    rows = X.slot_schedule(targets, 32).orderBy("slot", "sid").collect()
+    for i, n in enumerate(sizes):  # in order, none missing, none twice
+        assert [r.block for r in rows if r.sid == i] == list(range(-(-n // 32)))
+    lone = sorted(r.slot for r in rows if sizes[r.sid] == 1)
+    assert lone[0] < len(rows) * 0.2 and lone[-1] > len(rows) * 0.8 and max(r.slot for r in rows) < len(rows) + 16 * len(sizes) + 256
+
+
 def test_schedule_is_well_spread(spark):
     targets = spark.createDataFrame([("a", 0, 100000, 50000.0), ("b", 1, 100000, 30000.0), ("c", 2, 100000, 20000.0)], "source string, sid long, source_size long, target double")
     rows = X.slot_schedule(targets, 32).orderBy("slot").collect()
