@@ -1,8 +1,8 @@
 """From raw documents to packed training sequences in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the last return the
-columns of ``documents``; the last returns the packed pieces. Between stages the rows are written
-as Parquet in the shared folder and read again.
+columns of ``documents``; the last returns the packed pieces with their ids. Between stages the
+rows are written as Parquet in the shared folder and read again.
 
 Defined cases follow the operators': null or empty texts are rejected, kept or packed as these
 say; repeated rows stay until near-duplicate removal keeps one; extra columns pass through.
@@ -46,9 +46,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the token sequences: where each lies and a digest of its ids."""
-    pieces = packing.tokenize_pieces(docs, tokenizer_path())
-    return packing.assign_windows(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    """Pieces of the token sequences: their ids (little-endian uint32), a digest of these, and
+    where each lies. The ids of a sequence_id, joined in the order of offset, are one sequence."""
+    return packing.pack_documents(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

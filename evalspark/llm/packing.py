@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_path
 from . import common as C
 
 CAPACITY = 4096
@@ -287,9 +288,13 @@ def assign_windows(pieces: DataFrame, capacity: int = CAPACITY, windows: int = 1
     """``pieces`` plus sequence_id and offset (gapless from 0 in each sequence).
 
     ``pieces`` needs doc_id, start and length <= capacity; other columns are carried."""
-    spark = pieces.sparkSession
     kept = C.checkpointed(pieces)  # fixes the rows' order, which numbers them
-    numbered = kept.withColumn("piece_id", F.monotonically_increasing_id())
+    return place_pieces(kept.withColumn("piece_id", F.monotonically_increasing_id()), capacity, windows)
+
+
+def place_pieces(numbered: DataFrame, capacity: int = CAPACITY, windows: int = 128) -> DataFrame:
+    """As :func:`assign_windows`, for stored pieces that have a unique piece_id."""
+    spark = numbered.sparkSession
     small = numbered.filter(F.col("length") < capacity)
     total = small.agg(F.sum("length").alias("ids"), F.count(F.lit(1)).alias("n")).first()
     groups = max(1, -(-(total["ids"] or 0) // (capacity * windows)), -(-total["n"] // (16 * windows)))
@@ -310,9 +315,15 @@ def assign_windows(pieces: DataFrame, capacity: int = CAPACITY, windows: int = 1
               .repartition(per_task, "grp").groupBy("grp").applyInPandas(solve, "piece_id long, window long, offset long"))
     out = numbered.join(solved, "piece_id", "left")
     # odd ids: windows of the groups; even ids: full pieces, numbered by piece
-    return out.select(*pieces.columns, F.when(F.col("window").isNotNull(), F.col("window") * 2 + 1).otherwise(F.col("piece_id") * 2).alias("sequence_id"), F.coalesce("offset", F.lit(0).cast("long")).alias("offset"))
+    return out.select(*[c for c in numbered.columns if c != "piece_id"], F.when(F.col("window").isNotNull(), F.col("window") * 2 + 1).otherwise(F.col("piece_id") * 2).alias("sequence_id"), F.coalesce("offset", F.lit(0).cast("long")).alias("offset"))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, part: int = 1024, windows: int = 128, end_id: int = END_ID) -> DataFrame:
-    """Packed pieces with their ids: doc_id, start, length, doc_tokens, ids, sequence_id, offset."""
-    return assign_windows(tokenize_pieces(docs, tokenizer_path, capacity, part, end_id), capacity, windows)
+    """Packed pieces with their ids: doc_id, start, length, doc_tokens, ids, sequence_id, offset.
+
+    The pieces are written once, numbered, as Parquet: the windows are solved from two of its
+    columns, and the ids are read again only to be returned."""
+    path = shared_path(docs.sparkSession, "pieces")
+    pieces = tokenize_pieces(docs, tokenizer_path, capacity, part, end_id)
+    pieces.withColumn("piece_id", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
+    return place_pieces(docs.sparkSession.read.parquet(path), capacity, windows)

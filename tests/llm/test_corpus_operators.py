@@ -359,3 +359,27 @@ def test_pipeline_stages(spark, sf_dir):
     ends = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("m"))
     assert ends.filter("n <> m or n > 4096").count() == 0
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_pipeline_returns_whole_sequences(spark, sf_dir, edge_docs):
+    """The ids of the last stage join to sequences that hold every reading of every document."""
+    import corpus_pipeline as pipeline
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(queries.tokenizer_path())
+    for docs in (C.read(spark, sf_dir, "documents").limit(100).union(C.read(spark, sf_dir, "documents").limit(40)), edge_docs):
+        rows = pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+        pieces, sequences = defaultdict(int), defaultdict(list)
+        for r in rows:
+            assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length
+            pieces[r.doc_id, r.start, r.ids] += 1
+            sequences[r.sequence_id].append((r.offset, r.ids))
+        whole = [np.frombuffer(b"".join(x for _, x in sorted(s)), dtype="<u4") for s in sequences.values()]
+        want, ends = defaultdict(int), 0
+        for d in docs.select("doc_id", "text").collect():
+            ids = np.array(tok.encode(d.text or "", add_special_tokens=False).ids + [P.END_ID], dtype="<u4")
+            ends += int((ids == P.END_ID).sum())
+            for start, length in zip(*P.cut_lengths(np.array([len(ids)]), P.CAPACITY, 1024)[1:]):
+                want[d.doc_id, int(start), ids[start:start + length].tobytes()] += 1
+        assert pieces == want
+        assert max(map(len, whole)) <= P.CAPACITY and sum(int((s == P.END_ID).sum()) for s in whole) == ends
