@@ -149,14 +149,15 @@ def slices(batch: pa.RecordBatch, column: str, size: int = CHUNK_BYTES) -> Itera
         i = j
 
 
-def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(buf: np.ndarray, off: np.ndarray, space: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first) of the words: word k is buf[starts[k]:ends[k]], and row r
-    holds words first[r] .. first[r + 1] - 1. A row boundary always ends a word."""
+    holds words first[r] .. first[r + 1] - 1. A row boundary always ends a word. ``space``
+    flags the bytes that separate words (ASCII ones, so that no code point is split)."""
     n = len(buf)
     if n == 0:
         e = np.empty(0, dtype=np.int64)
         return e, e, np.zeros(len(off), dtype=np.int64)
-    word = ~IS_SPACE[buf]
+    word = ~space[buf]
     edge = np.zeros(n + 1, dtype=bool)
     edge[1:n] = word[1:] & ~word[:-1]
     edge[0] = word[0]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import html_extract, language_id, minhash_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, topk
+from . import chat_format, conversation_repair, html_extract, language_id, lexical_search, minhash_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -142,3 +142,51 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = C.read(spark, sf_dir, "pages")
     out = html_extract.extract_text(pages, html_extract.train_page_model(pages), ["page_id", "url"])
     return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op11_chat_format", r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, role)),
+e AS (
+  SELECT *, regexp_replace(regexp_replace(text, '(\\*)(### |</turn>)', '\1\1\\\2', 'g'), '(\\+)$', '\1\1') AS x,
+         regexp_replace(regexp_replace(role, '(\\*)(### |</turn>|: )', '\1\1\\\2', 'g'), '(\\+)$', '\1\1') AS y FROM r)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, x)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, x) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('### ' || y || ': ' || x || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+""")
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and what the parser and the loss spans give back."""
+    rows = C.read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hostile = spark.range(2, numPartitions=1).select(
+        F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"))
+    return chat_format.read_back(chat_format.format_conversations(rows.unionByName(hostile)), in_order=True)
+
+
+@query("op12_lexical_search", r"""
+WITH t AS (
+  SELECT row_number() OVER () AS d, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+n AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM t),
+m AS (SELECT d, doc_id, w, 25 + (75 * len(w) * n_docs) // n_terms AS m FROM t, n WHERE len(w) > 0),
+p AS (SELECT d, doc_id, m, term, count(*) AS tf FROM (SELECT d, doc_id, m, unnest(w) AS term FROM m) GROUP BY ALL),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight FROM p, n GROUP BY term, n_docs),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (SELECT item_id, d, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN f USING (term) JOIN p USING (term) GROUP BY item_id, d, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10
+""")
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.rank_documents(C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "benchmark"), 10)
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation and its cheapest repair."""
+    return conversation_repair.repair_conversations(conversation_repair.damage(C.read(spark, sf_dir, "conversations")))
