@@ -136,6 +136,9 @@ def _tail_edges() -> list[tuple[int, int, str, int, int]]:
 
 EDGES = {(i, f): _edges(i, f) for i in ("s", "u", "a", "") for f in range(4)}
 TAIL = _tail_edges()
+#: From any state, two inserts and a deletion make up for having been in any other one. So a
+#: state that costs more than that above the cheapest lies on no cheapest path.
+MAKE_UP = 2 * COST["I"] + COST["D"]
 #: Bits of the rank that stands for all earlier windows.
 RANK = 8
 
@@ -187,6 +190,8 @@ class _Path:
         if last:
             v, s = min((best[s], s) for s in ENDS if s in best)
             best, self.cost = {s: v}, v >> low + RANK
+        least = min(best.values()) >> low + RANK
+        best = {s: v for s, v in best.items() if v >> low + RANK <= least + MAKE_UP}
         self.windows.append((back, self.rows))
         self.rows = []
         below = (1 << low + RANK) - 1
