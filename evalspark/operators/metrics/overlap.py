@@ -9,7 +9,6 @@ per pair in an Arrow batch UDF; the mean over pairs is a Spark aggregate.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 
 import pandas as pd
@@ -56,64 +55,136 @@ def _bleu_stats_udf(max_n: int):
     return stats
 
 
+#: Smoothing methods whose formula also reads the last pair of the corpus.
+LAST_PAIR = {"method5", "method6", "method7"}
+#: Order of the extra precision that methods 5 and 7 take from the last pair.
+EXTRA_ORDER = 5
+#: Weight of the interpolated precision in method 6.
+ALPHA = 5.0
+TINY = 2.2250738585072014e-308
+
+
 def _smoothing_key(smoothing) -> str:
     if smoothing is True:
         return "method1"
     if smoothing is False or smoothing is None:
         return "method0"
     s = str(smoothing)
-    if s in ("method5", "method6", "method7"):
-        raise ValueError(f"BLEU smoothing {s} depends on the order of the sentence pairs and has no distributed form")
-    return s if s in {f"method{i}" for i in range(5)} else "method1"
+    return s if s in {f"method{i}" for i in range(8)} else "method1"
 
 
-def bleu_score(stats: DataFrame, keys, weights, smoothing) -> DataFrame:
-    """Corpus BLEU from summed statistics, one row per key."""
-    w = list(weights)
-    method = _smoothing_key(smoothing)
-    num = [F.col(f"c{i}").cast("double") for i in range(1, len(w) + 1)]
-    den = [F.col(f"t{i}").cast("double") for i in range(1, len(w) + 1)]
-    c, r = F.col("hyp_len").cast("double"), F.col("ref_len").cast("double")
+def bleu_states(df: DataFrame, keys, pred="prediction", label="label", max_n: int = 4, order=()) -> DataFrame:
+    """Sufficient statistics of corpus BLEU, one row per key: clipped and total n-gram counts,
+    lengths, whether a reference is missing and, with ``order``, what smoothing methods 5-7 read
+    of the last pair in that order. States of parts of the corpus merge (``merge_bleu_states``)."""
+    keys, order = list(keys), list(order)
+    top = max(max_n, EXTRA_ORDER) if order else max_n
+    lab = F.col(label)
+    refs = lab if isinstance(df.schema[label].dataType, T.ArrayType) else F.array(lab)
+    rows = df.where(F.col(pred).isNotNull()).select(
+        *keys, *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
+        F.col(pred).alias("_h"), refs.alias("_r"), F.when(lab.isNull(), 1).otherwise(0).alias("bad"))
+    stats = _bleu_stats_udf(top)(F.col("_h"), F.coalesce(F.col("_r"), F.array().cast("array<string>")))
+    rows = rows.select(*keys, *[f"_o{i}" for i in range(len(order))], "bad", stats.alias("s"))
+    rows = rows.select(*keys, "bad", *[F.col(f"s.{x}{i}").alias(f"{x}{i}") for x in "ct" for i in range(1, max_n + 1)], "s.hyp_len", "s.ref_len",
+                       *([F.struct(*[f"_o{i}" for i in range(len(order))], F.col("s.hyp_len").alias("length"), F.col(f"s.c{EXTRA_ORDER}").alias("clipped"),
+                                   F.col(f"s.t{EXTRA_ORDER}").alias("total")).alias("last")] if order else []))
+    return merge_bleu_states(rows, keys)
+
+
+def merge_bleu_states(states: DataFrame, keys) -> DataFrame:
+    """Add up states (of rows, batches or partitions) per key; the latest last pair stays."""
+    counts = [c for c in states.columns if c in ("hyp_len", "ref_len") or c[0] in "ct" and c[1:].isdigit()]
+    aggs = [F.sum(c).alias(c) for c in counts] + [F.max("bad").alias("bad")]
+    aggs += [F.max("last").alias("last")] if "last" in states.columns else []
+    return states.groupBy(*keys).agg(*aggs)
+
+
+def _smoothed(method: str, num: list[Column], den: list[Column], length: Column) -> list[Column]:
+    """Precisions by methods 0-4 (functions of the summed counts alone)."""
     ps: list[Column] = []
     k = F.lit(0)
     for i, (a, b) in enumerate(zip(num, den)):
-        zero = a == 0
+        zero, plain = a == 0, a / b
         if method == "method0":
-            p = F.when(zero, F.lit(2.2250738585072014e-308)).otherwise(a / b)
+            p = F.when(zero, F.lit(TINY)).otherwise(plain)
         elif method == "method2":
-            p = (a + 1) / (b + 1) if i > 0 else F.when(zero, F.lit(2.2250738585072014e-308)).otherwise(a / b)
+            p = (a + 1) / (b + 1) if i > 0 else F.when(zero, F.lit(TINY)).otherwise(plain)
         elif method in ("method3", "method4"):
             k = k + zero.cast("int")  # k-th zero precision so far
             if method == "method3":
-                p = F.when(zero, 1.0 / (F.pow(F.lit(2.0), k) * b)).otherwise(a / b)
+                p = F.when(zero, 1.0 / (F.pow(F.lit(2.0), k) * b)).otherwise(plain)
             else:
-                p = F.when(zero & (c > 1), (1.0 / (F.pow(F.lit(2.0), k) * 5.0 / F.log(c))) / b) \
-                    .when(zero, F.lit(2.2250738585072014e-308)).otherwise(a / b)
+                p = F.when(zero & (length > 1), (1.0 / (F.pow(F.lit(2.0), k) * 5.0 / F.log(length))) / b) \
+                    .when(zero, F.lit(TINY)).otherwise(plain)
         else:  # method1
-            p = F.when(zero, (a + 0.1) / b).otherwise(a / b)
+            p = F.when(zero, (a + 0.1) / b).otherwise(plain)
         ps.append(p)
-    logs = sum((F.lit(float(wi)) * F.log(p) for wi, p in zip(w, ps)), F.lit(0.0))
+    return ps
+
+
+def _averaged(stats: DataFrame, n: int) -> DataFrame:
+    """Method 5: each precision ``p1 .. pn`` becomes the mean of its smoothed predecessor, itself
+    and its successor; the successor of the last is the extra precision of the last pair."""
+    after = [F.col(f"p{i + 1}") for i in range(1, n)] + [F.col("last.clipped") / F.col("last.total")]
+    stats = stats.withColumn("q0", F.col("p1") + 1)
+    for i in range(1, n + 1):  # one projection each, so that no expression repeats the ones before it
+        stats = stats.withColumn(f"q{i}", (F.col(f"q{i - 1}") + F.col(f"p{i}") + after[i - 1]) / 3)
+    return stats.withColumns({f"p{i}": F.col(f"q{i}") for i in range(1, n + 1)})
+
+
+def _interpolated(stats: DataFrame, n: int) -> DataFrame:
+    """Method 6: from the third order on, a precision is interpolated from the two before it,
+    over the n-grams of the last hypothesis; it is undefined without a trigram match."""
+    stats = stats.withColumn("defined", F.col("c3") > 0 if n >= 3 else F.lit(False))
+    for i in range(3, n + 1):
+        guess = F.when(F.col(f"p{i - 2}") == 0, 0.0).otherwise(F.col(f"p{i - 1}") * F.col(f"p{i - 1}") / F.col(f"p{i - 2}"))
+        size = F.greatest(F.col("last.length") - (i - 1), F.lit(0))
+        stats = stats.withColumn(f"p{i}", (F.col(f"c{i}") + ALPHA * guess) / (size + ALPHA))
+    return stats
+
+
+def bleu_score(stats: DataFrame, keys, weights, smoothing) -> DataFrame:
+    """Corpus BLEU from summed statistics, one row per key. As in the library, a score that is
+    undefined (a zero precision that the method leaves) is 0.0."""
+    w = list(weights)
+    n, method = len(w), _smoothing_key(smoothing)
+    if method in LAST_PAIR and "last" not in stats.columns:
+        raise ValueError(f"BLEU smoothing {method} reads the last sentence pair: name the order of the pairs (order=[...])")
+    num = [F.col(f"c{i}").cast("double") for i in range(1, n + 1)]
+    den = [F.col(f"t{i}").cast("double") for i in range(1, n + 1)]
+    c, r = F.col("hyp_len").cast("double"), F.col("ref_len").cast("double")
+    if method == "method7":
+        ps = _smoothed("method4", num, den, c)
+    elif method in LAST_PAIR:
+        ps = [a / b for a, b in zip(num, den)]
+    else:
+        ps = _smoothed(method, num, den, c)
+    stats = stats.withColumns({f"p{i}": p for i, p in enumerate(ps, 1)} | {"defined": F.lit(True)})
+    if method in ("method5", "method7"):
+        stats = _averaged(stats, n)
+    elif method == "method6":
+        stats = _interpolated(stats, n)
+    precision = [F.col(f"p{i}") for i in range(1, n + 1)]
+    zero = F.lit(False)
+    for p in precision:
+        zero = zero | (p <= 0)
+    logs = sum((F.lit(float(wi)) * F.log(p) for wi, p in zip(w, precision)), F.lit(0.0))
     bp = F.when(c > r, F.lit(1.0)).when(c == 0, F.lit(0.0)).otherwise(F.exp(1 - r / c))
-    score = F.when(F.col("bad") == 1, F.lit(0.0)).when(num[0] == 0, F.lit(0.0)).otherwise(bp * F.exp(logs))
-    return stats.select(*keys, score.alias("score"))
+    undefined = (F.col("bad") == 1) | (num[0] == 0) | ~F.col("defined") | zero
+    return stats.select(*keys, F.when(undefined, F.lit(0.0)).otherwise(bp * F.exp(logs)).alias("score"))
 
 
 def metric_bleu(df: DataFrame, keys=("model", "task"), pred="prediction", label="label",
-                weights=(0.25, 0.25, 0.25, 0.25), smoothing="method1") -> DataFrame:
+                weights=(0.25, 0.25, 0.25, 0.25), smoothing="method1", order=()) -> DataFrame:
     """M6: corpus BLEU per key. Rows with a null prediction are skipped; a null
-    reference on a kept row makes the key's score 0.0 (the library would fail)."""
+    reference on a kept row makes the key's score 0.0 (the library would fail). Smoothing
+    methods 5-7 read the last pair, which ``order`` (columns, ascending) defines."""
     keys = list(keys)
-    max_n = len(weights)
-    lab = F.col(label)
-    refs = lab if isinstance(df.schema[label].dataType, T.ArrayType) else F.array(lab)
-    rows = df.where(F.col(pred).isNotNull()).select(
-        *keys, F.col(pred).alias("_h"), refs.alias("_r"), F.when(lab.isNull(), 1).otherwise(0).alias("_bad"))
-    st = rows.select(*keys, "_bad", _bleu_stats_udf(max_n)(F.col("_h"), F.coalesce(F.col("_r"), F.array().cast("array<string>"))).alias("s"))
-    sums = [F.sum(f"s.c{i}").alias(f"c{i}") for i in range(1, max_n + 1)]
-    sums += [F.sum(f"s.t{i}").alias(f"t{i}") for i in range(1, max_n + 1)]
-    agg = st.groupBy(*keys).agg(*sums, F.sum("s.hyp_len").alias("hyp_len"), F.sum("s.ref_len").alias("ref_len"),
-                                F.max("_bad").alias("bad"))
-    return long_from_wide(bleu_score(agg, keys, weights, smoothing), keys, [("score", "bleu", "")])
+    needs = [order] if isinstance(order, str) else list(order)
+    needs = needs if _smoothing_key(smoothing) in LAST_PAIR else []
+    states = bleu_states(df, keys, pred, label, len(weights), needs)
+    return long_from_wide(bleu_score(states, keys, weights, smoothing), keys, [("score", "bleu", "")])
 
 
 # --- ROUGE ----------------------------------------------------------------------------
@@ -217,47 +288,60 @@ def _lib_key(k: str) -> str:
     return k
 
 
-def metric_rouge(df: DataFrame, keys=("model", "task"), pred="prediction", label="label",
-                 metrics=("rouge-l",), stats=("f",)) -> DataFrame:
-    """M7 / M8: mean per-pair ROUGE over pairs where both sides are non-blank.
-    Keys ``{config_key}_{stat}``; unknown types or stats give 0.0; ``rougeLsum`` is
-    ROUGE-L. A pair with no sentence (only dots) makes the key report
-    ``rouge_exception = 1.0`` instead, as the library raises."""
-    keys = list(keys)
-    h, r = py_strip(py_str(F.col(pred))), py_strip(py_str(F.col(label)))
-    base = df.select(*keys, h.alias("_h"), r.alias("_r"))
-    valid = (F.col("_h") != "") & (F.col("_r") != "")
+def rouge_parts(pred="prediction", label="label", metrics=("rouge-l",), stats=("f",), prefix: str = "_"):
+    """M7 / M8 in three parts that a batch and a stream share: projections in stages (each may
+    read the ones before), aggregates, and the long rows of the aggregated table."""
+    def at(name: str) -> str:
+        return f"{prefix}{name}"
+
+    h, r = F.col(at("h")), F.col(at("r"))
+    valid = (h != "") & (r != "")
     lib = {m: _lib_key(m) for m in metrics}
-    need_l = any(v in ("rouge-l", "rouge-lsum") for v in lib.values())
     ns = sorted({int(v.split("-")[1]) for v in lib.values() if v in ("rouge-1", "rouge-2")})
-    hw, rw = rouge_words(F.col("_h")), rouge_words(F.col("_r"))
-    cols = [valid.alias("_ok"), F.when(~valid, 0).when((F.size(F.filter(F.split("_h", r"\."), lambda s: F.length(s) > 0)) == 0)
-                   | (F.size(F.filter(F.split("_r", r"\."), lambda s: F.length(s) > 0)) == 0), 1).otherwise(0).alias("_exc")]
-    def rn(n):
-        return F.when(valid, let(hw, lambda a: let(rw, lambda b: _rouge_n(a, b, n))))
-
-    cols += [rn(n).alias(f"_r{n}") for n in ns]
-    if need_l:
-        cols.append(_rouge_l_udf(F.col("_h"), F.col("_r")).alias("_rl"))
-    scored = base.select(*keys, *cols)
-    aggs, entries = [F.max("_exc").alias("_exc")], []
+    no_sentence = [F.size(F.filter(F.split(x, r"\."), lambda s: F.length(s) > 0)) == 0 for x in (h, r)]
+    second = {at("ok"): valid, at("exc"): F.when(~valid, 0).when(no_sentence[0] | no_sentence[1], 1).otherwise(0)}
+
+    def of_order(n: int) -> Column:
+        return F.when(valid, let(rouge_words(h), lambda a: let(rouge_words(r), lambda b: _rouge_n(a, b, n))))
+
+    second |= {at(f"r{n}"): of_order(n) for n in ns}
+    if any(v in ("rouge-l", "rouge-lsum") for v in lib.values()):
+        second[at("rl")] = _rouge_l_udf(h, r)
+    stages = [{at("h"): py_strip(py_str(F.col(pred))), at("r"): py_strip(py_str(F.col(label)))}, second]
+    aggs, entries = [F.max(at("exc")).alias(at("exc"))], []
     for k in metrics:
-        v = lib[k]
-        src = {"rouge-1": "_r1", "rouge-2": "_r2", "rouge-l": "_rl", "rouge-lsum": "_rl"}.get(v)
+        src = {"rouge-1": "r1", "rouge-2": "r2", "rouge-l": "rl", "rouge-lsum": "rl"}.get(lib[k])
         name = "rougeLsum" if k.lower() == "rougelsum" else k
         for s in stats:
-            col = f"_a{len(entries)}"
+            col = at(f"a{len(entries)}")
             if src is not None and s in ("f", "p", "r"):
-                aggs.append(F.avg(F.when(F.col("_ok"), F.col(f"{src}.{s}"))).alias(col))
+                aggs.append(F.avg(F.when(F.col(at("ok")), F.col(f"{at(src)}.{s}"))).alias(col))
             else:
                 aggs.append(F.lit(0.0).alias(col))
             entries.append((col, "rouge", f"{name}_{s}"))
-    wide = scored.groupBy(*keys).agg(*aggs)  # keys without a valid pair report zeros
-    long = long_from_wide(wide.withColumn("_exc", F.coalesce("_exc", F.lit(0))), keys + ["_exc"], entries)
-    long = long.withColumn("score", F.coalesce("score", F.lit(0.0)))
-    exc = wide.where(F.col("_exc") == 1).select(*keys, F.lit("rouge").alias("metric"),
-                                                  F.lit("rouge_exception").alias("sub_metric"), F.lit(1.0).alias("score"))
-    return long.where(F.col("_exc") == 0).drop("_exc").unionByName(exc)
+
+    def finish(wide: DataFrame, keys: list[str]) -> DataFrame:
+        exc = at("exc")
+        long = long_from_wide(wide.withColumn(exc, F.coalesce(exc, F.lit(0))), [*keys, exc], entries)
+        long = long.withColumn("score", F.coalesce("score", F.lit(0.0)))  # keys without a valid pair report zeros
+        failed = wide.where(F.col(exc) == 1).select(*keys, F.lit("rouge").alias("metric"), F.lit("rouge_exception").alias("sub_metric"), F.lit(1.0).alias("score"))
+        return long.where(F.col(exc) == 0).drop(exc).unionByName(failed)
+
+    return stages, aggs, finish
+
+
+def metric_rouge(df: DataFrame, keys=("model", "task"), pred="prediction", label="label",
+                 metrics=("rouge-l",), stats=("f",)) -> DataFrame:
+    """M7 / M8: mean per-pair ROUGE over pairs where both sides are non-blank.
+    Keys ``{config_key}_{stat}``; unknown types or stats give 0.0; ``rougeLsum`` is
+    ROUGE-L. A pair with no sentence (only dots) makes the key report
+    ``rouge_exception = 1.0`` instead, as the library raises."""
+    keys = list(keys)
+    stages, aggs, finish = rouge_parts(pred, label, metrics, stats)
+    df = df.select(*keys, pred, label)
+    for stage in stages:
+        df = df.withColumns(stage)
+    return finish(df.groupBy(*keys).agg(*aggs), keys)
 
 
-__all__ = ["metric_bleu", "metric_rouge", "rouge_l_pair", "rouge_words", "math"]
+__all__ = ["metric_bleu", "metric_rouge", "rouge_l_pair", "rouge_words"]

@@ -127,8 +127,8 @@ from . import overlap as O  # noqa: E402
 
 
 @register("bleu")
-def _bleu(df, keys, pred, label, weights=(0.25, 0.25, 0.25, 0.25), smoothing="method1", **o):
-    return "frame", O.metric_bleu(df, keys, pred, label, weights, smoothing)
+def _bleu(df, keys, pred, label, weights=(0.25, 0.25, 0.25, 0.25), smoothing="method1", order=(), **o):
+    return "frame", O.metric_bleu(df, keys, pred, label, weights, smoothing, order)
 
 
 @register("rouge")

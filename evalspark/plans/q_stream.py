@@ -9,7 +9,9 @@ from ..operators.metrics import scored as S
 from ..operators.metrics.base import long_from_wide
 from ..streaming import stream as T
 from . import sqlfrag as Q
+from . import views as V
 from .catalog import SQL_MCQ, finish, query, sql_choice_label, sql_choice_letter
+from .q_overlap import _bleu_sql
 
 
 def _mcq_stream(spark, sf):
@@ -63,6 +65,22 @@ def stream_corpus_metrics(spark, sf):
     return finish(T.distinct_from_counts(counts, keys).unionByName(T.entropy_from_counts(counts, keys)))
 
 
+def _dialogue_stream(spark, sf):
+    """User turns as a stream, each joined with the static table of the turns that follow."""
+    turns = V.table(spark, sf, "conversations")
+    answers = turns.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("prediction"))
+    asked = T.stream_table(spark, sf, "conversations").where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("label"))
+    return asked.join(answers, ["conv_id", "turn"]).select(
+        F.concat(F.lit("m"), (F.col("conv_id") % 3).cast("string")).alias("model"), F.lit("dialog").alias("task"),
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("item_id"), "prediction", "label")
+
+
+@query("stream_bleu", _bleu_sql())
+def stream_bleu(spark, sf):
+    """T3 for M6 over dialogue pairs: the batch query's oracle applies."""
+    return finish(T.stream_bleu(_dialogue_stream(spark, sf), ["model", "task"], "stream-bleu"))
+
+
 @query("stream_take", """
 SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 100""")
 def stream_take(spark, sf):

@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import ngrams, py_str, ws_split
+from ..operators.metrics.base import long_from_wide
+from ..operators.metrics.overlap import bleu_score, bleu_states, merge_bleu_states
 from ..operators.ranking import prefix_before
 from ..session import shared_path
 
@@ -56,6 +59,18 @@ def save_batch(rows: DataFrame, out: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
 
+def _written(df: DataFrame, out: str, empty: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What a stream wrote to ``out``; a source without files has written nothing at all, and
+    then ``empty`` of no rows stands for it."""
+    spark = df.sparkSession
+    try:
+        return spark.read.parquet(out)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty(spark.createDataFrame([], df.schema)).withColumn("batch_id", F.lit(0))
+
+
 def running_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence, name: str, location: str | None = None) -> DataFrame:
     """Additive metrics as a streaming ``groupBy().agg`` (state kept by Spark). Every
     micro-batch writes the complete current values to its own folder and the newest one is
@@ -63,24 +78,39 @@ def running_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence, name:
     batch aggregate over the same rows."""
     agg = df.groupBy(*keys).agg(*aggs)
     out = run_foreach_batch(agg, name, lambda b, i, path: save_batch(b, path, i), mode="complete", location=location)
-    versions = df.sparkSession.read.parquet(out)
+    versions = _written(df, out, lambda b: b.groupBy(*keys).agg(*aggs))
     newest = versions.agg(F.max("batch_id")).first()[0]
     return versions.where(F.col("batch_id") == newest).drop("batch_id")
 
 
+def batch_states(df: DataFrame, state: Callable[[DataFrame], DataFrame], name: str, location: str | None = None) -> DataFrame:
+    """Mergeable statistics ``state(batch)`` of every micro-batch, each in the folder of its
+    batch id: a replayed batch replaces its own rows and a restarted job adds to what is there."""
+    out = run_foreach_batch(df, name, lambda b, i, path: save_batch(state(b), path, i), location=location)
+    return _written(df, out, state)
+
+
+def ngram_counts(b: DataFrame, keys: Sequence[str], text: str, ns: Sequence[int]) -> DataFrame:
+    """State of M13 / M14: n-gram counts (keys, n, g, c)."""
+    toks = b.select(*keys, ws_split(py_str(text)).alias("_t"))
+    grams = F.array(*[F.struct(F.lit(n).alias("n"), ngrams("_t", n).alias("gs")) for n in ns])
+    per_n = toks.select(*keys, F.explode(grams).alias("x")).select(*keys, "x.n", F.explode("x.gs").alias("g"))
+    return per_n.groupBy(*keys, "n", "g").agg(F.count(F.lit(1)).alias("c"))
+
+
 def corpus_counts(df: DataFrame, keys: Sequence[str], text: str, ns: Sequence[int], name: str,
                   location: str | None = None) -> DataFrame:
     """Per micro-batch, n-gram counts in a table partitioned by batch id."""
-    keys = list(keys)
+    return batch_states(df, lambda b: ngram_counts(b, list(keys), text, ns), name, location)
 
-    def save(b: DataFrame, i: int, out: str) -> None:
-        toks = b.select(*keys, ws_split(py_str(text)).alias("_t"))
-        grams = F.array(*[F.struct(F.lit(n).alias("n"), ngrams("_t", n).alias("gs")) for n in ns])
-        per_n = toks.select(*keys, F.explode(grams).alias("x")).select(*keys, "x.n", F.explode("x.gs").alias("g"))
-        save_batch(per_n.groupBy(*keys, "n", "g").agg(F.count(F.lit(1)).alias("c")), out, i)
 
-    out = run_foreach_batch(df, name, save, location=location)
-    return df.sparkSession.read.parquet(out)
+def stream_bleu(df: DataFrame, keys: Sequence[str], name: str, pred: str = "prediction", label: str = "label",
+                weights=(0.25, 0.25, 0.25, 0.25), smoothing="method1", order: Sequence[str] = (), location: str | None = None) -> DataFrame:
+    """T3 for M6: the sufficient statistics of corpus BLEU per key and micro-batch (a few numbers
+    a key), scored from their sums. Equals the batch metric over the same rows."""
+    keys = list(keys)
+    states = batch_states(df, lambda b: bleu_states(b, keys, pred, label, len(weights), order), name, location)
+    return long_from_wide(bleu_score(merge_bleu_states(states, keys), keys, weights, smoothing), keys, [("score", "bleu", "")])
 
 
 def distinct_from_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:

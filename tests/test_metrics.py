@@ -140,10 +140,76 @@ def test_rouge_l_against_bruteforce(spark):
     assert got == pytest.approx(want)
 
 
-def test_bleu_smoothing_without_distributed_form_is_refused(spark):
-    df = spark.createDataFrame([("m", "t", "a b", "a b")], "model string, task string, prediction string, label string")
-    with pytest.raises(ValueError):
-        O.metric_bleu(df, smoothing="method5")
+def corpus_bleu_of(pairs, method, weights=(0.25,) * 4):
+    """Corpus BLEU with smoothing 5-7 by the published formulas, pair by pair in plain Python."""
+    from collections import Counter
+
+    def grams(t, n):
+        return Counter(tuple(t[i:i + n]) for i in range(len(t) - n + 1))
+
+    def matched(h, r, n):
+        a, b = grams(h, n), grams(r, n)
+        return sum(min(c, b[g]) for g, c in a.items()), max(1, sum(a.values()))
+
+    n = len(weights)
+    num, den = [0] * n, [0] * n
+    for h, r in pairs:
+        for i in range(n):
+            c, t = matched(h, r, i + 1)
+            num[i], den[i] = num[i] + c, den[i] + t
+    hyp, ref = sum(len(h) for h, _ in pairs), sum(len(r) for _, r in pairs)
+    if not num[0]:
+        return 0.0
+    p = [a / b for a, b in zip(num, den)]
+    last_h, last_r = pairs[-1]
+    if method == "method7":
+        k = 1
+        for i in range(n):
+            if num[i] == 0 and hyp > 1:
+                p[i], k = 1 / (2 ** k * 5 / math.log(hyp)) / den[i], k + 1
+    if method in ("method5", "method7"):
+        c, t = matched(last_h, last_r, 5)
+        after, before = [*p[1:], c / t], p[0] + 1
+        for i in range(n):
+            before = p[i] = (before + p[i] + after[i]) / 3
+    else:
+        if not p[2]:
+            return 0.0
+        for i in range(2, n):
+            guess = 0 if p[i - 2] == 0 else p[i - 1] ** 2 / p[i - 2]
+            p[i] = (num[i] + 5 * guess) / (max(0, len(last_h) - i) + 5)
+    if min(p) <= 0:
+        return 0.0
+    return (1.0 if hyp > ref else math.exp(1 - ref / hyp)) * math.exp(sum(w * math.log(x) for w, x in zip(weights, p)))
+
+
+BLEU_PAIRS = [("the cat sat on the mat today", "the cat sat on the red mat"), ("a dog ran", "the dog ran off"), ("one two three four five six", "one two three four five seven")]
+
+
+#: The example pair of the BLEU library's documentation, with the values given there.
+GUIDE = ("It is a guide to action which ensures that the military always obeys the commands of the party",
+         "It is a guide to action that ensures that the military will forever heed Party commands")
+
+
+@pytest.mark.parametrize("method,published", [("method5", 0.4905), ("method6", 0.4135), ("method7", 0.4905)])
+def test_bleu_smoothing_that_reads_the_last_pair(spark, method, published):
+    one = spark.createDataFrame([("m", "t", 1, *GUIDE)], "model string, task string, k long, prediction string, label string")
+    assert O.metric_bleu(one, smoothing=method, order="k").first()["score"] == pytest.approx(published, abs=1e-4)
+    df = spark.createDataFrame([("m", "t", k, h, r) for k, (h, r) in enumerate(BLEU_PAIRS)], "model string, task string, k long, prediction string, label string")
+    got = O.metric_bleu(df.repartition(3), smoothing=method, order=["k"]).first()["score"]
+    assert got == pytest.approx(corpus_bleu_of([(h.split(), r.split()) for h, r in BLEU_PAIRS], method), abs=1e-12)
+    backwards = O.metric_bleu(df.withColumn("k", -df["k"]), smoothing=method, order=["k"]).first()["score"]
+    assert backwards == pytest.approx(corpus_bleu_of([(h.split(), r.split()) for h, r in BLEU_PAIRS[::-1]], method), abs=1e-12) and backwards != got
+
+
+@pytest.mark.parametrize("method", ["method5", "method6", "method7"])
+def test_bleu_smoothing_without_matches_or_order(spark, method):
+    pairs = [("a b c d e", "a x c y e"), ("q", "q")]
+    df = spark.createDataFrame([("m", "t", k, h, r) for k, (h, r) in enumerate(pairs)], "model string, task string, k long, prediction string, label string")
+    want = corpus_bleu_of([(h.split(), r.split()) for h, r in pairs], method)
+    assert O.metric_bleu(df, smoothing=method, order=["k"]).first()["score"] == pytest.approx(want, abs=1e-12)
+    with pytest.raises(ValueError, match="order"):
+        O.metric_bleu(df, smoothing=method)
 
 
 def test_perplexity(spark):

@@ -68,6 +68,39 @@ def test_running_aggregate_equals_batch(spark, three_files):
     assert len(got) == 1 and got[0].n == want.n and math.isclose(got[0].c, want.c, abs_tol=1e-9)
 
 
+def scored(df):
+    """Predictions that share some words with their labels."""
+    return df.select("model", "task", "id", F.col("text").alias("prediction"),
+                     F.concat(F.col("text"), F.lit(" and word"), (F.col("id") % 3).cast("string"), F.lit(" too")).alias("label"))
+
+
+@pytest.mark.parametrize("smoothing,order", [("method1", []), ("method4", []), ("method6", ["id"]), ("method7", ["id"])])
+def test_stream_bleu_equals_batch_after_a_restart_and_a_replay(spark, three_files, smoothing, order):
+    from evalspark.operators.metrics import overlap as O
+
+    keys, base = ["model", "task"], shared_path(spark, "bleu")
+    T.stream_bleu(scored(source(spark, three_files)), keys, "bleu", smoothing=smoothing, order=order, location=base)
+    spark.createDataFrame([("m", "t", 100 + i, f"word{i} late words here") for i in range(5)], "model string, task string, id long, text string") \
+        .coalesce(1).write.mode("append").parquet(three_files)
+    got = T.stream_bleu(scored(source(spark, three_files)), keys, "bleu", smoothing=smoothing, order=order, location=base)
+    want = O.metric_bleu(scored(spark.read.parquet(three_files)), smoothing=smoothing, order=order).first()["score"]
+    assert got.first()["score"] == pytest.approx(want, abs=1e-12) and want > 0
+    states = spark.read.parquet(f"{base}/out")
+    assert states.select("batch_id").distinct().count() == 4
+    # the same batch once more: its folder is replaced, the sums stay
+    again = spark.createDataFrame(states.where("batch_id = 2").drop("batch_id").collect(), states.drop("batch_id").schema)
+    T.save_batch(again, f"{base}/out", 2)
+    merged = O.bleu_score(O.merge_bleu_states(spark.read.parquet(f"{base}/out"), keys), keys, (0.25,) * 4, smoothing)
+    assert merged.first()["score"] == pytest.approx(want, abs=1e-12)
+
+
+def test_a_stream_without_files_has_no_rows(spark):
+    path = shared_path(spark, "no-files")
+    spark.createDataFrame([], "model string, task string, id long, text string").write.parquet(path)
+    assert T.stream_bleu(scored(source(spark, path)), ["model", "task"], "none").count() == 0
+    assert T.running_aggregate(source(spark, path), ["model"], [F.count("id").alias("n")], "none").count() == 0
+
+
 # --- user metrics --------------------------------------------------------------------------
 
 def rows(spark, n=100, parts=4):
