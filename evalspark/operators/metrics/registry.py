@@ -142,11 +142,8 @@ from . import sequence as Sq  # noqa: E402
 @register("sequence_labeling", "seqeval")
 def _seq(df, keys, pred, label, item="item_id", pos="pos", average_type="micro avg", arrays=None,
          mode="default", scheme=None, **o):
-    if arrays is None:  # the usual input is one tag list per item
-        arrays = dict(df.dtypes)[label].startswith("array")
-    rows = Sq.from_arrays(df, keys, item, label, pred) if arrays else df
-    p, l = ("prediction", "label") if arrays else (pred, label)
-    return "frame", Sq.metric_sequence_labeling(rows, keys, item, pos, l, p, average_type, mode, scheme)
+    # the usual input is one tag list per item; long rows have the item and the position beside the tags
+    return "frame", Sq.metric_sequence_labeling(df, keys, item, pos, label, pred, average_type, mode, scheme)
 
 
 from . import custom as Cu  # noqa: E402

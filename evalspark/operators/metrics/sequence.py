@@ -1,123 +1,286 @@
-"""Entity-level precision / recall / F1 from IOB-style tag sequences.
-
-Works on long rows ``(keys, item, pos, true_tag, pred_tag)``. The neighbour tags
-come from equi-joins on ``pos +- 1`` (hash-partitioned on (item, pos), so a
-very long sequence is spread over many tasks); the start of the span that
-ends at a position is the running maximum of start positions, computed with
-the range-bucketed ``prefix_max``. Spans are (type, begin, end); a true
-positive is an identical span in both sequences of the same item.
+"""Entity-level precision / recall / F1 of tag sequences, lenient or by a strict scheme.
+
+A scheme says of two neighbouring tags whether an entity starts at the second one (``start``),
+goes on through it (``inside``) or has ended before it (``end``). Wherever ``inside`` is false
+a run begins; an entity starts at the first start of its run and counts if the next run begins
+with an end. (Only IOB1 can start one tag after its run, so two places are looked at.)
+
+Tag lists (the usual input) are cut into entities inside their row, with array functions and in
+time proportional to their length; nothing is shuffled before the counts per type. Long rows
+``(keys, item, pos, true, pred)`` serve sequences that no row can hold: positions are cut into
+blocks of ``BLOCK``, the rows at a block's edges go to both blocks, and neighbours come from a
+window inside the block. An entity that crosses an edge takes its start from the blocks before,
+of which one row each is kept. Both tag columns are read in one pass, and an entity that both
+have ends on the same row, so true positives need no join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..ranking import prefix_max
+from ...functions.text import let
 from .base import long_from_wide, safe_ratio
 
+#: Positions per block of a long sequence.
+BLOCK = 1 << 16
+ANY, SAME, DIFF = "any", "same", "diff"
+_ALL = "IOBESLU"
+
 
 def _prefix(tag: Column) -> Column:
     return F.substring(tag, 1, 1)
 
 
-def _type(tag: Column) -> Column:
+def _lenient_type(tag: Column) -> Column:
     rest = F.substr(tag, F.lit(2))
     t = F.element_at(F.split(rest, "-", 2), -1)
     return F.when((t.isNull()) | (t == ""), F.lit("_")).otherwise(t)
 
 
-def _end_of_chunk(pt, t, ptype, ty) -> Column:
-    return ((pt == "E") | (pt == "S")
-            | ((pt == "B") & t.isin("B", "S", "O")) | ((pt == "I") & t.isin("B", "S", "O"))
-            | ((pt != "O") & (pt != ".") & (ptype != ty)))
+def _strict_type(tag: Column) -> Column:
+    t = F.regexp_replace(F.substr(tag, F.lit(2)), "^-+|-+$", "")
+    return F.when((t.isNull()) | (t == ""), F.lit("_")).otherwise(t)
+
+
+@dataclass(frozen=True)
+class Scheme:
+    """Patterns (previous prefixes, current prefixes, relation of the types)."""
+
+    allowed: str
+    start: tuple
+    inside: tuple
+    end: tuple
+
+    def type_of(self, tag: Column) -> Column:
+        return _strict_type(tag)
+
+    def valid(self, tag: Column) -> Column:
+        return F.coalesce(_prefix(tag).isin(*self.allowed), F.lit(False))
+
+    def first_type(self) -> str:
+        return "_"
+
+    def flags(self, pp: Column, pt: Column, p: Column, t: Column) -> tuple[Column, Column, Column]:
+        return tuple(self._any(x, pp, pt, p, t) for x in (self.start, self.inside, self.end))
+
+    @staticmethod
+    def _any(patterns: tuple, pp, pt, p, t) -> Column:
+        out = F.lit(False)
+        for before, now, relation in patterns:
+            hit = pp.isin(*before) & p.isin(*now)
+            out = out | (hit if relation == ANY else hit & ((pt == t) if relation == SAME else (pt != t)))
+        return out
+
+
+class Lenient(Scheme):
+    """The default mode: whatever tags occur are cut as sensibly as possible."""
+
+    def type_of(self, tag: Column) -> Column:
+        return _lenient_type(tag)
+
+    def valid(self, tag: Column) -> Column:
+        return F.lit(True)
+
+    def first_type(self) -> str:
+        return ""
+
+    def flags(self, pp, pt, p, t):
+        start = ((p == "B") | (p == "S") | (pp.isin("E", "S", "O") & p.isin("E", "I")) | ((p != "O") & (p != ".") & (pt != t)))
+        end = (pp.isin("E", "S") | (pp.isin("B", "I") & p.isin("B", "S", "O")) | ((pp != "O") & (pp != ".") & (pt != t)))
+        return start, ~(start | end), end
+
+
+# The schemes as the sequence-labelling library defines them.
+SCHEMES = {
+    "IOB1": Scheme("IOB",
+                   start=(("O", "I", ANY), ("I", "I", DIFF), ("B", "I", ANY), ("I", "B", SAME), ("B", "B", SAME)),
+                   inside=(("B", "I", SAME), ("I", "I", SAME)),
+                   end=(("I", "I", DIFF), ("I", "O", ANY), ("I", "B", ANY), ("B", "O", ANY), ("B", "I", DIFF), ("B", "B", SAME))),
+    "IOE1": Scheme("IOE",
+                   start=(("O", "I", ANY), ("I", "I", DIFF), ("E", "I", ANY), ("E", "E", SAME)),
+                   inside=(("I", "I", SAME), ("I", "E", SAME)),
+                   end=(("I", "I", DIFF), ("I", "O", ANY), ("I", "E", DIFF), ("E", "I", SAME), ("E", "E", SAME))),
+    "IOB2": Scheme("IOB",
+                   start=((_ALL, "B", ANY),),
+                   inside=(("B", "I", SAME), ("I", "I", SAME)),
+                   end=(("I", "O", ANY), ("I", "I", DIFF), ("I", "B", ANY), ("B", "O", ANY), ("B", "I", DIFF), ("B", "B", ANY))),
+    "IOE2": Scheme("IOE",
+                   start=(("O", "I", ANY), ("O", "E", ANY), ("E", "I", ANY), ("E", "E", ANY), ("I", "I", DIFF), ("I", "E", DIFF)),
+                   inside=(("I", "E", SAME), ("I", "I", SAME)),
+                   end=(("E", _ALL, ANY),)),
+    "IOBES": Scheme("IOBES",
+                    start=((_ALL, "B", ANY), (_ALL, "S", ANY)),
+                    inside=(("B", "I", SAME), ("B", "E", SAME), ("I", "I", SAME), ("I", "E", SAME)),
+                    end=(("S", _ALL, ANY), ("E", _ALL, ANY))),
+    "BILOU": Scheme("BILOU",
+                    start=((_ALL, "B", ANY), (_ALL, "U", ANY)),
+                    inside=(("B", "I", SAME), ("B", "L", SAME), ("I", "I", SAME), ("I", "L", SAME)),
+                    end=(("U", _ALL, ANY), ("L", _ALL, ANY))),
+}
+LENIENT = Lenient("", (), (), ())
+
+
+def scheme_of(mode: str, scheme: str | None) -> Scheme:
+    """Strict mode takes effect together with a scheme only, as in the library."""
+    if mode != "strict" or not scheme:
+        return LENIENT
+    if str(scheme).upper() not in SCHEMES:
+        raise ValueError(f"unknown scheme {scheme!r}; known: {', '.join(SCHEMES)}")
+    return SCHEMES[str(scheme).upper()]
+
+
+# --- tag lists ------------------------------------------------------------------------------
 
+def entities(tags: Column, scheme: Scheme = LENIENT) -> Column:
+    """``begin:end:type`` of every entity of a tag list (end inclusive), in the row."""
+    def tag(p, t):
+        return F.struct(F.lit(p).alias("p") if isinstance(p, str) else p.alias("p"), F.lit(t).alias("t") if isinstance(t, str) else t.alias("t"))
 
-def _start_of_chunk(pt, t, ptype, ty) -> Column:
-    return ((t == "B") | (t == "S")
-            | ((pt == "E") & t.isin("E", "I")) | ((pt == "S") & t.isin("E", "I")) | ((pt == "O") & t.isin("E", "I"))
-            | ((t != "O") & (t != ".") & (ptype != ty)))
+    read = F.transform(tags, lambda x: tag(_prefix(x), scheme.type_of(x)))
+    padded = F.concat(F.array(tag("O", scheme.first_type())), read, F.array(tag("O", "_")))
 
+    def flag(a, b):
+        start, inside, end = scheme.flags(a["p"], a["t"], b["p"], b["t"])
+        return F.struct(start.alias("s"), inside.alias("i"), end.alias("e"))
 
-def entities(rows: DataFrame, keys: Sequence[str], item: str, pos: str, tags: Sequence[str]) -> dict:
-    """Spans ``(keys, item, type, begin, end)`` of each tag column (default mode),
-    computed in one pass: one pair of neighbour joins and one running max for all."""
+    def cut(pad, flags):
+        begins = F.filter(F.sequence(F.lit(0), F.size(flags) - 1), lambda i: ~F.get(flags, i)["i"])
+
+        def runs(b):
+            def entity(at, k):
+                nxt = F.get(b, k + 1)
+                first = F.when(F.get(flags, at)["s"], at).when((at + 1 < nxt) & F.get(flags, at + 1)["s"], at + 1)
+                return F.when(F.get(flags, nxt)["e"], F.concat_ws(":", first.cast("string"), (nxt - 1).cast("string"), F.get(pad, nxt)["t"]))
+
+            # nothing follows the last run; a run without a start leaves no begin and is dropped
+            found = F.transform(F.slice(b, 1, F.greatest(F.size(b) - 1, F.lit(0))), entity)
+            return F.filter(found, lambda x: F.coalesce(F.size(F.split(x, ":", 3)) == 3, F.lit(False)))
+
+        return let(begins, runs)
+
+    return let(padded, lambda pad: let(F.zip_with(F.slice(pad, 1, F.size(pad) - 1), F.slice(pad, 2, F.size(pad) - 1), flag), lambda fl: cut(pad, fl)))
+
+
+def _type_counts(true: Column, pred: Column) -> Column:
+    """Per entity one struct (type, tp, n_true, n_pred) to be summed."""
+    def count(tp, t, p):
+        return lambda x: F.struct(F.element_at(F.split(x, ":", 3), 3).alias("type"), F.lit(tp).alias("tp"), F.lit(t).alias("n_true"), F.lit(p).alias("n_pred"))
+
+    both = F.array_intersect(true, pred)
+    return F.concat(F.transform(true, count(0, 1, 0)), F.transform(pred, count(0, 0, 1)), F.transform(both, count(1, 0, 0)))
+
+
+def counts_of_lists(df: DataFrame, keys: Sequence[str], true_col: str, pred_col: str, scheme: Scheme = LENIENT) -> DataFrame:
+    """(keys, type, tp, n_true, n_pred, bad) from one tag list per row and side; a key always has
+    a row with a null type, whose ``bad`` says that a list holds tags the scheme does not know.
+    These counts add up over parts of the data."""
     keys = list(keys)
-    ids = keys + [item]
-    cols = {f"t{i}": F.col(c) for i, c in enumerate(tags)}
-    base = rows.select(*ids, F.col(pos).alias("pos"), *[v.alias(k) for k, v in cols.items()])
-    prev = base.select(*ids, (F.col("pos") + 1).alias("pos"), *[F.col(k).alias(f"p{k}") for k in cols])
-    nxt = base.select(*ids, (F.col("pos") - 1).alias("pos"), *[F.col(k).alias(f"n{k}") for k in cols])
-    j = base.join(prev, ids + ["pos"], "left").join(nxt, ids + ["pos"], "left")
-    sel = []
-    for k in cols:
-        t, pt, nt = F.col(k), F.coalesce(F.col(f"p{k}"), F.lit("O")), F.coalesce(F.col(f"n{k}"), F.lit("O"))
-        p0, pp, np_ = _prefix(t), _prefix(pt), _prefix(nt)
-        ty, nty = _type(t), _type(nt)
-        pty = F.when(F.col(f"p{k}").isNull(), F.lit("")).otherwise(_type(pt))
-        sel += [ty.alias(f"ty{k}"), _start_of_chunk(pp, p0, pty, ty).alias(f"st{k}"),
-                _end_of_chunk(p0, np_, ty, nty).alias(f"en{k}")]
-        sel.append((_prefix(t) == "B").alias(f"isb{k}"))
-    flags = j.select(*ids, "pos", *sel)
-    # one running max carries the latest start and whether its tag was a B- (2 * pos + isB)
-    with_begin = prefix_max(flags, ids, "pos", {
-        f"b{k}": F.when(F.col(f"st{k}"), F.col("pos") * 2 + F.col(f"isb{k}").cast("long")) for k in cols})
-    out = {}
-    for k, name in zip(cols, tags):
-        b = F.col(f"b{k}")
-        out[name] = with_begin.where(F.col(f"en{k}")).select(
-            *ids, F.col(f"ty{k}").alias("type"), F.coalesce(F.floor(b / 2).cast("long"), F.lit(0).cast("long")).alias("begin"),
-            F.col("pos").alias("end"), F.coalesce(b % 2 == 1, F.lit(False)).alias("begins_with_b"))
-    return out
+    t, p = F.col(true_col), F.col(pred_col)
+    bad = F.greatest(*[F.coalesce(F.exists(x, lambda v: ~scheme.valid(v)), F.lit(True)) for x in (t, p)])
+    empty = F.array().cast("array<string>")
+    read = df.select(*keys, bad.alias("bad"), entities(F.coalesce(t, empty), scheme).alias("t"), entities(F.coalesce(p, empty), scheme).alias("p"))
+    nothing = F.array(F.struct(F.lit(None).cast("string").alias("type"), F.lit(0).alias("tp"), F.lit(0).alias("n_true"), F.lit(0).alias("n_pred")))
+    rows = read.select(*keys, "bad", F.inline(F.concat(nothing, _type_counts(F.col("t"), F.col("p")))))
+    return rows.groupBy(*keys, "type").agg(*[F.sum(c).alias(c) for c in ("tp", "n_true", "n_pred")], F.max("bad").alias("bad"))
 
 
-def metric_sequence_labeling(rows: DataFrame, keys=("model", "task"), item="item_id", pos="pos",
-                             true_tag="label", pred_tag="prediction", average_type="micro avg",
-                             mode: str = "default", scheme: str | None = None) -> DataFrame:
-    """Overall precision / recall / F1 (``micro avg``, ``macro avg`` or ``weighted avg``);
-    an unknown average type gives zeros plus an ``error`` entry, as in the reference.
-    ``mode='strict'`` with ``scheme='IOB2'`` keeps only well-formed spans: those that
-    open with a ``B-`` tag (the lenient span boundaries already end them correctly)."""
+# --- long rows ------------------------------------------------------------------------------
+
+def counts_of_rows(rows: DataFrame, keys: Sequence[str], item: str, pos: str, true_col: str, pred_col: str,
+                   scheme: Scheme = LENIENT, block: int = BLOCK) -> DataFrame:
+    """The same counts from rows (keys, item, pos, true, pred) with positions 0, 1, ..."""
+    keys = list(keys)
+    ids = [*keys, item]
+    sides = {"t": true_col, "p": pred_col}
+    own = F.floor(F.col("pos") / block)
+    # the first rows of a block see the two rows before it, the last row the one after it
+    to = F.array_distinct(F.array(own, F.floor((F.col("pos") + 2) / block), F.floor((F.col("pos") + 1) / block), F.greatest(F.floor((F.col("pos") - 1) / block), F.lit(0))))
+    r = rows.select(*ids, F.col(pos).cast("long").alias("pos"), *[F.col(c).alias(s) for s, c in sides.items()])
+    r = r.select("*", F.explode(to).alias("block"))
+    w = Window.partitionBy(*ids, "block").orderBy("pos")
+    before, after = F.lag("pos").over(w) == F.col("pos") - 1, F.lead("pos").over(w) == F.col("pos") + 1
+    r = r.withColumns({f"{s}_{n}": F.when(F.coalesce(near, F.lit(False)), v) for s in sides for n, near, v in (
+        ("prev", before, F.lag(s).over(w)), ("next", after, F.lead(s).over(w)))})
+    columns = {}
+    for s in sides:
+        def read(c, missing):
+            tag = F.coalesce(F.col(c), F.lit("O"))
+            return _prefix(tag), F.when(F.col(c).isNull(), F.lit(missing)).otherwise(scheme.type_of(tag))
+
+        here = read(s, "_")
+        start, inside, _ = scheme.flags(*read(f"{s}_prev", scheme.first_type()), *here)
+        _, goes_on, end = scheme.flags(*here, *read(f"{s}_next", "_"))
+        columns |= {f"{s}_start": start, f"{s}_in": inside, f"{s}_end": ~goes_on & end, f"{s}_type": here[1]}
+    r = r.withColumns(columns)
+    late = {s: F.col(f"{s}_in") & F.col(f"{s}_start") & ~F.coalesce(F.lag(f"{s}_start").over(w), F.lit(False)) for s in sides}
+    # what the latest run says: twice the position, plus one where an entity has started there
+    r = r.withColumns({f"{s}_event": F.when(~F.col(f"{s}_in") | late[s], F.col("pos") * 2 + F.col(f"{s}_start").cast("int")) for s in sides})
+    r = r.withColumns({"mine": F.floor(F.col("pos") / block) == F.col("block")})
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # (the rows copied from other blocks carry events of their own block, and none of this one)
+    r = r.withColumns({f"{s}_begin": F.max(F.when(F.col("mine"), F.col(f"{s}_event"))).over(upto) for s in sides})
+    mine = Window.partitionBy(*ids, "block", "mine")
+    bad = F.lit(False)
+    for s in sides:
+        bad = bad | ~scheme.valid(F.coalesce(F.col(s), F.lit("")))
+    r = r.withColumns({"closes": F.lead("pos").over(mine.orderBy("pos")).isNull(), "bad": F.max(bad).over(mine) if scheme.allowed else bad}).where("mine")
+    r = r.where(F.col("closes") | F.col("t_end") | F.col("p_end"))
+    # Ends without an event in their block, and the last row of each block, meet per sequence: a few rows a block.
+    open_ = F.col("closes") | (F.col("t_end") & F.col("t_begin").isNull()) | (F.col("p_end") & F.col("p_begin").isNull())
+    along = Window.partitionBy(*ids, F.when(open_, F.lit(-1)).otherwise(F.col("block"))).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = r.withColumns({f"{s}_begin": F.coalesce(f"{s}_begin", F.max(f"{s}_begin").over(along)) for s in sides})
+    real = {s: F.col(f"{s}_end") & F.coalesce(F.col(f"{s}_begin") % 2 == 1, F.lit(False)) for s in sides}
+    span = {s: F.when(real[s], F.concat_ws(":", F.col(f"{s}_begin").cast("string"), F.lit("0"), F.col(f"{s}_type"))) for s in sides}
+    lists = [F.filter(F.array(span[s]), lambda x: x.isNotNull()) for s in sides]
+    nothing = F.array(F.struct(F.lit(None).cast("string").alias("type"), F.lit(0).alias("tp"), F.lit(0).alias("n_true"), F.lit(0).alias("n_pred")))
+    out = r.select(*keys, "bad", F.inline(F.concat(nothing, _type_counts(*lists))))
+    return out.groupBy(*keys, "type").agg(*[F.sum(c).alias(c) for c in ("tp", "n_true", "n_pred")], F.max("bad").alias("bad"))
+
+
+# --- scores ---------------------------------------------------------------------------------
+
+def scores_from_counts(counts: DataFrame, keys: Sequence[str], average_type: str = "micro avg") -> DataFrame:
+    """Overall precision / recall / F1 (``micro avg``, ``macro avg`` or ``weighted avg``); an
+    unknown average type or an unknown tag gives zeros plus an ``error`` entry."""
     keys = list(keys)
-    ids = keys + [item]
-    if mode == "strict" and (scheme or "").upper() != "IOB2":
-        raise ValueError("strict mode is implemented for the IOB2 scheme")
-    spans = entities(rows, keys, item, pos, [true_tag, pred_tag])
-    te, pe = spans[true_tag], spans[pred_tag]
-    if mode == "strict":
-        te, pe = te.where("begins_with_b"), pe.where("begins_with_b")
-    te, pe = te.drop("begins_with_b"), pe.drop("begins_with_b")
-    tp = te.join(pe, ids + ["type", "begin", "end"]).groupBy(*keys, "type").agg(F.count(F.lit(1)).alias("tp"))
-    nt = te.groupBy(*keys, "type").agg(F.count(F.lit(1)).alias("n_true"))
-    npred = pe.groupBy(*keys, "type").agg(F.count(F.lit(1)).alias("n_pred"))
-    per = nt.join(npred, keys + ["type"], "full").join(tp, keys + ["type"], "left").na.fill(0, ["tp", "n_true", "n_pred"])
-    per = per.select(*keys, "type", "tp", "n_true", "n_pred",
-                     safe_ratio(F.col("tp"), F.col("n_pred")).alias("p"), safe_ratio(F.col("tp"), F.col("n_true")).alias("r"))
+    per = counts.withColumns({"p": safe_ratio(F.col("tp"), F.col("n_pred")), "r": safe_ratio(F.col("tp"), F.col("n_true"))})
     per = per.withColumn("f", safe_ratio(2 * F.col("p") * F.col("r"), F.col("p") + F.col("r")))
+    typed = F.col("type").isNotNull()
+    known = average_type in ("micro avg", "macro avg", "weighted avg")
     if average_type == "micro avg":
         T, P, N = F.sum("tp"), F.sum("n_pred"), F.sum("n_true")
-        p, r = safe_ratio(T, P), safe_ratio(T, N)
-        aggs = [p.alias("p"), r.alias("r")]
+        aggs = [safe_ratio(T, P).alias("p"), safe_ratio(T, N).alias("r")]
     elif average_type == "macro avg":
-        aggs = [F.avg("p").alias("p"), F.avg("r").alias("r"), F.avg("f").alias("f")]
+        aggs = [F.avg(F.when(typed, F.col(x))).alias(x) for x in ("p", "r", "f")]
     elif average_type == "weighted avg":
         aggs = [safe_ratio(F.sum(F.col(x) * F.col("n_true")), F.sum("n_true")).alias(x) for x in ("p", "r", "f")]
     else:
         aggs = [F.lit(0.0).alias("p"), F.lit(0.0).alias("r"), F.lit(0.0).alias("f")]
-    g = per.groupBy(*keys).agg(*aggs)
+    g = per.groupBy(*keys).agg(*aggs, F.max("bad").alias("bad"))
     if average_type == "micro avg":
         g = g.withColumn("f", safe_ratio(2 * F.col("p") * F.col("r"), F.col("p") + F.col("r")))
-    allk = rows.select(*keys).distinct()
-    g = allk.join(g, keys, "left").na.fill(0.0, ["p", "r", "f"])
-    out = long_from_wide(g, keys, [("p", "sequence_labeling", "overall_precision"),
-                                   ("r", "sequence_labeling", "overall_recall"),
-                                   ("f", "sequence_labeling", "overall_f1")])
-    if average_type not in ("micro avg", "macro avg", "weighted avg"):
-        out = out.unionByName(allk.select(*keys, F.lit("sequence_labeling").alias("metric"),
-                                          F.lit("error").alias("sub_metric"), F.lit(None).cast("double").alias("score")))
-    return out
+    failed = F.col("bad") if known else F.lit(True)
+    g = g.select(*keys, failed.alias("bad"), *[F.when(failed, 0.0).otherwise(F.coalesce(x, F.lit(0.0))).alias(x) for x in ("p", "r", "f")])
+    long = long_from_wide(g.withColumn("e", F.lit(None).cast("double")), [*keys, "bad"], [
+        ("p", "sequence_labeling", "overall_precision"), ("r", "sequence_labeling", "overall_recall"),
+        ("f", "sequence_labeling", "overall_f1"), ("e", "sequence_labeling", "error")])
+    return long.where((F.col("sub_metric") != "error") | F.col("bad")).drop("bad")
+
+
+def metric_sequence_labeling(rows: DataFrame, keys=("model", "task"), item="item_id", pos="pos",
+                             true_tag="label", pred_tag="prediction", average_type="micro avg",
+                             mode: str = "default", scheme: str | None = None) -> DataFrame:
+    """M17 over long rows, or over tag lists if the tag columns are arrays."""
+    s = scheme_of(mode, scheme)
+    if dict(rows.dtypes)[true_tag].startswith("array"):
+        counts = counts_of_lists(rows, keys, true_tag, pred_tag, s)
+    else:
+        counts = counts_of_rows(rows, keys, item, pos, true_tag, pred_tag, s)
+    return scores_from_counts(counts, keys, average_type)
 
 
 def from_arrays(df: DataFrame, keys: Sequence[str], item: str, true_col: str, pred_col: str) -> DataFrame:

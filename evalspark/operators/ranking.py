@@ -1,101 +1,90 @@
 """Order-dependent values without one task per key.
 
-``Window.partitionBy(key).orderBy(...)`` sends a whole key to one task; with
-a key holding a third of all rows that task holds a third of the data. These
-helpers split the order column into range buckets (global approximate
-quantiles, so a hot key spreads over all buckets), compute per-(key, bucket)
-totals (a table of keys x buckets), prefix them with a window over that small
-table, and finish inside each (key, bucket) group, whose size is bounded by
-the bucket width. Results are exact; only the balance is approximate.
+``Window.partitionBy(key).orderBy(...)`` sends a whole key to one task; with a key holding a
+third of all rows that task holds a third of the data. Here the rows are cut into range buckets
+of about equal size over the whole tuple (keys, order columns), so a hot key spreads over many
+buckets, and so do the rows that are equal in its first order column. Totals per (key, bucket)
+are carried forward by a window over that small table, and each (key, bucket) group is finished
+alone. This is the only path, at every size; results are exact, only the balance is approximate.
+
+The cuts come from a sample that is a function of the data: the rows whose hash falls on a
+multiple of ``rows / sample size``. Every evaluation of the plan, also one after a lost executor,
+thus finds the same buckets, and the two branches (totals and rows) agree without relying on a
+reused exchange. Counting and sampling are scalar subqueries of the plan: building it runs no job,
+and they read the keys and order columns only.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 2_000_000
-
-
-def _bucketed(df: DataFrame, bucket_on: str, rows_per_bucket: int) -> DataFrame:
-    """Adds ``_bkt``: range bucket of ``bucket_on`` (numeric / timestamp).
-
-    One aggregation pass returns the row count and 1023 approximate quantiles;
-    the bucket count follows from the row count and every k-th quantile is used.
-    Only above 1024 buckets (two billion rows at the default width) a second
-    pass asks for exactly the needed quantiles."""
-    num = F.col(bucket_on)
-    if dict(df.dtypes)[bucket_on] in ("timestamp", "timestamp_ntz", "date"):
-        num = F.unix_micros(F.col(bucket_on).cast("timestamp"))
-    df = df.withColumn("_bnum", num.cast("double"))
-    if df.select("_bnum").limit(rows_per_bucket + 1).count() <= rows_per_bucket:
-        return df.withColumn("_bkt", F.lit(0.0)).drop("_bnum")  # one bucket holds everything
-    # the input is read twice more (statistics, then the windows): write it once to the
-    # shared checkpoint folder instead of recomputing its lineage
-    df = df.checkpoint(eager=True)
-    probe = [i / 1024 for i in range(1, 1024)]
-    n, qs = df.agg(F.count(F.lit(1)), F.percentile_approx("_bnum", probe, 10000)).first()
-    nb = max(1, math.ceil(n / rows_per_bucket))
-    if nb == 1:
-        return df.withColumn("_bkt", F.lit(0.0)).drop("_bnum")
-    if nb <= 1024:
-        step = 1024 / nb
-        cuts = [qs[int(round(i * step)) - 1] for i in range(1, nb)]
-    else:
-        cuts = df.approxQuantile("_bnum", [i / nb for i in range(1, nb)], 1.0 / (4 * nb))
-    cuts = sorted(set(x for x in cuts if x is not None))
-    splits = [-float("inf")] + cuts + [float("inf")]
-    out = Bucketizer(splits=splits, inputCol="_bnum", outputCol="_bkt", handleInvalid="keep").transform(
-        df.withColumn("_bnum", F.coalesce(F.col("_bnum"), F.lit(-float("inf")))))
-    return out.drop("_bnum")
-
-
-def prefix_before(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    weight: Column | None = None,
-    out: str = "before",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> DataFrame:
-    """Adds ``out`` = sum of ``weight`` (default 1) over earlier rows of the same key
-    in ``order``. The first order column must be numeric or a timestamp and rows
-    equal in it must be ordered by the rest (a total order). With weight 1 and a
-    total order this is the 0-based position."""
+#: Sampled rows per bucket; a bucket's size deviates by about 1 / sqrt of it.
+SAMPLES = 32
+
+
+def range_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Adds ``_bkt``: the range bucket (0, 1, ...) of the row's (keys, order) tuple, nulls first.
+    Rows of a key in a later bucket come later in ``order``. Equal tuples share a bucket. By
+    default there are as many buckets as shuffle partitions."""
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if n <= 1:
+        return df.withColumn("_bkt", F.lit(0))
+    place = F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate([*keys, *order])])
+    rows = df.select(place.alias("t"))
+    total = rows.agg(F.count("t")).scalar()
+    every = F.greatest(F.lit(1), (total / (n * SAMPLES)).cast("long"))
+    sample = rows.where(F.pmod(F.xxhash64("t"), every) == 0).agg(F.sort_array(F.collect_list("t")).alias("s"))
+    step = F.ceil(F.size("s") / F.lit(n))
+    cuts = sample.select(F.filter("s", lambda t, i: (i > 0) & (i % step == 0)).alias("cuts")).scalar()
+    # binary search: the number of cuts that are not greater than the row
+    halves = [1 << k for k in range(n.bit_length() - 1, -1, -1)]
+
+    def narrowed(at: Column, half: Column) -> Column:
+        return F.when((at + half <= F.size("_cuts")) & (F.get("_cuts", at + half - 1) <= place), at + half).otherwise(at)
+
+    return df.withColumn("_cuts", cuts).withColumn("_bkt", F.aggregate(F.array(*[F.lit(h) for h in halves]), F.lit(0), narrowed)).drop("_cuts")
+
+
+def carried(rows: DataFrame, keys: Sequence[str], totals: dict, carry) -> DataFrame:
+    """Join to bucketed rows what the earlier buckets of their key hold: ``totals`` are named
+    aggregates per (key, bucket), ``carry`` the aggregate function over the buckets before."""
+    keys = list(keys)
+    before = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    small = rows.groupBy(*keys, "_bkt").agg(*[e.alias(f"_t{c}") for c, e in totals.items()])
+    small = small.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_bkt").alias("_kb"),
+                         *[carry(F.col(f"_t{c}")).over(before).alias(c) for c in totals])
+    same = F.col("_bkt") == F.col("_kb")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return rows.join(small, same).drop("_kb", *[f"_k{i}" for i in range(len(keys))])
+
+
+def prefix_before(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: Column | None = None,
+                  out: str = "before", buckets: int | None = None) -> DataFrame:
+    """Adds ``out`` = sum of ``weight`` (default 1) over earlier rows of the same key in
+    ``order`` (columns of any sortable types, ascending). With weight 1 this is the 0-based
+    position; rows that are equal in all order columns stand in any order."""
     keys, order = list(keys), list(order)
     w = weight if weight is not None else F.lit(1)
-    b = _bucketed(df.withColumn("_w", w.cast("long")), order[0], rows_per_bucket)
-    totals = b.groupBy(*keys, "_bkt").agg(F.sum("_w").alias("_bw"))
-    pre = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_bkt", F.coalesce(F.sum("_bw").over(pre), F.lit(0)).alias("_off"))
+    b = range_buckets(df.withColumn("_w", w.cast("long")), keys, order, buckets)
     inner = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = b.withColumn("_loc", F.coalesce(F.sum("_w").over(inner), F.lit(0)))
-    return local.join(offsets, keys + ["_bkt"]).withColumn(out, F.col("_off") + F.col("_loc")) \
-        .drop("_off", "_loc", "_bkt", "_w")
+    j = carried(local, keys, {"_off": F.sum("_w")}, F.sum)
+    return j.withColumn(out, F.coalesce("_off", F.lit(0)) + F.col("_loc")).drop("_off", "_loc", "_bkt", "_w")
 
 
-def prefix_max(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    values: dict,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> DataFrame:
+def prefix_max(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], values: dict, buckets: int | None = None) -> DataFrame:
     """Adds, for every ``out -> value`` in ``values``, the max of ``value`` over rows of
-    the same key up to and including this one in ``order`` (numeric, unique per key).
-    All values share one bucketing pass."""
-    keys = list(keys)
+    the same key up to and including this one in ``order`` (unique per key). All values share
+    the buckets."""
+    keys, order = list(keys), [order] if isinstance(order, str) else list(order)
     tmp = {f"_v{i}": v for i, v in enumerate(values.values())}
-    b = _bucketed(df.withColumns(tmp), order, rows_per_bucket)
-    totals = b.groupBy(*keys, "_bkt").agg(*[F.max(t).alias(f"_bm{t}") for t in tmp])
-    pre = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_bkt", *[F.max(f"_bm{t}").over(pre).alias(f"_pm{t}") for t in tmp])
-    inner = Window.partitionBy(*keys, "_bkt").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    local = b.withColumns({f"_lm{t}": F.max(t).over(inner) for t in tmp})
-    j = local.join(offsets, keys + ["_bkt"])
-    j = j.withColumns({o: F.greatest(f"_pm{t}", f"_lm{t}") for o, t in zip(values, tmp)})
-    return j.drop(*tmp, *[f"_pm{t}" for t in tmp], *[f"_lm{t}" for t in tmp], "_bkt")
+    b = range_buckets(df.withColumns(tmp), keys, order, buckets)
+    inner = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = b.withColumns({f"_l{t}": F.max(t).over(inner) for t in tmp})
+    j = carried(local, keys, {f"_p{t}": F.max(t) for t in tmp}, F.max)
+    j = j.withColumns({o: F.greatest(f"_p{t}", f"_l{t}") for o, t in zip(values, tmp)})
+    return j.drop(*tmp, *[f"_p{t}" for t in tmp], *[f"_l{t}" for t in tmp], "_bkt")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators.metrics import overlap as O
 from . import sqlfrag as Q
 from . import views as V
@@ -191,3 +193,65 @@ def results_melt_rouge(spark, sf):
     long = O.metric_rouge(V.pairs(spark, sf), metrics=("rouge1", "rouge2"), stats=("f",))
     long = long.withColumn("full_metric_name", A.full_metric_name())
     return finish(A.results_melt(A.report_wide(long, ["rouge_rouge1_f", "rouge_rouge2_f"])))
+
+
+# M17, strict schemes: the lines of an order are a short tag sequence ------------------------------
+def _strict_tag(letters: str, index, flag):
+    letter = F.substr(F.lit(letters), index % len(letters) + 1, F.lit(1))
+    return F.when(letter == "O", "O").otherwise(F.concat(letter, F.lit("-"), flag))
+
+
+def _strict_sql() -> str:
+    from ..operators.metrics.sequence import ANY, SAME, SCHEMES
+
+    def hits(patterns, pp, pt, p, t):
+        rel = {ANY: "", SAME: f" AND {pt} = {t}"}
+        one = [f"({pp} IN ({', '.join(repr(x) for x in a)}) AND {p} IN ({', '.join(repr(x) for x in b)})" + rel.get(r, f" AND {pt} <> {t}") + ")" for a, b, r in patterns]
+        return "(" + " OR ".join(one) + ")"
+
+    parts = []
+    for name, s in SCHEMES.items():
+        letter = f"substr('{s.allowed}', CAST({{i}} % {len(s.allowed)} + 1 AS INTEGER), 1)"
+        tag = f"CASE WHEN {letter} = 'O' THEN 'O' ELSE {letter} || '-' || l_returnflag END"
+        start, inside, end = (hits(x, "pp", "pt", "p", "t") for x in (s.start, s.inside, s.end))
+        parts.append(f"""
+SELECT '{name}' AS model, item, side, b, max(e) AS e, any_value(ty) AS ty FROM (
+  SELECT item, side, run, min(i) FILTER (st) AS b, max(i) AS e, any_value(t) AS ty, lead(any_value(en) FILTER (NOT ins)) OVER (PARTITION BY item, side ORDER BY run) AS ended FROM (
+    SELECT *, sum(CASE WHEN ins THEN 0 ELSE 1 END) OVER (PARTITION BY item, side ORDER BY i) AS run FROM (
+      SELECT *, {start} AS st, {inside} AS ins, {end} AS en FROM (
+        SELECT *, coalesce(lag(p) OVER w, 'O') AS pp, coalesce(lag(t) OVER w, '_') AS pt FROM (
+          SELECT item, side, i, substr(tag, 1, 1) AS p, CASE WHEN tag = 'O' THEN '_' ELSE substr(tag, 3) END AS t FROM (
+            SELECT l_orderkey AS item, 't' AS side, i, {tag.format(i="CAST(l_quantity AS BIGINT)")} AS tag FROM li
+            UNION ALL SELECT l_orderkey, 'p', i, {tag.format(i="(CASE WHEN l_partkey % 4 = 0 THEN l_suppkey ELSE CAST(l_quantity AS BIGINT) END)")} FROM li
+            UNION ALL SELECT l_orderkey, s, max(i) + 1, 'O' FROM li, (VALUES ('t'), ('p')) v(s) GROUP BY ALL)) WINDOW w AS (PARTITION BY item, side ORDER BY i))))
+  GROUP BY item, side, run) WHERE b IS NOT NULL AND ended GROUP BY item, side, b""")
+    return f"""
+WITH li AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_returnflag, l_partkey, l_suppkey) - 1 AS i FROM lineitem),
+s AS MATERIALIZED ({" UNION ALL ".join(parts)}),
+c AS (SELECT model, sum(n) FILTER (side = 't') AS nt, sum(n) FILTER (side = 'p') AS np, sum(n) FILTER (side = 'b') AS tp FROM (
+  SELECT model, side, count(*) AS n FROM s GROUP BY ALL
+  UNION ALL SELECT a.model, 'b', count(*) FROM s a JOIN s b ON a.side = 't' AND b.side = 'p' AND a.model = b.model AND a.item = b.item AND a.b = b.b AND a.e = b.e AND a.ty = b.ty GROUP BY ALL) GROUP BY model),
+r AS (SELECT model, tp / np AS p, tp / nt AS r FROM c)
+SELECT model, 'orders' AS task, 'sequence_labeling' AS metric, 'overall_precision' AS sub_metric, round(p, 6) AS score FROM r
+UNION ALL SELECT model, 'orders', 'sequence_labeling', 'overall_recall', round(r, 6) FROM r
+UNION ALL SELECT model, 'orders', 'sequence_labeling', 'overall_f1', round(2 * p * r / (p + r), 6) FROM r"""
+
+
+@query("metric_sequence_strict", _strict_sql())
+def metric_sequence_strict(spark, sf):
+    """Tag lists per order, made from its lines in line order; every strict scheme over them."""
+    from ..operators.metrics import sequence as Sq
+
+    lines = F.struct("l_linenumber", "l_quantity", "l_returnflag", "l_partkey", "l_suppkey")
+    orders = V.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(lines)).alias("lines"))
+    out = None
+    for name, scheme in Sq.SCHEMES.items():
+        def tags(index, letters=scheme.allowed):
+            return F.transform("lines", lambda x: _strict_tag(letters, index(x).cast("int"), x["l_returnflag"]))
+
+        df = orders.select(F.lit(name).alias("model"), F.lit("orders").alias("task"), F.col("l_orderkey").alias("item_id"),
+                           tags(lambda x: x["l_quantity"]).alias("label"),
+                           tags(lambda x: F.when(x["l_partkey"] % 4 == 0, x["l_suppkey"].cast("double")).otherwise(x["l_quantity"])).alias("prediction"))
+        part = Sq.metric_sequence_labeling(df, mode="strict", scheme=name)
+        out = part if out is None else out.unionByName(part)
+    return finish(out)

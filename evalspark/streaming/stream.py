@@ -19,8 +19,9 @@ from ..operators.metrics.overlap import bleu_score, bleu_states, merge_bleu_stat
 from ..operators.ranking import prefix_before
 from ..session import shared_path
 
-#: The largest row count of ``limit``.
-MAX_LIMIT = 2**31 - 1
+#: Rows up to which a take keeps the first rows of each task and merges them in one; beyond it
+#: rows are taken by their position, which no task holds alone.
+TAKE_BY_SORT = 10_000
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1) -> DataFrame:
@@ -140,11 +141,11 @@ def stream_take(df: DataFrame, n: int, order: Sequence[str], name: str, location
     def save(b: DataFrame, i: int, out: str) -> None:
         taken = b.sparkSession.read.parquet(out).where(F.col("batch_id") < i).count() if i else 0
         left = max(0, n - taken)
-        if left <= MAX_LIMIT:
+        if left <= TAKE_BY_SORT:
             save_batch(b.orderBy(*order).limit(left), out, i)
         elif b.count() <= left:
             save_batch(b, out, i)
-        else:  # more rows than limit() can say: by position
+        else:
             save_batch(prefix_before(b, [], order, out="_pos").where(F.col("_pos") < left).drop("_pos"), out, i)
 
     out = run_foreach_batch(df, name, save, location=location)

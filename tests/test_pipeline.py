@@ -41,11 +41,51 @@ def test_prefix_before_matches_row_number(spark):
     from evalspark.operators.ranking import prefix_before
 
     df = spark.range(0, 5000).select((F.col("id") % 3).alias("k"), ((F.col("id") * 7919) % 5000).alias("v"))
-    got = prefix_before(df, ["k"], ["v"], out="pos", rows_per_bucket=300)
+    got = prefix_before(df, ["k"], ["v"], out="pos", buckets=17)
     want = df.withColumn("pos", F.row_number().over(Window.partitionBy("k").orderBy("v")) - 1)
     assert sorted(got.select("k", "v", "pos").collect()) == sorted(want.collect())
 
 
+def positions(df, keys, order, **kw):
+    from pyspark.sql import Window
+
+    from evalspark.operators.ranking import prefix_before
+
+    got = prefix_before(df, keys, order, out="pos", **kw)
+    want = df.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
+    return got.select(*keys, *order, "pos"), want.select(*keys, *order, "pos")
+
+
+def test_one_time_stamp_of_a_hot_key_is_spread(spark):
+    """A third of all rows share key and time stamp; (key, time stamp, id) still splits them."""
+    from evalspark.operators.ranking import range_buckets
+
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 50).alias("k"),
+                                    F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("ts"), F.col("id"))
+    sizes = [r["count"] for r in range_buckets(df, ["k"], ["ts", "id"], buckets=30).groupBy("_bkt").count().collect()]
+    assert len(sizes) == 30 and max(sizes) < 2.5 * 30_000 / 30
+    got, want = positions(df, ["k"], ["ts", "id"], buckets=30)
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_more_than_1024_buckets_nulls_and_strings(spark):
+    df = spark.range(6000).select(F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("k"), F.when(F.col("id") % 11 > 0, F.md5(F.col("id").cast("string"))).alias("s"), "id")
+    got, want = positions(df, ["k"], ["s", "id"], buckets=1500)
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    got, want = positions(df.limit(0), ["k"], ["s", "id"])
+    assert got.count() == 0
+
+
+def test_building_a_scan_runs_no_job(spark):
+    from evalspark.operators.ranking import prefix_before
+
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    df = spark.range(50_000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    out = prefix_before(df, ["k"], ["v"])
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == before
+    assert out.agg(F.max("before")).first()[0] == 16_666
+
+
 def test_template_fallback_and_none(spark):
     from evalspark.functions import prompts as P
 
@@ -75,7 +115,7 @@ def test_prefix_max_matches_window(spark):
 
     df = spark.range(0, 4000).select((F.col("id") % 2).alias("k"), ((F.col("id") * 131) % 4000).alias("pos"),
                                      F.when(F.col("id") % 7 == 0, F.col("id")).alias("v"))
-    got = prefix_max(df, ["k"], "pos", {"m": F.col("v")}, rows_per_bucket=250)
+    got = prefix_max(df, ["k"], "pos", {"m": F.col("v")}, buckets=16)
     w = Window.partitionBy("k").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("m", F.max("v").over(w))
     assert sorted(got.select("k", "pos", "v", "m").collect()) == sorted(want.collect())
