@@ -32,11 +32,14 @@ def expand_models(items: DataFrame, models: Sequence[str], col: str = "model") -
 
 
 def infer_batches(prompts: DataFrame, fn: Callable[[list[str]], list[str]], prompt_col: str = "prompt",
-                  out: str = "response", batch_size: int | None = None) -> DataFrame:
+                  out: str = "response", batch_size: int | None = None, error_col: str | None = None) -> DataFrame:
     """R2: ``fn(list_of_prompts) -> list_of_texts`` on executor-side Arrow batches.
     ``fn`` sees at most ``batch_size`` prompts at once (unless given, an Arrow batch).
-    A batch whose output length differs from its input yields null responses."""
-    schema = StructType(list(prompts.schema.fields) + [StructField(out, StringType())])
+    A batch that fails, or whose output length differs from its input, yields null responses;
+    with ``error_col`` its rows say why. Where batches have a place in a task, and a failing one
+    ends it, use ``batches.evaluate_batches``."""
+    added = [StructField(out, StringType())] + ([StructField(error_col, StringType())] if error_col else [])
+    schema = StructType(list(prompts.schema.fields) + added)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in it:
@@ -44,11 +47,16 @@ def infer_batches(prompts: DataFrame, fn: Callable[[list[str]], list[str]], prom
             for at in range(0, len(whole), step):
                 pdf = whole.iloc[at:at + step].copy()
                 texts = pdf[prompt_col].astype(object).where(pdf[prompt_col].notna(), None).tolist()
+                res, error = [None] * len(texts), None
                 try:
                     res = list(fn(texts))
-                except Exception:  # noqa: BLE001 - a failing batch must not fail the job
-                    res = []
-                pdf[out] = res if len(res) == len(texts) else [None] * len(texts)
+                    if len(res) != len(texts):
+                        raise ValueError(f"{len(texts)} prompts, {len(res)} responses")
+                except Exception as e:  # noqa: BLE001 - a failing batch must not fail the job
+                    res, error = [None] * len(texts), f"{type(e).__name__}: {e}"
+                pdf[out] = res
+                if error_col:
+                    pdf[error_col] = error
                 yield pdf
 
     return prompts.mapInPandas(run, schema)

@@ -122,3 +122,49 @@ UNION ALL SELECT model, task, 'avg_prediction_length', 'avg_prediction_length',
 
 
 query("custom_task", _custom_task_sql())(custom_task)
+
+
+# Q4 at run time: a user model that cannot answer some items ends its task there -----------------
+BATCH_SIZE, STUMBLING = 500, 2503
+
+
+def _stumbling_model(prompts):
+    """Answers a letter; cannot answer every ``STUMBLING``-th item id."""
+    out = []
+    for p in prompts:
+        item = int(p.split()[1])
+        if item % STUMBLING == 0:
+            raise ValueError(f"cannot answer item {item}")
+        out.append(f" the answer is ({'ABCDE'[item % 5]})")
+    return out
+
+
+def _letters(predictions, labels, batch, script_args):
+    """User post-processor: the letter in parentheses; label index to letter."""
+    return [p[p.index("(") + 1] for p in predictions], [script_args["letters"][x] for x in labels]
+
+
+@query("batch_failures", f"""
+WITH r AS (
+  SELECT l_returnflag AS model, l_linestatus AS task, l_orderkey * 10 + l_linenumber AS item, CAST(l_partkey % 4 AS INTEGER) AS label,
+         (row_number() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY l_orderkey * 10 + l_linenumber, l_partkey) - 1) // {BATCH_SIZE} + 1 AS batch
+  FROM lineitem),
+f AS (SELECT model, task, max(batch) AS n, min(CASE WHEN item % {STUMBLING} = 0 THEN batch END) AS failed,
+             min(CASE WHEN item % {STUMBLING} = 0 THEN item END) AS item FROM r GROUP BY ALL),
+s AS (SELECT r.model, r.task, r.label, r.item, f.failed FROM r JOIN f USING (model, task) WHERE f.failed IS NULL OR r.batch < f.failed),
+a AS (SELECT model, task, CASE WHEN any_value(failed) IS NULL THEN 'ok' ELSE 'partial' END AS status,
+             round(avg(CASE WHEN substr('ABCDE', CAST(item % 5 + 1 AS INTEGER), 1) = substr('ABCD', label + 1, 1) THEN 1.0 ELSE 0.0 END), 6) AS score FROM s GROUP BY model, task)
+SELECT model, task, 'accuracy' AS metric, '' AS sub_metric, score, status, NULL::VARCHAR AS error FROM a
+UNION ALL SELECT model, task, 'exact_match', '', score, status, NULL FROM a
+UNION ALL SELECT model, task, NULL, NULL, NULL, 'error',
+  'batch ' || failed || ' of ' || n || ', inference: ValueError: cannot answer item ' || item FROM f WHERE failed IS NOT NULL""")
+def batch_failures(spark, sf):
+    """Metrics of the batches before the first failing one, and the error of that one."""
+    from ..operators import batches as B
+
+    li = V.table(spark, sf, "lineitem")
+    item = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    rows = li.select(F.col("l_returnflag").alias("model"), F.col("l_linestatus").alias("task"), item.alias("item_id"), "l_partkey",
+                     F.concat(F.lit("Question "), item.cast("string"), F.lit(" : A, B, C or D?")).alias("prompt"), (F.col("l_partkey") % 4).cast("int").alias("label"))
+    stages = [B.inference(_stumbling_model, out="prediction"), B.post_processing(_letters, script_args={"letters": "ABCD"})]
+    return finish(B.evaluate_batches(rows, stages, ["accuracy", "exact_match"], order=["item_id", "l_partkey"], batch_size=BATCH_SIZE))
