@@ -9,7 +9,9 @@ per pair in an Arrow batch UDF; the mean over pairs is a Spark aggregate.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -207,31 +209,61 @@ def _rouge_n(h: Column, r: Column, n: int) -> Column:
     return let(F.array_distinct(ngrams(h, n)), lambda eg: let(F.array_distinct(ngrams(r, n)), lambda rg: score(eg, rg)))
 
 
+#: Bytes of word masks that one LCS keeps; masks of other words are built when a row needs them.
+MASK_BYTES = 1 << 26
+
+
 def _lcs_words(x: list[str], y: list[str]) -> set[str]:
     """Words of one LCS of ``x`` (reference) and ``y`` (hypothesis), reconstructed
     from the end: take a match, else move up when that keeps a longer LCS, else left.
 
     Bit-parallel: row i of the table is one integer whose bit j is zero where the length grows
     from column j to j + 1. Without a match at (i, j) the length grows either there or one row
-    up, so that bit alone says where to go, and the rows take m * n / 8 bytes."""
-    where: dict[str, int] = {}
+    up, so that bit alone says where to go. About sqrt(m) rows are kept on the way down; the
+    way back recomputes the rows between two of them, so memory is sqrt(m) * n / 4 bytes and a
+    pair of 300,000 words each takes some 40 MB, at twice the time."""
+    shared = set(x)
+    places: dict[str, list[int]] = {}
     for j, w in enumerate(y):
-        where[w] = where.get(w, 0) | 1 << j
-    if not any(w in where for w in x):
+        if w in shared:
+            places.setdefault(w, []).append(j)
+    if not places:
         return set()
+    size = len(y) // 8 + 1
+
+    def mask(w: str) -> int:
+        bits = bytearray(size)
+        for j in places[w]:
+            bits[j >> 3] |= 1 << (j & 7)
+        return int.from_bytes(bits, "little")
+
+    often = sorted(places, key=lambda w: -len(places[w]))[:max(1, MASK_BYTES // size)]
+    kept = {w: mask(w) for w in often}
     full = (1 << len(y)) - 1
-    rows, v = [], full
-    for w in x:
-        u = v & where.get(w, 0)
-        v = ((v + u) | (v - u)) & full
-        rows.append(v)
+
+    def rows(v: int, words: list[str]) -> Iterator[int]:
+        for w in words:
+            if w in places:
+                u = v & (kept[w] if w in kept else mask(w))
+                v = ((v + u) | (v - u)) & full
+            yield v
+
+    step = max(1, math.isqrt(len(x)))
+    heads, v = [full], full  # the row before each stretch of ``step`` words
+    for at in range(0, len(x), step):
+        for v in rows(v, x[at:at + step]):
+            pass
+        heads.append(v)
     out: set[str] = set()
-    i, j = len(x) - 1, len(y) - 1
+    i, j, stretch, table = len(x) - 1, len(y) - 1, -1, []
     while i >= 0 and j >= 0:
+        if i // step != stretch:
+            stretch = i // step
+            table = list(rows(heads[stretch], x[stretch * step:i + 1]))
         if x[i] == y[j]:
             out.add(x[i])
             i, j = i - 1, j - 1
-        elif rows[i] >> j & 1:
+        elif table[i - stretch * step] >> j & 1:
             j -= 1
         else:
             i -= 1

@@ -152,8 +152,8 @@ from . import vectors as Ve  # noqa: E402
 
 
 @register("bertscore", "token_match")
-def _tm(df, keys, pred, label, **o):
-    return "frame", Ve.metric_token_match(df, keys, pred, label)
+def _tm(df, keys, pred, label, idf=False, pred_tokens="prediction_tokens", label_tokens="label_tokens", item="item_id", **o):
+    return "frame", Ve.metric_token_match(df, keys, pred, label, idf, pred_tokens, label_tokens, item)
 
 
 @register("meteor")

@@ -145,6 +145,44 @@ def metric_token_match(spark, sf):
     return finish(evaluate_suite(_token_vecs(spark, sf), ["bertscore"], persist=False))
 
 
+# M18 with idf: a token is a vector's cluster label; its identity stands beside the vector --------
+_TVI = """
+  SELECT 'emb' AS model, 'g' || CAST(a.vec_id % 3 AS VARCHAR) AS task, a.vec_id AS item,
+         [CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])] AS p, [CAST(b.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])] AS l,
+         [a.label, b.label] AS pt, [b.label, c.label] AS lt
+  FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 JOIN embeddings c ON c.vec_id = a.vec_id + 2"""
+
+
+def _weighted_sql(values, weights):
+    return (f"CASE WHEN list_sum({weights}) > 0 THEN list_sum(list_transform({values}, lambda v, i: v * {weights}[i])) / list_sum({weights}) ELSE 0.0 END")
+
+
+@query("metric_token_match_idf", f"""
+WITH b AS MATERIALIZED ({_TVI}),
+n AS (SELECT task, count(*) AS n FROM b GROUP BY task),
+d AS (SELECT task, tok, count(*) AS c FROM (SELECT task, unnest(list_distinct(lt)) AS tok FROM b) GROUP BY ALL),
+w AS (SELECT item, list(idf ORDER BY i) FILTER (side = 0) AS wp, list(idf ORDER BY i) FILTER (side = 1) AS wl FROM (
+  SELECT x.item, x.side, x.i, ln((n + 1)::DOUBLE / (coalesce(c, 0) + 1)) AS idf FROM (
+    SELECT task, item, 0 AS side, unnest(pt) AS tok, unnest([1, 2]) AS i FROM b UNION ALL SELECT task, item, 1, unnest(lt), unnest([1, 2]) FROM b) x
+  JOIN n USING (task) LEFT JOIN d USING (task, tok)) GROUP BY item),
+m AS (SELECT model, task, item, list_transform(p, lambda x: list_max(list_transform(l, lambda y: {_COS}))) AS pm,
+             list_transform(l, lambda y: list_max(list_transform(p, lambda x: {_COS}))) AS lm FROM b),
+s AS (SELECT model, task, {_weighted_sql('pm', 'wp')} AS P, {_weighted_sql('lm', 'wl')} AS R FROM m JOIN w USING (item))
+SELECT model, task, 'bertscore' AS metric, 'bertscore_precision' AS sub_metric, round(avg(P), 6) AS score FROM s GROUP BY ALL
+UNION ALL SELECT model, task, 'bertscore', 'bertscore_recall', round(avg(R), 6) FROM s GROUP BY ALL
+UNION ALL SELECT model, task, 'bertscore', 'bertscore_f1', round(avg(CASE WHEN P + R > 0 THEN 2 * P * R / (P + R) ELSE 0.0 END), 6)
+FROM s GROUP BY ALL""")
+def metric_token_match_idf(spark, sf):
+    from ..operators.evaluate import evaluate_suite
+
+    e = V.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"), F.col("label").alias("t"))
+    nth = [e] + [e.select((F.col("vec_id") - k).alias("vec_id"), F.col("v").alias(f"v{k}"), F.col("t").alias(f"t{k}")) for k in (1, 2)]
+    j = nth[0].join(nth[1], "vec_id").join(nth[2], "vec_id")
+    df = j.select(F.lit("emb").alias("model"), F.concat(F.lit("g"), (F.col("vec_id") % 3).cast("string")).alias("task"), F.col("vec_id").alias("item_id"),
+                  F.array("v", "v1").alias("prediction"), F.array("v1", "v2").alias("label"), F.array("t", "t1").alias("prediction_tokens"), F.array("t1", "t2").alias("label_tokens"))
+    return finish(evaluate_suite(df, [{"name": "bertscore", "options": {"idf": True}}], persist=False))
+
+
 # M10 ---------------------------------------------------------------------------------------
 @query("metric_meteor")
 def metric_meteor(spark, sf):

@@ -296,3 +296,69 @@ def test_meteor_stems_and_published_value(spark):
     assert meteor_pair(["cats"], ["cat"], stem=None) == 0.0
     s = "prediction string, label string"
     assert score(spark, [("the cats were running", "the cat was running")], s, "meteor") > 0.5
+
+
+def full_table_lcs_words(x, y):
+    """The same reconstruction from a full table of lengths."""
+    t = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i, a in enumerate(x):
+        for j, b in enumerate(y):
+            t[i + 1][j + 1] = t[i][j] + 1 if a == b else max(t[i][j + 1], t[i + 1][j])
+    out, i, j = set(), len(x), len(y)
+    while i and j:
+        if x[i - 1] == y[j - 1]:
+            out.add(x[i - 1])
+            i, j = i - 1, j - 1
+        elif t[i - 1][j] > t[i][j - 1]:
+            i -= 1
+        else:
+            j -= 1
+    return out
+
+
+def test_lcs_by_kept_rows_equals_the_full_table(monkeypatch):
+    import random
+
+    rng = random.Random(8)
+    for _ in range(400):
+        x, y = ([rng.choice("abcdefgh"[:rng.randint(1, 8)]) for _ in range(rng.randint(0, 40))] for _ in range(2))
+        monkeypatch.setattr(O, "MASK_BYTES", rng.choice([1, 1 << 20]))  # few masks kept, or all
+        assert O._lcs_words(x, y) == full_table_lcs_words(x, y), (x, y)
+
+
+def test_lcs_of_a_long_pair_stays_small():
+    """Two texts of 60,000 words without a full stop: all rows would take 450 MB."""
+    import random
+    import tracemalloc
+
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(20_000)]
+    x, y = ([rng.choice(words) for _ in range(60_000)] for _ in range(2))
+    tracemalloc.start()
+    found = O._lcs_words(x, y)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found and peak < 120_000_000
+
+
+def token_pairs(spark, rows):
+    return spark.createDataFrame([("m", "t", i, *r) for i, r in enumerate(rows)], "model string, task string, item_id long, prediction array<array<double>>, "
+                                 "label array<array<double>>, prediction_tokens array<string>, label_tokens array<string>")
+
+
+def test_token_match_with_idf(spark):
+    from evalspark.operators.metrics import vectors as Ve
+
+    a, b, c = [1.0, 0.0], [0.0, 1.0], [0.6, 0.8]
+    rows = [([a, c], [a, b], ["a", "c"], ["a", "b"]), ([b], [b], ["b"], ["b"]), ([a], [c, b], ["a"], ["c", "b"])]
+    got = {r["sub_metric"]: r["score"] for r in Ve.metric_token_match(token_pairs(spark, rows), idf=True).collect()}
+    ia = ic = math.log(4 / 2)
+    ib = math.log(4 / 4)  # in every label: weighs nothing
+    p = [(ia * 1 + ic * 0.8) / (ia + ic), 0.0, 0.6]
+    r = [(ia * 1 + ib * 0.8) / (ia + ib), 0.0, (ic * 0.6 + ib * 0.0) / (ic + ib)]
+    f = [2 * x * y / (x + y) if x + y else 0.0 for x, y in zip(p, r)]
+    assert got == pytest.approx({"bertscore_precision": sum(p) / 3, "bertscore_recall": sum(r) / 3, "bertscore_f1": sum(f) / 3})
+    table = {x["token"]: x["idf"] for x in Ve.idf_table(token_pairs(spark, rows), ["model", "task"], "label_tokens").collect()}
+    assert table == pytest.approx({"a": ia, "b": ib, "c": ic, None: math.log(4)})
+    plain = {r["sub_metric"]: r["score"] for r in Ve.metric_token_match(token_pairs(spark, rows)).collect()}
+    assert plain["bertscore_precision"] == pytest.approx((0.9 + 1 + 0.6) / 3)
