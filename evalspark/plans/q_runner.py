@@ -43,7 +43,7 @@ def _items(spark, sf):
 _JAC = ("avg(CASE WHEN len(list_distinct(list_concat(a, b))) > 0 THEN len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) ELSE 0.0 END)")
 
 
-@query("evaluate_tasks", f"""
+EVALUATE_TASKS_SQL = f"""
 WITH items AS ({MCQ_SQL}),
 mr AS (SELECT i.item_id, 'm' || CAST(k AS VARCHAR) AS model,
               'The answer is (' || chr(CAST(65 + (i.item_id + k) % 4 AS INTEGER)) || ')' AS response, i.item_id % 4 AS li
@@ -59,7 +59,10 @@ UNION ALL SELECT model, 'mcq', 'exact_match', '', round(avg(CASE WHEN prediction
 UNION ALL SELECT model, 'dialog', 'jaccard', '', round({_JAC}, 6), 'ok', NULL FROM dj GROUP BY ALL
 UNION ALL SELECT model, 'dialog', 'exact_match', '', round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6), 'ok', NULL FROM dr GROUP BY ALL
 UNION ALL SELECT 'm2', 'dialog', NULL, NULL, NULL, 'error', 'No results obtained for this task'
-UNION ALL SELECT unnest({MODELS!r}), 'broken', NULL, NULL, NULL, 'error', '{BROKEN_MSG}'""")
+UNION ALL SELECT unnest({MODELS!r}), 'broken', NULL, NULL, NULL, 'error', '{BROKEN_MSG}'"""
+
+
+@query("evaluate_tasks", EVALUATE_TASKS_SQL)
 def evaluate_tasks(spark, sf):
     return finish(run_tasks(_tasks(), _items(spark, sf), _responses(spark, sf), MODELS))
 
@@ -168,3 +171,36 @@ def batch_failures(spark, sf):
                      F.concat(F.lit("Question "), item.cast("string"), F.lit(" : A, B, C or D?")).alias("prompt"), (F.col("l_partkey") % 4).cast("int").alias("label"))
     stages = [B.inference(_stumbling_model, out="prediction"), B.post_processing(_letters, script_args={"letters": "ABCD"})]
     return finish(B.evaluate_batches(rows, stages, ["accuracy", "exact_match"], order=["item_id", "l_partkey"], batch_size=BATCH_SIZE))
+
+
+class _Interrupted(BaseException):
+    """Stands for whatever ends a program between two models."""
+
+
+@query("save_per_model", EVALUATE_TASKS_SQL + """
+UNION ALL SELECT 'm_broken', NULL, NULL, NULL, NULL, 'error', 'RuntimeError: model m_broken cannot be loaded'""")
+def save_per_model(spark, sf):
+    """E5: a run that ends after its first model and is started again equals an unbroken run."""
+    from ..operators.runs import run_models
+    from ..session import shared_path
+
+    path = shared_path(spark, "run-by-model")
+    items, responses, done = _items(spark, sf), _responses(spark, sf), []
+
+    def evaluate(model, stop_after=None):
+        if stop_after is not None and len(done) >= stop_after:
+            raise _Interrupted
+        if model == "m_broken":
+            raise RuntimeError("model m_broken cannot be loaded")
+        done.append(model)
+        return run_tasks(_tasks(), items, responses.where(F.col("model") == model), [model])
+
+    models = [MODELS[0], "m_broken", *MODELS[1:]]
+    try:
+        run_models(spark, models, lambda m: evaluate(m, stop_after=1), path, "evaluate_tasks")
+    except _Interrupted:
+        pass
+    out = run_models(spark, models, evaluate, path, "evaluate_tasks")
+    if done != MODELS:
+        raise RuntimeError(f"every model is evaluated once, here {done}")
+    return finish(out)
