@@ -23,7 +23,7 @@ class MetricSpec:
     options: dict = field(default_factory=dict)
 
 
-def _as_specs(metrics) -> list[MetricSpec]:
+def as_specs(metrics) -> list[MetricSpec]:
     out: dict[str, MetricSpec] = {}
     for m in metrics:
         spec = m if isinstance(m, MetricSpec) else MetricSpec(m["name"], dict(m.get("options") or {})) \
@@ -56,7 +56,7 @@ def evaluate_suite(
     disk); the caller releases it with ``release(result)``.
     """
     keys = list(keys)
-    specs = [s for s in _as_specs(metrics) if s.name.lower() in registry.METRICS]
+    specs = [s for s in as_specs(metrics) if s.name.lower() in registry.METRICS]
     names = {s.name.lower() for s in specs}
     passes = len(names & registry.FRAMES) + len({(s.options.get("average"), s.options.get("zero_division")) for s in specs if s.name.lower() in PRF})
     passes += bool(names - registry.FRAMES - PRF)

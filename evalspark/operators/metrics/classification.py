@@ -103,16 +103,27 @@ def prf_scores(
     """M2-M4 with sklearn's averaging rules; errors (binary on more than two classes
     or on text classes, mixed types) give 0.0 as in the reference."""
     keys = list(keys)
-    zd = F.lit(float(zero_division))
-    names = {"precision": "precision", "recall": "recall", "f1": "f1_score"}
-    if not _families_match(df, pred, label) or average not in ("weighted", "macro", "micro", "binary"):
-        base = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        return base.select(*keys, F.inline(F.array(*[
-            F.struct(F.lit(names[w]).alias("metric"), F.lit("").alias("sub_metric"), F.lit(0.0).alias("score"))
-            for w in which])))
-    cc = confusion_counts(df, keys, pred, label)
-    numeric = label_kind(df, label) in ("int", "float", "bool") and label_kind(df, pred) in ("int", "float", "bool")
-    return prf_from_confusion(cc, keys, which, average, zero_division, numeric)
+    if not comparable(df, pred, label, average):
+        return prf_zeros(df, keys, which)
+    return prf_from_confusion(confusion_counts(df, keys, pred, label), keys, which, average, zero_division, both_numeric(df, pred, label))
+
+
+NAMES = {"precision": "precision", "recall": "recall", "f1": "f1_score"}
+
+
+def comparable(df: DataFrame, pred: str, label: str, average: str) -> bool:
+    """Whether the columns are of one kind and the average is known."""
+    return _families_match(df, pred, label) and average in ("weighted", "macro", "micro", "binary")
+
+
+def both_numeric(df: DataFrame, pred: str, label: str) -> bool:
+    return all(label_kind(df, c) in ("int", "float", "bool") for c in (pred, label))
+
+
+def prf_zeros(df: DataFrame, keys: Sequence[str], which: Sequence[str]) -> DataFrame:
+    base = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return base.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(NAMES[w]).alias("metric"), F.lit("").alias("sub_metric"), F.lit(0.0).alias("score")) for w in which])))
 
 
 def prf_from_confusion(cc: DataFrame, keys: Sequence[str], which=("precision", "recall", "f1"), average: str = "weighted",
@@ -120,7 +131,6 @@ def prf_from_confusion(cc: DataFrame, keys: Sequence[str], which=("precision", "
     """Averaged precision / recall / F1 from a per-class (tp, fp, fn) table."""
     keys = list(keys)
     zd = F.lit(float(zero_division))
-    names = {"precision": "precision", "recall": "recall", "f1": "f1_score"}
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     per = cc.select(
         *keys, "cls", tp, fp, fn,
@@ -145,7 +155,7 @@ def prf_from_confusion(cc: DataFrame, keys: Sequence[str], which=("precision", "
             has1 = F.max((F.col("cls") == "1.0").cast("int")) == 1
             v1 = F.coalesce(F.max(F.when(F.col("cls") == "1.0", x)), zd)
             e = F.when(F.lit(not numeric) | (n_cls > 2) | ((n_cls == 2) & ~has1), F.lit(0.0)).otherwise(v1)
-        aggs.append((names[w], "", e))
+        aggs.append((NAMES[w], "", e))
     return agg_to_long(per, keys, aggs)
 
 

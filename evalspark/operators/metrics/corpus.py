@@ -17,44 +17,72 @@ from ...functions.text import ngrams, py_str, ws_split
 from .base import long_from_wide
 
 
-def metric_distinct_ngram(df: DataFrame, keys=("model", "task"), pred="prediction", label="label",
-                          ngrams_list: Sequence[int] = (1, 2)) -> DataFrame:
-    keys = list(keys)
+def ngram_states(df: DataFrame, keys, pred="prediction", ns: Sequence[int] = (1, 2)) -> DataFrame:
+    """Counts (keys, n, g, c) of all n-grams: one read, all sizes in one explode. A row without
+    any leaves a null that counts nothing, so every key appears. Counts of parts add up."""
     toks = df.select(*keys, ws_split(py_str(pred)).alias("_t"))
-    per_n = F.array(*[F.struct(F.lit(n).alias("n"), ngrams("_t", n).alias("gs")) for n in ngrams_list])
-    # one read: all sizes of n-grams in one explode; a row without any leaves a null, which counts nothing
+    per_n = F.array(*[F.struct(F.lit(n).alias("n"), ngrams("_t", n).alias("gs")) for n in ns])
     grams = toks.select(*keys, F.explode(per_n).alias("x")).select(*keys, "x.n", F.explode_outer("x.gs").alias("g"))
-    counts = grams.groupBy(*keys, "n", "g").agg(F.count("g").alias("c"))
+    return grams.groupBy(*keys, "n", "g").agg(F.count("g").alias("c"))
+
+
+def merge_ngram_states(states: DataFrame, keys) -> DataFrame:
+    return states.groupBy(*keys, "n", "g").agg(F.sum("c").alias("c"))
+
+
+def distinct_from_states(counts: DataFrame, keys) -> DataFrame:
     out = counts.groupBy(*keys, "n").agg(F.count("g").alias("uniq"), F.sum("c").alias("total"))
     return out.select(
         *keys, F.lit("distinct_ngram").alias("metric"), F.concat(F.lit("distinct_"), F.col("n").cast("string")).alias("sub_metric"),
         F.when(F.col("total") > 0, F.col("uniq") / F.col("total")).otherwise(F.lit(0.0)).alias("score"))
 
 
-def metric_word_entropy(df: DataFrame, keys=("model", "task"), pred="prediction", label="label") -> DataFrame:
-    """Shannon entropy (bits) of the corpus word distribution per key."""
-    keys = list(keys)
-    # keys without a word keep one null row, so that they appear with 0
+def metric_distinct_ngram(df: DataFrame, keys=("model", "task"), pred="prediction", label="label",
+                          ngrams_list: Sequence[int] = (1, 2)) -> DataFrame:
+    return distinct_from_states(ngram_states(df, list(keys), pred, ngrams_list), list(keys))
+
+
+def entropy_states(df: DataFrame, keys, pred="prediction") -> DataFrame:
+    """Word counts (keys, w, c); keys without a word keep one null row, so that they appear with 0."""
     words = df.select(*keys, F.explode_outer(ws_split(py_str(pred))).alias("w"))
-    counts = words.groupBy(*keys, "w").agg(F.count("w").alias("c"))
+    return words.groupBy(*keys, "w").agg(F.count("w").alias("c"))
+
+
+def merge_entropy_states(states: DataFrame, keys) -> DataFrame:
+    return states.groupBy(*keys, "w").agg(F.sum("c").alias("c"))
+
+
+def entropy_from_states(counts: DataFrame, keys) -> DataFrame:
     per = counts.groupBy(*keys).agg(F.sum("c").alias("N"), F.sum(F.when(F.col("c") > 0, F.col("c") * F.log2("c"))).alias("S"))
     h = F.when(F.col("N") > 0, F.log2("N") - F.col("S") / F.col("N")).otherwise(F.lit(0.0))
     return per.select(*keys, F.lit("word_entropy").alias("metric"), F.lit("").alias("sub_metric"), F.coalesce(h, F.lit(0.0)).alias("score"))
 
 
-def pearson_from(df: DataFrame, keys, x, y, bad) -> DataFrame:
-    """Pearson r per key from numerically stable population moments; fewer than
-    two points, any non-numeric value, or zero variance give 0.0."""
-    agg = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.max(bad.cast("int")).alias("bad"),
-        F.covar_pop(x, y).alias("cxy"), F.stddev_pop(x).alias("sx"), F.stddev_pop(y).alias("sy"))
-    den = F.col("sx") * F.col("sy")
-    r = F.when((F.col("n") < 2) | (F.col("bad") == 1) | den.isNull() | (den == 0), F.lit(0.0)) \
-        .otherwise(F.col("cxy") / den)
+def metric_word_entropy(df: DataFrame, keys=("model", "task"), pred="prediction", label="label") -> DataFrame:
+    """Shannon entropy (bits) of the corpus word distribution per key."""
+    return entropy_from_states(entropy_states(df, list(keys), pred), list(keys))
+
+
+def pearson_aggs(x, y, bad, prefix: str = "") -> list:
+    """Numerically stable population moments."""
+    return [F.count(F.lit(1)).alias(f"{prefix}n"), F.max(bad.cast("int")).alias(f"{prefix}bad"),
+            F.covar_pop(x, y).alias(f"{prefix}cxy"), F.stddev_pop(x).alias(f"{prefix}sx"), F.stddev_pop(y).alias(f"{prefix}sy")]
+
+
+def pearson_score(agg: DataFrame, keys, prefix: str = "") -> DataFrame:
+    """Pearson r per key from the moments; fewer than two points, any non-numeric value, or zero
+    variance give 0.0."""
+    n, bad, cxy, sx, sy = (F.col(f"{prefix}{c}") for c in ("n", "bad", "cxy", "sx", "sy"))
+    den = sx * sy
+    r = F.when((n < 2) | (bad == 1) | den.isNull() | (den == 0), F.lit(0.0)).otherwise(cxy / den)
     r = F.when(F.isnan(r), F.lit(0.0)).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
     return agg.select(*keys, r.alias("r"))
 
 
+def pearson_from(df: DataFrame, keys, x, y, bad) -> DataFrame:
+    return pearson_score(df.groupBy(*keys).agg(*pearson_aggs(x, y, bad)), keys)
+
+
 def numeric_pair(df: DataFrame, pred: str, label: str):
     x = py_float(F.col(pred), label_kind(df, pred))
     y = py_float(F.col(label), label_kind(df, label))
@@ -68,16 +96,23 @@ def metric_pearson(df: DataFrame, keys=("model", "task"), pred="prediction", lab
     return long_from_wide(r, keys, [("r", "pearson", "")])
 
 
-def metric_spearman(df: DataFrame, keys=("model", "task"), pred="prediction", label="label") -> DataFrame:
-    """Pearson on average ranks. The rows are reduced to distinct (key, x, y) with their count;
-    ranks are taken on the distinct x and the distinct y and weighted moments give r, so no
-    rank is joined back to the rows."""
+def spearman_states(df: DataFrame, keys, pred="prediction", label="label") -> DataFrame:
+    """Distinct (key, x, y) with their count and whether a value is not numeric."""
+    x, y, bad = numeric_pair(df, pred, label)
+    return df.select(*keys, x.alias("x"), y.alias("y"), bad.cast("int").alias("bad")).groupBy(*keys, "x", "y").agg(
+        F.count(F.lit(1)).alias("c"), F.max("bad").alias("bad"))
+
+
+def merge_spearman_states(states: DataFrame, keys) -> DataFrame:
+    return states.groupBy(*keys, "x", "y").agg(F.sum("c").alias("c"), F.max("bad").alias("bad"))
+
+
+def spearman_from_states(pairs: DataFrame, keys) -> DataFrame:
+    """Pearson on average ranks, taken on the distinct x and the distinct y; weighted moments
+    give r, so no rank is joined back to the rows."""
     from ..ranking import prefix_before
 
     keys = list(keys)
-    x, y, bad = numeric_pair(df, pred, label)
-    pairs = df.select(*keys, x.alias("x"), y.alias("y"), bad.cast("int").alias("bad")).groupBy(*keys, "x", "y").agg(
-        F.count(F.lit(1)).alias("c"), F.max("bad").alias("bad"))
     good = pairs.where("bad = 0")
 
     def ranks(v: str):
@@ -96,3 +131,7 @@ def metric_spearman(df: DataFrame, keys=("model", "task"), pred="prediction", la
     r = (F.col("sxy") - F.col("sx") * F.col("sy") / n) / den
     r = F.when((F.col("anybad") == 1) | (n < 2) | den.isNull() | F.isnan(den) | (den == 0), F.lit(0.0)).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
     return long_from_wide(j.select(*keys, r.alias("r")), keys, [("r", "spearman", "")])
+
+
+def metric_spearman(df: DataFrame, keys=("model", "task"), pred="prediction", label="label") -> DataFrame:
+    return spearman_from_states(spearman_states(df, list(keys), pred, label), keys)

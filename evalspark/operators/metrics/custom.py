@@ -40,22 +40,16 @@ def default_merge(a, b):
     raise TypeError(f"states of {type(a).__name__} have no default merge; pass merge=")
 
 
-def metric_custom(
-    df: DataFrame,
-    init: Callable,
-    update: Callable,
-    result: Callable,
-    merge: Callable | None = None,
-    keys: Sequence[str] = ("model", "task"),
-    pred: str = "prediction",
-    label: str = "label",
-    options: dict | None = None,
-    name: str = "custom",
-) -> DataFrame:
-    keys = list(keys)
-    merge = merge or default_merge
-    opts = options or {}
-    schema = ", ".join(f"{k} string" for k in keys)
+PARTIAL = "part long, state binary, error string"
+
+
+def _key_schema(keys: Sequence[str]) -> str:
+    return ", ".join(f"`{k}` string" for k in keys)
+
+
+def custom_states(df: DataFrame, init: Callable, update: Callable, keys: Sequence[str], pred: str, label: str, options: dict | None = None) -> DataFrame:
+    """(keys, part, state, error): the rows of each partition folded into one state per key."""
+    keys, opts = list(keys), options or {}
 
     def partials(it):
         states, errors = {}, {}
@@ -74,27 +68,45 @@ def metric_custom(
                 for k, v in {**dict.fromkeys(errors), **states}.items()]
         yield pd.DataFrame(rows, columns=[*keys, "part", "state", "error"]).astype({"part": "int64"})
 
-    def fold(pdf: pd.DataFrame):
-        """(merged state, first error) of some states."""
-        bad = pdf["error"].dropna()
-        if len(bad):
-            return None, bad.min()
-        st = None
-        try:
-            for i, blob in enumerate(pdf.sort_values("part")["state"]):
-                s = pickle.loads(blob)
-                st = s if i == 0 else merge(st, s)
-        except Exception as e:  # noqa: BLE001
-            return None, str(e)
-        return st, None
+    source = df.select(*[df[k].cast("string").alias(k) for k in keys], pred, label)
+    return source.mapInPandas(partials, f"{_key_schema(keys)}, {PARTIAL}")
+
+
+def _fold(pdf: pd.DataFrame, merge: Callable):
+    """(merged state, first error) of some states."""
+    bad = pdf["error"].dropna()
+    if len(bad):
+        return None, bad.min()
+    st = None
+    try:
+        for i, blob in enumerate(pdf.sort_values("part")["state"]):
+            s = pickle.loads(blob)
+            st = s if i == 0 else merge(st, s)
+    except Exception as e:  # noqa: BLE001
+        return None, str(e)
+    return st, None
+
+
+def merge_custom_states(states: DataFrame, keys: Sequence[str], merge: Callable | None = None) -> DataFrame:
+    """States of up to ``MERGE_WIDTH`` neighbouring parts merged into one, in the order of ``part``."""
+    keys, merge = list(keys), merge or default_merge
 
     def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        st, error = fold(pdf)
+        st, error = _fold(pdf, merge)
         base = {k: pdf[k].iloc[0] for k in keys}
-        return pd.DataFrame([{**base, "part": pdf["part"].iloc[0], "state": None if error is not None else pickle.dumps(st), "error": error}])
+        return pd.DataFrame([{**base, "part": pdf["group"].iloc[0], "state": None if error is not None else pickle.dumps(st), "error": error}])
+
+    grouped = states.withColumn("group", F.floor(F.col("part") / MERGE_WIDTH)).groupBy(*keys, "group")
+    return grouped.applyInPandas(combine, f"{_key_schema(keys)}, {PARTIAL}")
+
+
+def custom_result(states: DataFrame, result: Callable, keys: Sequence[str], merge: Callable | None = None, options: dict | None = None,
+                  name: str = "custom") -> DataFrame:
+    """Merge all states of a key and turn them into metric rows."""
+    keys, merge, opts = list(keys), merge or default_merge, options or {}
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        st, error = fold(pdf)
+        st, error = _fold(pdf, merge)
         rows = [(name, "error", None, error)]
         if error is None:
             try:
@@ -106,8 +118,20 @@ def metric_custom(
         base = {k: pdf[k].iloc[0] for k in keys}
         return pd.DataFrame([{**base, "metric": m, "sub_metric": s, "score": v, "error": err} for m, s, v, err in rows])
 
-    partial_schema = f"{schema}, part long, state binary, error string"
-    source = df.select(*[df[k].cast("string").alias(k) for k in keys], pred, label)
-    parts = source.mapInPandas(partials, partial_schema)
-    merged = parts.withColumn("part", F.floor(F.col("part") / MERGE_WIDTH)).groupBy(*keys, "part").applyInPandas(combine, partial_schema)
-    return merged.groupBy(*keys).applyInPandas(finish, f"{schema}, metric string, sub_metric string, score double, error string")
+    return states.groupBy(*keys).applyInPandas(finish, f"{_key_schema(keys)}, metric string, sub_metric string, score double, error string")
+
+
+def metric_custom(
+    df: DataFrame,
+    init: Callable,
+    update: Callable,
+    result: Callable,
+    merge: Callable | None = None,
+    keys: Sequence[str] = ("model", "task"),
+    pred: str = "prediction",
+    label: str = "label",
+    options: dict | None = None,
+    name: str = "custom",
+) -> DataFrame:
+    states = custom_states(df, init, update, keys, pred, label, options)
+    return custom_result(merge_custom_states(states, keys, merge), result, keys, merge, options, name)

@@ -241,6 +241,10 @@ def counts_of_rows(rows: DataFrame, keys: Sequence[str], item: str, pos: str, tr
     return out.groupBy(*keys, "type").agg(*[F.sum(c).alias(c) for c in ("tp", "n_true", "n_pred")], F.max("bad").alias("bad"))
 
 
+def merge_counts(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return states.groupBy(*keys, "type").agg(*[F.sum(c).alias(c) for c in ("tp", "n_true", "n_pred")], F.max("bad").alias("bad"))
+
+
 # --- scores ---------------------------------------------------------------------------------
 
 def scores_from_counts(counts: DataFrame, keys: Sequence[str], average_type: str = "micro avg") -> DataFrame:

@@ -127,6 +127,9 @@ def metric_token_match(df: DataFrame, keys=("model", "task"), pred="prediction",
         match = token_match(pred, label, "_wp", "_wl")
     else:
         match = token_match(pred, label)
-    pairs = df.select(*keys, match.alias("s"))
-    entries = [("bertscore", f"bertscore_{k}", F.coalesce(F.avg(f"s.{c}"), F.lit(0.0))) for k, c in (("precision", "p"), ("recall", "r"), ("f1", "f"))]
-    return agg_to_long(pairs, keys, entries)
+    return agg_to_long(df.select(*keys, match.alias("s")), keys, match_entries("s"))
+
+
+def match_entries(column: str) -> list:
+    """(metric, sub_metric, aggregate) of projected matches."""
+    return [("bertscore", f"bertscore_{k}", F.coalesce(F.avg(f"{column}.{c}"), F.lit(0.0))) for k, c in (("precision", "p"), ("recall", "r"), ("f1", "f"))]

@@ -10,7 +10,8 @@ from ..operators.metrics.base import long_from_wide
 from ..streaming import stream as T
 from . import sqlfrag as Q
 from . import views as V
-from .catalog import SQL_MCQ, finish, query, sql_choice_label, sql_choice_letter
+from .catalog import ORACLES, SQL_MCQ, finish, query, sql_choice_label, sql_choice_letter
+from .q_metrics import KEYWORDS, _distinct_sql
 from .q_overlap import _bleu_sql
 
 
@@ -114,3 +115,28 @@ def stream_confusion(spark, sf):
     pairs = T.running_aggregate(s, ["model", "task", "_l", "_p"], [F.count(F.lit(1)).alias("_n")], "stream-confusion")
     cc = confusion_from_pairs(pairs, ["model", "task"])
     return finish(prf_from_confusion(cc, ["model", "task"], ("precision", "recall", "f1"), "macro", 0.0, numeric=False))
+
+
+# T2 as a suite -----------------------------------------------------------------------------------
+_SUITE_TEXT = [{"name": "exact_match", "options": {"normalize": True, "ignore_case": True}}, {"name": "rouge", "options": {"metrics": ["rouge1", "rouge2"], "stats": ["f", "p", "r"]}},
+               {"name": "jaccard", "options": {"normalize": True}}, "bleu", {"name": "distinct_ngram", "options": {"ngrams": (1, 2)}}, "word_entropy",
+               {"name": "keyword_match", "options": {"keywords_to_match": KEYWORDS}}]
+
+
+def _suite_sql() -> str:
+    em = [f"regexp_replace({Q.strip(f'lower({c})')}, '\\s+', ' ', 'g')" for c in ("prediction", "label")]
+    parts = [f"SELECT model, task, 'exact_match' AS metric, '' AS sub_metric, round(avg(CASE WHEN {em[0]} = {em[1]} THEN 1.0 ELSE 0.0 END), 6) AS score FROM ({V.SQL_PAIRS}) GROUP BY ALL",
+             ORACLES["metric_jaccard"].split("UNION ALL")[0].replace("'n1_lower'", "''"), ORACLES["metric_rouge_n"], ORACLES["metric_bleu"], _distinct_sql(1), _distinct_sql(2),
+             ORACLES["metric_word_entropy"], ORACLES["metric_novelty"], ORACLES["metric_avg_length"], ORACLES["metric_keyword"]]
+    return " UNION ALL ".join(f"SELECT model, task, metric, sub_metric, score FROM ({p})" for p in parts)
+
+
+@query("stream_suite", _suite_sql())
+def stream_suite(spark, sf):
+    """Lists of metrics over a stream of dialogue pairs: texts, and cleaned creative texts."""
+    from ..streaming.suite import stream_suite as suite
+
+    pairs = _dialogue_stream(spark, sf)
+    creative = X.apply_post(pairs.withColumn("prompt", F.col("label")), "creative").withColumn("label", F.col("prompt"))
+    text = suite(pairs, _SUITE_TEXT, name="suite-text")
+    return finish(text.unionByName(suite(creative, ["novelty", "avg_prediction_length"], name="suite-creative")))

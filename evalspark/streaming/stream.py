@@ -60,7 +60,7 @@ def save_batch(rows: DataFrame, out: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
 
-def _written(df: DataFrame, out: str, empty: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def read_written(df: DataFrame, out: str, empty: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """What a stream wrote to ``out``; a source without files has written nothing at all, and
     then ``empty`` of no rows stands for it."""
     spark = df.sparkSession
@@ -79,7 +79,7 @@ def running_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence, name:
     batch aggregate over the same rows."""
     agg = df.groupBy(*keys).agg(*aggs)
     out = run_foreach_batch(agg, name, lambda b, i, path: save_batch(b, path, i), mode="complete", location=location)
-    versions = _written(df, out, lambda b: b.groupBy(*keys).agg(*aggs))
+    versions = read_written(df, out, lambda b: b.groupBy(*keys).agg(*aggs))
     newest = versions.agg(F.max("batch_id")).first()[0]
     return versions.where(F.col("batch_id") == newest).drop("batch_id")
 
@@ -88,7 +88,7 @@ def batch_states(df: DataFrame, state: Callable[[DataFrame], DataFrame], name: s
     """Mergeable statistics ``state(batch)`` of every micro-batch, each in the folder of its
     batch id: a replayed batch replaces its own rows and a restarted job adds to what is there."""
     out = run_foreach_batch(df, name, lambda b, i, path: save_batch(state(b), path, i), location=location)
-    return _written(df, out, state)
+    return read_written(df, out, state)
 
 
 def ngram_counts(b: DataFrame, keys: Sequence[str], text: str, ns: Sequence[int]) -> DataFrame:
