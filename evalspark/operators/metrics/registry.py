@@ -157,9 +157,10 @@ def _tm(df, keys, pred, label, idf=False, pred_tokens="prediction_tokens", label
 
 
 @register("meteor")
-def _met(df, keys, pred, label, alpha=0.9, beta=3.0, gamma=0.5, stem=Me.porter_stem, synonyms=None, **o):
-    return "aggs", [("meteor", "", F.coalesce(F.avg(Me.meteor_scores(pred, label, alpha, beta, gamma, stem, synonyms)),
-                                                F.lit(0.0)))]
+def _met(df, keys, pred, label, alpha=0.9, beta=3.0, gamma=0.5, stem=Me.porter_stem, synonyms=None, item="item_id", **o):
+    if synonyms is not None:
+        return "frame", Me.metric_meteor(df, keys, pred, label, synonyms, item, alpha=alpha, beta=beta, gamma=gamma, stem=stem)
+    return "aggs", [("meteor", "", F.coalesce(F.avg(Me.meteor_scores(pred, label, alpha, beta, gamma, stem)), F.lit(0.0)))]
 
 
 @register("custom_script", "custom")

@@ -191,6 +191,18 @@ def metric_meteor(spark, sf):
     return finish(evaluate_suite(V.pairs(spark, sf), ["meteor"], persist=False))
 
 
+@query("metric_meteor_synonyms")
+def metric_meteor_synonyms(spark, sf):
+    """METEOR with a synonym table: neighbouring words of the benchmark items stand for synonyms."""
+    from ..functions.text import ws_split
+    from ..operators.metrics import meteor as Me
+
+    words = V.table(spark, sf, "benchmark").select(ws_split(F.lower("text")).alias("w"))
+    pairs = words.select(F.explode(F.arrays_zip(F.col("w").alias("word"), F.slice("w", 2, F.size("w")).alias("synonym"))).alias("p"))
+    table = pairs.select("p.word", "p.synonym").where("synonym IS NOT NULL")
+    return finish(Me.metric_meteor(V.pairs(spark, sf), synonyms=table))
+
+
 # M24 ---------------------------------------------------------------------------------------
 def _len_init(options):
     return {"total_word_count": 0, "num_predictions": 0}

@@ -19,12 +19,9 @@ def pystr(x: str) -> str:
 
 
 def creative_clean(t: str) -> str:
-    s = strip(t)
-    s = f"replace(replace({s}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
-    s = f"regexp_replace({s}, '\\n\\s*\\n+', ' %%%PARA_BREAK%%% ', 'g')"
-    s = f"replace({s}, chr(10), ' ')"
-    s = f"regexp_replace({strip(s)}, '\\s+', ' ', 'g')"
-    s = strip(f"replace({s}, ' %%%PARA_BREAK%%% ', chr(10) || chr(10))")
+    lines = f"replace(replace({strip(t)}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+    one = f"regexp_replace({strip('x')}, '\\s+', ' ', 'g')"
+    s = f"array_to_string(list_transform(regexp_split_to_array({lines}, '\\n\\s*\\n+'), lambda x: {one}), chr(10) || chr(10))"
     return f"(CASE WHEN {t} IS NULL THEN '' ELSE {s} END)"
 
 

@@ -362,3 +362,48 @@ def test_token_match_with_idf(spark):
     assert table == pytest.approx({"a": ia, "b": ib, "c": ic, None: math.log(4)})
     plain = {r["sub_metric"]: r["score"] for r in Ve.metric_token_match(token_pairs(spark, rows)).collect()}
     assert plain["bertscore_precision"] == pytest.approx((0.9 + 1 + 0.6) / 3)
+
+
+def plain_meteor_synonyms(hyp, ref, synonyms):
+    """The synonym stage by trying every pair of remaining words."""
+    h, r, out = list(enumerate(hyp)), list(enumerate(ref)), []
+    for i in range(len(h))[::-1]:
+        for j in range(len(r))[::-1]:
+            if r[j][1] in {h[i][1], *synonyms.get(h[i][1], ())}:
+                out.append((h[i][0], r[j][0]))
+                h.pop(i)
+                r.pop(j)
+                break
+    return sorted(out)
+
+
+def test_meteor_synonyms(spark):
+    import random
+    import time
+
+    from evalspark.operators.metrics import meteor as Me
+
+    rng = random.Random(5)
+    for _ in range(200):
+        words = "abcdefgh"
+        synonyms = {w: {x for x in words if rng.random() < 0.3} for w in words}
+        hyp, ref = ([rng.choice(words) for _ in range(rng.randint(0, 15))] for _ in range(2))
+        assert sorted(Me._align_synonyms(list(enumerate(hyp)), list(enumerate(ref)), synonyms)) == plain_meteor_synonyms(hyp, ref, synonyms)
+
+    rows = [(1, "the quick car stopped", "the fast automobile stopped"), (2, "a big dog", "a large cat"), (3, "none here", "other words"), (4, "", "x")]
+    df = spark.createDataFrame([("m", "t", *r) for r in rows], "model string, task string, item_id long, prediction string, label string")
+    table = spark.createDataFrame([("Quick", "fast"), ("car", "automobile"), ("big", "large"), ("car", "automobile"), ("here", "absent")], "word string, synonym string")
+    # pair 1: four matches in one chunk; pair 2: two of three words, one chunk; pairs 3 and 4: none
+    one = (1 - 0.5 * (1 / 4) ** 3) * 1.0
+    two = (1 - 0.5 * (1 / 2) ** 3) * (2 / 3)
+    for given in (table, {"quick": ["fast"], "car": ["automobile"], "big": ["large"]}):
+        assert Me.metric_meteor(df, synonyms=given).first()["score"] == pytest.approx((one + two) / 4)
+    assert evaluate_suite(df, [{"name": "meteor", "options": {"synonyms": table}}], persist=False).first()["score"] == pytest.approx((one + two) / 4)
+    links = {r["item_id"]: sorted(map(tuple, r[Me.LINKS] or [])) for r in Me.with_synonyms(df, ["model", "task"], "item_id", "prediction", "label", table).collect()}
+    assert links == {1: [("car", "automobile"), ("quick", "fast")], 2: [("big", "large")], 3: [], 4: []}
+
+    n = 20_000
+    hyp, ref = [f"h{i % 3000}" for i in range(n)], [f"r{i % 3000}" for i in range(n)]
+    began = time.time()
+    Me.meteor_pair(hyp, ref, stem=None, synonyms={f"h{i}": {f"r{i}", f"r{i + 1}"} for i in range(3000)})
+    assert time.time() - began < 1
