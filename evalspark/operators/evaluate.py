@@ -40,7 +40,7 @@ def evaluate_suite(
     label: str = "label",
     text_pred: str | None = None,
     text_label: str | None = None,
-    persist: bool = True,
+    persist: bool = False,
 ) -> DataFrame:
     """Every requested metric over ``scored`` -> ``metrics_long``.
 
@@ -52,8 +52,9 @@ def evaluate_suite(
     With ``text_pred`` / ``text_label`` (the dual view of math tasks),
     ``exact_match`` reads the extracted pair and every other metric the full text.
 
-    With ``persist`` an input that several passes read is cached (spilling to
-    disk); the caller releases it with ``release(result)``.
+    Passes over the same input share its scan and exchanges only. With ``persist`` an input
+    that several passes read is cached (spilling to disk), which pays for costly inputs; the
+    caller then releases it with ``release(result)`` once the result is saved.
     """
     keys = list(keys)
     specs = [s for s in as_specs(metrics) if s.name.lower() in registry.METRICS]

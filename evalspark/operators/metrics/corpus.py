@@ -107,9 +107,10 @@ def merge_spearman_states(states: DataFrame, keys) -> DataFrame:
     return states.groupBy(*keys, "x", "y").agg(F.sum("c").alias("c"), F.max("bad").alias("bad"))
 
 
-def spearman_from_states(pairs: DataFrame, keys) -> DataFrame:
+def spearman_from_states(pairs: DataFrame, keys, like: DataFrame | None = None) -> DataFrame:
     """Pearson on average ranks, taken on the distinct x and the distinct y; weighted moments
-    give r, so no rank is joined back to the rows."""
+    give r, so no rank is joined back to the rows. ``like`` are the rows (keys, x, y) that the
+    pairs come from, if they can be read anew."""
     from ..ranking import prefix_before
 
     keys = list(keys)
@@ -117,7 +118,7 @@ def spearman_from_states(pairs: DataFrame, keys) -> DataFrame:
 
     def ranks(v: str):
         d = good.groupBy(*keys, v).agg(F.sum("c").alias("n"))
-        d = prefix_before(d, keys, [v], F.col("n"), "lt")
+        d = prefix_before(d, keys, [v], F.col("n"), "lt", like=like)
         return d.select(*keys, v, (F.col("lt") + (F.col("n") + 1) / 2.0).alias(f"r{v}"))
 
     j = pairs.join(ranks("x"), [*keys, "x"], "left").join(ranks("y"), [*keys, "y"], "left")
@@ -134,4 +135,6 @@ def spearman_from_states(pairs: DataFrame, keys) -> DataFrame:
 
 
 def metric_spearman(df: DataFrame, keys=("model", "task"), pred="prediction", label="label") -> DataFrame:
-    return spearman_from_states(spearman_states(df, list(keys), pred, label), keys)
+    x, y, bad = numeric_pair(df, pred, label)
+    like = df.where(~bad).select(*keys, x.alias("x"), y.alias("y"))
+    return spearman_from_states(spearman_states(df, list(keys), pred, label), keys, like)

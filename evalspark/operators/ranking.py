@@ -25,15 +25,16 @@ from pyspark.sql import functions as F
 SAMPLES = 32
 
 
-def range_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int | None = None) -> DataFrame:
+def range_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int | None = None, like: DataFrame | None = None) -> DataFrame:
     """Adds ``_bkt``: the range bucket (0, 1, ...) of the row's (keys, order) tuple, nulls first.
     Rows of a key in a later bucket come later in ``order``. Equal tuples share a bucket. By
-    default there are as many buckets as shuffle partitions."""
+    default there are as many buckets as shuffle partitions. ``like`` names rows that are cheaper
+    to read than ``df`` and spread alike (the rows that ``df`` aggregates): cuts come from there."""
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if n <= 1:
         return df.withColumn("_bkt", F.lit(0))
     place = F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate([*keys, *order])])
-    rows = df.select(place.alias("t"))
+    rows = (df if like is None else like).select(place.alias("t"))
     total = rows.agg(F.count("t")).scalar()
     every = F.greatest(F.lit(1), (total / (n * SAMPLES)).cast("long"))
     sample = rows.where(F.pmod(F.xxhash64("t"), every) == 0).agg(F.sort_array(F.collect_list("t")).alias("s"))
@@ -63,13 +64,13 @@ def carried(rows: DataFrame, keys: Sequence[str], totals: dict, carry) -> DataFr
 
 
 def prefix_before(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: Column | None = None,
-                  out: str = "before", buckets: int | None = None) -> DataFrame:
+                  out: str = "before", buckets: int | None = None, like: DataFrame | None = None) -> DataFrame:
     """Adds ``out`` = sum of ``weight`` (default 1) over earlier rows of the same key in
     ``order`` (columns of any sortable types, ascending). With weight 1 this is the 0-based
     position; rows that are equal in all order columns stand in any order."""
     keys, order = list(keys), list(order)
     w = weight if weight is not None else F.lit(1)
-    b = range_buckets(df.withColumn("_w", w.cast("long")), keys, order, buckets)
+    b = range_buckets(df.withColumn("_w", w.cast("long")), keys, order, buckets, like)
     inner = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = b.withColumn("_loc", F.coalesce(F.sum("_w").over(inner), F.lit(0)))
     j = carried(local, keys, {"_off": F.sum("_w")}, F.sum)

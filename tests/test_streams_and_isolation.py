@@ -150,7 +150,7 @@ def test_a_bad_metric_leaves_the_others(spark, bad):
 
 def test_suite_releases_its_input(spark):
     spark.catalog.clearCache()
-    out = evaluate_suite(rows(spark), ["accuracy", "distinct_ngram", "f1_score"])
+    out = evaluate_suite(rows(spark), ["accuracy", "distinct_ngram", "f1_score"], persist=True)
     assert out.count() == 4 and out._cached_input.storageLevel.useMemory
     release(out)
     assert not out._cached_input.storageLevel.useMemory
