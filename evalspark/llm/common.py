@@ -188,8 +188,16 @@ def window_starts(first: np.ndarray, width: int) -> np.ndarray:
     return ok
 
 
-def safe_id(df: DataFrame, column: str = "doc_id") -> DataFrame:
-    return df.withColumn(column, F.col(column).cast("long"))
+def set_apart(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with all columns under names of our own (old name -> new one), so that columns
+    an operator adds or joins cannot clash with the input's, whatever these are called."""
+    own = {n: f"__c{i}" for i, n in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{n}`").alias(o) for n, o in own.items()]), own
+
+
+def put_back(df: DataFrame, own: dict[str, str]) -> DataFrame:
+    """The input's columns under their old names; all others go."""
+    return df.select(*[F.col(o).alias(n) for n, o in own.items()])
 
 
 #: Rows up to which a small side is broadcast; callers join by shuffle beyond it.

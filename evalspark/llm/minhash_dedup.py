@@ -356,17 +356,57 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataF
     return labelled.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id").isNull() | (component == F.col("doc_id"))).alias("kept"))
 
 
+def _one_id_a_text(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame | None]:
+    """Adds ``__id``, a long that rows share if and only if they share doc_id and text, and says
+    which doc_id the invented ones stand for (new, known; None: there are no invented ones).
+
+    It is the doc_id where that is not null and stands for one text. The other rows, which are few
+    as a rule, get ids of their own: one for each further text of a doc_id and one for each text
+    without a doc_id. So unrelated texts under one doc_id are two documents, and copies without a
+    doc_id are copies. The invented ids are hashes; a salt is tried until none is taken."""
+    named = docs.withColumns({"__id": F.col(doc_id).cast("long"), "__md5": F.coalesce(F.md5(F.col(text).cast("binary")), F.lit(""))})
+    ids = named.groupBy("__id").agg(F.min("__md5").alias("first"), F.max("__md5").alias("last"))
+    shared = C.checkpointed(ids.filter("__id is null or first <> last").select(F.col("__id").alias("__shared"), "first"))
+    n = shared.count()
+    if n == 0:
+        return named.drop("__md5"), None
+    plain = C.join_small(named.filter("__id is not null"), shared.filter("__shared is not null"), F.col("__id") == F.col("__shared"), "left_anti", n)
+    odd = C.join_small(named, shared, F.col("__id").eqNullSafe(F.col("__shared")), "inner", n)
+    keys = C.checkpointed(odd.filter("__id is null or __md5 <> first").select(F.col("__id").alias("known"), F.col("__md5").alias("k_md5")).distinct())
+    rows, salt = keys.count(), 0
+    while True:
+        own = C.checkpointed(keys.withColumn("new", F.xxhash64(F.lit(salt), "known", "k_md5")))
+        taken = C.join_small(named.select("__id"), own.select("new"), F.col("__id") == F.col("new"), "left_semi", rows)
+        if own.select("new").distinct().count() == rows and not taken.limit(1).count():
+            break
+        salt += 1
+    odd = C.join_small(odd, own, F.col("__id").eqNullSafe(F.col("known")) & (F.col("__md5") == F.col("k_md5")), "left", rows)
+    odd = odd.withColumn("__id", F.coalesce("new", "__id")).select(*plain.columns)
+    return plain.unionByName(odd).drop("__md5"), own.select("new", "known")
+
+
 def drop_near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
-    """The documents without near copies, same columns: of each component the one with the
-    smallest doc_id stays (one row of it, if it is repeated), as does every null doc_id."""
-    ids = C.checkpointed(near_duplicates(docs, percent, words).filter("doc_id is not null").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("kept").alias("kept")))
+    """The documents without near copies, same columns: of each component one row stays, the one
+    with the smallest doc_id, or one without a doc_id if there is no other. A document is a text
+    with its doc_id: different texts under one doc_id are different documents, and copies with a
+    null doc_id are copies like others. Texts without words are linked with nothing; equal ones
+    under one doc_id (or none) leave one row."""
+    wide, own = C.set_apart(docs)
+    named, invented = _one_id_a_text(wide, own["doc_id"], own["text"])
+    found = near_duplicates(named.select(F.col("__id").alias("doc_id"), F.col(own["text"]).alias("text")), percent, words)
+    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("kept").alias("kept"), F.min("component_id").alias("component_id"))
+    if invented is not None:  # the least id of a component may be an invented one: choose by the doc_ids they stand for
+        ids = C.join_small(C.checkpointed(ids), invented, F.col("doc_id") == F.col("new"))
+        place = F.struct((F.col("new").isNotNull() & F.col("known").isNull()).alias("none"), F.coalesce("known", "doc_id").alias("known"), F.col("doc_id").alias("id"))
+        ids = C.checkpointed(ids.select("doc_id", "rows", "component_id", place.alias("place")))
+        best = ids.groupBy(F.col("component_id").alias("c")).agg(F.min("place").alias("best"))
+        ids = ids.join(best, F.col("component_id") == F.col("c")).withColumn("kept", F.col("best.id") == F.col("doc_id"))
+    ids = C.checkpointed(ids.select("doc_id", "rows", "kept"))
     gone = ids.filter("not kept").select(F.col("doc_id").alias("__gone"))
-    names = docs.columns
-    rest = C.join_small(docs.withColumn("__id", F.col("doc_id").cast("long")), gone, F.col("__id") == F.col("__gone"), "left_anti")
+    rest = C.join_small(named, gone, F.col("__id") == F.col("__gone"), "left_anti")
     twice = ids.filter("kept and rows > 1").select(F.col("doc_id").alias("__gone"))
     n = twice.count()
     if n:
         again = C.join_small(rest, twice, F.col("__id") == F.col("__gone"), "left_semi", n).dropDuplicates(["__id"])
         rest = C.join_small(rest, twice, F.col("__id") == F.col("__gone"), "left_anti", n).union(again)
-    return rest.select(*[F.col(f"`{c}`") for c in names])
+    return C.put_back(rest, own)

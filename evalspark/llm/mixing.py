@@ -153,14 +153,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     reads = pieces.groupBy("sid", "bucket", "place", "doc_id", "text_hash", "size", "round").agg(
         F.min("start").alias("start"), F.sum("n_words").alias("n_words"))
     # equal rows of (doc_id, text) hold equal text: one copy of the text serves all of them
-    names = docs.columns
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64(F.col("text"))})
-    same = Window.partitionBy("__id", "__hash").orderBy(*[F.col(f"`{c}`") for c in names if c not in ("doc_id", "text")] or [F.lit(0)])
+    wide, own = C.set_apart(docs)
+    doc_id, text = F.col(own["doc_id"]), F.col(own["text"])
+    keyed = wide.withColumns({"__id": doc_id.cast("long"), "__hash": F.xxhash64(text)})
+    same = Window.partitionBy("__id", "__hash").orderBy(*[F.col(c) for n, c in own.items() if n not in ("doc_id", "text")] or [F.lit(0)])
     keyed = keyed.withColumn("__copy", F.row_number().over(same))
     nth = Window.partitionBy("doc_id", "text_hash", "round").orderBy("sid", "bucket", "place")
     reads = reads.withColumn("copy", F.row_number().over(nth))
     joined = keyed.join(reads.select(F.col("doc_id").alias("r_id"), "text_hash", "copy", "size", "start", "n_words"),
                         F.col("__id").eqNullSafe(F.col("r_id")) & (F.col("__hash") == F.col("text_hash")) & (F.col("__copy") == F.col("copy")))
-    words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(C.WORD), F.lit(0)), (F.col("start") + 1).cast("int"), F.col("n_words").cast("int")), " ")
-    text = F.when(F.col("n_words") == F.col("size"), F.col("text")).otherwise(words)
-    return joined.withColumn("text", text).select(*names)
+    words = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(C.WORD), F.lit(0)), (F.col("start") + 1).cast("int"), F.col("n_words").cast("int")), " ")
+    return C.put_back(joined.withColumn(own["text"], F.when(F.col("n_words") == F.col("size"), text).otherwise(words)), own)

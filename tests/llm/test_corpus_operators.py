@@ -332,7 +332,23 @@ def test_near_duplicates_empty_and_drop(spark, no_docs, edge_docs):
     rest = M.drop_near_duplicates(edge_docs)
     assert rest.columns == edge_docs.columns
     assert sorted((r.doc_id is not None, r.doc_id or 0) for r in rest.collect()) == sorted(
-        (i is not None, i or 0) for i in [None, None, 1, 2, 3, 4, 6, 8, 10])
+        (i is not None, i or 0) for i in [None, 1, 2, 3, 4, 6, 8, 10])  # the copy of 1 without an id goes
+
+
+A, B = "one two three four five six seven eight nine ten", "red orange yellow green blue indigo violet black white grey"
+
+
+@pytest.mark.parametrize("top", [9, 2**63 - 1])
+def test_drop_loses_no_text_by_shared_or_missing_ids(spark, top):
+    rows = [(1, A), (1, B), (2, A), (3, B + " more words of its own that make it quite another text altogether"), (1, B), (top, "alone " * 9),
+            (None, B.upper()), (None, "without an id " * 5), (None, "without an id " * 5), (None, None), (None, None), (4, ""), (4, None), (4, "")]
+    df = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in rows], "doc_id long, text string, __id string, __gone int, __md5 int").repartition(5)
+    rest = M.drop_near_duplicates(df)
+    assert rest.columns == df.columns and rest.filter("__id <> 'x' or __gone <> 1 or __md5 <> 2").count() == 0
+    got = sorted(((r.doc_id, r.text) for r in rest.collect()), key=str)
+    want = [(1, A), (1, B), (3, rows[3][1]), (top, rows[5][1]), (None, rows[7][1]), (None, None), (4, ""), (4, None)]
+    assert got == sorted(want, key=str)
+    assert M.drop_near_duplicates(df.limit(0)).count() == 0
 
 
 def test_components_of_paths_and_stars(spark):
@@ -361,6 +377,34 @@ def test_pipeline_stages(spark, sf_dir):
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
 
 
+CLASHING = ["size", "start", "copy", "n_words", "text_hash", "__id", "__hash", "round", "sid", "bucket", "kept", "evidence", "spans", "doc tokens"]
+
+
+def test_stages_carry_columns_named_like_their_own(spark, sf_dir):
+    import corpus_pipeline as pipeline
+
+    docs = C.read(spark, sf_dir, "documents").withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in CLASHING})
+    for _, stage in pipeline.STAGES[:-1]:
+        docs = C.checkpointed(stage(spark, docs, sf_dir))
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *CLASHING]
+        wrong = F.lit(False)
+        for c in CLASHING:
+            wrong = wrong | (F.col(f"`{c}`") != F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")))
+        assert docs.filter(wrong).count() == 0 and docs.count() > 0
+
+
+def test_pipeline_runs_end_to_end_and_on_empty_tables(spark, sf_dir, no_docs):
+    import corpus_pipeline as pipeline
+    from evalspark.session import shared_path
+
+    out = pipeline.run(spark, sf_dir)
+    assert {"doc_id", "ids", "ids_crc32", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
+    empty = shared_path(spark, "no-documents")
+    no_docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{empty}/documents.parquet")
+    C.read(spark, sf_dir, "labels").limit(0).write.parquet(f"{empty}/labels.parquet")
+    assert pipeline.run(spark, empty).count() == 0
+
+
 def test_pipeline_returns_whole_sequences(spark, sf_dir, edge_docs):
     """The ids of the last stage join to sequences that hold every reading of every document."""
     import corpus_pipeline as pipeline
