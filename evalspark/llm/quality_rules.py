@@ -1,8 +1,9 @@
 """Quality rules by weak supervision (operator 3).
 
 Every rule votes ``good``, ``bad`` or abstains on a document. Expectation-maximisation
-estimates how often each rule gives each vote on good documents and on each kind of bad
-ones; the posterior probability of ``good`` replaces the usual "all rules must pass" filter.
+estimates how often each rule accuses documents by mistake and how often it accuses each kind
+of bad ones rightly; the posterior probability of ``good`` replaces the usual "all rules must
+pass" filter. A rule that accuses at random loses its say, whatever the other rules do.
 
 The votes of a document form one of 3**len(RULES) patterns, so the pattern counts of the
 whole corpus are an exact and bounded statistic: one aggregation collects them, EM runs
@@ -26,8 +27,10 @@ from . import common as C
 
 GOOD, ABSTAIN, BAD = 2, 1, 0
 
-#: Expected rate of bad votes of any rule on good documents, and of a rule in its own bad class.
-FALSE_ALARM, OWN_ALARM = 0.002, 0.95
+#: Rate of false accusations expected of a rule before the votes are seen, the weight of that
+#: expectation in documents (at every size of the corpus), and the share of its own kind of bad
+#: documents that a rule accuses, which defines the kind.
+FALSE_ALARM, PRIOR_DOCS, OWN_ALARM = 0.002, 10.0, 0.95
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -123,37 +126,74 @@ def rule_votes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
+def _first_false_alarms(n: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Where EM starts: the rate of false accusations that the votes' dependence allows.
+
+    A rule that errs at random accuses the documents that another rule accuses as often as those
+    that no other rule accuses; one that finds a kind of its own accuses the documents of some
+    other rule less often. So the start is the smallest of these rates, each with its standard
+    error added. Rates of few documents lean on the rate among unaccused ones, and a corpus where
+    other rules accuse few documents leans on ``FALSE_ALARM`` (``PRIOR_DOCS`` documents either way)."""
+    rules = bad.shape[1]
+    out = np.empty(rules)
+    for j in range(rules):
+        others = np.delete(bad, j, axis=1)
+        accused = others.any(axis=1)
+        free = n[~accused].sum()
+        alone = (n[~accused] @ bad[~accused, j] + PRIOR_DOCS * FALSE_ALARM) / (free + PRIOR_DOCS)
+        size, both = n @ others, (n * bad[:, j]) @ others
+        among = (both + PRIOR_DOCS * alone) / (size + PRIOR_DOCS)
+        least = min(alone, (among + np.sqrt(among * (1 - among) / (size + PRIOR_DOCS))).min(initial=1.0))
+        known = n[accused].sum()
+        out[j] = (known * least + PRIOR_DOCS * FALSE_ALARM) / (known + PRIOR_DOCS)
+    return out
+
+
+def _accusation_rates(false: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """Bad-vote rate per class and rule: a mistake, or a right accusation, or both."""
+    return 1 - (1 - false) * (1 - np.vstack([np.zeros(len(false)), hit]))
+
+
 def fit_label_model(patterns: np.ndarray, counts: np.ndarray, n_rules: int = len(RULES), rounds: int = 200, tol: float = 1e-9) -> tuple[np.ndarray, dict]:
     """EM over vote patterns: (posterior of ``good`` per pattern, model).
 
     A document is good, or bad in one of ``n_rules`` ways (bad documents fail in different
-    ways, so one class for all of them would fit none). Class 0 is good; class k starts from
-    the documents that rule k - 1 votes bad. Documents that only one rule calls bad would fit
-    the good class as well, so two rates have a prior that weighs as much as the corpus: bad
-    votes on good documents (``FALSE_ALARM``), and those of rule k - 1 in class k
-    (``OWN_ALARM``). One pseudo-document per vote keeps every other estimate inside (0, 1)."""
+    ways, so one class for all of them would fit none). Rule j accuses any document by mistake
+    with rate ``false_alarm[j]``, and documents of class k rightly with rate ``detection[k - 1, j]``:
+    it votes bad on them unless neither happens. Class k starts from the documents that rule
+    k - 1 accuses, less the false ones among them (``_first_false_alarms``). Votes that are not
+    bad are good or abstentions with a rate per class and rule (where a rule misses its own kind,
+    the rate of the good class). A right accusation outside a rule's own kind has to show in more
+    than a few documents (``PRIOR_DOCS`` without one are added); other priors weigh one or two
+    documents, so the corpus decides."""
     votes = np.stack([(patterns // 3**k) % 3 for k in range(n_rules)], axis=1)
-    onehot = (votes[:, :, None] == np.arange(3)).astype(float)
-    n = counts.astype(float)
-    bad = (votes == BAD).astype(float)
-    n_bad = bad.sum(axis=1, keepdims=True)
-    post = np.concatenate([np.where(n_bad == 0, 0.95, 0.1),
-                           np.where(n_bad == 0, 0.05 / n_rules, 0.9 * bad / np.maximum(n_bad, 1))], axis=1)
-    anchors = [(0, j, FALSE_ALARM) for j in range(n_rules)] + [(j + 1, j, OWN_ALARM) for j in range(n_rules)]
+    n, bad, good = counts.astype(float), (votes == BAD).astype(float), (votes == GOOD).astype(float)
+    own = np.eye(n_rules, dtype=bool)
+    false = _first_false_alarms(n, bad)
+    mistaken = np.minimum(1.0, false / np.maximum((n @ bad) / max(n.sum(), 1.0), false))  # share of a rule's accusations
+    right = bad * (1 - mistaken)
+    clean = np.prod(1 - right, axis=1, keepdims=True)  # every accusation is a mistake
+    post = np.concatenate([clean, (1 - clean) * right / np.maximum(right.sum(axis=1, keepdims=True), 1e-300)], axis=1)
+    hit = np.where(own, OWN_ALARM, 0.05)
     model: dict = {}
     for step in range(rounds):
-        weight = (n[:, None] * post).T
-        prior = (weight.sum(axis=1) + 1) / (n.sum() + 1 + n_rules)
-        rate = np.einsum("cp,pjv->cjv", weight, onehot) + 1.0
-        rate /= rate.sum(axis=2, keepdims=True)
-        for c, j, expected in anchors:
-            bad_rate = (weight[c] @ bad[:, j] + expected * n.sum()) / (weight[c].sum() + n.sum()) if n.sum() else expected
-            rate[c, j, BAD], rest = bad_rate, rate[c, j, ABSTAIN:].sum()
-            rate[c, j, ABSTAIN:] *= (1 - bad_rate) / rest
-        score = np.log(prior) + np.einsum("pjv,cjv->pc", onehot, np.log(rate))
+        weight = n[:, None] * post
+        size = weight.sum(axis=0)
+        prior = (size + 1) / (n.sum() + 1 + n_rules)
+        accused = weight.T @ bad  # class x rule
+        rate = _accusation_rates(false, hit)
+        if n.sum():
+            false = np.maximum((accused * false / rate).sum(axis=0) / n.sum(), 1e-9)
+        hit = np.where(own, OWN_ALARM, accused[1:] * hit / rate[1:] / (size[1:, None] + PRIOR_DOCS))
+        rate = _accusation_rates(false, hit)
+        counted, agreed = size[:, None] - accused, weight.T @ good  # votes that are not bad, good ones
+        usual = (agreed[0] + 1) / (counted[0] + 2)
+        share = np.vstack([usual, np.where(own, usual, (agreed[1:] + usual) / (counted[1:] + 1))])
+        score = np.log(prior) + bad @ np.log(rate).T + (1 - bad) @ np.log(1 - rate).T
+        score += good @ np.log(share).T + (1 - bad - good) @ np.log(1 - share).T
         new = np.exp(score - score.max(axis=1, keepdims=True)) if len(score) else score
         new /= new.sum(axis=1, keepdims=True)
-        model = {"prior": prior, "vote_rates": rate, "rounds": step + 1}
+        model = {"prior": prior, "false_alarm": false, "detection": hit, "good_share": share, "rounds": step + 1}
         moved = np.abs(new - post).max() if len(new) else 0.0
         post = new
         if moved < tol:
@@ -161,6 +201,18 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, n_rules: int = len
     return post[:, 0], model
 
 
+def rule_accuracies(model: dict) -> list[dict]:
+    """What EM learned, per rule: how often it accuses by mistake, how often it accuses a bad
+    document rightly, and how many of its accusations are right."""
+    bad = model["prior"][1:]
+    out = []
+    for j, name in enumerate(RULES):
+        false, hit = float(model["false_alarm"][j]), float(bad @ model["detection"][:, j])
+        caught = hit / float(bad.sum()) if bad.sum() else 0.0
+        out.append({"rule": name, "false_alarm": false, "detection": caught, "precision": hit / (hit + false * (1 - hit))})
+    return out
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_at: float = 0.5) -> DataFrame:
     """Counts, base_failed, posterior and verdict of every document.
 

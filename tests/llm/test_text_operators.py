@@ -132,6 +132,82 @@ def test_label_model_finds_junk_that_one_rule_sees():
     assert len(R.fit_label_model(np.array([], dtype=np.int64), np.array([], dtype=np.int64))[0]) == 0
 
 
+def pattern_votes(votes):
+    return (votes * 3 ** np.arange(len(R.RULES))).sum(axis=1)
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_label_model_unlearns_a_rule_that_accuses_at_random(seed):
+    """Rule 0 accuses a fifth of good and bad documents alike; the others accuse bad ones only."""
+    rng = np.random.default_rng(seed)
+    is_good = rng.random(20000) < 0.8
+    votes = rng.choice([R.GOOD, R.ABSTAIN], p=[0.9, 0.1], size=(20000, len(R.RULES)))
+    for i in np.flatnonzero(~is_good):
+        votes[i, rng.choice(np.arange(1, len(R.RULES)), size=rng.integers(1, 4), replace=False)] = R.BAD
+    votes[rng.random(20000) < 0.2, 0] = R.BAD
+    patterns, inverse, counts = np.unique(pattern_votes(votes), return_inverse=True, return_counts=True)
+    post, model = R.fit_label_model(patterns, counts)
+    kept = post[inverse] >= 0.5
+    accused = is_good & (votes[:, 0] == R.BAD)
+    assert abs(model["false_alarm"][0] - 0.2) < 0.03 and (model["false_alarm"][1:] < 0.02).all()
+    assert kept[accused].mean() > 0.99 and kept[is_good].mean() > 0.99 and kept[~is_good].mean() < 0.01
+    report = {r["rule"]: r for r in R.rule_accuracies(model)}
+    names = list(R.RULES)
+    assert report[names[0]]["precision"] < 0.3 and min(report[n]["precision"] for n in names[1:]) > 0.9
+
+
+def brute_label_model(rows, false, rounds):
+    """The same EM over single documents in plain Python, from the same first rates."""
+    k, n = len(R.RULES), len(rows)
+    share_bad = [sum(v[j] == R.BAD for v in rows) / n for j in range(k)]
+    post = []
+    for v in rows:
+        right = [(v[j] == R.BAD) * (1 - min(1.0, false[j] / max(share_bad[j], false[j]))) for j in range(k)]
+        clean = np.prod([1 - x for x in right])
+        post.append([clean] + [(1 - clean) * x / sum(right) if sum(right) else 0.0 for x in right])
+    hit = [[R.OWN_ALARM if c == j else 0.05 for j in range(k)] for c in range(k)]
+    for _ in range(rounds):
+        rate = [list(false)] + [[1 - (1 - false[j]) * (1 - hit[c][j]) for j in range(k)] for c in range(k)]
+        size = [sum(p[c] for p in post) for c in range(k + 1)]
+        accused = [[sum(p[c] for p, v in zip(post, rows) if v[j] == R.BAD) for j in range(k)] for c in range(k + 1)]
+        agreed = [[sum(p[c] for p, v in zip(post, rows) if v[j] == R.GOOD) for j in range(k)] for c in range(k + 1)]
+        false = [max(1e-9, sum(accused[c][j] * false[j] / rate[c][j] for c in range(k + 1)) / n) for j in range(k)]
+        hit = [[R.OWN_ALARM if c == j else accused[c + 1][j] * hit[c][j] / rate[c + 1][j] / (size[c + 1] + R.PRIOR_DOCS) for j in range(k)] for c in range(k)]
+        rate = [list(false)] + [[1 - (1 - false[j]) * (1 - hit[c][j]) for j in range(k)] for c in range(k)]
+        usual = [(agreed[0][j] + 1) / (size[0] - accused[0][j] + 2) for j in range(k)]
+        share = [usual] + [[usual[j] if c == j else (agreed[c + 1][j] + usual[j]) / (size[c + 1] - accused[c + 1][j] + 1) for j in range(k)] for c in range(k)]
+        post = []
+        for v in rows:
+            p = []
+            for c in range(k + 1):
+                x = (size[c] + 1) / (n + 1 + k)
+                for j in range(k):
+                    x *= rate[c][j] if v[j] == R.BAD else (1 - rate[c][j]) * (share[c][j] if v[j] == R.GOOD else 1 - share[c][j])
+                p.append(x)
+            post.append([x / sum(p) for x in p])
+    return [p[0] for p in post]
+
+
+def test_label_model_matches_plain_em_over_documents():
+    rng = np.random.default_rng(5)
+    votes = rng.choice([R.GOOD, R.ABSTAIN, R.BAD], p=[0.8, 0.12, 0.08], size=(300, len(R.RULES)))
+    patterns, inverse, counts = np.unique(pattern_votes(votes), return_inverse=True, return_counts=True)
+    post, model = R.fit_label_model(patterns, counts, rounds=12)
+    of = (np.stack([(patterns // 3**k) % 3 for k in range(len(R.RULES))], axis=1) == R.BAD).astype(float)
+    want = brute_label_model(votes.tolist(), R._first_false_alarms(counts.astype(float), of).tolist(), model["rounds"])
+    assert np.abs(post[inverse] - want).max() < 1e-9
+
+
+def test_quality_rules_verdict_is_the_posterior_of_the_documents(spark, sf_dir):
+    """The query's verdict against patterns counted and fitted outside Spark."""
+    docs = C.read(spark, sf_dir, "documents")
+    votes = {r.doc_id: r.pattern for r in R.rule_votes(docs).collect()}
+    patterns, counts = np.unique(np.array(list(votes.values())), return_counts=True)
+    of = dict(zip(patterns.tolist(), R.fit_label_model(patterns, counts)[0]))
+    for r in R.quality_rules(docs).collect():
+        assert r.posterior == pytest.approx(of[votes[r.doc_id]]) and r.kept == (not r.base_failed and r.posterior >= 0.5)
+
+
 def test_quality_rules_agree_with_labels(spark, sf_dir):
     out = R.quality_rules(C.read(spark, sf_dir, "documents")).join(C.read(spark, sf_dir, "labels"), "doc_id").filter("not base_failed").collect()
     assert sum(r.kept == (r.quality == 1) for r in out) >= 0.9 * len(out)
