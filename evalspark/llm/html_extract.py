@@ -7,14 +7,22 @@ and once down the tree, gives the exact marginal of every node. The text of the
 content marginal of at least one half is the result, in page order.
 
 Training: pages that mark their article (``article``, ``main`` or role=main) label their own nodes:
-inside it content, outside boilerplate, and so are elements inside it whose name or class says so.
-At most ``sample`` such pages (picked by a hash) fit the unary weights, by logistic regression
-around prior weights that say what element and class names mean on pages unlike the sample, and
-the edge potentials, from counts of parent and child labels. All pages are then extracted.
+inside it content, outside boilerplate, whatever the elements are called. Each is learned twice, as
+it is and without its marks, since other pages have none. At most ``sample`` such pages (picked by a hash) fit the edge potentials, from counts of parent and child labels, and the
+unary weights, by the likelihood of the labels under the whole tree: its gradient is the labels
+less the marginals of message passing. Priors (a weight per feature, ``EDGE_NODES`` nodes per edge
+rate) say what element and class names mean where the sample does not show it; each bad word has a
+weight of its own, so one that a site uses for its articles loses its meaning there. All pages are
+then extracted.
+
+A box that only its class or id calls boilerplate, while all running text of the page lies inside
+it and nothing else is marked or named as the article, is not taken at its word (feature ``sole``). A ``header`` inside an article holds its title and
+is not the page's.
 
 Text: character references are decoded; white space inside a block becomes one space; blocks are
 trimmed and joined by one space. Inline elements do not end a block, ``br`` counts as white space.
-Comments, scripts, styles, form controls and other elements without running text are dropped.
+Comments, scripts, styles, form controls and the source notes of formulas (``annotation``) are
+dropped. Time and memory are linear in the length of a page, however deep its elements nest.
 
 Defined cases: null or empty html, and pages without content, give an empty text; broken markup
 (unclosed elements, stray end tags, a tag cut off at the end) is read as browsers do in the common
@@ -27,6 +35,8 @@ from __future__ import annotations
 import html as htmllib
 import math
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,7 +51,7 @@ from . import common as C
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is not running text of the page.
-SILENT = frozenset("script style noscript template svg math head title iframe object canvas select option optgroup button textarea datalist audio video map".split())
+SILENT = frozenset("script style noscript template head title iframe select option optgroup button textarea datalist annotation annotation-xml".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 BLOCK = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption "
@@ -53,6 +63,7 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
         "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "thead": ({"tbody", "thead", "tr", "td", "th"}, {"table"}),
         "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"})}
 BAD_TAGS = frozenset("nav footer header aside dialog menu search".split())
+P_LIMITS = ("td", "th", "li", "button", "table")  # a new block ends no paragraph beyond these
 DOUBTFUL_TAGS = frozenset("form fieldset address legend".split())  # a form may hold a whole page
 #: A class with one of these words talks about something else than its element.
 MODIFIERS = frozenset("with without has no not is js tag category hide show".split())
@@ -65,11 +76,16 @@ BAD_WORDS = frozenset(
 GOOD_WORDS = frozenset("article articlebody content main post entry story body text prose page".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
+LONG_TEXT = 80  # code points of a block's own text
 #: Feature -> prior weight (log odds of content).
 PRIOR = {
     "bias": -0.5, "tag:article": 5.0, "tag:main": 4.0, "tag:p": 0.8, "tag:heading": 0.5, "tag:list": 0.0, "tag:table": 0.0, "tag:body": -1.0, "tag:html": -1.5,
-    "tag:div": 0.0, "tag:section": 0.3, "tag:quote": 0.8, "bad_name": -200.0, "doubtful": -8.0, "modified": -4.0, "good_word": 2.5,
-    "text:some": 0.2, "text:medium": 1.2, "text:long": 2.5, "links:half": -2.5, "links:most": -3.0, "stops": 0.5}
+    "tag:div": 0.0, "tag:section": 0.3, "tag:quote": 0.8, "bad_tag": -6.0, "bad_word": -6.0, "sole": -1.0, "doubtful": -6.0, "modified": -4.0, "good_word": 2.5,
+    "text:some": 0.2, "text:medium": 1.2, "text:long": 2.5, "links:half": -2.5, "links:most": -3.0, "stops": 0.5,
+    "boxed": -1.0, "boxed:text": 0.0, **{f"word:{w}": 0.0 for w in sorted(BAD_WORDS)}}
+#: Prior rates of content, given a boilerplate and a content parent, for each kind of child
+#: (``node_kinds``), and the number of nodes that they weigh.
+EDGE_RATES, EDGE_NODES = ((0.01, 0.98), (0.2, 0.98), (0.001, 0.1), (0.001, 0.9)), 50.0
 NAMES = list(PRIOR)
 INDEX = {n: i for i, n in enumerate(NAMES)}
 TAG_FEATURE = {"p": "tag:p", "article": "tag:article", "main": "tag:main", "body": "tag:body", "html": "tag:html", "div": "tag:div", "section": "tag:section",
@@ -98,10 +114,11 @@ class Node:
 
 
 def _marks(tag: str, attributes: str) -> tuple[str, ...]:
-    """Which of main, good_word, bad_name, doubtful and modified the element and its attributes show."""
+    """Which of main, good_word, bad_tag, bad_word (with its words), doubtful and modified the
+    element and its attributes show."""
     out = set()
     if tag in BAD_TAGS:
-        out.add("bad_name")
+        out.add("bad_tag")
     elif tag in DOUBTFUL_TAGS:
         out.add("doubtful")
     if "=" in attributes or "hidden" in attributes:
@@ -109,7 +126,7 @@ def _marks(tag: str, attributes: str) -> tuple[str, ...]:
             value = a or b or c
             if name.lower() == "role":
                 if value.lower() in BAD_ROLES:
-                    out.add("bad_name")
+                    out.add("bad_tag")
                 if value.lower() in ("main", "article"):
                     out.add("main")
                 continue
@@ -118,18 +135,27 @@ def _marks(tag: str, attributes: str) -> tuple[str, ...]:
                 words.add(token.lower())
                 if words & BAD_WORDS:
                     if not words & MODIFIERS:
-                        out.add("bad_name")
+                        out.add("bad_word")
+                        out.update(f"word:{w}" for w in words & BAD_WORDS)
                     elif tag not in GOOD_TAGS:
                         out.add("modified")
                 elif words & GOOD_WORDS:
                     out.add("good_word")
         if _HIDDEN.search(attributes):
-            out.add("bad_name")
+            out.add("bad_tag")
     if tag in ("html", "body"):
         return ()
-    if "bad_name" in out or "doubtful" in out:
+    if out & {"bad_tag", "bad_word", "doubtful"}:
         out.discard("good_word")
-    return tuple(out)
+    return tuple(sorted(out))
+
+
+def _named_good(node: "Node") -> bool:
+    return node.tag in GOOD_TAGS or "main" in node.marks or "good_word" in node.marks
+
+
+def _named_bad(marks: tuple[str, ...]) -> bool:
+    return "bad_tag" in marks or "bad_word" in marks
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
@@ -137,6 +163,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     nodes: list[Node] = [Node("html", -1, ())]
     runs: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = [("html", 0)]  # open elements that are nodes or silent
+    depths: defaultdict[str, list[int]] = defaultdict(list)  # where each name is open, ascending
     silent = link = 0
     pending: list[str] = []
 
@@ -164,8 +191,16 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         flush()
         while len(stack) > depth:
             tag, _ = stack.pop()
+            depths[tag].pop()
             silent -= tag in SILENT
 
+    def push(tag: str, node: int) -> None:
+        depths[tag].append(len(stack))
+        stack.append((tag, node))
+
+    def deepest(names) -> int:
+        return max((depths[x][-1] for x in names if depths[x]), default=0)
+
     pos, end = 0, len(page)
     while pos < end:
         m = _TOKEN.search(page, pos)
@@ -182,10 +217,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if m[1] or m[4]:  # end tag
             if tag == "a":
                 link = max(0, link - 1)
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    pop_to(depth)
-                    break
+            if depths[tag]:
+                pop_to(depths[tag][-1])
             continue
         if tag in VOID:
             if tag == "br":
@@ -200,33 +233,30 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             pos = close.end() if close else end
             continue
         if tag in CLOSES_P:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == "p":
-                    pop_to(depth)
-                    break
-                if stack[depth][0] in ("td", "th", "li", "button", "table"):
-                    break
+            if depths["p"] and depths["p"][-1] > deepest(P_LIMITS):
+                pop_to(depths["p"][-1])
         if tag in ENDS:
             names, limits = ENDS[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in limits:
-                    break
-                if stack[depth][0] in names:
-                    pop_to(depth)
-        if tag == "body" and any(t == "head" for t, _ in stack):
+            limit = deepest(limits)
+            above = [depths[x][bisect_right(depths[x], limit)] for x in names if depths[x] and depths[x][-1] > limit]
+            if above:
+                pop_to(min(above))
+        if tag == "body" and depths["head"]:
             pop_to(1)
         if attributes and attributes.rstrip().endswith("/") and tag not in BLOCK:
             continue
         if tag in SILENT:
-            stack.append((tag, stack[-1][1]))
+            push(tag, stack[-1][1])
             silent += 1
             continue
         marks = _marks(tag, attributes or "")
-        if tag in BLOCK or "bad_name" in marks:
+        if tag == "header" and (depths["article"] or depths["main"]):
+            marks = tuple(m for m in marks if m != "bad_tag")
+        if tag in BLOCK or _named_bad(marks):
             flush()
             link = 0 if tag in BLOCK else link
             nodes.append(Node(tag, stack[-1][1], marks))
-            stack.append((tag, len(nodes) - 1))
+            push(tag, len(nodes) - 1)
         if tag == "a":
             link += 1
     flush()
@@ -235,18 +265,44 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if node.parent >= 0:
             nodes[node.parent].text_len += node.text_len
             nodes[node.parent].link_len += node.link_len
+    _mark_sole(nodes)
     return nodes, runs
 
 
-def node_features(node: Node) -> list[int]:
-    """Indices of the features that hold for a node."""
+def _mark_sole(nodes: list[Node]) -> None:
+    """Where all running text of a page lies in one box whose class or id alone calls it
+    boilerplate, and no other element is marked or named as the article, the box gets the mark
+    ``sole`` in place of ``bad_word``."""
+    box = [0] * len(nodes)  # the outermost element with a bad name around a node
+    running: dict[int, int] = {}
+    for i, node in enumerate(nodes):
+        if i:
+            box[i] = box[node.parent] or (i if _named_bad(node.marks) else 0)
+        if not box[i] and node.text_len and _named_good(node):
+            return
+        if node.own_len >= LONG_TEXT and 2 * node.link_len < node.own_len and not (box[i] and "bad_tag" in nodes[box[i]].marks):
+            running[box[i]] = running.get(box[i], 0) + node.own_len
+    total = sum(running.values())
+    for i, length in running.items():
+        if i and length > 0.8 * total and 0 not in running:
+            nodes[i].marks = tuple(m for m in nodes[i].marks if m != "bad_word") + ("sole",)
+
+
+def node_features(node: Node, kind: int) -> list[int]:
+    """Indices of the features that hold for a node. Text in a box named like boilerplate says
+    little by its length: sidebars and comments are long, too."""
     out = ["bias"]
+    out += [m for m in node.marks if m in INDEX]
+    if kind >= 2:
+        out.append("boxed")
+        if node.own_len:
+            out.append("boxed:text")
+        return [INDEX[n] for n in out]
     if node.tag in TAG_FEATURE:
         out.append(TAG_FEATURE[node.tag])
-    out += [m for m in node.marks if m in INDEX]
     if "main" in node.marks:
         out.append("tag:main")
-    if node.own_len >= 80:
+    if node.own_len >= LONG_TEXT:
         out.append("text:long")
     elif node.own_len >= 25:
         out.append("text:medium")
@@ -268,12 +324,12 @@ def node_kinds(nodes: list[Node]) -> list[int]:
     boilerplate: edge potentials differ by the child's kind."""
     kinds = []
     for node in nodes:
-        if "bad_name" in node.marks:
+        if _named_bad(node.marks):
             kinds.append(2)
-        elif node.parent >= 0 and (kinds[node.parent] == 3 or "bad_name" in nodes[node.parent].marks):
+        elif node.parent >= 0 and kinds[node.parent] >= 2:
             kinds.append(3)
         else:
-            kinds.append(1 if node.tag in GOOD_TAGS or "main" in node.marks or "good_word" in node.marks else 0)
+            kinds.append(1 if _named_good(node) else 0)
     return kinds
 
 
@@ -287,27 +343,31 @@ class PageModel:
     weights: list[float]
     edges: list[list[list[float]]]
 
-    def unary(self, node: Node) -> float:
-        return sum(self.weights[i] for i in node_features(node))
+    def unary(self, node: Node, kind: int) -> float:
+        return sum(self.weights[i] for i in node_features(node, kind))
 
     def marginals(self, nodes: list[Node]) -> list[float]:
-        """Content marginal of every node: messages from the leaves up, then down."""
-        n = len(nodes)
+        """Content marginal of every node."""
+        kinds = node_kinds(nodes)
+        return self.pass_messages([x.parent for x in nodes], kinds, [self.unary(x, k) for x, k in zip(nodes, kinds)])
+
+    def pass_messages(self, parents: list[int], kinds: list[int], unary: list[float]) -> list[float]:
+        """Content marginals of a tree: messages from the leaves up, then down."""
+        n = len(parents)
         up0, up1 = [0.0] * n, [0.0] * n  # evidence of a node's subtree for its labels
         msg0, msg1 = [0.0] * n, [0.0] * n  # message to the parent
-        kinds = node_kinds(nodes)
         for i in range(n - 1, -1, -1):
-            up1[i] += self.unary(nodes[i])
+            up1[i] += unary[i]
             if i:
                 e = self.edges[kinds[i]]
                 msg0[i] = _log_add(e[0][0] + up0[i], e[0][1] + up1[i])
                 msg1[i] = _log_add(e[1][0] + up0[i], e[1][1] + up1[i])
-                p = nodes[i].parent
+                p = parents[i]
                 up0[p] += msg0[i]
                 up1[p] += msg1[i]
         all0, all1 = up0[:], up1[:]  # with what comes down
         for i in range(1, n):
-            p, e = nodes[i].parent, self.edges[kinds[i]]
+            p, e = parents[i], self.edges[kinds[i]]
             rest0, rest1 = all0[p] - msg0[i], all1[p] - msg1[i]
             all0[i] = up0[i] + _log_add(rest0 + e[0][0], rest1 + e[1][0])
             all1[i] = up1[i] + _log_add(rest0 + e[0][1], rest1 + e[1][1])
@@ -338,45 +398,57 @@ def own_labels(nodes: list[Node]) -> list[int] | None:
             continue
         start = kinds[i] == 1 and (node.tag in GOOD_TAGS or "main" in node.marks)
         found |= start
-        inside[i] = int((start or inside[node.parent]) and kinds[i] < 2 and "doubtful" not in node.marks)
+        inside[i] = int(start or inside[node.parent])
     return inside if found else None
 
 
+def without_marks(nodes: list[Node]) -> list[Node]:
+    """The page as if its article were an unnamed box."""
+    out = []
+    for node in nodes:
+        copy = Node("div" if node.tag in GOOD_TAGS else node.tag, node.parent, tuple(m for m in node.marks if m != "main"))
+        copy.text_len, copy.link_len, copy.stops, copy.own_len = node.text_len, node.link_len, node.stops, node.own_len
+        out.append(copy)
+    _mark_sole(out)
+    return out
+
+
 def fit_page_model(examples: list[tuple[list[Node], list[int]]], ridge: float = 2.0, rounds: int = 30) -> PageModel:
-    """Weights near PRIOR (ridge), edges with a prior that weighs as much as the data."""
-    x, y, edges = [], [], np.zeros((4, 2, 2))
+    """Edges from counts, weights by the likelihood of the labels under the tree, with a ridge
+    around PRIOR. Steps are Newton steps as if nodes were independent, of at most 0.5 a weight."""
+    edges, trees, x, y = np.zeros((4, 2, 2)), [], [], []
     for nodes, labels in examples:
-        for node, kind, label in zip(nodes, node_kinds(nodes), labels):
-            x.append(node_features(node))
+        kinds, parents = node_kinds(nodes), [n.parent for n in nodes]
+        for node, kind, label in zip(nodes, kinds, labels):
+            x.append(node_features(node, kind))
             y.append(label)
             if node.parent >= 0:
                 edges[kind, labels[node.parent], label] += 1
+        trees.append((parents, kinds))
+    expected = np.array(EDGE_RATES)
+    rate = (edges[:, :, 1] + EDGE_NODES * expected) / (edges.sum(axis=2) + EDGE_NODES)
     prior = np.array([PRIOR[n] for n in NAMES])
-    w = prior.copy()
-    if y:
-        design = np.zeros((len(x), len(NAMES)))
-        for i, on in enumerate(x):
-            design[i, on] = 1
-        target = np.array(y, dtype=float)
-        scale = 100.0 / len(y)  # the sample counts as a hundred nodes: names keep their meaning
-        for _ in range(rounds):
-            p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-            grad = scale * (design.T @ (target - p)) - ridge * (w - prior)
-            hess = scale * ((design * (p * (1 - p))[:, None]).T @ design) + ridge * np.eye(len(w))
-            step = np.linalg.solve(hess, grad)
-            w = w + step
-            if np.abs(step).max() < 1e-8:
-                break
-    # prior rates of content given (boilerplate parent, content parent) for each kind of child
-    expected = np.array([[0.01, 0.98], [0.2, 0.98], [0.001, 0.1], [1e-12, 0.9]])
-    rate = np.empty((4, 2))
-    for kind in range(4):
-        for parent in range(2):
-            n = edges[kind, parent].sum()
-            weight = max(n, 50.0)
-            rate[kind, parent] = (edges[kind, parent, 1] + weight * expected[kind, parent]) / (n + weight)
-    logs = np.log(np.stack([1 - rate, rate], axis=2))
-    return PageModel(w.tolist(), logs.tolist())
+    model = PageModel(prior.tolist(), np.log(np.stack([1 - rate, rate], axis=2)).tolist())
+    if not y:
+        return model
+    design = np.zeros((len(x), len(NAMES)))
+    for i, on in enumerate(x):
+        design[i, on] = 1
+    w, target = prior.copy(), np.array(y, dtype=float)
+    for _ in range(rounds):
+        unary, p, at = (design @ w).tolist(), [], 0
+        for parents, kinds in trees:
+            p += model.pass_messages(parents, kinds, unary[at:at + len(parents)])
+            at += len(parents)
+        p = np.array(p)
+        grad = design.T @ (target - p) - ridge * (w - prior)
+        hess = (design * (p * (1 - p))[:, None]).T @ design + ridge * np.eye(len(w))
+        step = np.clip(np.linalg.solve(hess, grad), -0.5, 0.5)
+        w = w + step
+        if np.abs(step).max() < 1e-3:
+            break
+    model.weights = w.tolist()
+    return model
 
 
 def train_page_model(pages: DataFrame, sample: int = 400, id_col: str = "page_id", html_col: str = "html") -> PageModel:
@@ -392,7 +464,7 @@ def train_page_model(pages: DataFrame, sample: int = 400, id_col: str = "page_id
         nodes, _ = parse(r["html"])
         labels = own_labels(nodes)
         if labels is not None:
-            examples.append((nodes, labels))
+            examples += [(nodes, labels), (without_marks(nodes), labels)]
     return fit_page_model(examples)
 
 
