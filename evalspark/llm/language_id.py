@@ -9,12 +9,17 @@ follow-the-regularised-leader rule (elastic-net penalties), then temperature cal
   per-document dictionary.
 * Document frequencies come from all training documents (one aggregation of at most
   ``2**bits`` counts).
-* Weights are fitted on a bounded sample: at most ``per_language`` training documents of
-  each language, picked by a hash; the next ``calibration`` ones set
-  the temperature.
+* The sample is bounded: at most ``per_language + calibration`` training documents of each
+  language, picked by a hash. In every language, whatever its size, the same share of them
+  (``calibration`` of ``per_language + calibration``, spread evenly) sets the temperature and
+  the others fit the weights. Without any row to calibrate with (no language has five
+  documents, at the default share) the temperature is 1.
 * The model (``languages * 2**bits`` floats, fixed size per language) goes to the tasks
   with the function that applies it.
 
+Texts longer than ``TEXT_CHUNK`` are read in pieces of that size whose n-grams join exactly, so
+memory does not grow with a text.
+
 Defined cases: null text or no letter gives ``und`` and score 0, as does a corpus without
 any training language; null ids count as any other row; each input row gives one row;
 other input columns are ignored.
@@ -86,20 +91,57 @@ def ngram_buckets(texts: list[str], cfg: LanguageConfig) -> tuple[list[np.ndarra
     letters = np.concatenate([[0], np.cumsum(~space)])
     code, bounds = code[keep], total[bounds]
     n_letters = np.diff(letters[np.concatenate([[0], np.cumsum(size)])])
-    mask = np.uint32((1 << cfg.bits) - 1)
     grams, rows = [], []
     h = code.copy()
     for n in range(1, cfg.max_n + 1):
         if n > 1:
             h = h[:-1] * np.uint32(0x9E3779B1) + code[n - 1:]
-        mixed = (h + np.uint32(n)) * np.uint32(0x85EBCA6B)
-        mixed ^= mixed >> np.uint32(15)
         # the last n - 1 starts of a row reach into the next row: dropped through the bounds
-        grams.append((mixed * np.uint32(0xC2B2AE35) >> np.uint32(7)) & mask)
+        grams.append(_bucket(h, n, cfg))
         rows.append(np.stack([bounds[:-1], np.maximum(bounds[1:] - (n - 1), bounds[:-1])], axis=1))
     return grams, rows, n_letters
 
 
+def long_text_buckets(text: str, cfg: LanguageConfig) -> Iterator[tuple[np.ndarray, int]]:
+    """Pieces (n-gram buckets, letters) of one text, together those of ``ngram_buckets``."""
+    tail = np.empty(0, dtype=np.uint32)  # the last max_n - 1 characters
+    at = 0
+    while at < len(text):
+        end = min(len(text), at + TEXT_CHUNK)
+        if end < len(text):  # lower-casing looks at a whole word, so cut behind a space if there is one
+            end = max(text.rfind(" ", at, end), text.rfind("\n", at, end)) + 1 or end
+        piece = text[at:end].lower()
+        piece = (" " if at == 0 else "") + piece + (" " if end == len(text) else "")
+        code = letters_table()[np.frombuffer(piece.encode("utf-32-le", "replace"), dtype=np.uint32)]
+        space = code == SPACE
+        keep = ~space
+        keep[1:] |= ~space[:-1]
+        keep[0] |= not len(tail) or tail[-1] != SPACE
+        code = code[keep]
+        grams = []
+        for n in range(1, cfg.max_n + 1):
+            seq = np.concatenate([tail[len(tail) - min(n - 1, len(tail)):], code])
+            if len(seq) >= n:
+                grams.append(_hashed(seq, n, cfg))
+        tail = np.concatenate([tail, code])[-(cfg.max_n - 1):] if cfg.max_n > 1 else code[-1:]
+        at = end
+        yield np.concatenate(grams) if grams else np.empty(0, dtype=np.uint32), int((~space).sum())
+
+
+def _hashed(code: np.ndarray, n: int, cfg: LanguageConfig) -> np.ndarray:
+    """Bucket of every n-gram of a run of characters."""
+    h = code[:len(code) - n + 1].copy()
+    for k in range(1, n):
+        h = h * np.uint32(0x9E3779B1) + code[k:len(code) - n + 1 + k]
+    return _bucket(h, n, cfg)
+
+
+def _bucket(h: np.ndarray, n: int, cfg: LanguageConfig) -> np.ndarray:
+    mixed = (h + np.uint32(n)) * np.uint32(0x85EBCA6B)
+    mixed ^= mixed >> np.uint32(15)
+    return (mixed * np.uint32(0xC2B2AE35) >> np.uint32(7)) & np.uint32((1 << cfg.bits) - 1)
+
+
 def text_slices(texts: list[str]) -> Iterator[tuple[int, int]]:
     i, size = 0, 0
     for j, t in enumerate(texts):
@@ -124,6 +166,12 @@ def document_frequencies(training: DataFrame, cfg: LanguageConfig) -> tuple[np.n
         for batch in batches:
             texts = _texts(batch.column(0))
             for i, j in text_slices(texts):
+                if len(texts[i]) > TEXT_CHUNK:  # alone in its slice
+                    for g, _ in long_text_buckets(texts[i], cfg):
+                        seen[g] = True
+                    df += seen
+                    seen[:] = False
+                    continue
                 grams, rows, _ = ngram_buckets(texts[i:j], cfg)
                 for r in range(j - i):
                     for g, b in zip(grams, rows):
@@ -145,9 +193,11 @@ def document_frequencies(training: DataFrame, cfg: LanguageConfig) -> tuple[np.n
 
 
 def sparse_vector(text: str, idf: np.ndarray, cfg: LanguageConfig) -> tuple[np.ndarray, np.ndarray]:
-    grams, rows, _ = ngram_buckets([text], cfg)
-    all_grams = np.concatenate([g[b[0, 0]:b[0, 1]] for g, b in zip(grams, rows)])
-    idx, tf = np.unique(all_grams, return_counts=True)
+    count = np.zeros(1 << cfg.bits, dtype=np.int64)
+    for g, _ in long_text_buckets(text, cfg):
+        count += np.bincount(g, minlength=1 << cfg.bits)
+    idx = np.flatnonzero(count)
+    tf = count[idx]
     x = tf * idf[idx]
     total = x.sum()
     return idx, (x / total if total > 0 else x)
@@ -171,6 +221,13 @@ class LanguageModel:
             self.table = np.concatenate([self.idf[:, None], self.idf[:, None] * self.weights.T], axis=1).astype(np.float32)
         out, letters = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), dtype=np.int64)
         for i, j in text_slices(texts):
+            if len(texts[i]) > TEXT_CHUNK:  # alone in its slice
+                total = np.zeros(self.table.shape[1])
+                for g, n in long_text_buckets(texts[i], self.cfg):
+                    letters[i] += n
+                    total += np.bincount(g, minlength=len(self.table)) @ self.table
+                out[i] = total[1:] / max(total[0], 1e-12) + self.bias
+                continue
             grams, rows, letters[i:j] = ngram_buckets(texts[i:j], self.cfg)
             total = np.zeros((j - i, self.table.shape[1]))
             for g, b in zip(grams, rows):
@@ -256,16 +313,16 @@ def fit_language_model(training: DataFrame, cfg: LanguageConfig = LanguageConfig
     at = {x: k for k, x in enumerate(languages)}
     if not languages:
         return LanguageModel([], cfg, idf, np.zeros((0, 1 << cfg.bits)), np.zeros(0))
-    size = max(1, min(cfg.per_language, 10**9))
+    calibrates = (F.col("rank") * cfg.calibration) % wanted < cfg.calibration  # never the first row of a language
 
     def passes():
-        for r in sample.filter(F.col("rank") <= size).toLocalIterator():
+        for r in sample.filter(~calibrates).toLocalIterator():
             idx, x = sparse_vector(r["text"], idf, cfg)
             yield idx, x, at[r["lang"]]
 
     weights, bias = fit_ftrl(passes, len(languages), cfg)
     model = LanguageModel(languages, cfg, idf, weights.astype(np.float32), bias)
-    held = sample.filter(F.col("rank") > size)
+    held = sample.filter(calibrates)
     z, y = [], []
     for r in held.toLocalIterator():
         z.append(model.logits([r["text"]])[0][0])
