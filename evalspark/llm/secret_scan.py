@@ -13,6 +13,11 @@ The pass is vectorised over lanes. After a *reset byte* (every state of both aut
 back to "nothing matched") no match can continue, so a text buffer is cut into lanes at reset
 bytes without losing or splitting any match; stretches are bounded by reset bytes too.
 
+A rule may have a *tail*, which lengthens its matches over later lines: an automaton of its own
+runs from the match's end to the longest tail. It stops where nothing can follow, so text
+behind one match is not read again for the next. ``private_key`` covers the key's body and END line this
+way, and without an END line the full base64 lines below the BEGIN line.
+
 Supported syntax: literals, ``[...]`` classes with ranges, ``(...|...)``, ``? * +``,
 ``{m}``, ``{m,}``, ``{m,n}``, escapes ``\\xHH \\. \\-`` etc. Patterns are over ASCII bytes;
 other code points of a text never match.
@@ -41,12 +46,14 @@ class Rule:
 
     ``search`` is the form in the combined automaton; it must match at the end of every
     kept match. The default is ``base``. Several counted runs in one automaton multiply its
-    states, so only a rule without a selective start should count there."""
+    states, so only a rule without a selective start should count there. ``tail`` may match
+    newlines; it must not match what starts another match of the rule."""
 
     kind: str
     base: str
     keep: str
     search: str = ""
+    tail: str = ""
 
 
 def _nocase(word: str) -> str:
@@ -54,6 +61,10 @@ def _nocase(word: str) -> str:
 
 
 _KEYWORD = "(" + "|".join(_nocase(w) for w in ("password", "passwd", "secret", "token")) + "|" + _nocase("api") + "_?" + _nocase("key") + ")"
+_KEY_END = "-----END ([A-Z]+ )*PRIVATE KEY-----"
+#: A key's headers and base64 lines (also with line ends written as escapes) up to its END line,
+#: or base64 lines alone.
+_KEY_BODY = (r"([A-Za-z0-9+/=:,.\x20\x09\x0A\x0D\x5C]|-[A-Za-z0-9])*" + _KEY_END + r"|(\x0D?\x0A[A-Za-z0-9+/=]{40,})+")
 _ASSIGN = _KEYWORD + r"""["']?\x20*[:=]\x20*["']?"""
 
 #: Fixed patterns. The first three are the base kinds; the others are public token formats.
@@ -64,7 +75,7 @@ RULES = (
     Rule("github", "gh[pousr]_[A-Za-z0-9]+", "gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", "AIza[A-Za-z0-9_-]+", "AIza[A-Za-z0-9_-]{35,}"),
-    Rule("private_key", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", tail=_KEY_BODY),
 )
 BASE_KINDS = ("assign", "access", "hex")
 
@@ -290,6 +301,7 @@ class Scanner:
         self.search = compile_dfa([r.search or r.base for r in rules], anywhere=True)
         self.base = [compile_dfa([r.base], anywhere=False) for r in rules]
         self.keep = [compile_dfa([r.keep], anywhere=False) for r in rules]
+        self.tails = {k: compile_dfa([r.tail], anywhere=False) for k, r in enumerate(rules) if r.tail}
         everywhere = compile_dfa([r.base for r in rules], anywhere=True)
         self.reset = np.ones(256, dtype=bool)
         for dfa in (self.search, everywhere):
@@ -391,9 +403,24 @@ class Scanner:
             lo = int(edges[e])
             hi = int(edges[e + 1]) if e + 1 < len(edges) else len(buf)
             base = lo - int(off[r])
-            out.extend((r, k, base + s, base + t) for k, s, t in self.spans_in(buf[lo:hi].tobytes()))
+            stop = int(off[r + 1])
+            out.extend((r, k, base + s, base + t if k not in self.tails else self._tail_end(k, buf, lo + t, stop) - int(off[r]))
+                       for k, s, t in self.spans_in(buf[lo:hi].tobytes()))
         return out
 
+    def _tail_end(self, k: int, buf: np.ndarray, at: int, stop: int) -> int:
+        """End of the longest tail from ``at`` within the row."""
+        d = self.tails[k]
+        dead, state, end = self._dead(d), 0, at
+        for lo in range(at, stop, 4096):
+            for i, symbol in enumerate(d.classes[buf[lo:min(lo + 4096, stop)]].tolist(), lo):
+                state = int(d.step[state + symbol])
+                if state == dead:
+                    return end
+                if d.accept[state // d.n_classes]:
+                    end = i + 1
+        return end
+
 
 @lru_cache(maxsize=4)
 def scanner(rules: tuple[Rule, ...] = RULES) -> Scanner:
