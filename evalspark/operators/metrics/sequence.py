@@ -5,8 +5,8 @@ goes on through it (``inside``) or has ended before it (``end``). Wherever ``ins
 a run begins; an entity starts at the first start of its run and counts if the next run begins
 with an end. (Only IOB1 can start one tag after its run, so two places are looked at.)
 
-Tag lists (the usual input) are cut into entities inside their row, with array functions and in
-time proportional to their length; nothing is shuffled before the counts per type. Long rows
+Tag lists (the usual input) are cut into entities inside their row, all lists of an Arrow batch at
+once and in time proportional to their length; nothing is shuffled before the counts per type. Long rows
 ``(keys, item, pos, true, pred)`` serve sequences that no row can hold: positions are cut into
 blocks of ``BLOCK``, the rows at a block's edges go to both blocks, and neighbours come from a
 window inside the block. An entity that crosses an edge takes its start from the blocks before,
@@ -19,10 +19,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ...functions.text import let
 from .base import long_from_wide, safe_ratio
 
 #: Positions per block of a long sequence.
@@ -46,6 +49,22 @@ def _strict_type(tag: Column) -> Column:
     return F.when((t.isNull()) | (t == ""), F.lit("_")).otherwise(t)
 
 
+def _in(value: str | None, letters: str) -> bool | None:
+    return None if value is None else value in tuple(letters)
+
+
+def _and(*xs: bool | None) -> bool | None:
+    return False if False in xs else None if None in xs else True
+
+
+def _or(*xs: bool | None) -> bool | None:
+    return True if True in xs else None if None in xs else False
+
+
+def _not(x: bool | None) -> bool | None:
+    return None if x is None else not x
+
+
 @dataclass(frozen=True)
 class Scheme:
     """Patterns (previous prefixes, current prefixes, relation of the types)."""
@@ -64,6 +83,18 @@ class Scheme:
     def first_type(self) -> str:
         return "_"
 
+    def type_in(self, tag: str) -> str:
+        """``type_of`` of a value."""
+        return tag[1:].strip("-") or "_"
+
+    def knows(self, prefix: str | None) -> bool:
+        return prefix in tuple(self.allowed)
+
+    def flags_in(self, pp, pt, p, t) -> tuple:
+        """``flags`` of values; null prefixes give null flags by the rules of SQL."""
+        related = {ANY: True, SAME: pt == t, DIFF: pt != t}
+        return tuple(_or(*[_and(_in(pp, a), _in(p, b), related[r]) for a, b, r in x]) for x in (self.start, self.inside, self.end))
+
     def flags(self, pp: Column, pt: Column, p: Column, t: Column) -> tuple[Column, Column, Column]:
         return tuple(self._any(x, pp, pt, p, t) for x in (self.start, self.inside, self.end))
 
@@ -88,6 +119,17 @@ class Lenient(Scheme):
     def first_type(self) -> str:
         return ""
 
+    def type_in(self, tag: str) -> str:
+        return tag[1:].split("-", 1)[-1] or "_"
+
+    def knows(self, prefix: str | None) -> bool:
+        return True
+
+    def flags_in(self, pp, pt, p, t) -> tuple:
+        start = _or(_in(p, "BS"), _and(_in(pp, "ESO"), _in(p, "EI")), _and(_not(_in(p, "O.")), pt != t))
+        end = _or(_in(pp, "ES"), _and(_in(pp, "BI"), _in(p, "BSO")), _and(_not(_in(pp, "O.")), pt != t))
+        return start, _not(_or(start, end)), end
+
     def flags(self, pp, pt, p, t):
         start = ((p == "B") | (p == "S") | (pp.isin("E", "S", "O") & p.isin("E", "I")) | ((p != "O") & (p != ".") & (pt != t)))
         end = (pp.isin("E", "S") | (pp.isin("B", "I") & p.isin("B", "S", "O")) | ((pp != "O") & (pp != ".") & (pt != t)))
@@ -135,34 +177,66 @@ def scheme_of(mode: str, scheme: str | None) -> Scheme:
 
 # --- tag lists ------------------------------------------------------------------------------
 
-def entities(tags: Column, scheme: Scheme = LENIENT) -> Column:
-    """``begin:end:type`` of every entity of a tag list (end inclusive), in the row."""
-    def tag(p, t):
-        return F.struct(F.lit(p).alias("p") if isinstance(p, str) else p.alias("p"), F.lit(t).alias("t") if isinstance(t, str) else t.alias("t"))
-
-    read = F.transform(tags, lambda x: tag(_prefix(x), scheme.type_of(x)))
-    padded = F.concat(F.array(tag("O", scheme.first_type())), read, F.array(tag("O", "_")))
-
-    def flag(a, b):
-        start, inside, end = scheme.flags(a["p"], a["t"], b["p"], b["t"])
-        return F.struct(start.alias("s"), inside.alias("i"), end.alias("e"))
-
-    def cut(pad, flags):
-        begins = F.filter(F.sequence(F.lit(0), F.size(flags) - 1), lambda i: ~F.get(flags, i)["i"])
-
-        def runs(b):
-            def entity(at, k):
-                nxt = F.get(b, k + 1)
-                first = F.when(F.get(flags, at)["s"], at).when((at + 1 < nxt) & F.get(flags, at + 1)["s"], at + 1)
-                return F.when(F.get(flags, nxt)["e"], F.concat_ws(":", first.cast("string"), (nxt - 1).cast("string"), F.get(pad, nxt)["t"]))
+@dataclass(frozen=True)
+class Cuts:
+    """The entities of one side of an Arrow batch: row, first and last position (inclusive) and
+    type of each, ordered by row and position; ``bad``: rows that are null or hold unknown tags."""
+
+    row: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    type: np.ndarray
+    bad: np.ndarray
+
+
+def _cut(lists: pa.Array, scheme: Scheme, names: dict[str, int]) -> Cuts:
+    """All lists laid end to end, an outside tag before and after each. What a pair of neighbours
+    means is looked up once per distinct pair; types are numbered in ``names``."""
+    n, size = len(lists), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = pc.dictionary_encode(lists.flatten())
+    known = coded.dictionary.to_pylist()
+    codes = pc.fill_null(coded.indices, len(known)).to_numpy(zero_copy_only=False)
+    read = [*[(x[:1], scheme.type_in(x)) for x in known], (None, "_"), ("O", scheme.first_type()), ("O", "_")]
+    stop = np.cumsum(size + 2)
+    start = stop - size - 2
+    line = np.full(int(stop[-1]) if n else 0, len(known) + 1)
+    line[stop - 1] = len(known) + 2
+    inner = np.ones(len(line), dtype=bool)
+    inner[start] = inner[stop - 1] = False
+    line[inner] = codes
+    at, pairs = pd.factorize(line[:-1] * len(read) + line[1:])
+    table = [scheme.flags_in(*read[x // len(read)], *read[x % len(read)]) for x in pairs.tolist()]
+    # as in SQL, an unknown flag selects nothing: neither a start, an end nor a new run
+    starts, runs, ends = (np.array([f[i] is want for f in table], dtype=bool)[at] for i, want in ((0, True), (1, False), (2, True)))
+    runs[stop[:-1] - 1] = False  # from one list to the next
+    run = np.flatnonzero(runs)
+    row = np.repeat(np.arange(n), size + 2)[run]
+    here, after = run[:-1], run[1:]
+    # nothing follows the last run of a list; a run without a start is no entity
+    late = ~starts[here] & (here + 1 < after) & starts[np.minimum(here + 1, after)]
+    found = (row[:-1] == row[1:]) & ends[after] & (starts[here] | late)
+    row, begin, after = row[:-1][found], (here + late)[found], after[found]
+    bad = lists.is_null().to_numpy(zero_copy_only=False).copy()
+    wrong = np.array([not scheme.knows(p) for p, _ in read[:-2]], dtype=bool)[codes]
+    bad[np.repeat(np.arange(n), size)[wrong]] = True
+    kind = np.array([names.setdefault(t, len(names)) for _, t in read])
+    return Cuts(row, begin - start[row], after - 1 - start[row], kind[line[after]], bad)
+
+
+def _lists(row: np.ndarray, n: int, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32()), values)
 
-            # nothing follows the last run; a run without a start leaves no begin and is dropped
-            found = F.transform(F.slice(b, 1, F.greatest(F.size(b) - 1, F.lit(0))), entity)
-            return F.filter(found, lambda x: F.coalesce(F.size(F.split(x, ":", 3)) == 3, F.lit(False)))
 
-        return let(begins, runs)
+def entities(tags: Column, scheme: Scheme = LENIENT) -> Column:
+    """``begin:end:type`` of every entity of a tag list (end inclusive), in the row."""
+    def cut(tags: pa.Array) -> pa.Array:
+        names: dict[str, int] = {}
+        c = _cut(tags, scheme, names)
+        types = list(names)
+        spans = [f"{b}:{e}:{types[t]}" for b, e, t in zip(c.begin.tolist(), c.end.tolist(), c.type.tolist())]
+        return _lists(c.row, len(tags), pa.array(spans, pa.string()))
 
-    return let(padded, lambda pad: let(F.zip_with(F.slice(pad, 1, F.size(pad) - 1), F.slice(pad, 2, F.size(pad) - 1), flag), lambda fl: cut(pad, fl)))
+    return F.arrow_udf(cut, "array<string>")(tags.cast("array<string>"))
 
 
 def _type_counts(true: Column, pred: Column) -> Column:
@@ -174,17 +248,36 @@ def _type_counts(true: Column, pred: Column) -> Column:
     return F.concat(F.transform(true, count(0, 1, 0)), F.transform(pred, count(0, 0, 1)), F.transform(both, count(1, 0, 0)))
 
 
+_COUNTS = "array<struct<type:string,tp:int,n_true:int,n_pred:int>>"
+
+
+def _list_counts(true: Column, pred: Column, scheme: Scheme) -> Column:
+    """Struct (bad, counts) of a row: whether a list is null or holds tags the scheme does not
+    know, and (type, tp, n_true, n_pred) of each type with an entity."""
+    def count(true: pa.Array, pred: pa.Array) -> pa.Array:
+        names: dict[str, int] = {}
+        t, p = _cut(true, scheme, names), _cut(pred, scheme, names)
+        # one entity at most ends at a place of a list
+        longest = max(t.end.max(initial=0), p.end.max(initial=0)) + 1
+        _, it, ip = np.intersect1d(t.row * longest + t.end, p.row * longest + p.end, assume_unique=True, return_indices=True)
+        same = (t.begin[it] == p.begin[ip]) & (t.type[it] == p.type[ip])
+        place, at = np.unique(np.concatenate([c.row * len(names) + c.type for c in (t, p)]), return_inverse=True)
+        n_true, n_pred, tp = (np.bincount(x, minlength=len(place)) for x in (at[:len(t.row)], at[len(t.row):], at[it[same]]))
+        types = pa.array(list(names), pa.string()).take(pa.array(place % len(names)))
+        counts = pa.StructArray.from_arrays([types, *[pa.array(x, pa.int32()) for x in (tp, n_true, n_pred)]], ["type", "tp", "n_true", "n_pred"])
+        return pa.StructArray.from_arrays([pa.array(t.bad | p.bad), _lists(place // len(names), len(true), counts)], ["bad", "counts"])
+
+    return F.arrow_udf(count, f"struct<bad:boolean,counts:{_COUNTS}>")(true.cast("array<string>"), pred.cast("array<string>"))
+
+
 def counts_of_lists(df: DataFrame, keys: Sequence[str], true_col: str, pred_col: str, scheme: Scheme = LENIENT) -> DataFrame:
     """(keys, type, tp, n_true, n_pred, bad) from one tag list per row and side; a key always has
     a row with a null type, whose ``bad`` says that a list holds tags the scheme does not know.
     These counts add up over parts of the data."""
     keys = list(keys)
-    t, p = F.col(true_col), F.col(pred_col)
-    bad = F.greatest(*[F.coalesce(F.exists(x, lambda v: ~scheme.valid(v)), F.lit(True)) for x in (t, p)])
-    empty = F.array().cast("array<string>")
-    read = df.select(*keys, bad.alias("bad"), entities(F.coalesce(t, empty), scheme).alias("t"), entities(F.coalesce(p, empty), scheme).alias("p"))
+    read = df.select(*keys, _list_counts(F.col(true_col), F.col(pred_col), scheme).alias("_c"))
     nothing = F.array(F.struct(F.lit(None).cast("string").alias("type"), F.lit(0).alias("tp"), F.lit(0).alias("n_true"), F.lit(0).alias("n_pred")))
-    rows = read.select(*keys, "bad", F.inline(F.concat(nothing, _type_counts(F.col("t"), F.col("p")))))
+    rows = read.select(*keys, F.col("_c.bad").alias("bad"), F.inline(F.concat(nothing, F.col("_c.counts"))))
     return rows.groupBy(*keys, "type").agg(*[F.sum(c).alias(c) for c in ("tp", "n_true", "n_pred")], F.max("bad").alias("bad"))
 
 

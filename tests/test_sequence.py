@@ -105,3 +105,28 @@ def test_suite_takes_tag_lists_and_a_long_sequence_is_linear(spark):
     assert got == {"overall_precision": 1.0, "overall_recall": 1.0, "overall_f1": 1.0}
     (row,) = [r for r in Sq.counts_of_lists(df, ["model"], "label", "prediction", Sq.SCHEMES["IOB2"]).collect() if r["type"]]
     assert row["tp"] == n // 3
+
+
+@pytest.mark.parametrize("name", ["lenient", *Sq.SCHEMES])
+def test_flags_of_values_equal_those_of_columns(spark, name):
+    """The lists read a pair of tags as values, the long rows as columns; null tags included."""
+    scheme = Sq.SCHEMES.get(name, Sq.LENIENT)
+    tags = [*[f"{p}{rest}" for p in "BIOESLU." for rest in ("", "-P", "-Q")], "B-P-Q", "-", "", "B--", None]
+    got = spark.createDataFrame([(a, b) for a in tags for b in tags], "a string, b string")
+    read = [(Sq._prefix(F.col(c)), scheme.type_of(F.col(c))) for c in "ab"]
+    got = got.select("a", "b", *[f.alias(n) for f, n in zip(scheme.flags(*read[0], *read[1]), "sie")])
+
+    def value(tag):
+        return (None, "_") if tag is None else (tag[:1], scheme.type_in(tag))
+
+    for r in got.collect():
+        assert (r.s, r.i, r.e) == scheme.flags_in(*value(r.a), *value(r.b)), (r.a, r.b)
+
+
+def test_lists_are_cut_by_batches_not_by_functions_per_tag(spark):
+    df = spark.createDataFrame([("m", "t", 1, ["B-P", None], ["B-P", "O"]), ("m", "t", 2, None, [])], LISTS)
+    counts = Sq.counts_of_lists(df, ["model", "task"], "label", "prediction", Sq.SCHEMES["IOB2"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan and plan.count("ArrowEvalPython") == 1
+    rows = {r["type"]: (r.tp, r.n_true, r.n_pred, r.bad) for r in counts.collect()}
+    assert rows[None] == (0, 0, 0, True) and rows["P"][2] == 1
