@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 # Python str.isspace() == Java (?U)\s plus the four information separators.
 WS_CLASS = r"[\s\x1c-\x1f]"
 WS_RUN = r"(?U)" + WS_CLASS + "+"
+# The same characters one by one.
+PY_BLANKS = "".join(chr(x) for x in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                     0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 
 # The 32 ASCII punctuation characters of Python's string.punctuation (fixed value).
 ASCII_PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -24,9 +27,9 @@ def col_of(c) -> Column:
 
 
 def py_strip(c) -> Column:
-    """``str.strip()``: drop leading and trailing Unicode blanks. A run of blanks is tried from its
-    start only, so long runs inside a text cost linear time."""
-    return F.regexp_replace(col_of(c), rf"(?U)^{WS_CLASS}++|(?<!{WS_CLASS}){WS_CLASS}++\z", "")
+    """``str.strip()``: drop leading and trailing Unicode blanks. Only the ends are looked at, and no
+    regular expression scans the text."""
+    return F.btrim(col_of(c), F.lit(PY_BLANKS))
 
 
 def ws_split(c) -> Column:
