@@ -407,3 +407,18 @@ def test_meteor_synonyms(spark):
     began = time.time()
     Me.meteor_pair(hyp, ref, stem=None, synonyms={f"h{i}": {f"r{i}", f"r{i + 1}"} for i in range(3000)})
     assert time.time() - began < 1
+
+
+def test_rouge_n_intersects_the_grams_once(spark):
+    """The plan names the intersection once per order, and texts of repeated words score right."""
+    from pyspark.sql import functions as F
+
+    from evalspark.operators.metrics import overlap as O
+
+    df = spark.createDataFrame([("m", "t", "a b b c. d", "b a x. d e")], "model string, task string, prediction string, label string")
+    out = O.metric_rouge(df, metrics=("rouge1",), stats=("p", "r", "f"))
+    stages, _, _ = O.rouge_parts(metrics=("rouge1",), stats=("f",))
+    one = df.withColumns(stages[0]).select(stages[1]["_r1"].alias("x"))
+    assert one._jdf.queryExecution().analyzed().toString().count("array_intersect(") == 1
+    got = {r.sub_metric: r.score for r in out.where(F.col("metric") == "rouge").collect()}
+    assert got == pytest.approx({"rouge1_p": 3 / 4, "rouge1_r": 3 / 5, "rouge1_f": 2 * 0.45 / (1.35 + 1e-8)})
