@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...functions.postprocess import label_kind, py_float
@@ -108,33 +108,60 @@ def merge_spearman_states(states: DataFrame, keys) -> DataFrame:
 
 
 def spearman_from_states(pairs: DataFrame, keys, like: DataFrame | None = None) -> DataFrame:
-    """Pearson on average ranks, taken on the distinct x and the distinct y; weighted moments
-    give r, so no rank is joined back to the rows. ``like`` are the rows (keys, x, y) that the
-    pairs come from, if they can be read anew."""
-    from ..ranking import prefix_before
+    """Pearson on average ranks. ``like`` are the rows (keys, x, y) that the pairs come from, if
+    they can be read anew.
+
+    Pairs are placed once by x and once by y, in range buckets over (keys, value, other value), so
+    that one frequent value spreads over many. A bucket knows a pair's rank up to a constant: how
+    many rows come before the bucket and, for its first and its last value, how many equal ones
+    other buckets hold. The constants follow from the sums per pair of buckets, a small table; no
+    rank is joined back to the pairs. Ranks are taken as 2 * rank - 1 - n, whose mean is 0."""
+    from ..ranking import range_buckets
 
     keys = list(keys)
-    good = pairs.where("bad = 0")
-
-    def ranks(v: str):
-        d = good.groupBy(*keys, v).agg(F.sum("c").alias("n"))
-        d = prefix_before(d, keys, [v], F.col("n"), "lt", like=like)
-        return d.select(*keys, v, (F.col("lt") + (F.col("n") + 1) / 2.0).alias(f"r{v}"))
-
-    j = pairs.join(ranks("x"), [*keys, "x"], "left").join(ranks("y"), [*keys, "y"], "left")
-    j = j.groupBy(*keys).agg(
-        F.max("bad").alias("anybad"), F.sum("c").alias("n"), *[
-            F.sum(F.col("c") * e).alias(a) for a, e in (
-                ("sx", F.col("rx")), ("sy", F.col("ry")), ("sxx", F.col("rx") * F.col("rx")), ("syy", F.col("ry") * F.col("ry")), ("sxy", F.col("rx") * F.col("ry")))])
-    n = F.col("n")
-    # ranks are halves of whole numbers, so the sums lose nothing that matters
-    den = F.sqrt((F.col("sxx") - F.col("sx") * F.col("sx") / n) * (F.col("syy") - F.col("sy") * F.col("sy") / n))
-    r = (F.col("sxy") - F.col("sx") * F.col("sy") / n) / den
-    r = F.when((F.col("anybad") == 1) | (n < 2) | den.isNull() | F.isnan(den) | (den == 0), F.lit(0.0)).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    d = pairs
+    for v, other in (("x", "y"), ("y", "x")):
+        d = range_buckets(d, keys, [v, other], like=like).withColumnRenamed("_bkt", f"b{v}")
+    for v in ("x", "y"):
+        here = Window.partitionBy(*keys, f"b{v}").orderBy(v)
+        upto = F.sum("c").over(here.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        size = F.sum("c").over(here.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        tie = F.sum("c").over(Window.partitionBy(*keys, f"b{v}", v))
+        d = d.withColumns({"_up": upto, "_size": size, "_tie": tie})
+        d = d.withColumns({f"first{v}": F.col("_up") == F.col("_tie"), f"last{v}": F.col("_up") == F.col("_size")})
+        inside = F.col("_up") * 2 - F.col("_tie") - F.col("_size")  # 0 for the ends: their rank is a constant
+        d = d.withColumn(f"r{v}", F.when(F.col(f"first{v}") | F.col(f"last{v}"), 0).otherwise(inside).cast("double")).drop("_up", "_size", "_tie")
+    part = {v: [f"b{v}", f"first{v}", f"last{v}"] for v in ("x", "y")}
+    n, rx, ry = F.col("c"), F.col("rx"), F.col("ry")
+    sums = {"n": n, "sx": n * rx, "sy": n * ry, "sxx": n * rx * rx, "syy": n * ry * ry, "sxy": n * rx * ry}
+    small = d.groupBy(*keys, *part["x"], *part["y"]).agg(
+        F.max("bad").alias("bad"), F.max("x").alias("x"), F.max("y").alias("y"), *[F.sum(e).alias(a) for a, e in sums.items()])
+
+    for v in ("x", "y"):
+        first, last = F.col(f"first{v}"), F.col(f"last{v}")
+        before = Window.partitionBy(*keys).orderBy(f"b{v}").rangeBetween(Window.unboundedPreceding, -1)
+        small = small.withColumns({"_off": F.coalesce(F.sum("n").over(before), F.lit(0)), "_all": F.sum("n").over(Window.partitionBy(*keys)),
+                                   "_size": F.sum("n").over(Window.partitionBy(*keys, f"b{v}")), "_tie": F.sum("n").over(Window.partitionBy(*keys, *part[v]))})
+        low = F.when(first, F.col("_off")).otherwise(F.col("_off") + F.col("_size") - F.col("_tie"))  # rows that are smaller, and
+        high = F.when(last, F.col("_off") + F.col("_size")).otherwise(F.col("_off") + F.col("_tie"))  # not greater, as far as the bucket knows
+        equal = Window.partitionBy(*keys, first | last, v)
+        small = small.withColumns({"_low": F.min(low).over(equal), "_high": F.max(high).over(equal)})
+        at = F.when(first | last, F.col("_low") + F.col("_high")).otherwise(F.col("_off") * 2 + F.col("_size")) - F.col("_all")
+        small = small.withColumn(f"a{v}", at.cast("double")).drop("_off", "_all", "_size", "_tie", "_low", "_high")
+    n, ax, ay = F.col("n"), F.col("ax"), F.col("ay")
+    j = small.groupBy(*keys).agg(
+        F.max("bad").alias("anybad"), F.sum("n").alias("n"),
+        F.sum(F.col("sxx") + ax * F.col("sx") * 2 + n * ax * ax).alias("vx"), F.sum(F.col("syy") + ay * F.col("sy") * 2 + n * ay * ay).alias("vy"),
+        F.sum(F.col("sxy") + ax * F.col("sy") + ay * F.col("sx") + n * ax * ay).alias("cov"))
+    den = F.sqrt(F.col("vx")) * F.sqrt(F.col("vy"))
+    nameless = F.lit(False)  # a key that holds a null scores 0
+    for k in keys:
+        nameless = nameless | F.col(k).isNull()
+    r = F.col("cov") / den
+    r = F.when((F.col("anybad") == 1) | (F.col("n") < 2) | nameless | den.isNull() | F.isnan(den) | (den == 0), F.lit(0.0)).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
     return long_from_wide(j.select(*keys, r.alias("r")), keys, [("r", "spearman", "")])
 
 
 def metric_spearman(df: DataFrame, keys=("model", "task"), pred="prediction", label="label") -> DataFrame:
-    x, y, bad = numeric_pair(df, pred, label)
-    like = df.where(~bad).select(*keys, x.alias("x"), y.alias("y"))
-    return spearman_from_states(spearman_states(df, list(keys), pred, label), keys, like)
+    x, y, _ = numeric_pair(df, pred, label)
+    return spearman_from_states(spearman_states(df, list(keys), pred, label), keys, df.select(*keys, x.alias("x"), y.alias("y")))

@@ -35,18 +35,17 @@ def range_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str], buck
         return df.withColumn("_bkt", F.lit(0))
     place = F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate([*keys, *order])])
     rows = (df if like is None else like).select(place.alias("t"))
-    total = rows.agg(F.count("t")).scalar()
+    total = rows.agg(F.count(F.lit(1))).scalar()
     every = F.greatest(F.lit(1), (total / (n * SAMPLES)).cast("long"))
     sample = rows.where(F.pmod(F.xxhash64("t"), every) == 0).agg(F.sort_array(F.collect_list("t")).alias("s"))
     step = F.ceil(F.size("s") / F.lit(n))
     cuts = sample.select(F.filter("s", lambda t, i: (i > 0) & (i % step == 0)).alias("cuts")).scalar()
-    # binary search: the number of cuts that are not greater than the row
-    halves = [1 << k for k in range(n.bit_length() - 1, -1, -1)]
-
-    def narrowed(at: Column, half: Column) -> Column:
-        return F.when((at + half <= F.size("_cuts")) & (F.get("_cuts", at + half - 1) <= place), at + half).otherwise(at)
-
-    return df.withColumn("_cuts", cuts).withColumn("_bkt", F.aggregate(F.array(*[F.lit(h) for h in halves]), F.lit(0), narrowed)).drop("_cuts")
+    # binary search: the number of cuts that are not greater than the row, a column a step, all in generated code
+    out = df.withColumns({"_cuts": cuts, "_place": place, "_bkt": F.lit(0)})
+    for half in (1 << k for k in range(n.bit_length() - 1, -1, -1)):
+        up = F.col("_bkt") + half
+        out = out.withColumn("_bkt", F.when((up <= F.size("_cuts")) & (F.get("_cuts", up - 1) <= F.col("_place")), up).otherwise(F.col("_bkt")))
+    return out.drop("_cuts", "_place")
 
 
 def carried(rows: DataFrame, keys: Sequence[str], totals: dict, carry) -> DataFrame:

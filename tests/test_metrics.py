@@ -422,3 +422,36 @@ def test_rouge_n_intersects_the_grams_once(spark):
     assert one._jdf.queryExecution().analyzed().toString().count("array_intersect(") == 1
     got = {r.sub_metric: r.score for r in out.where(F.col("metric") == "rouge").collect()}
     assert got == pytest.approx({"rouge1_p": 3 / 4, "rouge1_r": 3 / 5, "rouge1_f": 2 * 0.45 / (1.35 + 1e-8)})
+
+
+@pytest.mark.parametrize("xs,ys", [(3, 2), (1, 50), (400, 3), (1000, 1000), (7, 10**6)])
+def test_spearman_with_ties_across_buckets(spark, xs, ys):
+    """Average ranks where a frequent value fills several range buckets, against ranks by pandas."""
+    import random
+
+    import pandas as pd
+
+    from evalspark.operators.metrics.corpus import metric_spearman
+
+    rnd = random.Random(xs + ys)
+    rows = [(rnd.choice("ab"), "t", float(int(xs * rnd.random() ** 2)), float(int(ys * rnd.random() ** 3)) + k % 3) for k in range(3000)]
+    got = {r["model"]: r["score"] for r in metric_spearman(spark.createDataFrame(rows, "model string, task string, prediction double, label double").repartition(5)).collect()}
+    d = pd.DataFrame(rows, columns=["m", "t", "x", "y"])
+    for m, g in d.groupby("m"):
+        want = g.x.rank().corr(g.y.rank()) if g.x.nunique() > 1 else 0.0
+        assert got[m] == pytest.approx(want, abs=1e-9)
+
+
+def test_spearman_joins_no_ranks_back(spark):
+    """Every row is placed once by x and once by y; ranks are not joined back to the rows."""
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    from evalspark.operators.metrics.corpus import metric_spearman
+
+    df = spark.range(100).select(F.lit("m").alias("model"), F.lit("t").alias("task"), F.rand(1).alias("prediction"), F.rand(2).alias("label"))
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        metric_spearman(df).explain()
+    assert "Window" in text.getvalue() and "Join" not in text.getvalue()
