@@ -16,13 +16,18 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shared_path
 from .evaluate import batch_numbers, evaluate_suite
 
+#: Types whose Arrow columns become pandas columns by ``to_pandas`` alone, as in ``applyInPandas``.
+PLAIN = {T.StringType: pa.string(), T.BooleanType: pa.bool_(), T.ByteType: pa.int8(), T.ShortType: pa.int16(), T.IntegerType: pa.int32(),
+         T.LongType: pa.int64(), T.FloatType: pa.float32(), T.DoubleType: pa.float64()}
 #: Added to the rows: batch number from 1, stage and text of the error (null: none).
 BATCH, STAGE, ERROR = "batch", "failed_stage", "batch_error"
 
@@ -37,7 +42,8 @@ class Stage:
 
 
 def _values(column: pd.Series) -> list:
-    return column.astype(object).where(column.notna(), None).tolist()
+    values, null = column.astype(object).tolist(), column.isna().to_numpy()
+    return [None if n else v for v, n in zip(values, null)] if null.any() else values
 
 
 def inference(fn: Callable[[list], list], prompt: str = "prompt", out: str = "response", out_type: str = "string") -> Stage:
@@ -71,8 +77,7 @@ def run_batches(df: DataFrame, stages: Sequence[Stage], keys: Sequence[str], ord
     kept = [f for f in df.schema.fields if f.name not in made]
     schema = T.StructType([*kept, *made.values(), T.StructField(BATCH, T.LongType()), T.StructField(STAGE, T.StringType()), T.StructField(ERROR, T.StringType())])
 
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        out = batch.sort_values(list(order), kind="stable", ignore_index=True)
+    def through(out: pd.DataFrame) -> tuple[dict, str | None, str | None]:
         stage_name = error = None
         done: dict[str, list] = {}
         for stage in stages:
@@ -81,19 +86,49 @@ def run_batches(df: DataFrame, stages: Sequence[Stage], keys: Sequence[str], ord
                 wrong = {c: len(v) for c, v in values.items() if len(v) != len(out)}
                 if wrong:
                     raise ValueError(f"{len(out)} rows went in, {wrong} came out")
-                frame = pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in values.items()})
-                out[frame.columns] = frame
+                for c, v in {c: pd.Series(v, dtype=object) for c, v in values.items()}.items():
+                    out[c] = v
                 done |= values
             except Exception as e:  # noqa: BLE001 - the batch carries its error; the job goes on
                 stage_name, error = stage.name, f"{type(e).__name__}: {e}"
                 break
-        for c in made:
-            out[c] = pd.Series([None] * len(out) if c not in done or error is not None else done[c], dtype=object)
+        nulls = [None] * len(out)
+        columns = {c: pd.Series(nulls if c not in done or error is not None else done[c], dtype=object) for c in made}
+        return columns, stage_name, error
+
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
+        out = batch.sort_values(list(order), kind="stable", ignore_index=True)
+        columns, stage_name, error = through(out)
+        for c, v in columns.items():
+            out[c] = v
         out[STAGE], out[ERROR] = stage_name, error
         return out[[f.name for f in schema.fields]]
 
+    def run_arrow(batch: pa.Table) -> pa.Table:
+        """The same; what no stage names stays as it is in Arrow."""
+        batch = batch.take(pc.sort_indices(batch, sort_keys=[(c, "ascending") for c in order]))
+        columns, stage_name, error = through(batch.to_pandas())
+
+        def column(f: T.StructField):
+            if f.name not in columns and f.name not in (STAGE, ERROR):
+                return batch[f.name]
+            to = PLAIN[type(f.dataType)]
+            if f.name not in columns:
+                return pa.array([stage_name if f.name == STAGE else error] * len(batch), to)
+            v = columns[f.name]
+            try:
+                return pa.Array.from_pandas(v, mask=v.isnull(), type=to, safe=safe)
+            except pa.lib.ArrowInvalid:
+                return pa.Array.from_pandas(v, mask=v.isnull()).cast(to, safe=safe)
+
+        return pa.table([column(f) for f in schema.fields], [f.name for f in schema.fields])
+
     numbered = batch_numbers(df, keys, order, batch_size)
-    return numbered.groupBy(*keys, BATCH).applyInPandas(run, schema)
+    groups, conf = numbered.groupBy(*keys, BATCH), df.sparkSession.conf
+    safe = conf.get("spark.sql.execution.pandas.convertToArrowArraySafely") == "true"
+    if all(type(f.dataType) in PLAIN for f in (*schema.fields, *df.schema.fields)) and conf.get("spark.sql.execution.arrow.useLargeVarTypes") != "true":
+        return groups.applyInArrow(run_arrow, schema)
+    return groups.applyInPandas(run, schema)
 
 
 def first_failures(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -122,10 +157,17 @@ def evaluate_batches(df: DataFrame, stages: Sequence[Stage], metrics, keys: Sequ
     Returns the metric rows with ``status`` ``ok`` (or ``partial`` where a batch failed) and one
     more row for each key with a failure: no metric, ``status`` ``error``, and the batch, stage
     and text in ``error``. A key that fails in its first batch has that row only. The rows are
-    checkpointed once, so that user functions run once and cannot disagree between the passes."""
+    saved once under the shared folder, so that user functions run once and cannot disagree
+    between the passes, which read only the columns they use."""
     keys = list(keys)
-    ensure_checkpoint_dir(df.sparkSession)
-    rows = run_batches(df, stages, keys, order, batch_size).checkpoint()
+    rows = run_batches(df, stages, keys, order, batch_size)
+    if "void" in rows.schema.simpleString():  # Parquet has no such type
+        ensure_checkpoint_dir(df.sparkSession)
+        rows = rows.checkpoint()
+    else:
+        path = shared_path(df.sparkSession, "batches")
+        rows.write.parquet(path)
+        rows = df.sparkSession.read.schema(rows.schema).parquet(path)
     failures = first_failures(rows, keys)
     scored = evaluate_suite(before_failure(rows, failures, keys), metrics, keys, pred, label, persist=False)
     kinds = failures.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "failed_batch")

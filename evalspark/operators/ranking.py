@@ -49,17 +49,23 @@ def range_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str], buck
 
 
 def carried(rows: DataFrame, keys: Sequence[str], totals: dict, carry) -> DataFrame:
-    """Join to bucketed rows what the earlier buckets of their key hold: ``totals`` are named
-    aggregates per (key, bucket), ``carry`` the aggregate function over the buckets before."""
+    """Add to bucketed rows what the earlier buckets of their key hold, null if there are none:
+    ``totals`` are named aggregates per (key, bucket), ``carry`` the aggregate function over the
+    buckets before. Buckets are ranges, so only the first key of a bucket can have earlier ones:
+    one entry a bucket, looked up in a scalar subquery without moving the rows."""
     keys = list(keys)
-    before = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    at = Window.partitionBy(*keys).orderBy("_bkt")
+    before = at.rowsBetween(Window.unboundedPreceding, -1)
     small = rows.groupBy(*keys, "_bkt").agg(*[e.alias(f"_t{c}") for c, e in totals.items()])
-    small = small.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_bkt").alias("_kb"),
-                         *[carry(F.col(f"_t{c}")).over(before).alias(c) for c in totals])
-    same = F.col("_bkt") == F.col("_kb")
+    small = small.withColumns({"_i": F.row_number().over(at), **{f"_c{c}": carry(F.col(f"_t{c}")).over(before) for c in totals}})
+    entry = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[F.col(f"_c{c}").alias(f"c{i}") for i, c in enumerate(totals)])
+    found = small.where("_i > 1").agg(F.map_from_entries(F.collect_list(F.struct("_bkt", entry))).alias("m"), F.coalesce(F.max("_bkt"), F.lit(0)).alias("n"))
+    entries = found.select(F.transform(F.sequence(F.lit(0), "n"), lambda i: F.try_element_at("m", i)).alias("e")).scalar()
+    same = F.col("_here").isNotNull()
     for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return rows.join(small, same).drop("_kb", *[f"_k{i}" for i in range(len(keys))])
+        same = same & F.col(k).eqNullSafe(F.col(f"_here.k{i}"))
+    out = rows.withColumn("_entries", entries).withColumn("_here", F.get("_entries", F.col("_bkt")))
+    return out.withColumns({c: F.when(same, F.col(f"_here.c{i}")) for i, c in enumerate(totals)}).drop("_entries", "_here")
 
 
 def prefix_before(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: Column | None = None,

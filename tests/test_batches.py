@@ -79,3 +79,31 @@ def test_errors_of_arrow_batches_are_kept_on_request(spark):
     df = prompts.select(F.col("prompt").alias("prediction"), F.col("prompt").alias("label"))
     row = apply_batch_post(df, lambda p, l, b, a: (p[1:], l), error_col="why").first()
     assert row["why"] == "ValueError: 25 rows, 24 predictions and 25 labels" and row["prediction"] == "0"
+
+
+def test_columns_no_stage_names_stay_exact(spark):
+    """Whole numbers above 2^53 next to a null, through batches of plain and of other types."""
+    big = 2**53 + 1
+    data = [("m", "t", i, big + i if i % 3 else None, "p") for i in range(12)]
+    df = spark.createDataFrame(data, "model string, task string, item_id long, big long, prompt string")
+    stages = [B.inference(lambda ps: [p.upper() for p in ps], out="prediction")]
+    out = B.run_batches(df, stages, KEYS, ["item_id"], 5).collect()
+    assert sorted((r["item_id"], r["big"], r["prediction"], r["batch"]) for r in out if r["big"]) == [(i, big + i, "P", i // 5 + 1) for i in range(12) if i % 3]
+    dated = df.drop("big").withColumns({"day": F.lit("2024-02-29").cast("date"), "label": F.lit("P"), "none": F.lit(None)})
+    got = B.evaluate_batches(dated, stages, ["accuracy"], batch_size=5).collect()
+    assert [(r["score"], r["status"]) for r in got] == [(1.0, "ok")]
+    assert {str(r["day"]) for r in B.run_batches(dated, stages, KEYS, ["item_id"], 5).collect()} == {"2024-02-29"}
+
+
+def test_numbering_moves_the_rows_once(spark):
+    """Buckets come from generated code, offsets of earlier buckets from a lookup, not from a join."""
+    import contextlib
+    import io
+
+    from evalspark.operators.ranking import prefix_before
+
+    df = spark.range(100).selectExpr("id % 3 AS k", "id AS v")
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        prefix_before(df, ["k"], ["v"]).explain()
+    main = text.getvalue().split("Subqueries")[0]
+    assert "Join" not in main and "namedlambda" not in main and "narrowed" not in main
