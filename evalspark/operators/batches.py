@@ -124,7 +124,8 @@ def run_batches(df: DataFrame, stages: Sequence[Stage], keys: Sequence[str], ord
         return pa.table([column(f) for f in schema.fields], [f.name for f in schema.fields])
 
     numbered = batch_numbers(df, keys, order, batch_size)
-    groups, conf = numbered.groupBy(*keys, BATCH), df.sparkSession.conf
+    # the batch number first: sorting compares it before any text
+    groups, conf = numbered.groupBy(BATCH, *keys), df.sparkSession.conf
     safe = conf.get("spark.sql.execution.pandas.convertToArrowArraySafely") == "true"
     if all(type(f.dataType) in PLAIN for f in (*schema.fields, *df.schema.fields)) and conf.get("spark.sql.execution.arrow.useLargeVarTypes") != "true":
         return groups.applyInArrow(run_arrow, schema)
